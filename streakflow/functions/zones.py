@@ -28,3 +28,10 @@ def safe_zone(zone: Column | str) -> Column:
     z = F.col(zone) if isinstance(zone, str) else zone
     aliased = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in JVM_ALIASES.items() for x in kv]), z), z)
     return F.when(is_valid_zone(z), aliased).otherwise(F.lit("UTC"))
+
+
+def zone_table(spark):
+    """The valid zone names with the name the JVM resolves (a fixed,
+    bounded table of about 600 rows: safe to broadcast)."""
+    rows = [(z, JVM_ALIASES.get(z, z)) for z in valid_zones()]
+    return spark.createDataFrame(rows, "zone_name string, jvm_zone string")

@@ -36,48 +36,48 @@ def trailing_sum(df: DataFrame, keys: Sequence[str], ts: str, tie: str, width_us
     later than the current row in (ts, tie) order (the row itself included
     or not).
 
+    Every row is emitted once for its own bucket and once per following
+    bucket it can reach (``explode`` of the offsets: the input is read once).
     ``splits`` cuts each width into that many buckets (more parallelism for
     a dense key, at the cost of ``splits`` context copies per row).
     """
     keys = list(keys)
     bucket_us = -(-width_us // splits)
     val = F.lit(1) if value is None else value
-    own = (df.withColumn("_t", _micros(ts))
-             .withColumn("_v", val.cast("long"))
-             .withColumn("_b", F.floor(F.col("_t") / F.lit(bucket_us)).cast("long"))
-             .withColumn("_own", F.lit(True)))
-    parts = [own]
-    slim = own.select(*keys, "_t", F.col(tie).alias("_tie"), "_v", "_b")
-    for k in range(1, splits + 1):
-        parts.append(slim.select(*keys, "_t", F.col("_tie").alias(tie), "_v",
-                                 (F.col("_b") + k).alias("_b"), F.lit(False).alias("_own")))
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p, allowMissingColumns=True)
+    u = (df.withColumn("_t", _micros(ts))
+           .withColumn("_v", F.coalesce(val.cast("long"), F.lit(0).cast("long")))
+           .withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(splits))))
+           .withColumn("_b", F.floor(F.col("_t") / F.lit(bucket_us)).cast("long") + F.col("_k"))
+           .withColumn("_own", F.col("_k") == 0))
     frame = Window.partitionBy(*keys, "_b").orderBy("_t").rangeBetween(-(width_us - 1), 0)
     peers_after = Window.partitionBy(*keys, "_b", "_t").orderBy(tie).rowsBetween(1, Window.unboundedFollowing)
     total = F.sum("_v").over(frame) - F.coalesce(F.sum("_v").over(peers_after), F.lit(0))
     if not include_current:
         total = total - F.col("_v")
-    return u.withColumn(out, total).where("_own").drop("_t", "_v", "_b", "_own")
+    return u.withColumn(out, total).where("_own").drop("_t", "_v", "_k", "_b", "_own")
 
 
 def previous_value(df: DataFrame, keys: Sequence[str], ts: str, tie: str, value: str,
-                   out: str | None = None, bucket_us: int = DAY_US) -> DataFrame:
+                   out: str | None = None, bucket_us: int = DAY_US, where: Column | None = None) -> DataFrame:
     """Add ``out`` = ``value`` of the previous row of the same key in
-    (ts, tie) order (null for the first row), without one task per key."""
+    (ts, tie) order (null for the first row), without one task per key.
+    With ``where``, only rows meeting it count as previous rows."""
     keys = list(keys)
     out = out or f"prev_{value}"
-    b = F.floor(_micros(ts) / F.lit(bucket_us)).cast("long")
-    rows = df.withColumn("_b", b)
-    # last row per (key, bucket): partial aggregation, hot keys combine map-side
+    cond = F.lit(True) if where is None else where
+    rows = (df.withColumn("_b", F.floor(_micros(ts) / F.lit(bucket_us)).cast("long"))
+              .withColumn("_pv", F.when(cond, F.struct(F.col(value).alias("v")))))
+    # last qualifying row per (key, bucket), for every bucket that has rows:
+    # a partial aggregate, hot keys combine map-side
     last = rows.groupBy(*keys, "_b").agg(
-        F.max_by(F.col(value), F.struct(F.col(ts), F.col(tie))).alias("_last"))
-    # carry the previous bucket's last value: one row per key-bucket (small)
-    per_key = Window.partitionBy(*keys).orderBy("_b")
-    carried = last.select(*keys, "_b", F.lag("_last").over(per_key).alias("_carry"))
-    within = Window.partitionBy(*keys, "_b").orderBy(F.col(ts), F.col(tie))
+        F.max(F.when(F.col("_pv").isNotNull(), F.struct(F.col(ts), F.col(tie), F.col("_pv"))))["_pv"].alias("_last"))
+    # carry the last qualifying value of earlier buckets: one row per
+    # key-bucket, so this window is small
+    per_key = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carried = last.select(*keys, "_b", F.last("_last", ignorenulls=True).over(per_key).alias("_carry"))
+    within = (Window.partitionBy(*keys, "_b").orderBy(F.col(ts), F.col(tie))
+              .rowsBetween(Window.unboundedPreceding, -1))
+    before = F.last("_pv", ignorenulls=True).over(within)
     return (rows.join(carried, [*keys, "_b"], "left")
-                .withColumn(out, F.when(F.row_number().over(within) == 1, F.col("_carry"))
-                            .otherwise(F.lag(value).over(within)))
-                .drop("_b", "_carry"))
+                .withColumn(out, F.coalesce(before, F.col("_carry"))["v"])
+                .drop("_b", "_pv", "_carry"))

@@ -25,7 +25,7 @@ rows_ AS (
   UNION ALL
   SELECT *, src_id + {adapter.DUP_ID_OFFSET} AS row_id FROM src WHERE src_id % {adapter.DUP_EVERY} = 0),
 adapted AS (
-  SELECT uid, src_id, row_id,
+  SELECT uid, src_id, row_id, props,
     {derived},
     ts AS created_at,
     ts + to_seconds(CAST(row_id % {adapter.RECEIVE_SPREAD_SECONDS} AS BIGINT)) AS received_at
@@ -93,3 +93,248 @@ SELECT 1 AS stage_no, 'raw' AS stage, CAST(COUNT(*) AS BIGINT) AS row_count FROM
 UNION ALL SELECT 2, 'deduplicated', CAST(COUNT(*) AS BIGINT) FROM flagged
 UNION ALL SELECT 3, 'anomaly_free', CAST(COUNT(*) AS BIGINT) FROM clean
 UNION ALL SELECT 4, 'enriched', CAST(COUNT(*) AS BIGINT) FROM enriched""")
+
+
+# --- P2 ingest -----------------------------------------------------------------
+from streakflow.config import POINTS_MAP, STATUS_CODES, STATUSES  # noqa: E402
+
+AS_OF = adapter.AS_OF
+AS_OF_DATE = AS_OF[:10]
+LOADED_AT = "2024-01-31 01:00:00"
+_VALID_TYPES = ", ".join(f"'{t}'" for t in POINTS_MAP)
+_POINTS_CASE = "CASE event_type " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in POINTS_MAP.items()) + " END"
+_OFFSET_RE = r"(Z|z|[+-]\d{2}(:?\d{2})?)$"
+_CODES_CASE = "CASE status " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in STATUS_CODES.items()) + " END"
+
+
+def _trailing(value: str, width_us: int, include_current: bool = True) -> str:
+    """Sum over [t - width + 1us, t] up to the current row in (t, row_id) order."""
+    s = (f"SUM({value}) OVER (PARTITION BY user_id ORDER BY epoch_us(created_at) "
+         f"RANGE BETWEEN {width_us - 1} PRECEDING AND CURRENT ROW)"
+         f" - COALESCE(SUM({value}) OVER (PARTITION BY user_id, epoch_us(created_at) ORDER BY row_id "
+         f"ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), 0)")
+    return s if include_current else f"{s} - {value}"
+
+
+def _ingest_ctes(max_age_days: int, rate_limit: int, tz_limit: int = 2) -> str:
+    req = ", ".join(f"CASE WHEN {f} IS NULL THEN 'Missing required field: {f}' END"
+                    for f in ("user_id", "event_type", "client_timestamp", "timezone", "idempotency_key"))
+    return f""",
+pay AS (SELECT row_id, user_id, event_type, client_timestamp, timezone, idempotency_key, source, received_at
+        FROM adapted),
+v AS (
+  SELECT *, TRY_CAST(client_timestamp AS TIMESTAMPTZ) AT TIME ZONE 'UTC' AS parsed,
+         COALESCE(timezone IN (SELECT name FROM pg_timezone_names()), false) AS zone_ok
+  FROM pay),
+v2 AS (
+  SELECT *, CASE WHEN zone_ok THEN timezone ELSE 'UTC' END AS zone,
+    COALESCE({req},
+      CASE WHEN event_type NOT IN ({_VALID_TYPES}) THEN 'Invalid event_type: ' || event_type END,
+      CASE WHEN NOT zone_ok THEN 'Invalid timezone: ' || timezone END,
+      CASE WHEN parsed IS NULL THEN 'Invalid client_timestamp format (expected ISO 8601)' END,
+      CASE WHEN NOT regexp_matches(client_timestamp, '{_OFFSET_RE}') THEN 'timestamp_without_offset' END,
+      CASE WHEN parsed > TIMESTAMP '{AS_OF}' + INTERVAL 24 HOUR THEN 'client_timestamp is too far in the future'
+           WHEN parsed < TIMESTAMP '{AS_OF}' - INTERVAL {max_age_days} DAY THEN 'client_timestamp is too far in the past'
+      END) AS reason
+  FROM v),
+valid AS (SELECT * EXCLUDE (parsed), parsed AS created_at FROM v2 WHERE reason IS NULL),
+counted AS (SELECT *, {_trailing('1', 3600 * 1000000)} AS attempts_last_hour FROM valid),
+passed AS (SELECT * FROM counted WHERE attempts_last_hour <= {rate_limit}),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY idempotency_key ORDER BY created_at, row_id) AS krank,
+         first_value(created_at) OVER (PARTITION BY idempotency_key ORDER BY created_at, row_id) AS first_ts
+  FROM passed),
+firsts AS (SELECT * FROM ranked WHERE krank = 1),
+zl AS (SELECT *, COALESCE(timezone <> lag(timezone) OVER (PARTITION BY user_id ORDER BY created_at, row_id), false)
+                 AS tz_changed FROM firsts),
+za AS (SELECT *, {_trailing('CAST(tz_changed AS BIGINT)', 24 * 3600 * 1000000, False)} AS recent_changes FROM zl),
+tzf AS (SELECT *, tz_changed AND recent_changes >= {tz_limit} AS tz_abuse FROM za),
+acc AS (
+  SELECT row_id, user_id,
+         strftime(created_at, '%Y%m%dT%H%M%S') || '#' || substr(sha256(idempotency_key), 1, 8) AS event_id,
+         event_type, CAST({_POINTS_CASE} AS INTEGER) AS points_awarded, COALESCE(source, 'unknown') AS source,
+         idempotency_key, client_timestamp, created_at,
+         CAST(floor(epoch(created_at)) AS BIGINT) + 90 * 86400 AS ttl, timezone,
+         CAST((created_at AT TIME ZONE 'UTC') AT TIME ZONE zone AS DATE) AS activity_date
+  FROM tzf WHERE NOT tz_abuse),
+verdicts AS (
+  SELECT row_id, user_id, CASE WHEN reason = 'timestamp_without_offset' THEN 'error' ELSE 'validation_error' END AS status,
+         reason, CAST(NULL AS VARCHAR) AS event_id, CAST(NULL AS VARCHAR) AS original_event_id FROM v2 WHERE reason IS NOT NULL
+  UNION ALL SELECT row_id, user_id, 'rate_limited', 'Rate limit exceeded', NULL, NULL FROM counted
+            WHERE attempts_last_hour > {rate_limit}
+  UNION ALL SELECT row_id, user_id, 'tz_abuse', 'Suspicious timezone change detected', NULL, NULL FROM tzf WHERE tz_abuse
+  UNION ALL SELECT row_id, user_id, 'duplicate', 'Event already processed', NULL,
+            strftime(first_ts, '%Y%m%dT%H%M%S') || '#' || substr(sha256(idempotency_key), 1, 8) FROM ranked WHERE krank > 1
+  UNION ALL SELECT row_id, user_id, 'processed', 'Event processed', event_id, NULL FROM acc),
+daily AS (
+  SELECT user_id, activity_date, arg_min(event_id, (created_at, event_id)) AS first_event_id,
+         CAST(COUNT(*) AS BIGINT) AS events_count, CAST(SUM(points_awarded) AS BIGINT) AS points_earned,
+         MIN(created_at) AS created_at
+  FROM acc GROUP BY user_id, activity_date),
+balances AS (
+  SELECT user_id, CAST(SUM(points_awarded) AS BIGINT) AS total_bestie_points,
+         arg_max(timezone, (created_at, event_id)) AS timezone, MAX(created_at) AS streak_updated_at
+  FROM acc GROUP BY user_id),
+days AS (SELECT DISTINCT user_id, activity_date FROM daily WHERE activity_date IS NOT NULL),
+isl AS (SELECT *, activity_date - CAST(row_number() OVER (PARTITION BY user_id ORDER BY activity_date) AS INTEGER) AS island
+        FROM days),
+runs AS (SELECT user_id, island, COUNT(*) AS len, MAX(activity_date) AS run_end FROM isl GROUP BY user_id, island),
+streaks AS (
+  SELECT user_id, CAST(arg_max(len, run_end) AS BIGINT) AS current_streak, CAST(MAX(len) AS BIGINT) AS longest_streak,
+         MAX(run_end) AS last_activity_date, CAST(SUM(len) AS BIGINT) AS version
+  FROM runs GROUP BY user_id),
+streaks_eff AS (
+  SELECT *, CASE WHEN last_activity_date >= DATE '{AS_OF_DATE}' - 1 THEN current_streak ELSE CAST(0 AS BIGINT) END
+         AS effective_streak FROM streaks),
+state AS (
+  SELECT COALESCE(s.user_id, b.user_id) AS user_id, s.current_streak, s.longest_streak, s.last_activity_date, s.version,
+         s.effective_streak, b.total_bestie_points, b.timezone, b.streak_updated_at
+  FROM streaks_eff s FULL JOIN balances b ON s.user_id = b.user_id),
+state_c AS (SELECT st.*, d.country FROM state st LEFT JOIN (SELECT user_id, country FROM dim) d USING (user_id))"""
+
+
+def with_ingest(body: str, max_age_days: int = adapter.ORACLE_MAX_AGE_DAYS,
+                rate_limit: int = adapter.ORACLE_RATE_LIMIT) -> str:
+    return with_ctes(body, curate=True, extra=_ingest_ctes(max_age_days, rate_limit))
+
+
+_VERDICT_SELECT = f"SELECT row_id, user_id, status, reason, event_id, original_event_id, CAST({_CODES_CASE} AS INTEGER) AS http_status FROM verdicts"
+
+ORACLE["ingest_verdicts"] = with_ingest(_VERDICT_SELECT)
+ORACLE["ingest_verdicts_default_limits"] = with_ingest(_VERDICT_SELECT, max_age_days=7, rate_limit=100)
+
+ORACLE["parse_payload"] = with_ctes(f"""
+SELECT row_id, user_id, event_type, client_timestamp, timezone, idempotency_key, source,
+       json_extract_string(props, '$.k') AS metadata_k, CAST(NULL AS VARCHAR) AS corrupt_body,
+       {ts('received_at')} AS received_at
+FROM adapted""", curate=False)
+
+ORACLE["accepted_events"] = with_ingest(f"""
+SELECT row_id, user_id, event_id, event_type, points_awarded, source, idempotency_key, client_timestamp,
+       {ts('created_at')} AS created_at, ttl, timezone, activity_date FROM acc""")
+
+_pivot = ", ".join(f"CAST(COUNT(*) FILTER (WHERE status = '{s}') AS BIGINT) AS {s}" for s in STATUSES)
+ORACLE["ingest_report"] = with_ingest(f"SELECT user_id, {_pivot}, CAST(COUNT(*) AS BIGINT) AS total FROM verdicts GROUP BY user_id")
+
+ORACLE["user_profile"] = with_ctes("""
+SELECT user_id, CAST(COUNT(*) AS BIGINT) AS events, CAST(COUNT(DISTINCT event_type) AS BIGINT) AS event_types,
+       CAST(COUNT(DISTINCT source) AS BIGINT) AS sources
+FROM adapted GROUP BY user_id""", curate=False)
+
+ORACLE["daily_activity"] = with_ingest(f"""
+SELECT user_id, activity_date, first_event_id, events_count, points_earned, {ts('created_at')} AS created_at FROM daily""")
+
+ORACLE["point_balances"] = with_ingest(f"""
+SELECT user_id, total_bestie_points, timezone, {ts('streak_updated_at')} AS streak_updated_at FROM balances""")
+
+ORACLE["streaks"] = with_ingest("SELECT * FROM streaks_eff")
+
+ORACLE["streak_timeline"] = with_ingest("""
+SELECT user_id, activity_date, CAST(row_number() OVER (PARTITION BY user_id, island ORDER BY activity_date) AS BIGINT) AS streak
+FROM isl""")
+
+ORACLE["points_timeline"] = with_ctes("""
+SELECT user_id, day, day_points,
+       CAST(SUM(day_points) OVER (PARTITION BY user_id ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+            AS BIGINT) AS cumulative_points
+FROM per_day""", extra=""",
+per_day AS (SELECT user_id, event_date AS day, CAST(SUM(points_awarded) AS BIGINT) AS day_points
+            FROM enriched GROUP BY user_id, event_date)""")
+
+
+def _leaderboard(n: int, by: str | None) -> str:
+    part = f"COALESCE({by}, 'GLOBAL')" if by else "'GLOBAL'"
+    return with_ingest(f"""
+SELECT * FROM (
+  SELECT {part} AS leaderboard_partition,
+         CAST(row_number() OVER (PARTITION BY {part}
+              ORDER BY current_streak DESC NULLS LAST, total_bestie_points DESC NULLS LAST, user_id) AS INTEGER) AS rank,
+         user_id, current_streak, total_bestie_points
+  FROM state_c) WHERE rank <= {n}""")
+
+
+ORACLE["leaderboard_by_country"] = _leaderboard(3, "country")
+ORACLE["leaderboard_global"] = _leaderboard(100, None)
+
+ORACLE["user_streak_lookup"] = with_ingest("""
+SELECT user_id, current_streak, longest_streak, last_activity_date, total_bestie_points, timezone FROM state_c
+WHERE user_id IN (SELECT user_id FROM dim WHERE country = 'NATION_3')""")
+
+ORACLE["points_history"] = with_ctes(f"""
+SELECT user_id, event_id, event_type, points_awarded, {ts('created_at')} AS created_at, event_date FROM enriched
+WHERE event_date > DATE '{AS_OF_DATE}' - 30 AND event_date <= DATE '{AS_OF_DATE}'
+  AND user_id IN (SELECT user_id FROM dim WHERE country = 'NATION_3')""")
+
+# --- P3 warehouse ------------------------------------------------------------------
+
+_FACT = f"""
+fact AS (
+  SELECT event_id, user_id, event_type, points_awarded, source, idempotency_key,
+         TRY_CAST(client_timestamp AS TIMESTAMPTZ) AT TIME ZONE 'UTC' AS client_timestamp, created_at, event_date,
+         country, user_segment, TIMESTAMP '{LOADED_AT}' AS loaded_at
+  FROM enriched),
+snapshot AS (
+  SELECT user_id, DATE '{AS_OF_DATE}' AS snapshot_date, CAST(current_streak AS INTEGER) AS current_streak,
+         CAST(longest_streak AS INTEGER) AS longest_streak, CAST(total_bestie_points AS INTEGER) AS total_bestie_points,
+         last_activity_date, timezone, TIMESTAMP '{LOADED_AT}' AS loaded_at
+  FROM state_c),
+summaries AS (
+  SELECT user_id, event_date, country, user_segment, CAST(COUNT(*) AS BIGINT) AS total_events,
+         CAST(SUM(points_awarded) AS BIGINT) AS total_points
+  FROM enriched GROUP BY user_id, event_date, country, user_segment)"""
+
+
+def with_warehouse(body: str) -> str:
+    return with_ctes(body, curate=True, extra=_ingest_ctes(adapter.ORACLE_MAX_AGE_DAYS, adapter.ORACLE_RATE_LIMIT)
+                     + "," + _FACT)
+
+
+_FACT_SELECT = (f"event_id, user_id, event_type, points_awarded, source, idempotency_key, "
+                f"{ts('client_timestamp')} AS client_timestamp, {ts('created_at')} AS created_at, event_date, "
+                f"country, user_segment, {ts('loaded_at')} AS loaded_at")
+
+ORACLE["snapshot_streaks"] = with_warehouse(f"""
+SELECT user_id, snapshot_date, current_streak, longest_streak, total_bestie_points, last_activity_date, timezone,
+       {ts('loaded_at')} AS loaded_at FROM snapshot""")
+
+ORACLE["stage_partition"] = with_warehouse(f"SELECT {_FACT_SELECT} FROM fact WHERE event_date = DATE '2024-01-15'")
+
+ORACLE["weekly_streak_stats"] = with_warehouse("""
+SELECT CAST(date_trunc('week', event_date) AS DATE) AS week_start, country,
+       CAST(COUNT(DISTINCT user_id) AS BIGINT) AS active_users,
+       round(AVG(total_points), 6) AS avg_daily_points, round(AVG(total_events), 6) AS avg_daily_events
+FROM summaries GROUP BY 1, 2""")
+
+ORACLE["streak_distribution"] = with_warehouse("""
+SELECT snapshot_date,
+       CASE WHEN current_streak = 0 THEN '0 (inactive)'
+            WHEN current_streak BETWEEN 1 AND 3 THEN '1-3 days'
+            WHEN current_streak BETWEEN 4 AND 7 THEN '4-7 days'
+            WHEN current_streak BETWEEN 8 AND 14 THEN '8-14 days'
+            WHEN current_streak BETWEEN 15 AND 30 THEN '15-30 days'
+            ELSE '30+ days' END AS streak_bucket,
+       CAST(COUNT(*) AS BIGINT) AS user_count, round(AVG(total_bestie_points), 6) AS avg_bp
+FROM snapshot GROUP BY 1, 2""")
+
+_PERF = """
+SELECT event_date, event_type, CAST(COUNT(*) AS BIGINT) AS event_count,
+       CAST(SUM(points_awarded) AS BIGINT) AS total_points, CAST(COUNT(DISTINCT user_id) AS BIGINT) AS unique_users
+FROM fact GROUP BY 1, 2"""
+ORACLE["event_type_performance"] = with_warehouse(_PERF)
+ORACLE["views_via_sql"] = with_warehouse(_PERF)
+
+ORACLE["merge_by_key"] = with_warehouse(f"""
+, stg_raw AS (
+  SELECT r.event_id, r.user_id, r.event_type, TRY_CAST(r.points_awarded AS INTEGER) AS points_awarded, r.source,
+         r.idempotency_key, TRY_CAST(r.client_timestamp AS TIMESTAMPTZ) AT TIME ZONE 'UTC' AS client_timestamp,
+         r.created_at, CAST(r.created_at AS DATE) AS event_date, d.country, d.user_segment,
+         TIMESTAMP '2024-02-01 00:00:00' AS loaded_at
+  FROM kept r LEFT JOIN dim d USING (user_id) WHERE CAST(r.created_at AS DATE) = DATE '2024-01-15'),
+stg AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY idempotency_key ORDER BY created_at, event_id) AS rn FROM stg_raw)
+  WHERE rn = 1),
+merged AS (
+  SELECT * FROM fact WHERE idempotency_key NOT IN (SELECT idempotency_key FROM stg WHERE idempotency_key IS NOT NULL)
+  UNION ALL SELECT * FROM stg)
+SELECT {_FACT_SELECT} FROM merged""".replace("\n, stg_raw AS", ", stg_raw AS"))

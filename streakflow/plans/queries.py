@@ -69,3 +69,200 @@ def q_user_dim(spark, sf_dir):
 def q_quality_funnel(spark, sf_dir):
     """Raw -> deduplicated -> anomaly-free -> enriched counts."""
     return curate_plan.quality_funnel(raw(spark, sf_dir), user_dim(spark, sf_dir))
+
+
+# --- P2 ingest ---------------------------------------------------------------
+from streakflow.config import Limits  # noqa: E402
+from streakflow.operators import anomaly, streaks, warehouse  # noqa: E402
+from streakflow.plans import ingest as ingest_plan  # noqa: E402
+from streakflow.sources import readers  # noqa: E402
+
+ORACLE_LIMITS = Limits(max_age_days=adapter.ORACLE_MAX_AGE_DAYS, rate_limit=adapter.ORACLE_RATE_LIMIT,
+                       duplicate_pattern_min=adapter.ORACLE_DUPLICATE_PATTERN)
+AS_OF_DATE = adapter.AS_OF[:10]
+LOADED_AT = "2024-01-31 01:00:00"
+
+
+def _ingested(spark, sf_dir, limits: Limits = ORACLE_LIMITS) -> ingest_plan.Ingested:
+    return ingest_plan.ingest_batch(adapter.payloads(adapted(spark, sf_dir)), adapter.AS_OF, limits)
+
+
+def _accepted(spark, sf_dir):
+    return _ingested(spark, sf_dir).accepted
+
+
+def _daily(spark, sf_dir):
+    return ingest_plan.daily_activity(_accepted(spark, sf_dir))
+
+
+def _state(spark, sf_dir):
+    """User streak state: F2 streaks + E3 balances + country shard."""
+    acc = _accepted(spark, sf_dir)
+    s = streaks.streaks(ingest_plan.daily_activity(acc), AS_OF_DATE)
+    b = ingest_plan.point_balances(acc)
+    d = user_dim(spark, sf_dir).select("user_id", "country")
+    return s.join(b, "user_id", "full").join(d, "user_id", "left")
+
+
+VERDICT_COLS = ("row_id", "user_id", "status", "reason", "event_id", "original_event_id", "http_status")
+
+
+@query("ingest_verdicts")
+def q_ingest_verdicts(spark, sf_dir):
+    """Verdict of every attempt (oracle limits)."""
+    return _ingested(spark, sf_dir).verdicts.select(*VERDICT_COLS)
+
+
+@query("ingest_verdicts_default_limits")
+def q_ingest_verdicts_default(spark, sf_dir):
+    """B6 with the reference's 7-day window and 100/hour limit."""
+    return _ingested(spark, sf_dir, Limits()).verdicts.select(*VERDICT_COLS)
+
+
+@query("parse_payload")
+def q_parse_payload(spark, sf_dir):
+    """A2: JSON bodies parsed back to payload columns."""
+    p = readers.parse_payload(adapter.payload_json(adapted(spark, sf_dir)))
+    return finish(p.select("row_id", "user_id", "event_type", "client_timestamp", "timezone", "idempotency_key",
+                           "source", F.col("metadata")["k"].alias("metadata_k"), "corrupt_body", "received_at"))
+
+
+@query("accepted_events")
+def q_accepted_events(spark, sf_dir):
+    """B8 B11 B13 B14 on the processed attempts, with local activity date."""
+    return finish(_accepted(spark, sf_dir))
+
+
+@query("ingest_report")
+def q_ingest_report(spark, sf_dir):
+    """Attempts per user and status."""
+    return ingest_plan.ingest_report(_ingested(spark, sf_dir).verdicts)
+
+
+@query("user_profile")
+def q_user_profile(spark, sf_dir):
+    """Attempts, distinct types and sources per user (raw payloads)."""
+    return rollups.user_profile(adapter.payloads(adapted(spark, sf_dir)))
+
+
+@query("daily_activity")
+def q_daily_activity(spark, sf_dir):
+    """Per user and local day."""
+    return finish(_daily(spark, sf_dir))
+
+
+@query("point_balances")
+def q_point_balances(spark, sf_dir):
+    """Lifetime points, latest zone, last update."""
+    return finish(ingest_plan.point_balances(_accepted(spark, sf_dir)))
+
+
+@query("streaks")
+def q_streaks(spark, sf_dir):
+    """current, longest, last day, version, effective streak."""
+    return streaks.streaks(_daily(spark, sf_dir), AS_OF_DATE)
+
+
+@query("streak_timeline")
+def q_streak_timeline(spark, sf_dir):
+    """running streak per user-day."""
+    return streaks.streak_timeline(_daily(spark, sf_dir))
+
+
+@query("points_timeline")
+def q_points_timeline(spark, sf_dir):
+    """cumulative points per user-day of the curated events."""
+    return streaks.points_timeline(_curated(spark, sf_dir).events)
+
+
+@query("leaderboard_by_country")
+def q_leaderboard(spark, sf_dir):
+    """Top 3 per country by streak, points, user."""
+    lb = streaks.leaderboard(_state(spark, sf_dir), n=3, by="country")
+    return lb.select("leaderboard_partition", "rank", "user_id", "current_streak", "total_bestie_points")
+
+
+@query("leaderboard_global")
+def q_leaderboard_global(spark, sf_dir):
+    """global top 100."""
+    lb = streaks.leaderboard(_state(spark, sf_dir), n=100, by=None)
+    return lb.select("leaderboard_partition", "rank", "user_id", "current_streak", "total_bestie_points")
+
+
+@query("user_streak_lookup")
+def q_user_streak(spark, sf_dir):
+    """G1: state of the users of one nation (semi join)."""
+    wanted = user_dim(spark, sf_dir).where(F.col("country") == "NATION_3").select("user_id")
+    return finish(streaks.user_streak(_state(spark, sf_dir), wanted).select(
+        "user_id", "current_streak", "longest_streak", "last_activity_date", "total_bestie_points", "timezone"))
+
+
+@query("points_history")
+def q_points_history(spark, sf_dir):
+    """Last 30 days of events of the users of one nation."""
+    wanted = user_dim(spark, sf_dir).where(F.col("country") == "NATION_3").select("user_id")
+    ev = _curated(spark, sf_dir).events
+    return finish(streaks.points_history(ev, wanted, AS_OF_DATE, 30).select(
+        "user_id", "event_id", "event_type", "points_awarded", "created_at", "event_date"))
+
+
+# --- P3 warehouse --------------------------------------------------------------
+
+def _fact(spark, sf_dir):
+    from streakflow import schemas
+    return readers.align_columns(_curated(spark, sf_dir).events, schemas.FACT_BP_EVENTS, LOADED_AT,
+                                 schemas.FACT_LOAD_COLUMNS)
+
+
+def _snapshot(spark, sf_dir):
+    return readers.snapshot_streaks(_state(spark, sf_dir), AS_OF_DATE, LOADED_AT)
+
+
+@query("snapshot_streaks")
+def q_snapshot(spark, sf_dir):
+    """dim_user_streaks rows."""
+    return finish(_snapshot(spark, sf_dir))
+
+
+@query("stage_partition")
+def q_stage(spark, sf_dir):
+    """One curated date in the staging shape."""
+    return finish(readers.stage_partition(_curated(spark, sf_dir).events, "2024-01-15", LOADED_AT))
+
+
+@query("weekly_streak_stats")
+def q_weekly(spark, sf_dir):
+    """E4 over the daily summaries."""
+    return finish(warehouse.weekly_streak_stats(_curated(spark, sf_dir).summaries))
+
+
+@query("streak_distribution")
+def q_distribution(spark, sf_dir):
+    """E5 over the streak snapshot."""
+    return finish(warehouse.streak_distribution(_snapshot(spark, sf_dir)))
+
+
+@query("event_type_performance")
+def q_event_perf(spark, sf_dir):
+    """E6 over the fact table."""
+    return warehouse.event_type_performance(_fact(spark, sf_dir))
+
+
+@query("views_via_sql")
+def q_views_sql(spark, sf_dir):
+    """E6 as SQL text over a temp view (same plan as the DataFrame form)."""
+    _fact(spark, sf_dir).createOrReplaceTempView("fact_bp_events")
+    return warehouse.view_sql(spark, "v_event_type_performance")
+
+
+@query("merge_by_key")
+def q_merge(spark, sf_dir):
+    """The fact after merging one re-staged date whose rows come from
+    the raw lake (duplicates and out-of-range points included, deduplicated
+    in staging)."""
+    from streakflow import schemas
+    fact = _fact(spark, sf_dir)
+    r = validate.enforce_types(validate.drop_null_keys(raw(spark, sf_dir)))
+    r = dedup.enrich(r, user_dim(spark, sf_dir))
+    stg = readers.stage_partition(r, "2024-01-15", "2024-02-01 00:00:00")
+    return finish(warehouse.merge_by_key(fact, stg).select(*schemas.FACT_BP_EVENTS.fieldNames()))
