@@ -29,6 +29,7 @@ from streakflow.operators.windows import trailing_sum
 class Ingested:
     verdicts: DataFrame
     accepted: DataFrame
+    verdicts_detail: DataFrame  # verdicts plus arrival and parsed event time
 
 
 REASONS = {
@@ -92,7 +93,7 @@ def classify(payloads: DataFrame, as_of, limits: Limits = DEFAULT_LIMITS,
 
 VERDICT_COLUMNS = ("user_id", "status", "reason", "event_id", "original_event_id", "http_status")
 ACCEPTED_COLUMNS = ("user_id", "event_id", "event_type", "points_awarded", "source", "idempotency_key",
-                    "client_timestamp", "created_at", "ttl", "timezone", "activity_date")
+                    "client_timestamp", "created_at", "ttl", "timezone", "activity_date", "received_at")
 
 
 def ingest_batch(payloads: DataFrame, as_of, limits: Limits = DEFAULT_LIMITS,
@@ -100,7 +101,8 @@ def ingest_batch(payloads: DataFrame, as_of, limits: Limits = DEFAULT_LIMITS,
     """Verdicts of all attempts and the accepted event log (one plan)."""
     classified = classify(payloads, as_of, limits, history, order_col)
     return Ingested(classified.select(order_col, *VERDICT_COLUMNS),
-                    classified.where(F.col("status") == "processed").select(order_col, *ACCEPTED_COLUMNS))
+                    classified.where(F.col("status") == "processed").select(order_col, *ACCEPTED_COLUMNS),
+                    classified.select(order_col, *VERDICT_COLUMNS, "received_at", "created_at"))
 
 
 def ingest_report(verdicts: DataFrame) -> DataFrame:

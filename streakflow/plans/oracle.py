@@ -107,15 +107,28 @@ _OFFSET_RE = r"(Z|z|[+-]\d{2}(:?\d{2})?)$"
 _CODES_CASE = "CASE status " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in STATUS_CODES.items()) + " END"
 
 
-def _trailing(value: str, width_us: int, include_current: bool = True) -> str:
-    """Sum over [t - width + 1us, t] up to the current row in (t, row_id) order."""
+def _trailing(value: str, width_us: int, include_current: bool = True, tie: str = "row_id") -> str:
+    """Sum over [t - width + 1us, t] up to the current row in (t, tie) order."""
     s = (f"SUM({value}) OVER (PARTITION BY user_id ORDER BY epoch_us(created_at) "
          f"RANGE BETWEEN {width_us - 1} PRECEDING AND CURRENT ROW)"
-         f" - COALESCE(SUM({value}) OVER (PARTITION BY user_id, epoch_us(created_at) ORDER BY row_id "
+         f" - COALESCE(SUM({value}) OVER (PARTITION BY user_id, epoch_us(created_at) ORDER BY {tie} "
          f"ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), 0)")
     return s if include_current else f"{s} - {value}"
 
 
+def _reason_sql(max_age_days: int) -> str:
+    req = ", ".join(f"CASE WHEN {f} IS NULL THEN 'Missing required field: {f}' END"
+                    for f in ("user_id", "event_type", "client_timestamp", "timezone", "idempotency_key"))
+    return f"""COALESCE({req},
+      CASE WHEN event_type NOT IN ({_VALID_TYPES}) THEN 'Invalid event_type: ' || event_type END,
+      CASE WHEN NOT zone_ok THEN 'Invalid timezone: ' || timezone END,
+      CASE WHEN parsed IS NULL THEN 'Invalid client_timestamp format (expected ISO 8601)' END,
+      CASE WHEN NOT regexp_matches(client_timestamp, '{_OFFSET_RE}') THEN 'timestamp_without_offset' END,
+      CASE WHEN parsed > TIMESTAMP '{AS_OF}' + INTERVAL 24 HOUR THEN 'client_timestamp is too far in the future'
+           WHEN parsed < TIMESTAMP '{AS_OF}' - INTERVAL {max_age_days} DAY THEN 'client_timestamp is too far in the past'
+      END)"""
+
+
 def _ingest_ctes(max_age_days: int, rate_limit: int, tz_limit: int = 2) -> str:
     req = ", ".join(f"CASE WHEN {f} IS NULL THEN 'Missing required field: {f}' END"
                     for f in ("user_id", "event_type", "client_timestamp", "timezone", "idempotency_key"))
@@ -128,14 +141,7 @@ v AS (
   FROM pay),
 v2 AS (
   SELECT *, CASE WHEN zone_ok THEN timezone ELSE 'UTC' END AS zone,
-    COALESCE({req},
-      CASE WHEN event_type NOT IN ({_VALID_TYPES}) THEN 'Invalid event_type: ' || event_type END,
-      CASE WHEN NOT zone_ok THEN 'Invalid timezone: ' || timezone END,
-      CASE WHEN parsed IS NULL THEN 'Invalid client_timestamp format (expected ISO 8601)' END,
-      CASE WHEN NOT regexp_matches(client_timestamp, '{_OFFSET_RE}') THEN 'timestamp_without_offset' END,
-      CASE WHEN parsed > TIMESTAMP '{AS_OF}' + INTERVAL 24 HOUR THEN 'client_timestamp is too far in the future'
-           WHEN parsed < TIMESTAMP '{AS_OF}' - INTERVAL {max_age_days} DAY THEN 'client_timestamp is too far in the past'
-      END) AS reason
+    {_reason_sql(max_age_days)} AS reason
   FROM v),
 valid AS (SELECT * EXCLUDE (parsed), parsed AS created_at FROM v2 WHERE reason IS NULL),
 counted AS (SELECT *, {_trailing('1', 3600 * 1000000)} AS attempts_last_hour FROM valid),
@@ -155,17 +161,20 @@ acc AS (
          event_type, CAST({_POINTS_CASE} AS INTEGER) AS points_awarded, COALESCE(source, 'unknown') AS source,
          idempotency_key, client_timestamp, created_at,
          CAST(floor(epoch(created_at)) AS BIGINT) + 90 * 86400 AS ttl, timezone,
-         CAST((created_at AT TIME ZONE 'UTC') AT TIME ZONE zone AS DATE) AS activity_date
+         CAST((created_at AT TIME ZONE 'UTC') AT TIME ZONE zone AS DATE) AS activity_date, received_at
   FROM tzf WHERE NOT tz_abuse),
 verdicts AS (
   SELECT row_id, user_id, CASE WHEN reason = 'timestamp_without_offset' THEN 'error' ELSE 'validation_error' END AS status,
-         reason, CAST(NULL AS VARCHAR) AS event_id, CAST(NULL AS VARCHAR) AS original_event_id FROM v2 WHERE reason IS NOT NULL
-  UNION ALL SELECT row_id, user_id, 'rate_limited', 'Rate limit exceeded', NULL, NULL FROM counted
+         reason, CAST(NULL AS VARCHAR) AS event_id, CAST(NULL AS VARCHAR) AS original_event_id, received_at
+  FROM v2 WHERE reason IS NOT NULL
+  UNION ALL SELECT row_id, user_id, 'rate_limited', 'Rate limit exceeded', NULL, NULL, received_at FROM counted
             WHERE attempts_last_hour > {rate_limit}
-  UNION ALL SELECT row_id, user_id, 'tz_abuse', 'Suspicious timezone change detected', NULL, NULL FROM tzf WHERE tz_abuse
+  UNION ALL SELECT row_id, user_id, 'tz_abuse', 'Suspicious timezone change detected', NULL, NULL, received_at
+            FROM tzf WHERE tz_abuse
   UNION ALL SELECT row_id, user_id, 'duplicate', 'Event already processed', NULL,
-            strftime(first_ts, '%Y%m%dT%H%M%S') || '#' || substr(sha256(idempotency_key), 1, 8) FROM ranked WHERE krank > 1
-  UNION ALL SELECT row_id, user_id, 'processed', 'Event processed', event_id, NULL FROM acc),
+            strftime(first_ts, '%Y%m%dT%H%M%S') || '#' || substr(sha256(idempotency_key), 1, 8), received_at
+            FROM ranked WHERE krank > 1
+  UNION ALL SELECT row_id, user_id, 'processed', 'Event processed', event_id, NULL, received_at FROM acc),
 daily AS (
   SELECT user_id, activity_date, arg_min(event_id, (created_at, event_id)) AS first_event_id,
          CAST(COUNT(*) AS BIGINT) AS events_count, CAST(SUM(points_awarded) AS BIGINT) AS points_earned,
@@ -194,8 +203,8 @@ state_c AS (SELECT st.*, d.country FROM state st LEFT JOIN (SELECT user_id, coun
 
 
 def with_ingest(body: str, max_age_days: int = adapter.ORACLE_MAX_AGE_DAYS,
-                rate_limit: int = adapter.ORACLE_RATE_LIMIT) -> str:
-    return with_ctes(body, curate=True, extra=_ingest_ctes(max_age_days, rate_limit))
+                rate_limit: int = adapter.ORACLE_RATE_LIMIT, extra: str = "") -> str:
+    return with_ctes(body, curate=True, extra=_ingest_ctes(max_age_days, rate_limit) + extra)
 
 
 _VERDICT_SELECT = f"SELECT row_id, user_id, status, reason, event_id, original_event_id, CAST({_CODES_CASE} AS INTEGER) AS http_status FROM verdicts"
@@ -211,7 +220,7 @@ FROM adapted""", curate=False)
 
 ORACLE["accepted_events"] = with_ingest(f"""
 SELECT row_id, user_id, event_id, event_type, points_awarded, source, idempotency_key, client_timestamp,
-       {ts('created_at')} AS created_at, ttl, timezone, activity_date FROM acc""")
+       {ts('created_at')} AS created_at, ttl, timezone, activity_date, {ts('received_at')} AS received_at FROM acc""")
 
 _pivot = ", ".join(f"CAST(COUNT(*) FILTER (WHERE status = '{s}') AS BIGINT) AS {s}" for s in STATUSES)
 ORACLE["ingest_report"] = with_ingest(f"SELECT user_id, {_pivot}, CAST(COUNT(*) AS BIGINT) AS total FROM verdicts GROUP BY user_id")
@@ -338,3 +347,245 @@ merged AS (
   SELECT * FROM fact WHERE idempotency_key NOT IN (SELECT idempotency_key FROM stg WHERE idempotency_key IS NOT NULL)
   UNION ALL SELECT * FROM stg)
 SELECT {_FACT_SELECT} FROM merged""".replace("\n, stg_raw AS", ", stg_raw AS"))
+
+
+# --- anomaly rules, reconciliation, quality -----------------------------------------
+def _num(col: str) -> str:
+    return f"CAST(substr({col}, 5) AS BIGINT)"
+
+
+def _streak_ctes(src: str, p: str) -> str:
+    """Gaps-and-islands streak CTEs over a daily table ``src`` (prefix ``p``)."""
+    return f""",
+{p}days AS (SELECT DISTINCT user_id, activity_date FROM {src} WHERE activity_date IS NOT NULL),
+{p}isl AS (SELECT *, activity_date - CAST(row_number() OVER (PARTITION BY user_id ORDER BY activity_date) AS INTEGER)
+           AS island FROM {p}days),
+{p}runs AS (SELECT user_id, island, COUNT(*) AS len, MAX(activity_date) AS run_end FROM {p}isl GROUP BY user_id, island),
+{p}streaks AS (
+  SELECT user_id, CAST(arg_max(len, run_end) AS BIGINT) AS current_streak, CAST(MAX(len) AS BIGINT) AS longest_streak,
+         MAX(run_end) AS last_activity_date, CAST(SUM(len) AS BIGINT) AS version
+  FROM {p}runs GROUP BY user_id),
+{p}timeline AS (
+  SELECT user_id, activity_date,
+         CAST(row_number() OVER (PARTITION BY user_id, island ORDER BY activity_date) AS BIGINT) AS streak
+  FROM {p}isl)"""
+
+
+_FAULTS = f""",
+stored AS (
+  SELECT COALESCE(s.user_id, b.user_id) AS user_id,
+         CASE WHEN {_num('s.user_id')} % {adapter.STREAK_JUMP_MOD} = 0 THEN s.current_streak + {adapter.STREAK_JUMP_DELTA}
+              WHEN {_num('s.user_id')} % {adapter.STREAK_FAULT_MOD} = 0 THEN s.current_streak + 1
+              ELSE s.current_streak END AS current_streak,
+         s.longest_streak, s.last_activity_date, s.version,
+         CASE WHEN {_num('b.user_id')} % {adapter.POINTS_FAULT_MOD} = 0
+              THEN b.total_bestie_points + {adapter.POINTS_FAULT_DELTA} ELSE b.total_bestie_points END AS total_bestie_points,
+         b.timezone, b.streak_updated_at
+  FROM streaks s FULL JOIN balances b ON s.user_id = b.user_id),
+daily_f AS (
+  SELECT * FROM daily
+  WHERE NOT ({_num('user_id')} % {adapter.MISSING_DAY_MOD} = 0 AND activity_date = DATE '{adapter.MISSING_DAY}')
+  UNION ALL
+  SELECT user_id, DATE '{adapter.ORPHAN_DAY}', MIN(first_event_id), CAST(1 AS BIGINT), CAST(0 AS BIGINT),
+         TIMESTAMP '{adapter.ORPHAN_DAY} 00:00:00'
+  FROM daily WHERE {_num('user_id')} % {adapter.ORPHAN_DAY_MOD} = 0 GROUP BY user_id)""" + _streak_ctes("daily_f", "f_") + f""",
+updates AS (
+  SELECT user_id, activity_date AS updated_on, streak AS current_streak FROM f_timeline
+  UNION ALL
+  SELECT user_id, DATE '{AS_OF_DATE}' + 1, current_streak FROM stored WHERE current_streak IS NOT NULL),
+jumps AS (
+  SELECT * FROM (
+    SELECT user_id, updated_on, lag(current_streak) OVER (PARTITION BY user_id ORDER BY updated_on) AS previous_streak,
+           current_streak FROM updates)
+  WHERE current_streak - previous_streak > 1),
+tzr AS (
+  SELECT *, COALESCE(timezone <> lag(timezone) OVER (PARTITION BY user_id ORDER BY created_at, event_id), false) AS ch
+  FROM acc),
+tzr2 AS (SELECT *, {_trailing('CAST(ch AS BIGINT)', 24 * 3600 * 1000000, False, 'event_id')} AS recent FROM tzr),
+tz_rule AS (SELECT * FROM tzr2 WHERE ch AND recent >= 2),
+mx AS (SELECT *, (created_at AT TIME ZONE 'UTC') AT TIME ZONE timezone AS local_ts FROM acc),
+mx2 AS (
+  SELECT *, lag(timezone) OVER w AS previous_timezone, lag(local_ts) OVER w AS previous_local_ts FROM mx
+  WINDOW w AS (PARTITION BY user_id ORDER BY created_at, event_id)),
+midnight AS (
+  SELECT * FROM mx2
+  WHERE previous_timezone <> timezone
+    AND hour(previous_local_ts) * 60 + minute(previous_local_ts) >= 1440 - {adapter.ORACLE_MIDNIGHT_MINUTES}
+    AND hour(local_ts) * 60 + minute(local_ts) < {adapter.ORACLE_MIDNIGHT_MINUTES}
+    AND CAST(local_ts AS DATE) = CAST(previous_local_ts AS DATE) + 1),
+hourly AS (SELECT user_id, date_trunc('hour', created_at) AS hour, CAST(SUM(points_awarded) AS BIGINT) AS hour_points
+           FROM enriched GROUP BY 1, 2),
+dailyp AS (SELECT user_id, CAST(created_at AS DATE) AS day, SUM(points_awarded) AS day_points FROM enriched GROUP BY 1, 2),
+meanp AS (SELECT user_id, AVG(day_points) AS daily_avg FROM dailyp GROUP BY 1),
+spikes AS (SELECT h.*, m.daily_avg FROM hourly h JOIN meanp m USING (user_id)
+           WHERE h.hour_points > {adapter.ORACLE_SPIKE_FACTOR} * m.daily_avg),
+dupkeys AS (
+  SELECT user_id, idempotency_key, CAST(COUNT(*) AS BIGINT) AS attempts, MIN(received_at) AS first_seen
+  FROM adapted WHERE idempotency_key IS NOT NULL GROUP BY 1, 2 HAVING COUNT(*) >= {adapter.ORACLE_DUPLICATE_PATTERN}),
+v7 AS (SELECT *, {_reason_sql(7)} AS reason7 FROM v),
+drift AS (
+  SELECT a.user_id, a.current_streak AS analytical_streak, o.current_streak AS operational_streak,
+         abs(a.current_streak - o.current_streak) AS drift,
+         CASE WHEN abs(a.current_streak - o.current_streak) <= 1 THEN 'auto_fix' ELSE 'alert' END AS action
+  FROM streaks a JOIN stored o ON a.user_id = o.user_id WHERE a.current_streak <> o.current_streak)"""
+
+
+def with_faults(body: str) -> str:
+    return with_ingest(body, extra=_FAULTS)
+
+
+ORACLE["timezone_changes"] = with_ingest(f"""
+SELECT user_id, event_id, {ts('created_at')} AS created_at, previous_timezone, timezone FROM (
+  SELECT *, lag(timezone) OVER (PARTITION BY user_id ORDER BY created_at, event_id) AS previous_timezone FROM acc)
+WHERE previous_timezone IS NOT NULL AND timezone <> previous_timezone""")
+
+ORACLE["timezone_abuse_rule"] = with_faults(f"SELECT user_id, event_id, {ts('created_at')} AS created_at, timezone FROM tz_rule")
+
+ORACLE["rate_flag_rule"] = with_ingest(
+    f"SELECT row_id, user_id, attempts_last_hour FROM counted WHERE attempts_last_hour > {adapter.ORACLE_RATE_LIMIT}")
+
+ORACLE["streak_jumps"] = with_faults("""
+SELECT user_id, updated_on, previous_streak, current_streak, current_streak - previous_streak AS step FROM jumps""")
+
+ORACLE["midnight_exploit"] = with_faults(f"""
+SELECT user_id, event_id, timezone, previous_timezone, {ts('local_ts')} AS local_ts,
+       {ts('previous_local_ts')} AS previous_local_ts FROM midnight""")
+
+ORACLE["points_spike"] = with_faults(f"""
+SELECT user_id, {ts('hour')} AS hour, hour_points, round(daily_avg, 6) AS daily_avg FROM spikes""")
+
+ORACLE["impossible_timestamps"] = with_ingest("""
+SELECT row_id, user_id, reason FROM verdicts
+WHERE reason IN ('client_timestamp is too far in the future', 'client_timestamp is too far in the past')""",
+                                              max_age_days=7, rate_limit=100)
+
+ORACLE["duplicate_keys"] = with_faults(f"""
+SELECT user_id, idempotency_key, attempts, {ts('first_seen')} AS first_seen FROM dupkeys""")
+
+ORACLE["duplicate_share"] = with_ctes("""
+SELECT user_id, CAST(SUM(n) AS BIGINT) AS attempts, CAST(SUM(n) - COUNT(*) AS BIGINT) AS repeats,
+       round((SUM(n) - COUNT(*)) / SUM(n), 6) AS repeat_share
+FROM pk GROUP BY user_id""", curate=False, extra=""",
+pk AS (SELECT user_id, idempotency_key, COUNT(*) AS n FROM adapted GROUP BY 1, 2)""")
+
+_SEV = {
+    "rate_limit": ("Medium", "throttle"),
+    "impossible_timestamp": ("High", "reject"),
+    "timezone_abuse": ("High", "flag_for_review"),
+    "streak_jump": ("Critical", "block_update"),
+    "midnight_exploit": ("High", "server_side_tz"),
+    "points_spike": ("Medium", "queue_for_review"),
+    "duplicate_pattern": ("Medium", "flag_for_review"),
+}
+
+
+def _log(rule: str, at: str, detail: str, src: str) -> str:
+    sev, act = _SEV[rule]
+    return (f"SELECT '{rule}' AS rule, user_id, {ts(at)} AS at, '{sev}' AS severity, '{act}' AS action, "
+            f"CAST({detail} AS VARCHAR) AS detail FROM {src}")
+
+
+ORACLE["anomaly_log"] = with_faults("\nUNION ALL ".join([
+    _log("rate_limit", "created_at", "attempts_last_hour", f"counted WHERE attempts_last_hour > {adapter.ORACLE_RATE_LIMIT}"),
+    _log("impossible_timestamp", "parsed", "reason7",
+         "v7 WHERE reason7 IN ('client_timestamp is too far in the future', 'client_timestamp is too far in the past')"),
+    _log("timezone_abuse", "created_at", "timezone", "tz_rule"),
+    _log("streak_jump", "CAST(updated_on AS TIMESTAMP)", "current_streak - previous_streak", "jumps"),
+    _log("midnight_exploit", "created_at", "previous_timezone || '->' || timezone", "midnight"),
+    _log("points_spike", "hour", "hour_points", "spikes"),
+    _log("duplicate_pattern", "first_seen", "attempts", "dupkeys"),
+]))
+
+ORACLE["streak_audit"] = with_ingest(f"""
+SELECT substr(sha256(user_id || '|' || CAST(activity_date AS VARCHAR)), 1, 32) AS audit_id, user_id,
+       'STREAK_UPDATE' AS action, lag(streak) OVER (PARTITION BY user_id ORDER BY activity_date) AS old_streak,
+       streak AS new_streak, 'streak_recompute' AS trigger,
+       {ts("CAST(activity_date AS TIMESTAMP) + INTERVAL 12 HOUR")} AS timestamp,
+       CAST(epoch(CAST(activity_date AS TIMESTAMP) + INTERVAL 12 HOUR) AS BIGINT) + 365 * 86400 AS ttl
+FROM t_timeline""", extra=_streak_ctes("daily", "t_"))
+
+ORACLE["streak_drift"] = with_faults("SELECT * FROM drift")
+
+ORACLE["reconcile_points"] = with_faults("""
+SELECT COALESCE(s.user_id, t.user_id) AS user_id, COALESCE(s.events_sum, 0) AS events_sum,
+       COALESCE(CAST(t.total_bestie_points AS BIGINT), 0) AS stored_total,
+       CASE WHEN COALESCE(s.events_sum, 0) = COALESCE(CAST(t.total_bestie_points AS BIGINT), 0) THEN 'MATCH'
+            ELSE 'MISMATCH' END AS status
+FROM (SELECT user_id, CAST(SUM(points_awarded) AS BIGINT) AS events_sum FROM acc GROUP BY user_id) s
+FULL JOIN stored t ON s.user_id = t.user_id""")
+
+ORACLE["reconcile_streaks"] = with_faults("""
+SELECT COALESCE(r.user_id, s.user_id) AS user_id,
+       r.current_streak AS recomputed_current_streak, r.longest_streak AS recomputed_longest_streak,
+       r.last_activity_date AS recomputed_last_activity_date,
+       s.current_streak AS stored_current_streak, s.longest_streak AS stored_longest_streak,
+       s.last_activity_date AS stored_last_activity_date
+FROM f_streaks r FULL JOIN stored s ON r.user_id = s.user_id
+WHERE r.current_streak IS DISTINCT FROM s.current_streak OR r.longest_streak IS DISTINCT FROM s.longest_streak
+   OR r.last_activity_date IS DISTINCT FROM s.last_activity_date""")
+
+ORACLE["missing_activity"] = with_faults(f"""
+SELECT user_id, activity_date, first_event_id, events_count, points_earned, {ts('created_at')} AS created_at
+FROM daily d WHERE NOT EXISTS (
+  SELECT 1 FROM daily_f f WHERE f.user_id = d.user_id AND f.activity_date = d.activity_date)""")
+
+ORACLE["orphan_activity"] = with_faults(f"""
+SELECT user_id, activity_date, first_event_id, events_count, points_earned, {ts('created_at')} AS created_at
+FROM daily_f f WHERE NOT EXISTS (
+  SELECT 1 FROM acc a WHERE a.user_id = f.user_id AND a.activity_date = f.activity_date)""")
+
+ORACLE["snapshot_parity"] = with_faults("""
+SELECT user_id, in_a, in_b, differing_columns,
+       differing_columns = '' AND in_a AND in_b AS parity FROM (
+  SELECT COALESCE(a.user_id, b.user_id) AS user_id, a.user_id IS NOT NULL AS in_a, b.user_id IS NOT NULL AS in_b,
+         concat_ws(',',
+           CASE WHEN a.current_streak IS DISTINCT FROM b.current_streak THEN 'current_streak' END,
+           CASE WHEN a.longest_streak IS DISTINCT FROM b.longest_streak THEN 'longest_streak' END,
+           CASE WHEN a.total_bestie_points IS DISTINCT FROM b.total_bestie_points THEN 'total_bestie_points' END)
+           AS differing_columns
+  FROM stored a FULL JOIN (
+    SELECT COALESCE(s.user_id, bl.user_id) AS user_id, s.current_streak, s.longest_streak, bl.total_bestie_points
+    FROM streaks s FULL JOIN balances bl ON s.user_id = bl.user_id) b ON a.user_id = b.user_id)""")
+
+ORACLE["correction_audit"] = with_faults(f"""
+SELECT substr(sha256('reconcile|' || user_id || '|{adapter.RECONCILE_AT}'), 1, 32) AS audit_id, user_id,
+       'STREAK_CORRECTION' AS action, operational_streak AS old_streak, analytical_streak AS new_streak,
+       'nightly_reconcile' AS trigger, '{adapter.RECONCILE_AT}.000000' AS timestamp,
+       CAST(epoch(TIMESTAMP '{adapter.RECONCILE_AT}') AS BIGINT) + 365 * 86400 AS ttl
+FROM drift WHERE action = 'auto_fix'""")
+
+ORACLE["dq_checks"] = with_ctes("""
+SELECT 'daily_summaries' AS table_name, 'schema' AS check_name, true AS passed, '' AS detail
+UNION ALL SELECT 'daily_summaries', 'non_empty', COUNT(*) > 0, CAST(COUNT(*) AS VARCHAR) FROM summ
+UNION ALL SELECT 'daily_summaries', 'key_unique:user_id,event_date', COUNT(*) = 0, CAST(COUNT(*) AS VARCHAR)
+          FROM (SELECT user_id, event_date FROM summ GROUP BY 1, 2 HAVING COUNT(*) > 1)
+UNION ALL SELECT 'bp_events', 'key_unique:idempotency_key', COUNT(*) = 0, CAST(COUNT(*) AS VARCHAR)
+          FROM (SELECT idempotency_key FROM enriched GROUP BY 1 HAVING COUNT(*) > 1)
+UNION ALL SELECT 'bp_events', 'row_preserving', (SELECT COUNT(*) FROM clean) = (SELECT COUNT(*) FROM enriched),
+          CAST((SELECT COUNT(*) FROM clean) AS VARCHAR) || '->' || CAST((SELECT COUNT(*) FROM enriched) AS VARCHAR)
+UNION ALL SELECT 'bp_events', 'not_increasing', (SELECT COUNT(*) FROM flagged) <= (SELECT COUNT(*) FROM raw),
+          CAST((SELECT COUNT(*) FROM raw) AS VARCHAR) || '->' || CAST((SELECT COUNT(*) FROM flagged) AS VARCHAR)""",
+                              extra=""",
+summ AS (SELECT user_id, event_date FROM enriched GROUP BY user_id, event_date, country, user_segment)""")
+
+ORACLE["ingest_error_rate"] = with_ingest(f"""
+SELECT {ts('w')} AS window_start, {ts("w + INTERVAL 1 HOUR")} AS window_end, attempts, errors,
+       round(errors / attempts, 6) AS error_rate, errors / attempts > 0.01 AS alert FROM (
+  SELECT date_trunc('hour', received_at) AS w, CAST(COUNT(*) AS BIGINT) AS attempts,
+         CAST(SUM(CASE WHEN status = 'error' THEN 1 ELSE 0 END) AS BIGINT) AS errors
+  FROM verdicts GROUP BY 1)""")
+
+ORACLE["update_lag"] = with_ingest("""
+SELECT activity_date, CAST(COUNT(*) AS BIGINT) AS updates, round(AVG(lag_s), 6) AS avg_lag_seconds,
+       round(MAX(lag_s), 6) AS max_lag_seconds, CAST(COUNT(*) FILTER (WHERE lag_s > 5) AS BIGINT) AS late_updates
+FROM (SELECT activity_date, (epoch_us(received_at) - epoch_us(created_at)) / 1000000.0 AS lag_s FROM acc)
+GROUP BY activity_date""")
+
+ORACLE["partition_gaps"] = with_ctes(f"""
+SELECT {ts('h')} AS hour
+FROM generate_series(TIMESTAMP '2024-01-01 00:00:00', TIMESTAMP '2024-01-31 23:00:00', INTERVAL 1 HOUR) AS g(h)
+WHERE h NOT IN (SELECT DISTINCT date_trunc('hour', created_at) FROM raw)""", curate=False)
+
+ORACLE["attempts_by_hour"] = with_ingest(f"""
+SELECT user_id, {ts("date_trunc('hour', created_at)")} AS hour, CAST(COUNT(*) AS BIGINT) AS attempts
+FROM acc GROUP BY 1, 2""")

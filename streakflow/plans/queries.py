@@ -78,7 +78,8 @@ from streakflow.plans import ingest as ingest_plan  # noqa: E402
 from streakflow.sources import readers  # noqa: E402
 
 ORACLE_LIMITS = Limits(max_age_days=adapter.ORACLE_MAX_AGE_DAYS, rate_limit=adapter.ORACLE_RATE_LIMIT,
-                       duplicate_pattern_min=adapter.ORACLE_DUPLICATE_PATTERN)
+                       duplicate_pattern_min=adapter.ORACLE_DUPLICATE_PATTERN,
+                       midnight_minutes=adapter.ORACLE_MIDNIGHT_MINUTES)
 AS_OF_DATE = adapter.AS_OF[:10]
 LOADED_AT = "2024-01-31 01:00:00"
 
@@ -107,6 +108,7 @@ def _state(spark, sf_dir):
 VERDICT_COLS = ("row_id", "user_id", "status", "reason", "event_id", "original_event_id", "http_status")
 
 
+
 @query("ingest_verdicts")
 def q_ingest_verdicts(spark, sf_dir):
     """Verdict of every attempt (oracle limits)."""
@@ -266,3 +268,211 @@ def q_merge(spark, sf_dir):
     r = dedup.enrich(r, user_dim(spark, sf_dir))
     stg = readers.stage_partition(r, "2024-01-15", "2024-02-01 00:00:00")
     return finish(warehouse.merge_by_key(fact, stg).select(*schemas.FACT_BP_EVENTS.fieldNames()))
+
+
+# --- F6-F15 anomaly rules --------------------------------------------------------
+from streakflow.operators import quality, reconcile  # noqa: E402
+
+SPIKE_LIMITS = Limits(spike_factor=adapter.ORACLE_SPIKE_FACTOR)
+
+
+def _valid_attempts(spark, sf_dir):
+    v = validate.validation(adapter.payloads(adapted(spark, sf_dir)), adapter.AS_OF, ORACLE_LIMITS)
+    return v.where(F.col("reject_status").isNull())
+
+
+def _stored(spark, sf_dir):
+    acc = _accepted(spark, sf_dir)
+    return adapter.stored_state_with_faults(streaks.streaks(ingest_plan.daily_activity(acc)),
+                                            ingest_plan.point_balances(acc))
+
+
+def _streak_updates(spark, sf_dir):
+    """Streak values in update order: the timeline of the (faulty) daily
+    table, then the stored state as the latest write."""
+    tl = streaks.streak_timeline(adapter.daily_with_faults(_daily(spark, sf_dir)))
+    st = _stored(spark, sf_dir).where(F.col("current_streak").isNotNull())
+    return tl.select("user_id", F.col("activity_date").alias("updated_on"), F.col("streak").alias("current_streak")) \
+        .unionByName(st.select("user_id", F.date_add(F.lit(AS_OF_DATE).cast("date"), 1).alias("updated_on"),
+                               "current_streak"))
+
+
+@query("timezone_changes")
+def q_timezone_changes(spark, sf_dir):
+    """accepted events whose zone differs from the user's previous one."""
+    ch = anomaly.timezone_changes(_accepted(spark, sf_dir))
+    return finish(ch.select("user_id", "event_id", "created_at", "previous_timezone", "timezone"))
+
+
+@query("timezone_abuse_rule")
+def q_timezone_abuse(spark, sf_dir):
+    """F7 as a rule over the accepted log."""
+    t = anomaly.timezone_abuse(_accepted(spark, sf_dir), ORACLE_LIMITS)
+    return finish(t.where("tz_abuse").select("user_id", "event_id", "created_at", "timezone"))
+
+
+@query("rate_flag_rule")
+def q_rate_flag(spark, sf_dir):
+    """Valid attempts beyond the hourly limit."""
+    r = anomaly.rate_flag(_valid_attempts(spark, sf_dir), ORACLE_LIMITS, tie="row_id")
+    return r.where("rate_limited").select("row_id", "user_id", "attempts_last_hour")
+
+
+@query("streak_jumps")
+def q_streak_jumps(spark, sf_dir):
+    """updates that raise a streak by more than one."""
+    j = streaks.streak_jumps(_streak_updates(spark, sf_dir), order_col="updated_on")
+    return j.select("user_id", "updated_on", "previous_streak", "current_streak", "step")
+
+
+@query("midnight_exploit")
+def q_midnight(spark, sf_dir):
+    """late-night event in one zone, then just past midnight in another."""
+    acc = _accepted(spark, sf_dir)
+    m = anomaly.midnight_exploit(acc, ORACLE_LIMITS)
+    return finish(m.select("user_id", "event_id", "timezone", "previous_timezone", "local_ts", "previous_local_ts"))
+
+
+@query("points_spike")
+def q_points_spike(spark, sf_dir):
+    """hours with points above factor x the user's daily mean."""
+    s = anomaly.points_spike(_curated(spark, sf_dir).events, SPIKE_LIMITS)
+    return finish(s.select("user_id", "hour", "hour_points", "daily_avg"))
+
+
+@query("impossible_timestamps")
+def q_impossible(spark, sf_dir):
+    """attempts outside the 7-day / 24-hour window."""
+    v = _ingested(spark, sf_dir, Limits()).verdicts
+    return anomaly.impossible_timestamps(v).select("row_id", "user_id", "reason")
+
+
+@query("duplicate_keys")
+def q_duplicate_keys(spark, sf_dir):
+    """keys sent at least twice."""
+    d = anomaly.duplicate_keys(adapter.payloads(adapted(spark, sf_dir)), ORACLE_LIMITS)
+    return finish(d)
+
+
+@query("duplicate_share")
+def q_duplicate_share(spark, sf_dir):
+    """per user share of repeated keys."""
+    return finish(anomaly.duplicate_share(adapter.payloads(adapted(spark, sf_dir))))
+
+
+@query("anomaly_log")
+def q_anomaly_log(spark, sf_dir):
+    """all rule findings in one typed log."""
+    from streakflow.plans import nightly
+    return finish(nightly.anomaly_findings(
+        _valid_attempts(spark, sf_dir), _ingested(spark, sf_dir, Limits()).verdicts_detail,
+        _accepted(spark, sf_dir), _curated(spark, sf_dir).events, _streak_updates(spark, sf_dir),
+        adapter.payloads(adapted(spark, sf_dir)), ORACLE_LIMITS, SPIKE_LIMITS))
+
+
+@query("streak_audit")
+def q_streak_audit(spark, sf_dir):
+    """audit rows of every streak change."""
+    a = streaks.streak_audit(streaks.streak_timeline(_daily(spark, sf_dir)))
+    return finish(a.select("audit_id", "user_id", "action", F.col("old_value.current_streak").alias("old_streak"),
+                           F.col("new_value.current_streak").alias("new_streak"), "trigger", "timestamp", "ttl"))
+
+
+# --- D6-D13 reconciliation ---------------------------------------------------------
+
+def _recomputed(spark, sf_dir):
+    return streaks.streaks(_daily(spark, sf_dir))
+
+
+@query("streak_drift")
+def q_streak_drift(spark, sf_dir):
+    """D6 + D13: recomputed vs stored streaks, classified."""
+    d = reconcile.streak_drift(_recomputed(spark, sf_dir), _stored(spark, sf_dir))
+    return reconcile.classify_drift(d)
+
+
+@query("reconcile_points")
+def q_reconcile_points(spark, sf_dir):
+    """Log sum vs stored balance."""
+    return reconcile.reconcile_points(_accepted(spark, sf_dir), _stored(spark, sf_dir))
+
+
+@query("reconcile_streaks")
+def q_reconcile_streaks(spark, sf_dir):
+    """Stored streak fields vs recomputation from the faulty daily table."""
+    return reconcile.reconcile_streaks(adapter.daily_with_faults(_daily(spark, sf_dir)), _stored(spark, sf_dir))
+
+
+@query("missing_activity")
+def q_missing_activity(spark, sf_dir):
+    """User-days with events but no daily row."""
+    m = reconcile.missing_activity(_accepted(spark, sf_dir), adapter.daily_with_faults(_daily(spark, sf_dir)))
+    return finish(m)
+
+
+@query("orphan_activity")
+def q_orphan_activity(spark, sf_dir):
+    """Daily rows without events."""
+    o = reconcile.orphan_activity(adapter.daily_with_faults(_daily(spark, sf_dir)), _accepted(spark, sf_dir))
+    return finish(o)
+
+
+@query("snapshot_parity")
+def q_snapshot_parity(spark, sf_dir):
+    """Stored vs recomputed state, per user."""
+    rec = _recomputed(spark, sf_dir).join(ingest_plan.point_balances(_accepted(spark, sf_dir)), "user_id", "full")
+    return reconcile.snapshot_parity(_stored(spark, sf_dir), rec,
+                                     ["current_streak", "longest_streak", "total_bestie_points"])
+
+
+@query("correction_audit")
+def q_correction_audit(spark, sf_dir):
+    """Audit rows of the auto-fixed drift."""
+    d = reconcile.classify_drift(reconcile.streak_drift(_recomputed(spark, sf_dir), _stored(spark, sf_dir)))
+    a = reconcile.correction_audit(d, adapter.RECONCILE_AT)
+    return finish(a.select("audit_id", "user_id", "action", F.col("old_value.current_streak").alias("old_streak"),
+                           F.col("new_value.current_streak").alias("new_streak"), "trigger", "timestamp", "ttl"))
+
+
+# --- E10-E15 quality -------------------------------------------------------------
+
+@query("dq_checks")
+def q_dq_checks(spark, sf_dir):
+    """Schema, non-empty, key-unique, row-preserving, not-increasing."""
+    from streakflow import schemas
+    r = raw(spark, sf_dir)
+    c = _curated(spark, sf_dir)
+    clean = c.flagged.where(~F.col("is_anomalous"))
+    return quality.dq_checks(
+        quality.schema_check(c.summaries, "daily_summaries", schemas.DAILY_SUMMARY),
+        quality.non_empty(c.summaries, "daily_summaries"),
+        quality.key_unique(c.summaries, "daily_summaries", ["user_id", "event_date"]),
+        quality.key_unique(c.events, "bp_events", ["idempotency_key"]),
+        quality.row_preserving(clean, c.events, "bp_events"),
+        quality.not_increasing(r, c.flagged, "bp_events"),
+    )
+
+
+@query("ingest_error_rate")
+def q_error_rate(spark, sf_dir):
+    """Hourly share of unexpected errors."""
+    v = _ingested(spark, sf_dir).verdicts_detail
+    return finish(quality.ingest_error_rate(v, "1 hour", limits=ORACLE_LIMITS))
+
+
+@query("update_lag")
+def q_update_lag(spark, sf_dir):
+    """received_at - created_at per local day."""
+    return finish(quality.update_lag(_accepted(spark, sf_dir), "received_at", by="activity_date"))
+
+
+@query("partition_gaps")
+def q_partition_gaps(spark, sf_dir):
+    """Hours of January 2024 without raw events."""
+    return finish(quality.partition_gaps(raw(spark, sf_dir), "2024-01-01 00:00:00", "2024-02-01 00:00:00"))
+
+
+@query("attempts_by_hour")
+def q_attempts_by_hour(spark, sf_dir):
+    """Accepted attempts per user-hour."""
+    return finish(quality.attempts_by_hour(_accepted(spark, sf_dir)))

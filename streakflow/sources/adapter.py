@@ -36,11 +36,15 @@ UNKNOWN_USER_MOD, UNKNOWN_USER_REM = 25, 7
 SIGNUP_BASE = "2023-01-01"
 SIGNUP_SPREAD_DAYS = 365
 STREAK_FAULT_MOD = 11
+STREAK_JUMP_MOD, STREAK_JUMP_DELTA = 23, 3
 POINTS_FAULT_MOD, POINTS_FAULT_DELTA = 13, 5
 MISSING_DAY_MOD, MISSING_DAY = 17, "2024-01-10"
 ORPHAN_DAY_MOD, ORPHAN_DAY = 19, "2023-12-31"
 ORACLE_RATE_LIMIT = 2
 ORACLE_DUPLICATE_PATTERN = 2
+ORACLE_SPIKE_FACTOR = 2.0
+ORACLE_MIDNIGHT_MINUTES = 60
+RECONCILE_AT = "2024-01-31 02:00:00"
 ORACLE_MAX_AGE_DAYS = 40
 # ---------------------------------------------------------------------------
 
@@ -168,7 +172,9 @@ def stored_state_with_faults(streaks: DataFrame, balances: DataFrame) -> DataFra
     n = user_number("user_id")
     s = streaks.select(
         "user_id",
-        F.when(n % STREAK_FAULT_MOD == 0, F.col("current_streak") + 1).otherwise(F.col("current_streak")).alias("current_streak"),
+        F.when(n % STREAK_JUMP_MOD == 0, F.col("current_streak") + STREAK_JUMP_DELTA)
+        .when(n % STREAK_FAULT_MOD == 0, F.col("current_streak") + 1)
+        .otherwise(F.col("current_streak")).alias("current_streak"),
         "longest_streak", "last_activity_date", "version",
     )
     b = balances.select(
