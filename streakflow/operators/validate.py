@@ -18,7 +18,11 @@ from streakflow.functions import (
 from streakflow.functions.zones import zone_table
 
 
-def _ts_lit(as_of: str | dt.datetime) -> Column:
+def _ts_lit(as_of) -> Column:
+    """The clock of the window check: a fixed instant, or a column (e.g.
+    the arrival time on a stream)."""
+    if isinstance(as_of, Column):
+        return as_of.cast("timestamp")
     return F.lit(str(as_of)).cast("timestamp")
 
 
@@ -76,10 +80,8 @@ def validation(df: DataFrame, as_of, limits: Limits = DEFAULT_LIMITS) -> DataFra
     zones = F.broadcast(zone_table(df.sparkSession))
     j = df.join(zones, df["timezone"] == zones["zone_name"], "left")
     parsed = parse_client_ts("client_timestamp")
-    j = (j.withColumn("created_at", parsed)
-          .withColumn("zone_ok", F.col("zone_name").isNotNull())
-          .withColumn("zone", F.coalesce(F.col("jvm_zone"), F.lit("UTC")))
-          .drop("zone_name", "jvm_zone"))
+    j = j.withColumns({"created_at": parsed, "zone_ok": F.col("zone_name").isNotNull(),
+                       "zone": F.coalesce(F.col("jvm_zone"), F.lit("UTC"))}).drop("zone_name", "jvm_zone")
     ts_ = F.col("created_at")
     reason = F.coalesce(
         *[F.when(F.col(f).isNull(), F.lit(f"Missing required field: {f}")) for f in REQUIRED_FIELDS],
@@ -95,8 +97,8 @@ def validation(df: DataFrame, as_of, limits: Limits = DEFAULT_LIMITS) -> DataFra
     status = (F.when(F.col("reject_reason").isNull(), F.lit(None).cast("string"))
                .when(F.col("reject_reason") == "timestamp_without_offset", F.lit("error"))
                .otherwise(F.lit("validation_error")))
-    return (j.withColumn("reject_status", status)
-             .withColumn("activity_date", F.when(ts_.isNotNull(), local_date(ts_, F.col("zone")))))
+    return j.withColumns({"reject_status": status,
+                          "activity_date": F.when(ts_.isNotNull(), local_date(ts_, F.col("zone")))})
 
 
 def award(df: DataFrame, points: dict[str, int] | None = None) -> DataFrame:

@@ -44,17 +44,17 @@ def trailing_sum(df: DataFrame, keys: Sequence[str], ts: str, tie: str, width_us
     keys = list(keys)
     bucket_us = -(-width_us // splits)
     val = F.lit(1) if value is None else value
-    u = (df.withColumn("_t", _micros(ts))
-           .withColumn("_v", F.coalesce(val.cast("long"), F.lit(0).cast("long")))
-           .withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(splits))))
-           .withColumn("_b", F.floor(F.col("_t") / F.lit(bucket_us)).cast("long") + F.col("_k"))
-           .withColumn("_own", F.col("_k") == 0))
+    t = _micros(ts)
+    u = df.select("*", t.alias("_t"), F.coalesce(val.cast("long"), F.lit(0).cast("long")).alias("_v"),
+                  F.floor(t / F.lit(bucket_us)).cast("long").alias("_b0"),
+                  F.explode(F.sequence(F.lit(0), F.lit(splits))).alias("_k"))
+    u = u.withColumns({"_b": F.col("_b0") + F.col("_k"), "_own": F.col("_k") == 0})
     frame = Window.partitionBy(*keys, "_b").orderBy("_t").rangeBetween(-(width_us - 1), 0)
     peers_after = Window.partitionBy(*keys, "_b", "_t").orderBy(tie).rowsBetween(1, Window.unboundedFollowing)
     total = F.sum("_v").over(frame) - F.coalesce(F.sum("_v").over(peers_after), F.lit(0))
     if not include_current:
         total = total - F.col("_v")
-    return u.withColumn(out, total).where("_own").drop("_t", "_v", "_k", "_b", "_own")
+    return u.withColumn(out, total).where("_own").drop("_t", "_v", "_k", "_b0", "_b", "_own")
 
 
 def previous_value(df: DataFrame, keys: Sequence[str], ts: str, tie: str, value: str,
@@ -65,8 +65,8 @@ def previous_value(df: DataFrame, keys: Sequence[str], ts: str, tie: str, value:
     keys = list(keys)
     out = out or f"prev_{value}"
     cond = F.lit(True) if where is None else where
-    rows = (df.withColumn("_b", F.floor(_micros(ts) / F.lit(bucket_us)).cast("long"))
-              .withColumn("_pv", F.when(cond, F.struct(F.col(value).alias("v")))))
+    rows = df.withColumns({"_b": F.floor(_micros(ts) / F.lit(bucket_us)).cast("long"),
+                           "_pv": F.when(cond, F.struct(F.col(value).alias("v")))})
     # last qualifying row per (key, bucket), for every bucket that has rows:
     # a partial aggregate, hot keys combine map-side
     last = rows.groupBy(*keys, "_b").agg(
@@ -81,3 +81,22 @@ def previous_value(df: DataFrame, keys: Sequence[str], ts: str, tie: str, value:
     return (rows.join(carried, [*keys, "_b"], "left")
                 .withColumn(out, F.coalesce(before, F.col("_carry"))["v"])
                 .drop("_b", "_pv", "_carry"))
+
+
+def running_sum(df: DataFrame, keys: Sequence[str], ts: str, tie: str, value: Column, out: str,
+                bucket_us: int = DAY_US) -> DataFrame:
+    """Add ``out`` = running sum of ``value`` per key in (ts, tie) order,
+    current row included: per-bucket totals (partial aggregate), their
+    prefix over the small per-bucket table, plus the running sum inside the
+    bucket."""
+    keys = list(keys)
+    rows = df.withColumns({"_b": F.floor(_micros(ts) / F.lit(bucket_us)).cast("long"),
+                           "_rv": F.coalesce(value.cast("long"), F.lit(0).cast("long"))})
+    per_bucket = rows.groupBy(*keys, "_b").agg(F.sum("_rv").alias("_bs"))
+    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_bucket.select(*keys, "_b", F.coalesce(F.sum("_bs").over(before), F.lit(0)).alias("_off"))
+    within = (Window.partitionBy(*keys, "_b").orderBy(F.col(ts), F.col(tie))
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return (rows.join(offsets, [*keys, "_b"], "left")
+                .withColumn(out, (F.col("_off") + F.sum("_rv").over(within)).cast("long"))
+                .drop("_b", "_rv", "_off"))

@@ -63,10 +63,9 @@ def classify(payloads: DataFrame, as_of, limits: Limits = DEFAULT_LIMITS,
     else:
         j = j.withColumn("_hist_id", F.lit(None).cast("string"))
     dup = F.col("_passed") & ((F.col(order_col) != F.col(f"_first.{order_col}")) | F.col("_hist_id").isNotNull())
-    j = (j.withColumn("_dup", dup)
-          .withColumn("original_event_id", F.when(F.col("_dup"), F.coalesce(
-              F.col("_hist_id"), event_id_from_key(F.col("_first.created_at"), F.col("idempotency_key")))))
-          .drop("_first", "_hist_id"))
+    orig = F.when(dup, F.coalesce(F.col("_hist_id"),
+                                  event_id_from_key(F.col("_first.created_at"), F.col("idempotency_key"))))
+    j = j.withColumns({"_dup": dup, "original_event_id": orig}).drop("_first", "_hist_id")
 
     # timezone abuse among first attempts (F7, rule form)
     tz = anomaly.timezone_abuse(j, limits, ts="created_at", tie=order_col, zone="timezone",
@@ -79,16 +78,16 @@ def classify(payloads: DataFrame, as_of, limits: Limits = DEFAULT_LIMITS,
         F.lit("processed"))
     reasons = F.create_map(*[F.lit(x) for kv in REASONS.items() for x in kv])
     codes = F.create_map(*[F.lit(x) for kv in STATUS_CODES.items() for x in kv])
+    staged = tz.withColumn("status", status)
     processed = F.col("status") == "processed"
-    return (tz.withColumn("status", status)
-              .withColumn("reason", F.coalesce(F.col("reject_reason"), F.element_at(reasons, F.col("status"))))
-              .withColumn("http_status", F.element_at(codes, F.col("status")).cast("int"))
-              .withColumn("event_id", F.when(processed, event_id_from_key("created_at", "idempotency_key")))
-              .withColumn("points_awarded", F.when(processed, award_points("event_type")))
-              .withColumn("source", F.when(processed, F.coalesce(F.col("source"), F.lit("unknown")))
-                          .otherwise(F.col("source")))
-              .withColumn("ttl", F.when(processed, F.unix_timestamp("created_at")
-                                        + F.lit(limits.event_ttl_days * 86400))))
+    return staged.withColumns({
+        "reason": F.coalesce(F.col("reject_reason"), F.element_at(reasons, F.col("status"))),
+        "http_status": F.element_at(codes, F.col("status")).cast("int"),
+        "event_id": F.when(processed, event_id_from_key("created_at", "idempotency_key")),
+        "points_awarded": F.when(processed, award_points("event_type")),
+        "source": F.when(processed, F.coalesce(F.col("source"), F.lit("unknown"))).otherwise(F.col("source")),
+        "ttl": F.when(processed, F.unix_timestamp("created_at") + F.lit(limits.event_ttl_days * 86400)),
+    })
 
 
 VERDICT_COLUMNS = ("user_id", "status", "reason", "event_id", "original_event_id", "http_status")

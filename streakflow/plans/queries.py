@@ -96,9 +96,9 @@ def _daily(spark, sf_dir):
     return ingest_plan.daily_activity(_accepted(spark, sf_dir))
 
 
-def _state(spark, sf_dir):
+def _state(spark, sf_dir, acc=None):
     """User streak state: F2 streaks + E3 balances + country shard."""
-    acc = _accepted(spark, sf_dir)
+    acc = acc if acc is not None else _accepted(spark, sf_dir)
     s = streaks.streaks(ingest_plan.daily_activity(acc), AS_OF_DATE)
     b = ingest_plan.point_balances(acc)
     d = user_dim(spark, sf_dir).select("user_id", "country")
@@ -281,17 +281,18 @@ def _valid_attempts(spark, sf_dir):
     return v.where(F.col("reject_status").isNull())
 
 
-def _stored(spark, sf_dir):
-    acc = _accepted(spark, sf_dir)
+def _stored(spark, sf_dir, acc=None):
+    acc = acc if acc is not None else _accepted(spark, sf_dir)
     return adapter.stored_state_with_faults(streaks.streaks(ingest_plan.daily_activity(acc)),
                                             ingest_plan.point_balances(acc))
 
 
-def _streak_updates(spark, sf_dir):
+def _streak_updates(spark, sf_dir, acc=None):
     """Streak values in update order: the timeline of the (faulty) daily
     table, then the stored state as the latest write."""
-    tl = streaks.streak_timeline(adapter.daily_with_faults(_daily(spark, sf_dir)))
-    st = _stored(spark, sf_dir).where(F.col("current_streak").isNotNull())
+    acc = acc if acc is not None else _accepted(spark, sf_dir)
+    tl = streaks.streak_timeline(adapter.daily_with_faults(ingest_plan.daily_activity(acc)))
+    st = _stored(spark, sf_dir, acc).where(F.col("current_streak").isNotNull())
     return tl.select("user_id", F.col("activity_date").alias("updated_on"), F.col("streak").alias("current_streak")) \
         .unionByName(st.select("user_id", F.date_add(F.lit(AS_OF_DATE).cast("date"), 1).alias("updated_on"),
                                "current_streak"))
@@ -364,9 +365,10 @@ def q_duplicate_share(spark, sf_dir):
 def q_anomaly_log(spark, sf_dir):
     """all rule findings in one typed log."""
     from streakflow.plans import nightly
+    acc = _accepted(spark, sf_dir)
     return finish(nightly.anomaly_findings(
         _valid_attempts(spark, sf_dir), _ingested(spark, sf_dir, Limits()).verdicts_detail,
-        _accepted(spark, sf_dir), _curated(spark, sf_dir).events, _streak_updates(spark, sf_dir),
+        acc, _curated(spark, sf_dir).events, _streak_updates(spark, sf_dir, acc),
         adapter.payloads(adapted(spark, sf_dir)), ORACLE_LIMITS, SPIKE_LIMITS))
 
 
@@ -380,55 +382,64 @@ def q_streak_audit(spark, sf_dir):
 
 # --- D6-D13 reconciliation ---------------------------------------------------------
 
-def _recomputed(spark, sf_dir):
-    return streaks.streaks(_daily(spark, sf_dir))
+def _recomputed(spark, sf_dir, acc=None):
+    acc = acc if acc is not None else _accepted(spark, sf_dir)
+    return streaks.streaks(ingest_plan.daily_activity(acc))
 
 
 @query("streak_drift")
 def q_streak_drift(spark, sf_dir):
     """D6 + D13: recomputed vs stored streaks, classified."""
-    d = reconcile.streak_drift(_recomputed(spark, sf_dir), _stored(spark, sf_dir))
+    acc = _accepted(spark, sf_dir)
+    d = reconcile.streak_drift(_recomputed(spark, sf_dir, acc), _stored(spark, sf_dir, acc))
     return reconcile.classify_drift(d)
 
 
 @query("reconcile_points")
 def q_reconcile_points(spark, sf_dir):
     """Log sum vs stored balance."""
-    return reconcile.reconcile_points(_accepted(spark, sf_dir), _stored(spark, sf_dir))
+    acc = _accepted(spark, sf_dir)
+    return reconcile.reconcile_points(acc, _stored(spark, sf_dir, acc))
 
 
 @query("reconcile_streaks")
 def q_reconcile_streaks(spark, sf_dir):
     """Stored streak fields vs recomputation from the faulty daily table."""
-    return reconcile.reconcile_streaks(adapter.daily_with_faults(_daily(spark, sf_dir)), _stored(spark, sf_dir))
+    acc = _accepted(spark, sf_dir)
+    daily = ingest_plan.daily_activity(acc)
+    return reconcile.reconcile_streaks(adapter.daily_with_faults(daily), _stored(spark, sf_dir, acc))
 
 
 @query("missing_activity")
 def q_missing_activity(spark, sf_dir):
     """User-days with events but no daily row."""
-    m = reconcile.missing_activity(_accepted(spark, sf_dir), adapter.daily_with_faults(_daily(spark, sf_dir)))
+    acc = _accepted(spark, sf_dir)
+    m = reconcile.missing_activity(acc, adapter.daily_with_faults(ingest_plan.daily_activity(acc)))
     return finish(m)
 
 
 @query("orphan_activity")
 def q_orphan_activity(spark, sf_dir):
     """Daily rows without events."""
-    o = reconcile.orphan_activity(adapter.daily_with_faults(_daily(spark, sf_dir)), _accepted(spark, sf_dir))
+    acc = _accepted(spark, sf_dir)
+    o = reconcile.orphan_activity(adapter.daily_with_faults(ingest_plan.daily_activity(acc)), acc)
     return finish(o)
 
 
 @query("snapshot_parity")
 def q_snapshot_parity(spark, sf_dir):
     """Stored vs recomputed state, per user."""
-    rec = _recomputed(spark, sf_dir).join(ingest_plan.point_balances(_accepted(spark, sf_dir)), "user_id", "full")
-    return reconcile.snapshot_parity(_stored(spark, sf_dir), rec,
+    acc = _accepted(spark, sf_dir)
+    rec = _recomputed(spark, sf_dir, acc).join(ingest_plan.point_balances(acc), "user_id", "full")
+    return reconcile.snapshot_parity(_stored(spark, sf_dir, acc), rec,
                                      ["current_streak", "longest_streak", "total_bestie_points"])
 
 
 @query("correction_audit")
 def q_correction_audit(spark, sf_dir):
     """Audit rows of the auto-fixed drift."""
-    d = reconcile.classify_drift(reconcile.streak_drift(_recomputed(spark, sf_dir), _stored(spark, sf_dir)))
+    acc = _accepted(spark, sf_dir)
+    d = reconcile.classify_drift(reconcile.streak_drift(_recomputed(spark, sf_dir, acc), _stored(spark, sf_dir, acc)))
     a = reconcile.correction_audit(d, adapter.RECONCILE_AT)
     return finish(a.select("audit_id", "user_id", "action", F.col("old_value.current_streak").alias("old_streak"),
                            F.col("new_value.current_streak").alias("new_streak"), "trigger", "timestamp", "ttl"))
