@@ -589,3 +589,24 @@ WHERE h NOT IN (SELECT DISTINCT date_trunc('hour', created_at) FROM raw)""", cur
 ORACLE["attempts_by_hour"] = with_ingest(f"""
 SELECT user_id, {ts("date_trunc('hour', created_at)")} AS hour, CAST(COUNT(*) AS BIGINT) AS attempts
 FROM acc GROUP BY 1, 2""")
+
+
+ORACLE["new_partitions"] = with_ctes("""
+SELECT DISTINCT CAST(year(created_at) AS INTEGER) AS year, CAST(month(created_at) AS INTEGER) AS month,
+       CAST(day(created_at) AS INTEGER) AS day, CAST(hour(created_at) AS INTEGER) AS hour
+FROM raw WHERE day(created_at) >= 15""", curate=False)
+
+ORACLE["drop_seen"] = with_ctes(f"""
+SELECT idempotency_key, event_id, TRY_CAST(points_awarded AS INTEGER) AS points_awarded, {ts('created_at')} AS created_at
+FROM kept WHERE CAST(created_at AS DATE) = DATE '2024-01-15'
+  AND idempotency_key NOT IN (SELECT idempotency_key FROM enriched WHERE idempotency_key IS NOT NULL)""")
+
+ORACLE["first_writer_wins"] = with_ctes("""
+SELECT idempotency_key, event_id, event_id <> first_id AS is_duplicate,
+       CASE WHEN event_id <> first_id THEN first_id END AS original_event_id
+FROM (SELECT *, first_value(event_id) OVER (PARTITION BY idempotency_key ORDER BY created_at, event_id) AS first_id
+      FROM kept)""")
+
+ORACLE["live_events"] = with_ingest(f"""
+SELECT user_id, event_id, ttl, {ts('created_at')} AS created_at FROM acc
+WHERE ttl > CAST(epoch(TIMESTAMP '2024-04-15 00:00:00') AS BIGINT)""")

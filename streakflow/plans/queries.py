@@ -487,3 +487,41 @@ def q_partition_gaps(spark, sf_dir):
 def q_attempts_by_hour(spark, sf_dir):
     """Accepted attempts per user-hour."""
     return finish(quality.attempts_by_hour(_accepted(spark, sf_dir)))
+
+
+# --- remaining scans, joins and filters -------------------------------------------
+from streakflow.sources import sinks  # noqa: E402
+
+LIVE_AS_OF = "2024-04-15 00:00:00"
+
+
+@query("new_partitions")
+def q_new_partitions(spark, sf_dir):
+    """Raw hour partitions not in the processing ledger (ledger = the
+    hours of the first two weeks, derived from the same raw rows)."""
+    present = readers.hour_partitions(sinks.with_hour_partitions(raw(spark, sf_dir)))
+    ledger = present.where(F.col("day") < 15)
+    return readers.new_partitions(present, ledger)
+
+
+@query("drop_seen")
+def q_drop_seen(spark, sf_dir):
+    """Raw rows of one day whose key is not yet in the curated log."""
+    r = validate.enforce_types(validate.drop_null_keys(raw(spark, sf_dir)))
+    batch = r.where(F.col("event_date") == F.lit("2024-01-15").cast("date"))
+    return finish(dedup.drop_seen(batch, _curated(spark, sf_dir).events).select(
+        "idempotency_key", "event_id", "points_awarded", "created_at"))
+
+
+@query("first_writer_wins")
+def q_first_writer_wins(spark, sf_dir):
+    """D3 on the raw rows: duplicates and the id of their original."""
+    r = validate.drop_null_keys(raw(spark, sf_dir))
+    return dedup.first_writer_wins(r).select("idempotency_key", "event_id", "is_duplicate", "original_event_id")
+
+
+@query("live_events")
+def q_live_events(spark, sf_dir):
+    """Accepted events not yet expired on a later day."""
+    return finish(validate.live_events(_accepted(spark, sf_dir), LIVE_AS_OF).select(
+        "user_id", "event_id", "ttl", "created_at"))
