@@ -133,16 +133,30 @@ def rate_segments(valid: DataFrame, limits: Limits = DEFAULT_LIMITS, ts: str = "
 
 def rate_limit_exact(valid: DataFrame, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
     """The reference's limiter, attempt by attempt. Input: valid
-    attempts (row_id, user_id, created_at). Output adds ``allowed``."""
-    seg = rate_segments(valid.select("row_id", "user_id", "created_at"), limits)
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = _sorted(pdf)
-        st = UserState()
-        allowed = [rate_step(st, int(pd.Timestamp(t).value // 1000), limits) for t in pdf["created_at"]]
-        return pd.DataFrame({"row_id": pdf["row_id"].to_numpy(), "allowed": allowed})
+    attempts (row_id, user_id, created_at). Output adds ``allowed``.
 
-    decided = seg.groupBy("user_id", "segment").applyInPandas(fold, "row_id long, allowed boolean")
+    Segments are hash-partitioned (different segments of one busy user go
+    to different tasks) and sorted; ``mapInPandas`` then streams each
+    partition in Arrow batches, carrying the O(1) counter across batch
+    boundaries and resetting it at every new (user, segment). No group is
+    ever materialised whole."""
+    seg = rate_segments(valid.select("row_id", "user_id", "created_at"), limits)
+    ordered = (seg.repartition("user_id", "segment")
+                  .sortWithinPartitions("user_id", "segment", "created_at", "row_id"))
+
+    def run(batches):
+        current, st = None, None
+        for pdf in batches:
+            micros = pdf["created_at"].astype("datetime64[us]").astype("int64").to_numpy()
+            users, segs = pdf["user_id"].to_numpy(), pdf["segment"].to_numpy()
+            allowed = []
+            for u, g, t in zip(users, segs, micros):
+                if current != (u, g):
+                    current, st = (u, g), UserState()
+                allowed.append(rate_step(st, int(t), limits))
+            yield pd.DataFrame({"row_id": pdf["row_id"].to_numpy(), "allowed": allowed})
+
+    decided = ordered.mapInPandas(run, "row_id long, allowed boolean")
     return valid.join(decided, "row_id")
 
 

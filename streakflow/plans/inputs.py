@@ -18,9 +18,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Small inputs come as one or two Parquet splits, which would run all
+    row-level work (parsing, formatting, validation) in as many tasks. When
+    the scan has fewer partitions than the cluster has cores, spread the rows
+    round-robin; a large scan is already parallel and is left alone (the
+    partition count is known at planning time, no job runs)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def adapted(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    return adapter.adapt_events(table(spark, sf_dir, "events"))
+    return adapter.adapt_events(spread(table(spark, sf_dir, "events")))
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:

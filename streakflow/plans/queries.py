@@ -344,8 +344,9 @@ def q_points_spike(spark, sf_dir):
 @query("impossible_timestamps")
 def q_impossible(spark, sf_dir):
     """attempts outside the 7-day / 24-hour window."""
-    v = _ingested(spark, sf_dir, Limits()).verdicts
-    return anomaly.impossible_timestamps(v).select("row_id", "user_id", "reason")
+    v = validate.validation(adapter.payloads(adapted(spark, sf_dir)), adapter.AS_OF, Limits())
+    return anomaly.impossible_timestamps(v.withColumn("reason", F.col("reject_reason"))).select(
+        "row_id", "user_id", "reason")
 
 
 @query("duplicate_keys")
@@ -366,8 +367,9 @@ def q_anomaly_log(spark, sf_dir):
     """all rule findings in one typed log."""
     from streakflow.plans import nightly
     acc = _accepted(spark, sf_dir)
+    checked = validate.validation(adapter.payloads(adapted(spark, sf_dir)), adapter.AS_OF, Limits())
     return finish(nightly.anomaly_findings(
-        _valid_attempts(spark, sf_dir), _ingested(spark, sf_dir, Limits()).verdicts_detail,
+        _valid_attempts(spark, sf_dir), checked.withColumn("reason", F.col("reject_reason")),
         acc, _curated(spark, sf_dir).events, _streak_updates(spark, sf_dir, acc),
         adapter.payloads(adapted(spark, sf_dir)), ORACLE_LIMITS, SPIKE_LIMITS))
 
@@ -525,3 +527,11 @@ def q_live_events(spark, sf_dir):
     """Accepted events not yet expired on a later day."""
     return finish(validate.live_events(_accepted(spark, sf_dir), LIVE_AS_OF).select(
         "user_id", "event_id", "ttl", "created_at"))
+
+
+@query("rate_limit_exact")
+def q_rate_limit_exact(spark, sf_dir):
+    """The reference's limiter attempt by attempt (no SQL twin: a fold)."""
+    from streakflow.operators import sequential
+    v = _valid_attempts(spark, sf_dir).select("row_id", "user_id", "created_at")
+    return finish(sequential.rate_limit_exact(v, ORACLE_LIMITS))
