@@ -3,8 +3,9 @@
 Runs each query on the driver tables at $BENCH_SF_DIR (default
 /root/testdata/sf0.1) with local[$BENCH_CPUS] (default 8): one warm-up pass,
 then $BENCH_REPS passes (default 3); a query's time is the median wall time
-of a full execution into the ``noop`` sink (no driver collect). Prints one
-JSON line.
+of a full execution into the ``noop`` sink (no driver collect). With
+$BENCH_REPLICATE=k the event log is k disjoint copies (k times the users and
+events). Prints one JSON line.
 """
 from __future__ import annotations
 
@@ -73,7 +74,9 @@ def main() -> None:
     reps = int(os.environ.get("BENCH_REPS", "3"))
     scratch = tempfile.mkdtemp(prefix="streakflow-bench-")
     os.environ.setdefault("STREAKFLOW_SCRATCH", scratch)
-    spark = local_session(cpus, app="streakflow-bench", shuffle_partitions=max(8, 2 * int(cpus)))
+    copies = int(os.environ.get("BENCH_REPLICATE", "1"))
+    spark = local_session(cpus, app="streakflow-bench", shuffle_partitions=max(8, 2 * int(cpus)),
+                          extra={"streakflow.bench.replicate": str(copies)})
     jobs = headline(spark, sf_dir, scratch)
     times: dict[str, list[float]] = {k: [] for k in jobs}
     for rep in range(reps + 1):
@@ -86,7 +89,8 @@ def main() -> None:
     medians = {k: round(statistics.median(v), 3) for k, v in times.items()}
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "headline_queries_total_median", "value": round(sum(medians.values()), 3),
-                      "unit": "sec", "queries": medians, "sf": sf, "cpus": int(cpus), "reps": reps}))
+                      "unit": "sec", "queries": medians, "sf": sf, "cpus": int(cpus), "reps": reps,
+                      "replicate": copies}))
 
 
 if __name__ == "__main__":

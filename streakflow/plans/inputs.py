@@ -30,9 +30,29 @@ def spread(df: DataFrame) -> DataFrame:
     return df
 
 
+REPLICATE_CONF = "streakflow.bench.replicate"
+
+
+def replicate(events: DataFrame, copies: int) -> DataFrame:
+    """Scaling runs: ``copies`` disjoint copies of the event log, each a new
+    population of users (ids shifted), so per-user density stays as in the
+    data while the volume and the user count grow. ``explode`` of a range,
+    no join."""
+    if copies <= 1:
+        return events
+    users, ids = 1_000_000_000, 1_000_000_000  # id offsets per copy (ids stay within 12 digits)
+    k = F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("_copy")
+    return (events.select("*", k)
+                  .withColumns({"user_id": F.col("user_id") + F.col("_copy") * users,
+                                "event_id": F.col("event_id") + F.col("_copy") * ids})
+                  .drop("_copy"))
+
+
 def adapted(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    return adapter.adapt_events(spread(table(spark, sf_dir, "events")))
+    events = table(spark, sf_dir, "events")
+    copies = int(spark.conf.get(REPLICATE_CONF, "1"))
+    return adapter.adapt_events(spread(replicate(events, copies)))
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -97,3 +97,39 @@ def test_daily_upsert_idempotent(spark, six_users, scratch):
     cols = ["user_id", "activity_date", "first_event_id", "events_count", "points_earned"]
     assert got.select(*cols).exceptAll(expected.select(*cols)).count() == 0
     assert expected.select(*cols).exceptAll(got.select(*cols)).count() == 0
+
+
+def test_land_raw_then_read_raw(spark, scratch):
+    from streakflow.plans.inputs import raw
+    from streakflow.sources import sinks
+    r = raw(spark, "/root/testdata/sf0.001")
+    src = os.path.join(scratch, "incoming")
+    r.coalesce(2).write.parquet(src)
+    stream = spark.readStream.schema(r.schema).parquet(src)
+    lake = os.path.join(scratch, "lake")
+    q = sinks.land_raw(stream, lake, os.path.join(scratch, "land_ckpt"), available_now=True)
+    q.awaitTermination(600)
+    back = readers.read_raw(spark, lake).select(*r.columns)
+    assert back.exceptAll(r).count() == 0 and r.exceptAll(back).count() == 0
+    one_hour = readers.read_raw(spark, lake, since="2024-01-03 05:00:00", until="2024-01-03 06:00:00")
+    assert one_hour.count() == r.where("created_at >= '2024-01-03 05:00:00' and created_at < '2024-01-03 06:00:00'").count()
+
+
+def test_windowed_monitors(spark, six_users, scratch):
+    v = ingest.ingest_batch(six_users, AS_OF, Limits()).verdicts_detail
+    src = os.path.join(scratch, "verdicts")
+    v.coalesce(1).write.parquet(src)
+    stream = spark.readStream.schema(v.schema).parquet(src)
+    got = _collect(jobs.error_rate_stream(stream, "1 hour", "0 seconds"), scratch, "err", mode="append")
+    batch = v.groupBy(F.window("received_at", "1 hour").alias("w")).agg(F.count("*").alias("attempts"))
+    last_end = v.agg(F.max("received_at")).collect()[0][0]
+    finished = batch.where(F.col("w.end") <= F.lit(last_end)).select(F.col("w.start").alias("window_start"), "attempts")
+    assert got.select("window_start", "attempts").exceptAll(finished).count() == 0
+    assert finished.exceptAll(got.select("window_start", "attempts")).count() == 0
+
+    attempts = v.where("status <> 'validation_error'").select("user_id", "created_at")
+    src2 = os.path.join(scratch, "attempts")
+    attempts.coalesce(1).write.parquet(src2)
+    s2 = spark.readStream.schema(attempts.schema).parquet(src2)
+    flagged = _collect(jobs.rate_monitor_stream(s2, Limits(), "5 minutes", "0 seconds"), scratch, "rate", mode="append")
+    assert {r["user_id"] for r in flagged.collect()} <= {"usr_frank"}
