@@ -49,12 +49,21 @@ def trailing_sum(df: DataFrame, keys: Sequence[str], ts: str, tie: str, width_us
                   F.floor(t / F.lit(bucket_us)).cast("long").alias("_b0"),
                   F.explode(F.sequence(F.lit(0), F.lit(splits))).alias("_k"))
     u = u.withColumns({"_b": F.col("_b0") + F.col("_k"), "_own": F.col("_k") == 0})
-    frame = Window.partitionBy(*keys, "_b").orderBy("_t").rangeBetween(-(width_us - 1), 0)
-    peers_after = Window.partitionBy(*keys, "_b", "_t").orderBy(tie).rowsBetween(1, Window.unboundedFollowing)
-    total = F.sum("_v").over(frame) - F.coalesce(F.sum("_v").over(peers_after), F.lit(0))
+    # One sort serves all frames: rows ordered by (t, tie) also satisfy the
+    # ordering by t of the range frames, so the (t, tie) window runs first.
+    # Rows of equal t that come after the current one in tie order are
+    # removed with two running sums: up to the row (rows frame) and up to
+    # its last peer (range frame).
+    part = Window.partitionBy(*keys, "_b")
+    upto_row = part.orderBy("_t", tie).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    u = u.withColumn("_run", F.sum("_v").over(upto_row))
+    by_t = part.orderBy("_t")
+    upto_peer = F.sum("_v").over(by_t.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    frame = F.sum("_v").over(by_t.rangeBetween(-(width_us - 1), Window.currentRow))
+    total = frame - (upto_peer - F.col("_run"))
     if not include_current:
         total = total - F.col("_v")
-    return u.withColumn(out, total).where("_own").drop("_t", "_v", "_k", "_b0", "_b", "_own")
+    return u.withColumn(out, total).where("_own").drop("_t", "_v", "_k", "_b0", "_b", "_own", "_run")
 
 
 def previous_value(df: DataFrame, keys: Sequence[str], ts: str, tie: str, value: str,

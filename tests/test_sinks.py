@@ -69,3 +69,27 @@ def test_read_raw_hour_pruning_and_new_partitions(spark, scratch):
     ledger = present.where("day < 5")
     new = readers.new_partitions(present, ledger)
     assert new.where("day < 5").count() == 0 and new.count() == present.count() - ledger.count()
+
+
+def test_scan_pushdown_and_pruning(spark, scratch):
+    import contextlib
+    import io
+
+    from streakflow.operators import validate
+    from streakflow.plans import queries as Q
+    path = os.path.join(scratch, "raw")
+    sinks.with_hour_partitions(raw(spark, SF)).write.partitionBy("year", "month", "day", "hour").parquet(path)
+    df = validate.drop_null_keys(readers.read_raw(spark, path, since="2024-01-05 00:00:00")) \
+        .select("user_id", "event_type", "created_at")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    plan = buf.getvalue()
+    assert "PushedFilters: [IsNotNull(event_type), IsNotNull(user_id)]" in plan
+    assert "ReadSchema: struct<user_id:string,event_type:string,created_at:timestamp>" in plan
+    assert "2024010500" in plan  # hour bound as a partition filter
+    lb = Q.QUERIES["leaderboard_by_country"](spark, SF)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        lb.explain("formatted")
+    assert buf.getvalue().count("WindowGroupLimit") >= 2  # partial limit before the shuffle
