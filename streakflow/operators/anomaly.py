@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from streakflow.config import DEFAULT_LIMITS, Limits
 from streakflow.functions.timefns import local_time
-from streakflow.operators.windows import DAY_US, HOUR_US, previous_value, trailing_sum
+from streakflow.operators.windows import HOUR_US, previous_value, trailing_sum
 
 
 def timezone_changes(events: DataFrame, ts: str = "created_at", tie: str = "event_id",

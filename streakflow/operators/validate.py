@@ -6,8 +6,6 @@ failing check in the reference's order is the one reported.
 """
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from streakflow.config import DEFAULT_LIMITS, DEFAULT_SOURCE, REQUIRED_FIELDS, VALID_EVENT_TYPES, Limits

@@ -41,7 +41,7 @@ def replicate(events: DataFrame, copies: int) -> DataFrame:
     if copies <= 1:
         return events
     users, ids = 1_000_000_000, 1_000_000_000  # id offsets per copy (ids stay within 12 digits)
-    k = F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("_copy")
+    k = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(copies - 1).cast("bigint"))).alias("_copy")
     return (events.select("*", k)
                   .withColumns({"user_id": F.col("user_id") + F.col("_copy") * users,
                                 "event_id": F.col("event_id") + F.col("_copy") * ids})

@@ -7,7 +7,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from streakflow.config import DEFAULT_LIMITS
 from streakflow.operators import dedup, rollups, validate
 from streakflow.plans import curate as curate_plan
 from streakflow.plans.inputs import adapted, finish, raw, user_dim

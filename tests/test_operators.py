@@ -223,3 +223,30 @@ def test_exact_limiter_matches_brute_force_on_driver_data(spark):
         for rid, t in zip(g["row_id"], g["created_at"]):
             want[rid] = sequential.rate_step(st, int(pd.Timestamp(t).value // 1000), limits)
     assert got == want and sum(not x for x in want.values()) > 0
+
+
+def test_hot_user_spread_over_tasks(spark):
+    """One user holds a third of the rows: after the bucketed trailing window
+    no single partition holds that user's whole history."""
+    n = 30000
+    df = spark.range(n).select(
+        F.col("id").alias("rid"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("u"), (F.col("id") % 997).cast("string")))
+        .alias("user_id"),
+        (F.lit("2024-01-01").cast("timestamp") + F.make_interval(secs=(F.col("id") * 37 % (30 * 86400)).cast("int")))
+        .alias("created_at"))
+    # AQE would merge this small shuffle into one partition; measure the hash layout itself
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    out = trailing_sum(df, ["user_id"], "created_at", "rid", 3_600_000_000, out="n") \
+        .withColumn("p", F.spark_partition_id())  # taken after the window's shuffle
+    per_part = out.where("user_id = 'hot'").groupBy("p").agg(F.count("*").alias("count"), F.max("n").alias("m")) \
+        .collect()
+    hot = sum(r["count"] for r in per_part)
+    assert hot == n // 3 and all(r["m"] >= 1 for r in per_part)
+    assert len(per_part) > 1 and max(r["count"] for r in per_part) < 0.5 * hot
+    # a plain per-user window puts all of them in one partition
+    w = Window.partitionBy("user_id").orderBy("created_at")
+    plain = df.withColumn("x", F.count("*").over(w)).withColumn("p", F.spark_partition_id()) \
+        .where("user_id = 'hot'").groupBy("p").agg(F.count("*").alias("count"), F.max("x").alias("m")).collect()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(plain) == 1

@@ -59,3 +59,17 @@ def test_fold_matches_rule_form_on_scenario(six_users):
     assert len(m) == 148
     assert (m.status_x == m.status_r).all()
     assert (m.event_id_x.fillna("") == m.event_id_r.fillna("")).all()
+
+
+def test_history_duplicates(six_users):
+    """Keys already in the accepted history are duplicates pointing at the stored event."""
+    first = six_users.where("user_id = 'usr_dave' and row_id < 30")
+    later = six_users.where("user_id = 'usr_dave'")
+    hist = ingest.ingest_batch(first, AS_OF, Limits()).accepted
+    v = ingest.ingest_batch(later, AS_OF, Limits(), history=hist).verdicts
+    counts = _counts(v)
+    stored = {r["event_id"] for r in hist.collect()}
+    dup_targets = {r["original_event_id"] for r in v.where("status = 'duplicate'").collect()}
+    assert counts.get("processed", 0) == 3 - len(stored)
+    assert dup_targets <= stored | {r["event_id"] for r in v.where("status = 'processed'").collect()}
+    assert counts["duplicate"] == 15 - counts.get("processed", 0)
