@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from streakflow.config import DEFAULT_LIMITS, Limits
 from streakflow.functions.timefns import local_time
-from streakflow.operators.windows import HOUR_US, previous_value, trailing_sum
+from streakflow.operators.windows import DAY_US, HOUR_US, previous_value, trailing_sum
 
 
 def timezone_changes(events: DataFrame, ts: str = "created_at", tie: str = "event_id",
@@ -46,7 +46,7 @@ def rate_flag(events: DataFrame, limits: Limits = DEFAULT_LIMITS, ts: str = "cre
     the trailing window up to and including this one; ``rate_limited`` when
     it exceeds the limit."""
     width = limits.rate_window_seconds * 1_000_000
-    counted = trailing_sum(events, ["user_id"], ts, tie, width, out="attempts_last_hour")
+    counted = trailing_sum(events, ["user_id"], ts, tie, width, out="attempts_last_hour", bucket_us=DAY_US)
     return counted.withColumn("rate_limited", F.col("attempts_last_hour") > limits.rate_limit)
 
 

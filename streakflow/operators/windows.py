@@ -30,24 +30,29 @@ def _micros(ts: str) -> Column:
 
 def trailing_sum(df: DataFrame, keys: Sequence[str], ts: str, tie: str, width_us: int,
                  value: Column | None = None, out: str = "trailing", include_current: bool = True,
-                 splits: int = 1) -> DataFrame:
+                 bucket_us: int | None = None) -> DataFrame:
     """Add ``out`` = sum of ``value`` (default 1 = a count) over rows of the
     same key whose time lies in ``[t - width + 1us, t]`` and that come no
     later than the current row in (ts, tie) order (the row itself included
     or not).
 
-    Every row is emitted once for its own bucket and once per following
-    bucket it can reach (``explode`` of the offsets: the input is read once).
-    ``splits`` cuts each width into that many buckets (more parallelism for
-    a dense key, at the cost of ``splits`` context copies per row).
+    Rows are partitioned by (key, time bucket). A row is also emitted, as
+    read-only context, into each following bucket whose frames can still
+    reach it (``explode``: the input is read once). With buckets wider than
+    the window (e.g. a day for an hour) only rows near a bucket's end are
+    copied; buckets narrower than the window spread a dense key over more
+    tasks at the cost of more copies. Default: one window width.
     """
     keys = list(keys)
-    bucket_us = -(-width_us // splits)
+    bucket = bucket_us or width_us
+    reach = -(-width_us // bucket)
     val = F.lit(1) if value is None else value
     t = _micros(ts)
+    b0 = F.floor(t / F.lit(bucket)).cast("long")
+    offsets = F.filter(F.sequence(F.lit(0).cast("long"), F.lit(reach).cast("long")),
+                       lambda k: (k == 0) | (t + F.lit(width_us) > (b0 + k) * F.lit(bucket)))
     u = df.select("*", t.alias("_t"), F.coalesce(val.cast("long"), F.lit(0).cast("long")).alias("_v"),
-                  F.floor(t / F.lit(bucket_us)).cast("long").alias("_b0"),
-                  F.explode(F.sequence(F.lit(0), F.lit(splits))).alias("_k"))
+                  b0.alias("_b0"), F.explode(offsets).alias("_k"))
     u = u.withColumns({"_b": F.col("_b0") + F.col("_k"), "_own": F.col("_k") == 0})
     # One sort serves all frames: rows ordered by (t, tie) also satisfy the
     # ordering by t of the range frames, so the (t, tie) window runs first.

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 from streakflow.config import DEFAULT_LIMITS, STATUS_CODES, STATUSES, Limits
 from streakflow.functions import award_points, event_id_from_key
 from streakflow.operators import anomaly, rollups, validate
-from streakflow.operators.windows import trailing_sum
+from streakflow.operators.windows import DAY_US, trailing_sum
 
 
 @dataclass
@@ -47,8 +47,9 @@ def classify(payloads: DataFrame, as_of, limits: Limits = DEFAULT_LIMITS,
     v = validate.validation(payloads, as_of, limits).withColumn("_valid", F.col("reject_status").isNull())
 
     # rate limit over every valid attempt (F8a); invalid rows weigh 0
+    # day buckets: only attempts in the last hour of a day are copied as context
     c = trailing_sum(v, ["user_id"], "created_at", order_col, limits.rate_window_seconds * 1_000_000,
-                     value=F.col("_valid").cast("long"), out="attempts_last_hour")
+                     value=F.col("_valid").cast("long"), out="attempts_last_hour", bucket_us=DAY_US)
     c = c.withColumn("_passed", F.col("_valid") & (F.col("attempts_last_hour") <= limits.rate_limit))
 
     # duplicates among the rest (D3): the first attempt per key wins. The

@@ -124,9 +124,9 @@ def test_bucketed_helpers_equal_plain_windows(spark):
              .groupBy("a.rid").agg(F.sum("b.v").alias("trail")))
     got_prev = previous_value(df, ["user_id"], "created_at", "rid", "zone", out="prev", bucket_us=3_600_000_000)
     got_run = running_sum(df, ["user_id"], "created_at", "rid", F.col("v"), out="run", bucket_us=3_600_000_000)
-    for splits in (1, 3):
+    for bucket in (None, 1_200_000_000, 86_400_000_000):
         got_trail = trailing_sum(df, ["user_id"], "created_at", "rid", 3_600_000_000, value=F.col("v"),
-                                 out="trail", splits=splits)
+                                 out="trail", bucket_us=bucket)
         t = {r["rid"]: r["trail"] for r in got_trail.collect()}
         assert t == {r["rid"]: r["trail"] for r in brute.collect()}
     p = {r["rid"]: (r["prev"], r["run"]) for r in plain.collect()}
