@@ -144,7 +144,7 @@ v2 AS (
     {_reason_sql(max_age_days)} AS reason
   FROM v),
 valid AS (SELECT * EXCLUDE (parsed), parsed AS created_at FROM v2 WHERE reason IS NULL),
-counted AS (SELECT *, {_trailing('1', 3600 * 1000000)} AS attempts_last_hour FROM valid),
+counted AS (SELECT *, CAST({_trailing('1', 3600 * 1000000)} AS BIGINT) AS attempts_last_hour FROM valid),
 passed AS (SELECT * FROM counted WHERE attempts_last_hour <= {rate_limit}),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY idempotency_key ORDER BY created_at, row_id) AS krank,
