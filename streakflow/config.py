@@ -124,3 +124,26 @@ def local_session(cores: int | str = "*", app: str = "streakflow", shuffle_parti
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)
+
+
+def scale_conf(input_bytes: int, total_cores: int, target_bytes: int = 256 << 20,
+               max_partitions: int = 100_000) -> dict:
+    """Settings for a cluster run over ``input_bytes`` of event data.
+
+    The widest shuffles of the ingest chain move about the attempt table
+    (the trailing windows add only boundary copies), so shuffle partitions
+    are sized for ``target_bytes`` each, at least two per core and at most
+    ``max_partitions`` (beyond that the driver's map-output bookkeeping, not
+    the executors, becomes the limit; partitions grow instead). AQE then
+    coalesces small partitions to the same target and splits skewed join
+    partitions above four times it. Scans split at the target too."""
+    parts = max(2 * total_cores, -(-input_bytes // target_bytes))
+    parts = min(parts, max_partitions)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    }
