@@ -133,3 +133,20 @@ def test_windowed_monitors(spark, six_users, scratch):
     s2 = spark.readStream.schema(attempts.schema).parquet(src2)
     flagged = _collect(jobs.rate_monitor_stream(s2, Limits(), "5 minutes", "0 seconds"), scratch, "rate", mode="append")
     assert {r["user_id"] for r in flagged.collect()} <= {"usr_frank"}
+
+
+def test_stream_limiter_equals_batch_exact(spark, scratch):
+    """J4 (inside the J1 fold) = F8b on the sf0.001 driver data, limit 2."""
+    from streakflow.operators import sequential, validate
+    from streakflow.plans.inputs import adapted
+    from streakflow.sources import adapter
+    limits = Limits(rate_limit=2, max_age_days=40)
+    p = adapter.payloads(adapted(spark, "/root/testdata/sf0.001"))
+    src = os.path.join(scratch, "p")
+    p.select(*[f.name for f in jobs.PAYLOAD_STREAM_SCHEMA.fields]).coalesce(1).write.parquet(src)
+    got = _collect(jobs.ingest_stream(jobs.read_payloads(spark, src), limits), scratch, "v")
+    stream_denied = {r["row_id"] for r in got.where("status = 'rate_limited'").collect()}
+    valid = validate.validation(p, adapter.AS_OF, limits).where("reject_status is null")
+    exact = sequential.rate_limit_exact(valid.select("row_id", "user_id", "created_at"), limits)
+    batch_denied = {r["row_id"] for r in exact.where("not allowed").collect()}
+    assert stream_denied == batch_denied and len(batch_denied) > 0
