@@ -49,8 +49,12 @@ def trailing_sum(df: DataFrame, keys: Sequence[str], ts: str, tie: str, width_us
     val = F.lit(1) if value is None else value
     t = _micros(ts)
     b0 = F.floor(t / F.lit(bucket)).cast("long")
-    offsets = F.filter(F.sequence(F.lit(0).cast("long"), F.lit(reach).cast("long")),
-                       lambda k: (k == 0) | (t + F.lit(width_us) > (b0 + k) * F.lit(bucket)))
+    if reach == 1:  # the common case, in plain expressions (stays in codegen)
+        offsets = F.when(t + F.lit(width_us) > (b0 + 1) * F.lit(bucket), F.array(F.lit(0).cast("long"), F.lit(1).cast("long"))) \
+            .otherwise(F.array(F.lit(0).cast("long")))
+    else:
+        offsets = F.filter(F.sequence(F.lit(0).cast("long"), F.lit(reach).cast("long")),
+                           lambda k: (k == 0) | (t + F.lit(width_us) > (b0 + k) * F.lit(bucket)))
     u = df.select("*", t.alias("_t"), F.coalesce(val.cast("long"), F.lit(0).cast("long")).alias("_v"),
                   b0.alias("_b0"), F.explode(offsets).alias("_k"))
     u = u.withColumns({"_b": F.col("_b0") + F.col("_k"), "_own": F.col("_k") == 0})
