@@ -48,3 +48,16 @@ def test_chart_tables(spark):
     pts = t["points_timeline"].groupBy("user_id").agg(F.max("cumulative_points").alias("m"),
                                                        F.sum("day_points").alias("s"))
     assert pts.where("m <> s").count() == 0
+
+
+def test_backfill_restores_missing_days(spark):
+    from streakflow.operators import reconcile
+    acc = Q._accepted(spark, SF)
+    daily = Q.ingest_plan.daily_activity(acc)
+    broken = daily.where(~((F.substring("user_id", 5, 9).cast("int") % 17 == 0)
+                           & (F.col("activity_date") == F.lit(adapter.MISSING_DAY).cast("date"))))
+    fixed = reconcile.backfill_activity(acc, broken)
+    cols = ["user_id", "activity_date", "first_event_id", "events_count", "points_earned"]
+    assert fixed.select(*cols).exceptAll(daily.select(*cols)).count() == 0
+    assert daily.select(*cols).exceptAll(fixed.select(*cols)).count() == 0
+    assert daily.count() > broken.count()
