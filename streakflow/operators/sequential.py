@@ -170,11 +170,20 @@ def stream_fold(limits: Limits = DEFAULT_LIMITS):
     of a micro-batch, folded against the stored state, which is written back.
     Payload columns needed downstream ride along with each verdict."""
 
+    keep_ms = (limits.max_age_days * 24 + limits.max_future_hours) * 3600 * 1000
+
     def fn(key, pdfs, state):
+        if state.hasTimedOut:
+            # nothing the user did is still inside any rule window: drop the state
+            state.remove()
+            return
         st = UserState.from_row(state.get) if state.exists else UserState()
         batch = _sorted(pd.concat(list(pdfs), ignore_index=True))
         rows = fold_user(batch[list(FOLD_INPUT)], st, limits)
         state.update(st.to_row())
+        latest = batch["created_at"].dropna()
+        if len(latest):
+            state.setTimeoutTimestamp(int(pd.Timestamp(latest.max()).value // 1_000_000) + keep_ms)
         verdicts = pd.DataFrame(rows, columns=["row_id", "user_id", "status", "reason", "event_id",
                                                "original_event_id"])
         carried = batch[["row_id", *_CARRY]]

@@ -3,7 +3,8 @@
 * J1 ``ingest_stream``: stateless validation (B2-B6) against the arrival
   clock, then the exact per-user fold (rate limit J4, zone abuse J5,
   duplicates) in ``applyInPandasWithState``; state per user is bounded by
-  the rule windows.
+  the rule windows and removed by an event-time timeout once the user has
+  been silent longer than the longest window (nothing in it can matter).
 * D4 ``stream_dedup``: ``dropDuplicatesWithinWatermark`` on the record id.
 * J2 ``daily_upsert``: ``foreachBatch`` that folds a micro-batch's accepted
   events into the daily-activity table, touched dates only, idempotent by
@@ -51,9 +52,13 @@ def ingest_stream(payloads: DataFrame, limits: Limits = DEFAULT_LIMITS, clock: s
     them one by one. The timestamp window is checked against the arrival
     clock; accepted rows carry points, event id, source and local day."""
     v = validate.validation(payloads, F.col(clock), limits)
+    # event-time clock for state expiry; rows whose time did not parse are
+    # stamped with their arrival so the watermark never drops them
+    v = v.withColumn("_event_time", F.coalesce(F.col("created_at"), F.col(clock)))
+    v = v.withWatermark("_event_time", f"{limits.max_age_days * 24 + limits.max_future_hours} hours")
     decided = v.groupBy("user_id").applyInPandasWithState(
         sequential.stream_fold(limits), sequential.STREAM_OUTPUT, sequential.STATE_SCHEMA,
-        "update", GroupStateTimeout.NoTimeout)
+        "update", GroupStateTimeout.EventTimeTimeout)
     processed = F.col("status") == "processed"
     return decided.withColumns({
         "points_awarded": F.when(processed, award_points("event_type")),
