@@ -24,10 +24,12 @@ def spread(df: DataFrame) -> DataFrame:
     the scan has fewer partitions than the cluster has cores, spread the rows
     round-robin; a large scan is already parallel and is left alone (the
     partition count is known at planning time, no job runs)."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD API (e.g. a Connect session): leave the scan as it is
+        return df
+    return df.repartition(cores) if parts < cores else df
 
 
 REPLICATE_CONF = "streakflow.bench.replicate"
