@@ -104,6 +104,13 @@ LOADED_AT = "2024-01-31 01:00:00"
 _VALID_TYPES = ", ".join(f"'{t}'" for t in POINTS_MAP)
 _POINTS_CASE = "CASE event_type " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in POINTS_MAP.items()) + " END"
 _OFFSET_RE = r"(Z|z|[+-]\d{2}(:?\d{2})?)$"
+
+
+def _utc_parse(col: str) -> str:
+    """ISO text -> UTC instant, text without an offset read as UTC whatever
+    the DuckDB session zone (Spark's session zone is pinned to UTC)."""
+    return (f"(TRY_CAST(CASE WHEN regexp_matches({col}, '{_OFFSET_RE}') THEN {col} ELSE {col} || '+00:00' END"
+            f" AS TIMESTAMPTZ) AT TIME ZONE 'UTC')")
 _CODES_CASE = "CASE status " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in STATUS_CODES.items()) + " END"
 
 
@@ -136,7 +143,7 @@ def _ingest_ctes(max_age_days: int, rate_limit: int, tz_limit: int = 2) -> str:
 pay AS (SELECT row_id, user_id, event_type, client_timestamp, timezone, idempotency_key, source, received_at
         FROM adapted),
 v AS (
-  SELECT *, TRY_CAST(client_timestamp AS TIMESTAMPTZ) AT TIME ZONE 'UTC' AS parsed,
+  SELECT *, {_utc_parse('client_timestamp')} AS parsed,
          COALESCE(timezone IN (SELECT name FROM pg_timezone_names()), false) AS zone_ok
   FROM pay),
 v2 AS (
@@ -279,7 +286,7 @@ WHERE event_date > DATE '{AS_OF_DATE}' - 30 AND event_date <= DATE '{AS_OF_DATE}
 _FACT = f"""
 fact AS (
   SELECT event_id, user_id, event_type, points_awarded, source, idempotency_key,
-         TRY_CAST(client_timestamp AS TIMESTAMPTZ) AT TIME ZONE 'UTC' AS client_timestamp, created_at, event_date,
+         {_utc_parse('client_timestamp')} AS client_timestamp, created_at, event_date,
          country, user_segment, TIMESTAMP '{LOADED_AT}' AS loaded_at
   FROM enriched),
 snapshot AS (
@@ -335,7 +342,7 @@ ORACLE["views_via_sql"] = with_warehouse(_PERF)
 ORACLE["merge_by_key"] = with_warehouse(f"""
 , stg_raw AS (
   SELECT r.event_id, r.user_id, r.event_type, TRY_CAST(r.points_awarded AS INTEGER) AS points_awarded, r.source,
-         r.idempotency_key, TRY_CAST(r.client_timestamp AS TIMESTAMPTZ) AT TIME ZONE 'UTC' AS client_timestamp,
+         r.idempotency_key, {_utc_parse('r.client_timestamp')} AS client_timestamp,
          r.created_at, CAST(r.created_at AS DATE) AS event_date, d.country, d.user_segment,
          TIMESTAMP '2024-02-01 00:00:00' AS loaded_at
   FROM kept r LEFT JOIN dim d USING (user_id) WHERE CAST(r.created_at AS DATE) = DATE '2024-01-15'),
