@@ -24,7 +24,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from streakflow.llm.common import Memo, slices, text_of, texts, tokenizer_path
+from streakflow.llm.common import Memo, by_bytes, map_arrow, text_of, texts, tokenizer_path
 
 # Visible ASCII stands for itself, any other byte b for the character U+0100 + b.
 _TO_CHARS = {b: chr(b if 0x20 < b < 0x7F else 0x100 + b) for b in range(256)}
@@ -88,7 +88,7 @@ class Encoder:
         self.odd_space = re.compile(r"[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]").search
         self.cut = regex.compile(r"(?<=\S) (?=\S)").split
         self.first = Memo(self._encode, 10_000)
-        self.rest = Memo(lambda segments: self._encode([" " + s for s in segments]), 1_000_000)
+        self.rest = Memo(lambda segments: self._encode([" " + s for s in segments]), 250_000)
 
     def _pieces(self, segment: str) -> list[str]:
         head, word = (_SPACE, segment[1:]) if segment[:1] == " " else ("", segment)
@@ -113,67 +113,81 @@ class Encoder:
             return self.cut(text)
         return text.split(" ")
 
-    def encode_all(self, texts: list[str]) -> Iterator[np.ndarray]:
-        for some in slices(texts):
-            cuts = list(map(self._cut, some))
-            self.first.learn({segments[0] for segments in cuts})
-            self.rest.learn(set(chain.from_iterable(segments[1:] for segments in cuts)))
-            for segments in cuts:
-                ids = chain(self.first[segments[0]], chain.from_iterable(map(self.rest.__getitem__, segments[1:])))
-                yield np.fromiter(ids, np.int32)
+    def encode_all(self, some: list[str]) -> list[np.ndarray]:
+        cuts = list(map(self._cut, some))
+        self.first.learn({segments[0] for segments in cuts})
+        self.rest.learn(set(chain.from_iterable(segments[1:] for segments in cuts)))
+        return [np.fromiter(chain(self.first[segments[0]], chain.from_iterable(map(self.rest.__getitem__, segments[1:]))),
+                            np.int32) for segments in cuts]
+
+
+def _id_lists(ids: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0] + [len(x) for x in ids], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int32), *ids]), pa.int32()))
+
+
+def _bytes_of(lists: pa.Array, table: pa.Array) -> pa.Array:
+    tokens = table.take(lists.flatten())
+    if tokens.null_count:
+        raise ValueError("an id that the vocabulary lacks")
+    ends = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))])
+    parts = pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), tokens)
+    return pc.binary_join(parts, pa.scalar(b"", pa.large_binary())).cast(pa.binary())
+
+
+def _byte_table(model: bytes) -> pa.Array:
+    """The bytes of every id, read back from the model's pieces (null: no token)."""
+    import sentencepiece
+
+    reader = sentencepiece.SentencePieceProcessor(model_proto=model)
+    return pa.array([None if reader.is_unknown(i) or reader.is_unused(i) else as_bytes(reader.id_to_piece(i))
+                     for i in range(reader.get_piece_size())], pa.large_binary())
+
+
+def _model(ranks_path: str | None) -> bytes:
+    return build_model(read_ranks(ranks_path or tokenizer_path("byte_bpe_multi_50k.tiktoken")))
 
 
 def encode(docs: DataFrame, text_col: str = "text", carry: tuple[str, ...] = ("doc_id",), out: str = "token_ids",
-           ranks_path: str | None = None, pattern: str | None = None) -> DataFrame:
-    """``carry`` columns plus ``out`` (array<int>): the ids of the whole text.
+           decoded: str | None = None, ranks_path: str | None = None, pattern: str | None = None) -> DataFrame:
+    """``carry`` columns plus ``out`` (array<int>): the ids of the whole text; with
+    ``decoded``, also that column (binary), the ids' decoding.
 
     The model is built on the driver and travels as one broadcast of about a
     megabyte: its size is that of the vocabulary, never of the data. One narrow
     pass, no shuffle; a worker holds one Arrow batch and a bounded memo."""
     import public_tokenizers
 
-    spark = docs.sparkSession
-    ranks = read_ranks(ranks_path or tokenizer_path("byte_bpe_multi_50k.tiktoken"))
-    model = spark.sparkContext.broadcast(build_model(ranks))
+    model = docs.sparkSession.sparkContext.broadcast(_model(ranks_path))
     split = pattern or public_tokenizers.PATTERN
-    schema = T.StructType([docs.schema[c] for c in carry] + [T.StructField(out, T.ArrayType(T.IntegerType()))])
+    names = [*carry, out, *([decoded] if decoded else [])]
+    schema = T.StructType([docs.schema[c] for c in carry] + [T.StructField(out, T.ArrayType(T.IntegerType()))]
+                          + ([T.StructField(decoded, T.BinaryType())] if decoded else []))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(model.value, split)
+        table = _byte_table(model.value) if decoded else None
         for batch in batches:
-            ids = list(encoder.encode_all(texts(batch.column(len(carry)))))
-            ends = np.cumsum([0] + [len(x) for x in ids], dtype=np.int32)
-            flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
-            column = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:len(carry)], column], names=[*carry, out])
+            for part in by_bytes(batch, len(carry)):
+                lists = _id_lists(encoder.encode_all(texts(part.column(len(carry)))))
+                back = [_bytes_of(lists, table)] if decoded else []
+                yield pa.RecordBatch.from_arrays([*part.columns[:len(carry)], lists, *back], names=names)
 
-    return docs.select(*carry, text_of(text_col).alias("__text")).mapInArrow(run, schema)
+    return map_arrow(docs.select(*carry, text_of(text_col).alias("__text")), run, schema)
 
 
 def decode(encoded: DataFrame, ids_col: str = "token_ids", carry: tuple[str, ...] = ("doc_id",), out: str = "decoded",
            ranks_path: str | None = None) -> DataFrame:
     """``carry`` columns plus ``out`` (binary): the bytes that the ids stand for.
     Binary, because ids need not end at a character's end."""
-    import sentencepiece
-
-    spark = encoded.sparkSession
-    model = build_model(read_ranks(ranks_path or tokenizer_path("byte_bpe_multi_50k.tiktoken")))
-    reader = sentencepiece.SentencePieceProcessor(model_proto=model)
-    pieces = spark.sparkContext.broadcast([as_bytes(reader.id_to_piece(i)) if i != reader.unk_id() and not reader.is_unused(i)
-                                           else None for i in range(reader.get_piece_size())])
+    model = encoded.sparkSession.sparkContext.broadcast(_model(ranks_path))
     schema = T.StructType([encoded.schema[c] for c in carry] + [T.StructField(out, T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.array(pieces.value, pa.large_binary())
+        table = _byte_table(model.value)
         for batch in batches:
-            lists = batch.column(len(carry))
-            tokens = table.take(lists.flatten())
-            if tokens.null_count:
-                raise ValueError("an id that the vocabulary lacks")
-            ends = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))])
-            parts = pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), tokens)
-            joined = pc.binary_join(parts, pa.scalar(b"", pa.large_binary())).cast(pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:len(carry)], joined], names=[*carry, out])
+            back = _bytes_of(batch.column(len(carry)), table)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(carry)], back], names=[*carry, out])
 
     ids = F.coalesce(F.col(ids_col), F.array().cast("array<int>"))
-    return encoded.select(*carry, ids.alias("__ids")).mapInArrow(run, schema)
+    return map_arrow(encoded.select(*carry, ids.alias("__ids")), run, schema)

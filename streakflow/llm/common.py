@@ -5,9 +5,13 @@ import os
 import tempfile
 import uuid
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from streakflow.shipping import ship
+
 #: ASCII white space, the class the contracts name (fixed value).
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -35,6 +39,12 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def map_arrow(df: DataFrame, run, schema) -> DataFrame:
+    """``df.mapInArrow`` with this package made available to the workers."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def text_of(name: str) -> Column:
     """The whole text; null counts as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
@@ -54,6 +64,18 @@ def texts(column: pa.ChunkedArray | pa.Array) -> list[str]:
     return ["" if v is None else v for v in values]
 
 
+def by_bytes(batch: pa.RecordBatch, column: int, most: int = 4 << 20):
+    """The batch in slices whose texts have about ``most`` bytes (one row at least), so
+    that a worker never holds the Python strings of a whole batch."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(ends):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 class Memo(dict):
     """Results by key, computed for many missing keys at a time. It is emptied when
     it holds ``limit`` entries, so a worker's memory stays bounded whatever the
@@ -72,18 +94,6 @@ class Memo(dict):
         self.update(zip(new, self.compute(new)))
 
 
-def slices(values: list[str], most: int = 4_000_000):
-    """Consecutive runs of ``values`` of about ``most`` characters (one value at least)."""
-    start = size = 0
-    for i, value in enumerate(values):
-        size += len(value)
-        if size >= most:
-            yield values[start:i + 1]
-            start, size = i + 1, 0
-    if start < len(values):
-        yield values[start:]
-
-
 def tokenizer_path(name: str) -> str:
     """Place of a public tokenizer file; the package or $TOKENIZER_DIR names the folder."""
     folder = os.environ.get("TOKENIZER_DIR")

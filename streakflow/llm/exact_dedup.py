@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from streakflow.llm.common import cut, normalised
+from streakflow.llm.common import cut, map_arrow, normalised
 
 
 def _filters(quotient_bits: int):
@@ -82,9 +82,9 @@ def repeated_fingerprints(prints: DataFrame, quotient_bits: int = 14) -> DataFra
     """(fp, n_rows) of the fingerprints of column ``fp`` that more than one row has.
     A task holds the fingerprints of one input partition or of one quotient; raise
     ``quotient_bits`` with the corpus (14 suits up to some 10^10 rows)."""
-    filters = prints.select("fp").mapInArrow(_filters(quotient_bits), "quotient int, remainders binary, counts binary")
+    filters = map_arrow(prints.select("fp"), _filters(quotient_bits), "quotient int, remainders binary, counts binary")
     runs = filters.repartition("quotient").sortWithinPartitions("quotient")
-    return runs.mapInArrow(_merge(quotient_bits), "fp long, n_rows long")
+    return map_arrow(runs, _merge(quotient_bits), "fp long, n_rows long")
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", quotient_bits: int = 14) -> DataFrame:

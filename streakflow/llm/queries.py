@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from streakflow.llm import bpe_codec, exact_dedup, shard_ring, token_count
+from streakflow.llm import bpe_codec, exact_dedup, shard_ring, token_count, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,13 +16,25 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = bpe_codec.encode(_table(spark, sf_dir, "documents"))
-    decoded = bpe_codec.decode(encoded, carry=("doc_id", "token_ids"))
-    return decoded.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"),
+    coded = bpe_codec.encode(_table(spark, sf_dir, "documents"), decoded="decoded")
+    return coded.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"),
                           F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
                           F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filter.judge_urls(_table(spark, sf_dir, "pages"), url_filter.SITE_RULES + url_filter.PATTERN_RULES)
+    return judged.select("page_id", "host", "path", F.when(F.col("rule_rank") == 1, F.col("rule")).alias("rule"), "verdict")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
 
@@ -40,12 +52,31 @@ def op9_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op3_toxicity": op3_toxicity,
+    "op5_url_filter": op5_url_filter,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_shard_ring": op8_shard_ring,
     "op9_token_count": op9_token_count,
 }
 
 ORACLE: dict[str, str] = {
+    "op5_url_filter": r"""
+        WITH rules(host_rule, path_rule, verdict) AS (VALUES
+                ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+                ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+        rest AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS tail
+                 FROM pages),
+        cut AS (SELECT page_id, translate(regexp_extract(tail, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                          'abcdefghijklmnopqrstuvwxyz') AS host,
+                       regexp_extract(tail, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+        fits AS (SELECT c.*, host_rule || path_rule AS rule, r.verdict,
+                        row_number() OVER (PARTITION BY page_id ORDER BY length(host_rule || path_rule) DESC) AS place
+                 FROM cut c LEFT JOIN rules r
+                 ON (c.host = host_rule OR ends_with(c.host, '.' || host_rule)) AND starts_with(c.path, path_rule))
+        SELECT page_id, host, path, rule,
+               coalesce(verdict, CASE WHEN regexp_matches(host || path,
+                   '(^|[^A-Za-z0-9])(adult|casino|pills|porn|viagra|xxx)($|[^A-Za-z0-9])') THEN 'block' ELSE 'allow' END) AS verdict
+        FROM fits WHERE place = 1""",
     "op6_exact_dedup": r"""
         WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents)
         SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,

@@ -20,7 +20,7 @@ from itertools import chain
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from streakflow.llm.common import Memo, slices, text_of, texts, tokenizer_path
+from streakflow.llm.common import Memo, by_bytes, map_arrow, text_of, texts, tokenizer_path
 
 
 #: Bytes that stand for themselves in the byte alphabet of byte-level BPE (fixed
@@ -72,7 +72,7 @@ class Counter:
         self.merges.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.odd = re.compile("|".join(["[\x1c-\x1f]", *map(re.escape, special)])).search
-        self.words = Memo(self._count, 600_000)
+        self.words = Memo(self._count, 400_000)
 
     def _count(self, words: list[str]) -> list[int]:
         parts = [self.split(w.lower()) if self.simple(w) else _pre_tokens(self.tokenizer, w) for w in words]
@@ -80,13 +80,11 @@ class Counter:
         merged = dict(zip(rest, (len(e.ids) for e in self.merges.encode_batch_fast(rest, add_special_tokens=False))))
         return [sum(merged.get(p, 1) for p in pieces) for pieces in parts]
 
-    def count_all(self, texts: list[str]) -> Iterator[int]:
-        for some in slices(texts):
-            words = [None if self.odd(t) else t.split() for t in some]
-            self.words.learn(set(chain.from_iterable(w for w in words if w)))
-            for text, own in zip(some, words):
-                yield (len(self.tokenizer.encode(text, add_special_tokens=False).ids) if own is None
-                       else sum(map(self.words.__getitem__, own)))
+    def count_all(self, some: list[str]) -> list[int]:
+        words = [None if self.odd(t) else t.split() for t in some]
+        self.words.learn(set(chain.from_iterable(w for w in words if w)))
+        return [len(self.tokenizer.encode(text, add_special_tokens=False).ids) if own is None
+                else sum(map(self.words.__getitem__, own)) for text, own in zip(some, words)]
 
 
 def count_tokens(docs: DataFrame, text_col: str = "text", carry: tuple[str, ...] = ("doc_id",),
@@ -106,9 +104,10 @@ def count_tokens(docs: DataFrame, text_col: str = "text", carry: tuple[str, ...]
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(*shared.value)
         for batch in batches:
-            tokens = list(counter.count_all(texts(batch.column(len(carry)))))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:len(carry)], batch.column(len(carry) + 1),
-                                              pa.array(tokens, pa.int64())], names=[*carry, "n_bytes", "n_tokens"])
+            for part in by_bytes(batch, len(carry)):
+                tokens = counter.count_all(texts(part.column(len(carry))))
+                yield pa.RecordBatch.from_arrays([*part.columns[:len(carry)], part.column(len(carry) + 1),
+                                                  pa.array(tokens, pa.int64())], names=[*carry, "n_bytes", "n_tokens"])
 
     text = text_of(text_col)
-    return docs.select(*carry, text.alias("__text"), F.octet_length(text).cast("long").alias("__bytes")).mapInArrow(run, schema)
+    return map_arrow(docs.select(*carry, text.alias("__text"), F.octet_length(text).cast("long").alias("__bytes")), run, schema)
