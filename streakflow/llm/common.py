@@ -39,6 +39,13 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_side(df: DataFrame, most_rows: int = 1_000_000) -> DataFrame:
+    """A narrow table, written and counted: broadcast up to ``most_rows`` rows (tens of
+    bytes each), joined by shuffle beyond."""
+    kept = cut(df)
+    return F.broadcast(kept) if kept.count() <= most_rows else kept
+
+
 def map_arrow(df: DataFrame, run, schema) -> DataFrame:
     """``df.mapInArrow`` with this package made available to the workers."""
     ship(df.sparkSession)
