@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from streakflow.llm import bpe_codec, exact_dedup, jaccard_join, shard_ring, token_count, toxicity, url_filter
+from streakflow.llm import bpe_codec, decontaminate, exact_dedup, jaccard_join, shard_ring, token_count, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +39,11 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.drop("text_hash")
+
+
 def op8_shard_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shard_ring.shard_documents(_table(spark, sf_dir, "documents"), shards=16)
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op5_url_filter": op5_url_filter,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_decontamination": op7_decontamination,
     "op8_shard_ring": op8_shard_ring,
     "op9_token_count": op9_token_count,
     "op10_jaccard_join": op10_jaccard_join,
