@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from streakflow.llm import bpe_codec, decontaminate, exact_dedup, jaccard_join, shard_ring, token_count, toxicity, url_filter
+from streakflow.llm import bpe_codec, decontaminate, exact_dedup, html_extract, jaccard_join, shard_ring, suffix_dedup, token_count, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,12 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"), length=100)
+    return kept.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+                       F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
@@ -30,6 +36,12 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    found = html_extract.main_text(pages, html_extract.fit(pages))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.judge_urls(_table(spark, sf_dir, "pages"), url_filter.SITE_RULES + url_filter.PATTERN_RULES)
     return judged.select("page_id", "host", "path", F.when(F.col("rule_rank") == 1, F.col("rule")).alias("rule"), "verdict")
@@ -61,7 +73,9 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_toxicity": op3_toxicity,
+    "op4_html_text": op4_html_text,
     "op5_url_filter": op5_url_filter,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_decontamination": op7_decontamination,
