@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from streakflow.llm.common import cut, map_arrow, normalised
+from streakflow.llm.common import cut, map_arrow, normalised, small_side
 
 
 def _filters(quotient_bits: int):
@@ -111,16 +111,14 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` (all its columns) without the rows that repeat an earlier text.
-
-    Row numbers do not survive a rescan, so rows that repeat one id and one text
-    are made one first; that touches only ids that occur more than once."""
+    """``docs`` (all its columns) without the rows that repeat an earlier text. Only rows
+    that go, or that repeat one id with one text, are looked up; the others pass."""
     verdict = exact_dedup(docs, id_col, text_col)
-    drop = verdict.groupBy(id_col, "text_sha256").agg(F.max("kept").alias("__keep"), F.sum(F.lit(1)).alias("__n"))
-    keyed = docs.withColumn("__sha", F.sha2(normalised(text_col), 256))
-    chosen = drop.where("__keep").select(F.col(id_col).alias("__id"), F.col("text_sha256").alias("__sha2"), "__n")
-    kept = keyed.join(chosen, keyed[id_col].eqNullSafe(chosen["__id"]) & (keyed["__sha"] == chosen["__sha2"]))
-    columns = docs.columns
-    once = kept.where("__n = 1").select(*columns)
-    more = kept.where("__n > 1").dropDuplicates(["__id", "__sha"]).select(*columns)
-    return once.unionByName(more)
+    odd = (verdict.groupBy(F.col(id_col).alias("__id"), F.col("text_sha256").alias("__sha"))
+           .agg(F.max("kept").alias("__kept"), F.count(F.lit(1)).alias("__n")).where("not __kept or __n > 1"))
+    odd = small_side(odd, 500_000)
+    keyed = docs.withColumn("__own", F.sha2(normalised(text_col), 256))
+    same = keyed[id_col].eqNullSafe(odd["__id"]) & (keyed["__own"] == odd["__sha"])
+    passed = keyed.join(odd, same, "left_anti").select(docs.columns)
+    first = keyed.join(odd.where("__kept"), same).dropDuplicates(["__id", "__sha"]).select(docs.columns)
+    return passed.unionByName(first)
