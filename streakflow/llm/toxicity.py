@@ -5,11 +5,11 @@ taken off, look-alike digits and signs inside read as letters, other signs dropp
 A word is the mean of the vectors of its character 3- to 5-grams, boundary marks
 included, and of the whole word, all hashed into one table. A text is the mean of its
 words, and a linear softmax over two classes turns it into a score. Table and softmax
-are trained jointly in numpy; every training text also enters once with all its words
-misspelt at random, so that n-grams, not whole words, carry the weight.
+are trained jointly in numpy; every toxic training text also enters once with all its
+words misspelt, so that n-grams, not whole words, carry the weight.
 
-Training uses a bounded sample: up to ``rows_per_label`` labelled documents of each
-label, those with the smallest hash of their id, texts over ``max_train_bytes``
+Training uses a bounded sample: up to ``rows_per_label`` documents labelled toxic
+and twice as many labelled clean, those with the smallest hash of their id, texts over ``max_train_bytes``
 excepted. The sample is all that reaches the driver. Scoring reads every whole text
 of every row in one narrow pass: since mean and softmax input are linear, a word's
 share of the logit is a number, computed once per distinct word.
@@ -77,7 +77,7 @@ class Model:
 
 
 def train(rows: list[tuple[str, int]], buckets: int = 1 << 18, dim: int = 8, rounds: int = 120, parts: int = 4, rate: float = 0.05,
-          decay: float = 1e-6, min_texts: int = 4, seed: int = 7) -> Model:
+          decay: float = 0.005, min_texts: int = 5, seed: int = 7) -> Model:
     """Fits table and softmax jointly (Adam on the cross-entropy over a part of the texts
     a step, both labels weighing alike)."""
     rows = [rows[i] for i in np.random.default_rng(seed).permutation(len(rows))]
@@ -92,7 +92,7 @@ def train(rows: list[tuple[str, int]], buckets: int = 1 << 18, dim: int = 8, rou
         own = {clean(p) for p in text.lower().split()} - {""}
         for w in own - wrong.keys():
             wrong[w] = misspell(w)
-        for variant in (own, {wrong[w] for w in own}):
+        for variant in (own, {wrong[w] for w in own}) if label else (own,):
             bags = []
             for w in sorted(variant):
                 if w not in known:
@@ -135,12 +135,13 @@ def train(rows: list[tuple[str, int]], buckets: int = 1 << 18, dim: int = 8, rou
         slope = (1 / (1 + np.exp(-np.clip(odds, -50, 50))) - real) * each
         back = _SCALE * np.bincount(here, weight * slope[some], len(used))
         back = np.stack([-back, back], 1)
-        for k, (param, grad) in enumerate(((table, back @ head.T + decay * table), (head, table.T @ back),
+        for k, (param, grad) in enumerate(((table, back @ head.T), (head, table.T @ back),
                                            (bias, np.array([-1, 1]) * slope.sum()))):
             m, v = state[k]
             m += 0.1 * (grad - m)
             v += 0.01 * (grad * grad - v)
             param -= rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-9)
+        table *= 1 - decay  # pulls grams that few texts support towards nothing
     scores = np.zeros(buckets, np.float32)
     scores[used] = _SCALE * (table @ (head[:, 1] - head[:, 0]))
     return Model(scores, float(bias[1] - bias[0]))
@@ -148,12 +149,12 @@ def train(rows: list[tuple[str, int]], buckets: int = 1 << 18, dim: int = 8, rou
 
 def training_rows(docs: DataFrame, labels: DataFrame, eligible: Column, id_col: str, text_col: str, label_col: str,
                   rows_per_label: int, max_train_bytes: int) -> list[tuple[str, int]]:
-    """The bounded sample, on the driver: at most 2 x rows_per_label texts."""
+    """The bounded sample, on the driver: at most 3 x rows_per_label texts."""
     usable = labels.where(eligible & F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(
         F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__y")).distinct()
     order = [F.xxhash64("__id"), F.col("__id")]
     picked = usable.where("__y = 1").orderBy(*order).limit(rows_per_label).unionAll(
-        usable.where("__y = 0").orderBy(*order).limit(rows_per_label))
+        usable.where("__y = 0").orderBy(*order).limit(2 * rows_per_label))
     text = text_of(text_col)
     small = docs.where(F.octet_length(text) <= max_train_bytes).select(F.col(id_col).alias("__id"), text.alias("__text"))
     found = small.join(F.broadcast(picked), "__id").select("__id", "__y", "__text")
