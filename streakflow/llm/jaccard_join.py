@@ -9,7 +9,7 @@ link when 100 * |intersection| >= threshold * |union|; equal sets are one node.
    Linked sets share one of their first ``n - ceil(t n) + 1`` shingles (prefix rule),
    so each such shingle is a *tile* of the sets that may meet there. Inside a tile,
    sets are ordered by size and only pairs within the size ratio meet.
-3. Bitmaps: a set's bitmap is the parity of its hashes by bit, of 2 to 4 bits a
+3. Bitmaps: a set's bitmap is the parity of its hashes by bit, of 1 to 2 bits a
    shingle; a longer one folds onto a shorter one. As
    |x and y| <= (|x| + |y| - popcount(bx xor by)) / 2, most pairs end here.
 4. The sorted arrays of the remaining pairs are intersected.
@@ -80,7 +80,7 @@ def fingerprint(hashes: np.ndarray) -> tuple[int, int]:
 
 
 def bitmap(hashes: np.ndarray) -> bytes:
-    bits = max(64, 1 << (2 * len(hashes) - 1).bit_length())
+    bits = max(64, 1 << (len(hashes) - 1).bit_length())
     odd = np.bincount((hashes & _U(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
@@ -107,12 +107,12 @@ def _scan_sets(width: int, sketch_bits: int):
     names = ["row", "n", "f1", "f2", "bitmap", "chunk", "cells", "counts", "id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, counts, id_type = Shingler(width), np.zeros(1 << sketch_bits, np.int64), pa.int64()
+        shingler, counts, id_type = Shingler(width), np.zeros(1 << sketch_bits, np.int32), pa.int64()
         for batch in batches:
             id_type = batch.column(2).type
             for part in by_bytes(batch, 1):
                 sets = shingler(_bytes(part.column(1)))
-                counts += np.bincount((np.concatenate([np.empty(0, _U), *sets]) >> shift).astype(np.int64), minlength=len(counts))
+                counts += np.bincount((np.concatenate([np.empty(0, _U), *sets]) >> shift).astype(np.int64), minlength=len(counts)).astype(np.int32)
                 prints = [fingerprint(s) for s in sets]
                 none = pa.nulls(len(sets), pa.binary())
                 yield pa.RecordBatch.from_arrays([
@@ -122,10 +122,13 @@ def _scan_sets(width: int, sketch_bits: int):
         for chunk in np.unique(np.flatnonzero(counts) // _CHUNK):
             own = counts[chunk * _CHUNK:(chunk + 1) * _CHUNK]
             cells = np.flatnonzero(own)
+            own = own.astype(np.min_scalar_type(int(own.max())))
+            dense = 2 * len(cells) + len(cells) * own.itemsize > len(own) * own.itemsize
+            cells, own = (cells[:0], own) if dense else (cells, own[cells])
             none = pa.nulls(1, pa.int64())
             yield pa.RecordBatch.from_arrays([
                 none, none, none, none, pa.nulls(1, pa.binary()), pa.array([chunk], pa.int32()),
-                pa.array([cells.astype(np.uint16).tobytes()], pa.binary()), pa.array([own[cells].tobytes()], pa.binary()),
+                pa.array([cells.astype(np.uint16).tobytes()], pa.binary()), pa.array([bytes([own.itemsize]) + own.tobytes()], pa.binary()),
                 pa.nulls(1, id_type)], names=names)
 
     return run
@@ -137,7 +140,11 @@ def _sum_chunks(common_above: float):
         for batch in batches:
             for chunk, cells, counts in zip(*(c.to_pylist() for c in batch.columns)):
                 own = total.setdefault(chunk, np.zeros(_CHUNK, np.int64))
-                own[np.frombuffer(cells, np.uint16)] += np.frombuffer(counts, np.int64)
+                counts = np.frombuffer(counts[1:], f"u{counts[0]}")
+                if cells:
+                    own[np.frombuffer(cells, np.uint16)] += counts.astype(np.int64)
+                else:  # all cells of the chunk
+                    own[:len(counts)] += counts.astype(np.int64)
         for chunk, own in sorted(total.items()):
             common = np.flatnonzero(own > common_above)
             if len(common):
@@ -317,11 +324,11 @@ def _verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, te
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, threshold: int = 85,
-                       sketch_bits: int = 20, common_factor: float = 8.0, partners: int = 4) -> DataFrame:
+                       sketch_bits: int = 21, partners: int = 16) -> DataFrame:
     """One row per input row: ``id_col``, n_shingles, component_id (the smallest id that
     links reach, its own included).
 
-    ``sketch_bits`` should grow with the logarithm of the corpus (20 suits some 10^7
+    ``sketch_bits`` should grow with the logarithm of the corpus (21 suits some 10^7
     documents); it and ``partners`` change the work, never the result."""
     text = text_of(text_col).alias("__text")
     id_type = dict(docs.select(F.col(id_col).alias("id")).dtypes)["id"]
@@ -331,7 +338,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     base = scan.where("chunk is null").select("row", "id", "n", "f1", "f2", "bitmap")
     total = base.agg(F.sum("n")).first()[0] or 0
     chunks = scan.where("chunk is not null").select("chunk", "cells", "counts").repartition("chunk")
-    above = max(64.0, common_factor * total / (1 << sketch_bits))
+    mean = total / (1 << sketch_bits)
+    above = mean + 8 * mean ** 0.5 + 24  # far outside what chance puts into a cell
     cells = map_arrow(chunks, _sum_chunks(above), "cell long").collect()  # at most 2^sketch_bits numbers
     bits = np.zeros(1 << sketch_bits, np.uint8)
     bits[[r.cell for r in cells]] = 1
