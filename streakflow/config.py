@@ -5,6 +5,7 @@ Every operator takes its thresholds as arguments; the defaults live here.
 from __future__ import annotations
 
 import os
+import tempfile
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -94,15 +95,17 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
-    Uses ``spark.checkpoint.dir`` when the cluster sets it; only when it is
-    unset (local tests) a folder under ``STREAKFLOW_SCRATCH`` or /tmp is set.
+    Uses ``spark.checkpoint.dir`` when the cluster sets it. A local master
+    (tests) may leave it unset and gets a temporary folder; anywhere else that
+    is an error, since executors do not share one machine's folders.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
-    base = os.environ.get("STREAKFLOW_SCRATCH", "/tmp")
-    path = os.path.join(base, "streakflow-checkpoints")
+    if not spark.sparkContext.master.startswith(("local[", "local")) or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    path = tempfile.mkdtemp(prefix="streakflow-checkpoints-", dir=os.environ.get("STREAKFLOW_SCRATCH"))
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path

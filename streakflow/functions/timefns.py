@@ -2,8 +2,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# ISO-8601 text ends with a zone designator: Z or +hh:mm / -hhmm / +hh.
-_OFFSET_PATTERN = r"(Z|z|[+-]\d{2}(:?\d{2})?)$"
+# ISO-8601 date and time, both whole (fixed pattern); the zone designator is Z,
+# +hh:mm, -hhmm or +hh and follows the time only.
+ISO_DATETIME = r"\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?"
+ISO_OFFSET = r"(Z|z|[+-]\d{2}(:?\d{2})?)"
 
 
 def _c(c: Column | str) -> Column:
@@ -12,13 +14,13 @@ def _c(c: Column | str) -> Column:
 
 def has_offset(text: Column | str) -> Column:
     """True when an ISO timestamp string carries a UTC offset."""
-    return _c(text).rlike(_OFFSET_PATTERN)
+    return _c(text).rlike(f"^{ISO_DATETIME}{ISO_OFFSET}$")
 
 
 def parse_client_ts(text: Column | str) -> Column:
-    """ISO-8601 text to an instant (``timestamp``); null when unparseable.
-    Text without an offset is read as UTC (the session zone)."""
-    return _c(text).try_cast("timestamp")
+    """ISO-8601 date and time to an instant (``timestamp``); null when it is
+    neither (a date or a time alone too). Without an offset: UTC (the session zone)."""
+    return F.when(_c(text).rlike(f"^{ISO_DATETIME}{ISO_OFFSET}?$"), _c(text).try_cast("timestamp"))
 
 
 def local_date(instant: Column | str, zone: Column | str) -> Column:

@@ -20,7 +20,7 @@ def dedup_first(df: DataFrame, key: str | Sequence[str] = "idempotency_key",
     keys = [key] if isinstance(key, str) else list(key)
     cols = df.columns
     if method == "window":
-        w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order])
+        w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
         return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
     rest = [c for c in cols if c not in keys]
     best = F.min_by(F.struct(*[F.col(c) for c in rest]), F.struct(*[F.col(c) for c in order]))

@@ -70,10 +70,12 @@ def rate_step(st: UserState, t: int, limits: Limits) -> bool:
     return True
 
 
-def fold_user(rows: pd.DataFrame, st: UserState, limits: Limits = DEFAULT_LIMITS) -> list[tuple]:
+def fold_user(rows: pd.DataFrame, st: UserState, limits: Limits = DEFAULT_LIMITS, clock: str = "created_at") -> list[tuple]:
     """Decide one user's attempts in order. ``rows`` has row_id, user_id,
-    created_at, timezone, idempotency_key, reject_status, reject_reason and is
-    sorted. Returns (row_id, user_id, status, reason, event_id, original_event_id)."""
+    created_at, timezone, idempotency_key, reject_status, reject_reason, the
+    ``clock`` that the time rules go by and, where a stored log was looked up,
+    stored_event_id; it is sorted. Returns (row_id, user_id, status, reason,
+    event_id, original_event_id)."""
     out = []
     tz_window = limits.tz_window_hours * 3600 * US
     key_keep = (limits.max_age_days * 24 + limits.max_future_hours) * 3600 * US
@@ -84,7 +86,7 @@ def fold_user(rows: pd.DataFrame, st: UserState, limits: Limits = DEFAULT_LIMITS
         if pd.isna(r.created_at):
             out.append((r.row_id, r.user_id, "error", "unparsed timestamp", None, None))
             continue
-        t = int(pd.Timestamp(r.created_at).value // 1000)
+        t = int(pd.Timestamp(getattr(r, clock)).value // 1000)
         if not rate_step(st, t, limits):
             out.append((r.row_id, r.user_id, "rate_limited", "Rate limit exceeded", None, None))
             continue
@@ -93,7 +95,8 @@ def fold_user(rows: pd.DataFrame, st: UserState, limits: Limits = DEFAULT_LIMITS
         if old != r.timezone and len(st.tz_changes) >= limits.tz_change_limit:
             out.append((r.row_id, r.user_id, "tz_abuse", "Suspicious timezone change detected", None, None))
             continue
-        seen = st.keys.get(r.idempotency_key)
+        stored = getattr(r, "stored_event_id", None)
+        seen = st.keys.get(r.idempotency_key) or (None if stored is None or pd.isna(stored) else [stored])
         if seen is not None:
             out.append((r.row_id, r.user_id, "duplicate", "Event already processed", None, seen[0]))
             continue
@@ -114,10 +117,6 @@ VERDICT_SCHEMA = ("row_id long, user_id string, status string, reason string, ev
 FOLD_INPUT = ("row_id", "user_id", "created_at", "timezone", "idempotency_key", "reject_status", "reject_reason")
 
 
-def _sorted(pdf: pd.DataFrame) -> pd.DataFrame:
-    return pdf.sort_values(["created_at", "row_id"], kind="mergesort")
-
-
 def rate_segments(valid: DataFrame, limits: Limits = DEFAULT_LIMITS, ts: str = "created_at",
                   tie: str = "row_id") -> DataFrame:
     """Cut each user's attempts where the gap to the previous attempt is at
@@ -165,10 +164,13 @@ STREAM_OUTPUT = VERDICT_SCHEMA + ", created_at timestamp, activity_date date, ev
 _CARRY = ("created_at", "activity_date", "event_type", "source", "timezone", "idempotency_key", "client_timestamp")
 
 
-def stream_fold(limits: Limits = DEFAULT_LIMITS):
-    """The J1 state function for ``applyInPandasWithState``: one user's rows
-    of a micro-batch, folded against the stored state, which is written back.
-    Payload columns needed downstream ride along with each verdict."""
+def stream_fold(limits: Limits = DEFAULT_LIMITS, clock: str = "received_at"):
+    """The J1 state function for ``applyInPandasWithState``: one user's valid
+    rows of a micro-batch in arrival order, folded against the stored state,
+    which is written back. Order and time rules go by the arrival clock, so how
+    the stream is cut into batches changes nothing. Payload columns needed
+    downstream ride along with each verdict. State ends when the user has been
+    silent longer than any rule looks back; older keys are in the stored log."""
 
     keep_ms = (limits.max_age_days * 24 + limits.max_future_hours) * 3600 * 1000
 
@@ -178,12 +180,10 @@ def stream_fold(limits: Limits = DEFAULT_LIMITS):
             state.remove()
             return
         st = UserState.from_row(state.get) if state.exists else UserState()
-        batch = _sorted(pd.concat(list(pdfs), ignore_index=True))
-        rows = fold_user(batch[list(FOLD_INPUT)], st, limits)
+        batch = pd.concat(list(pdfs), ignore_index=True).sort_values([clock, "row_id"], kind="mergesort")
+        rows = fold_user(batch, st, limits, clock)
         state.update(st.to_row())
-        latest = batch["created_at"].dropna()
-        if len(latest):
-            state.setTimeoutTimestamp(int(pd.Timestamp(latest.max()).value // 1_000_000) + keep_ms)
+        state.setTimeoutDuration(keep_ms)
         verdicts = pd.DataFrame(rows, columns=["row_id", "user_id", "status", "reason", "event_id",
                                                "original_event_id"])
         carried = batch[["row_id", *_CARRY]]

@@ -80,46 +80,40 @@ def run_curate(raw: DataFrame, dim: DataFrame, curated_path: str, limits: Limits
 
 
 def curate_increment(raw_new: DataFrame, dim: DataFrame, curated_path: str,
-                     limits: Limits = DEFAULT_LIMITS) -> dict:
-    """Incremental P1 (rerun-safe): new raw rows whose keys are already
-    curated are dropped (D2); every ``event_date`` the batch touches is
-    rebuilt whole from its curated rows plus the new ones and overwritten
-    (dynamic partition overwrite), so an hourly batch never replaces a date
-    with one hour of rows, and re-running a batch changes nothing.
+                     limits: Limits = DEFAULT_LIMITS) -> DataFrame:
+    """Incremental P1. Returns the rebuilt dates (``event_date``).
 
-    The rebuilt dates are cut from their lineage with ``checkpoint()`` (to
-    the shared checkpoint folder) before the overwrite, because the plan
-    reads the partitions it is about to replace."""
+    What is stored (curated and anomalous rows) and the new rows together decide
+    which row of a key is first. Every date of a raw row, and of a stored row
+    whose key comes again, is rebuilt whole in all three tables. The dates follow
+    from the raw batch, not from what is missing, so running a batch again, also
+    after a crash between two writes, ends in the same tables. The rebuilt rows
+    are cut from their lineage with ``checkpoint()`` before the overwrite, because
+    the plan reads the partitions it is about to replace."""
     spark = raw_new.sparkSession
     checkpoint_dir(spark)
     events_path, summ_path, anom_path = (f"{curated_path}/bp_events", f"{curated_path}/daily_summaries",
                                          f"{curated_path}/anomalies")
-    deduped = dedup.dedup_first(validate.drop_null_keys(raw_new), "idempotency_key", ("created_at", "event_id"))
-    try:
-        existing = spark.read.parquet(events_path)
-    except Exception:  # noqa: BLE001 - first run
-        existing = None
-    flagged = validate.flag_point_range(validate.enforce_types(deduped), limits)
-    if existing is not None:
-        flagged = dedup.drop_seen(flagged, existing, "idempotency_key")
-    flagged = flagged.checkpoint(eager=True)
+    key, order = "idempotency_key", ("created_at", "event_id")
+    new = validate.flag_point_range(validate.enforce_types(validate.drop_null_keys(raw_new)), limits)
+    stored = None
+    for path, anomalous in ((events_path, False), (anom_path, True)):
+        if sinks.table_exists(spark, path):
+            part = spark.read.parquet(path).withColumn("is_anomalous", F.lit(anomalous)).select(*new.columns)
+            stored = part if stored is None else stored.unionByName(part)
+    dates = new.select("event_date")
+    if stored is not None:
+        keys = new.select(F.col(key).alias("_key")).distinct()
+        again = stored.join(keys, F.col(key).eqNullSafe(F.col("_key")), "left_semi")
+        dates = dates.unionByName(again.select("event_date"))
+    dates = dates.distinct().checkpoint(eager=True)
+    rows = new
+    if stored is not None:
+        same_date = stored["event_date"].eqNullSafe(F.col("_date"))
+        rows = new.unionByName(stored.join(dates.select(F.col("event_date").alias("_date")), same_date, "left_semi"))
+    flagged = dedup.dedup_first(rows, key, order).checkpoint(eager=True)
     clean, anomalies = validate.split_anomalous(flagged)
-    new_events = dedup.enrich(clean, dim)
-    dates = flagged.select("event_date").distinct()
-    if existing is not None:
-        old = existing.join(dates, "event_date", "left_semi").select(*new_events.columns)
-        events = new_events.unionByName(old)
-    else:
-        events = new_events
-    events = events.checkpoint(eager=True)
-    sinks.write_curated_events(events, events_path)
-    summaries = rollups.daily_summaries(events.drop("country", "signup_date", "user_segment"), dim)
-    sinks.write_daily_summaries(summaries, summ_path)
-    try:
-        old_anom = spark.read.parquet(anom_path).join(dates, "event_date", "left_semi").select(*anomalies.columns)
-        anomalies = anomalies.unionByName(old_anom)
-    except Exception:  # noqa: BLE001 - no anomalies yet
-        pass
-    anomalies = anomalies.checkpoint(eager=True)
-    sinks.write_anomalies(anomalies, anom_path)
-    return {"dates": [str(r[0]) for r in dates.orderBy("event_date").collect()]}
+    sinks.rewrite_partitions(anomalies, dates, anom_path)
+    sinks.rewrite_partitions(dedup.enrich(clean, dim), dates, events_path)
+    sinks.rewrite_partitions(rollups.daily_summaries(clean, dim), dates, summ_path)
+    return dates

@@ -8,8 +8,10 @@ arrival-order fold is the streaming path):
 * the limiter counts every valid attempt of the user in the trailing hour,
   the current one and duplicates included;
 * among attempts not limited, the first per idempotency key (by time, then
-  arrival) is checked for timezone abuse; later copies, and keys already in
-  the accepted history, are duplicates;
+  arrival) is checked for timezone abuse; later copies of an accepted one, and
+  keys already in the accepted history, are duplicates. A later copy of a
+  blocked attempt is the same request again and blocked with it, so every
+  duplicate names an event that exists;
 * the rest are processed and get points, a replayable event id, the default
   source, an expiry and the user's local activity date.
 """
@@ -66,11 +68,16 @@ def classify(payloads: DataFrame, as_of, limits: Limits = DEFAULT_LIMITS,
     dup = F.col("_passed") & ((F.col(order_col) != F.col(f"_first.{order_col}")) | F.col("_hist_id").isNotNull())
     orig = F.when(dup, F.coalesce(F.col("_hist_id"),
                                   event_id_from_key(F.col("_first.created_at"), F.col("idempotency_key"))))
-    j = j.withColumns({"_dup": dup, "original_event_id": orig}).drop("_first", "_hist_id")
+    j = j.withColumns({"_dup": dup, "original_event_id": orig}).drop("_first")
 
     # timezone abuse among first attempts (F7, rule form)
     tz = anomaly.timezone_abuse(j, limits, ts="created_at", tie=order_col, zone="timezone",
                                 where=F.col("_passed") & ~F.col("_dup"))
+    blocked = tz.where("tz_abuse").select(F.col("idempotency_key").alias("_blocked_key")).distinct()
+    tz = tz.join(blocked, F.col("_dup") & (F.col("idempotency_key") == F.col("_blocked_key")), "left")
+    again = F.col("_blocked_key").isNotNull() & F.col("_hist_id").isNull()
+    tz = tz.withColumns({"tz_abuse": F.coalesce("tz_abuse", F.lit(False)) | again,
+                         "original_event_id": F.when(~again, F.col("original_event_id"))}).drop("_blocked_key", "_hist_id")
     status = F.coalesce(
         F.col("reject_status"),
         F.when(~F.col("_passed"), F.lit("rate_limited")),

@@ -38,8 +38,7 @@ dim AS (
   SELECT 'usr_' || CAST(c_custkey AS VARCHAR) AS user_id, n_name AS country,
          CAST(DATE '{adapter.SIGNUP_BASE}' + CAST(c_custkey % {adapter.SIGNUP_SPREAD_DAYS} AS INTEGER) AS DATE) AS signup_date,
          c_mktsegment AS user_segment
-  FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
-  WHERE c_custkey % {adapter.UNKNOWN_USER_MOD} <> {adapter.UNKNOWN_USER_REM})"""
+  FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey)"""
 
 
 def _curate_ctes() -> str:
@@ -96,21 +95,25 @@ UNION ALL SELECT 4, 'enriched', CAST(COUNT(*) AS BIGINT) FROM enriched""")
 
 
 # --- P2 ingest -----------------------------------------------------------------
-from streakflow.config import POINTS_MAP, STATUS_CODES, STATUSES  # noqa: E402
+from streakflow.config import POINTS_MAP, STATUS_CODES, STATUSES, STREAK_BUCKET_ELSE, STREAK_BUCKETS  # noqa: E402
 
 AS_OF = adapter.AS_OF
 AS_OF_DATE = AS_OF[:10]
 LOADED_AT = "2024-01-31 01:00:00"
 _VALID_TYPES = ", ".join(f"'{t}'" for t in POINTS_MAP)
 _POINTS_CASE = "CASE event_type " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in POINTS_MAP.items()) + " END"
+_ISO_RE = r"\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?"
 _OFFSET_RE = r"(Z|z|[+-]\d{2}(:?\d{2})?)$"
 
 
 def _utc_parse(col: str) -> str:
     """ISO text -> UTC instant, text without an offset read as UTC whatever
     the DuckDB session zone (Spark's session zone is pinned to UTC)."""
-    return (f"(TRY_CAST(CASE WHEN regexp_matches({col}, '{_OFFSET_RE}') THEN {col} ELSE {col} || '+00:00' END"
+    return (f"(TRY_CAST(CASE WHEN regexp_matches({col}, '^{_ISO_RE}{_OFFSET_RE}') THEN {col}"
+            f" WHEN regexp_matches({col}, '^{_ISO_RE}$') THEN {col} || '+00:00' END"
             f" AS TIMESTAMPTZ) AT TIME ZONE 'UTC')")
+
+
 _CODES_CASE = "CASE status " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in STATUS_CODES.items()) + " END"
 
 
@@ -130,7 +133,7 @@ def _reason_sql(max_age_days: int) -> str:
       CASE WHEN event_type NOT IN ({_VALID_TYPES}) THEN 'Invalid event_type: ' || event_type END,
       CASE WHEN NOT zone_ok THEN 'Invalid timezone: ' || timezone END,
       CASE WHEN parsed IS NULL THEN 'Invalid client_timestamp format (expected ISO 8601)' END,
-      CASE WHEN NOT regexp_matches(client_timestamp, '{_OFFSET_RE}') THEN 'timestamp_without_offset' END,
+      CASE WHEN NOT regexp_matches(client_timestamp, '^{_ISO_RE}{_OFFSET_RE}') THEN 'timestamp_without_offset' END,
       CASE WHEN parsed > TIMESTAMP '{AS_OF}' + INTERVAL 24 HOUR THEN 'client_timestamp is too far in the future'
            WHEN parsed < TIMESTAMP '{AS_OF}' - INTERVAL {max_age_days} DAY THEN 'client_timestamp is too far in the past'
       END)"""
@@ -181,6 +184,9 @@ verdicts AS (
   UNION ALL SELECT row_id, user_id, 'duplicate', 'Event already processed', NULL,
             strftime(first_ts, '%Y%m%dT%H%M%S') || '#' || substr(sha256(idempotency_key), 1, 8), received_at
             FROM ranked WHERE krank > 1
+            AND idempotency_key NOT IN (SELECT idempotency_key FROM tzf WHERE tz_abuse)
+  UNION ALL SELECT row_id, user_id, 'tz_abuse', 'Suspicious timezone change detected', NULL, NULL, received_at
+            FROM ranked WHERE krank > 1 AND idempotency_key IN (SELECT idempotency_key FROM tzf WHERE tz_abuse)
   UNION ALL SELECT row_id, user_id, 'processed', 'Event processed', event_id, NULL, received_at FROM acc),
 daily AS (
   SELECT user_id, activity_date, arg_min(event_id, (created_at, event_id)) AS first_event_id,
@@ -220,10 +226,13 @@ ORACLE["ingest_verdicts"] = with_ingest(_VERDICT_SELECT)
 ORACLE["ingest_verdicts_default_limits"] = with_ingest(_VERDICT_SELECT, max_age_days=7, rate_limit=100)
 
 ORACLE["parse_payload"] = with_ctes(f"""
-SELECT row_id, user_id, event_type, client_timestamp, timezone, idempotency_key, source,
-       json_extract_string(props, '$.k') AS metadata_k, CAST(NULL AS VARCHAR) AS corrupt_body,
+SELECT row_id, CASE WHEN ok THEN user_id END AS user_id, CASE WHEN ok THEN event_type END AS event_type,
+       CASE WHEN ok THEN client_timestamp END AS client_timestamp, CASE WHEN ok THEN timezone END AS timezone,
+       CASE WHEN ok THEN idempotency_key END AS idempotency_key, CASE WHEN ok THEN source END AS source,
+       CASE WHEN ok THEN json_extract_string(props, '$.k') END AS metadata_k,
+       CASE WHEN NOT ok THEN '{{"user_id": ' || CAST(row_id AS VARCHAR) END AS corrupt_body,
        {ts('received_at')} AS received_at
-FROM adapted""", curate=False)
+FROM (SELECT *, row_id % {adapter.BROKEN_BODY_EVERY} <> 0 AS ok FROM adapted)""", curate=False)
 
 ORACLE["accepted_events"] = with_ingest(f"""
 SELECT row_id, user_id, event_id, event_type, points_awarded, source, idempotency_key, client_timestamp,
@@ -321,14 +330,10 @@ SELECT CAST(date_trunc('week', event_date) AS DATE) AS week_start, country,
        round(AVG(total_points), 6) AS avg_daily_points, round(AVG(total_events), 6) AS avg_daily_events
 FROM summaries GROUP BY 1, 2""")
 
-ORACLE["streak_distribution"] = with_warehouse("""
-SELECT snapshot_date,
-       CASE WHEN current_streak = 0 THEN '0 (inactive)'
-            WHEN current_streak BETWEEN 1 AND 3 THEN '1-3 days'
-            WHEN current_streak BETWEEN 4 AND 7 THEN '4-7 days'
-            WHEN current_streak BETWEEN 8 AND 14 THEN '8-14 days'
-            WHEN current_streak BETWEEN 15 AND 30 THEN '15-30 days'
-            ELSE '30+ days' END AS streak_bucket,
+_BUCKET = "CASE " + " ".join(f"WHEN current_streak BETWEEN {low} AND {high} THEN '{label}'" for label, low, high in STREAK_BUCKETS) \
+    + f" ELSE '{STREAK_BUCKET_ELSE}' END"
+ORACLE["streak_distribution"] = with_warehouse(f"""
+SELECT snapshot_date, {_BUCKET} AS streak_bucket,
        CAST(COUNT(*) AS BIGINT) AS user_count, round(AVG(total_bestie_points), 6) AS avg_bp
 FROM snapshot GROUP BY 1, 2""")
 
@@ -337,7 +342,13 @@ SELECT event_date, event_type, CAST(COUNT(*) AS BIGINT) AS event_count,
        CAST(SUM(points_awarded) AS BIGINT) AS total_points, CAST(COUNT(DISTINCT user_id) AS BIGINT) AS unique_users
 FROM fact GROUP BY 1, 2"""
 ORACLE["event_type_performance"] = with_warehouse(_PERF)
-ORACLE["views_via_sql"] = with_warehouse(_PERF)
+ORACLE["views_via_sql"] = with_warehouse(f"""
+, weekly AS (SELECT date_trunc('week', event_date) AS w, country, COUNT(DISTINCT user_id) AS n FROM summaries GROUP BY 1, 2),
+buckets AS (SELECT snapshot_date, {_BUCKET} AS bucket, COUNT(*) AS n FROM snapshot GROUP BY 1, 2),
+perf AS (SELECT event_date, event_type, COUNT(*) AS n FROM fact GROUP BY 1, 2)
+SELECT 'weekly_streak_stats' AS view_name, CAST(COUNT(*) AS BIGINT) AS n_rows, CAST(SUM(n) AS BIGINT) AS total FROM weekly
+UNION ALL SELECT 'streak_distribution', CAST(COUNT(*) AS BIGINT), CAST(SUM(n) AS BIGINT) FROM buckets
+UNION ALL SELECT 'event_type_performance', CAST(COUNT(*) AS BIGINT), CAST(SUM(n) AS BIGINT) FROM perf""")
 
 ORACLE["merge_by_key"] = with_warehouse(f"""
 , stg_raw AS (

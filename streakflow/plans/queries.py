@@ -251,9 +251,14 @@ def q_event_perf(spark, sf_dir):
 
 @query("views_via_sql")
 def q_views_sql(spark, sf_dir):
-    """E6 as SQL text over a temp view (same plan as the DataFrame form)."""
-    _fact(spark, sf_dir).createOrReplaceTempView("fact_bp_events")
-    return warehouse.view_sql(spark, "v_event_type_performance")
+    """All three views by name in SQL: rows and total of each."""
+    warehouse.register_views(warehouse.weekly_streak_stats(_curated(spark, sf_dir).summaries, 6),
+                             warehouse.streak_distribution(_snapshot(spark, sf_dir), 6),
+                             warehouse.event_type_performance(_fact(spark, sf_dir)))
+    return spark.sql("""
+        SELECT 'weekly_streak_stats' AS view_name, count(*) AS n_rows, sum(active_users) AS total FROM v_weekly_streak_stats
+        UNION ALL SELECT 'streak_distribution', count(*), sum(user_count) FROM v_streak_distribution
+        UNION ALL SELECT 'event_type_performance', count(*), sum(event_count) FROM v_event_type_performance""")
 
 
 @query("merge_by_key")

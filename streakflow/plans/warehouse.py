@@ -31,18 +31,16 @@ def refresh_fact(spark: SparkSession, curated_events_path: str, fact_path: str,
     """Merge one curated date into the fact table; returns the staged rows."""
     checkpoint_dir(spark)
     stg = readers.stage_partition(spark.read.parquet(curated_events_path), event_date, loaded_at)
-    try:
+    if sinks.table_exists(spark, fact_path):
         fact = spark.read.parquet(fact_path).select(*schemas.FACT_BP_EVENTS.fieldNames())
-    except Exception:  # noqa: BLE001 - empty warehouse
-        fact = None
-    if fact is None:
-        merged = warehouse.merge_by_key(stg.limit(0), stg)
+        dates = warehouse.affected_dates(fact, stg).checkpoint(eager=True)
+        merged = warehouse.merge_by_key(fact.join(dates, "event_date", "left_semi"), stg)
     else:
-        dates = warehouse.affected_dates(fact, stg)
-        touched = fact.join(dates, "event_date", "left_semi")
-        merged = warehouse.merge_by_key(touched, stg)
+        dates = stg.select("event_date").distinct()
+        merged = warehouse.merge_by_key(stg.limit(0), stg)
     merged = merged.checkpoint(eager=True)
-    sinks.write_partitioned(merged, fact_path)
+    # a key that moved may leave its old date without rows
+    sinks.rewrite_partitions(merged, dates, fact_path)
     return stg
 
 

@@ -32,7 +32,8 @@ POINTS_OVERRIDES = ((97, "500"), (101, "-1"), (103, "12x"))
 DUP_EVERY = 20
 DUP_ID_OFFSET = 10_000_000
 RECEIVE_SPREAD_SECONDS = 7
-UNKNOWN_USER_MOD, UNKNOWN_USER_REM = 25, 7
+UNKNOWN_USER_MOD, UNKNOWN_USER_REM, UNKNOWN_USER_SHIFT = 25, 7, 1_000_000_000
+BROKEN_BODY_EVERY = 401
 SIGNUP_BASE = "2023-01-01"
 SIGNUP_SPREAD_DAYS = 365
 STREAK_FAULT_MOD = 11
@@ -82,7 +83,9 @@ def column_sql(dialect: str) -> dict[str, str]:
     points = f"CASE {overrides} ELSE CAST({type_points} AS STRING) END"
     iso = _iso_text("ts", dialect)
     client_ts = f"CASE WHEN src_id % {NO_OFFSET_EVERY} = 0 THEN {iso} ELSE {iso} || '+00:00' END"
-    user_id = "'usr_' || CAST(uid AS STRING)"
+    # some users' events come under a number that no customer has
+    user_id = (f"'usr_' || CAST(uid + CASE WHEN uid % {UNKNOWN_USER_MOD} = {UNKNOWN_USER_REM} "
+               f"THEN {UNKNOWN_USER_SHIFT} ELSE 0 END AS STRING)")
     key = f"{user_id} || ':' || {event_type} || ':' || {_key_text('ts', dialect)}"
     return {
         "user_id": user_id,
@@ -139,18 +142,18 @@ def payloads(adapted: DataFrame) -> DataFrame:
 
 
 def payload_json(adapted: DataFrame) -> DataFrame:
-    """Payloads as JSON request bodies, the input of ``parse_payload``."""
+    """Payloads as JSON request bodies, some cut short, the input of ``parse_payload``."""
     p = payloads(adapted)
     body = F.to_json(F.struct("user_id", "event_type", "client_timestamp", "timezone",
                               "idempotency_key", "source", "metadata"))
+    cut_short = F.concat(F.lit('{"user_id": '), F.col("row_id").cast("string"))
+    body = F.when(F.col("row_id") % BROKEN_BODY_EVERY == 0, cut_short).otherwise(body)
     return p.select("row_id", body.alias("body"), "received_at")
 
 
 def user_dim(customer: DataFrame, nation: DataFrame) -> DataFrame:
-    """User dimension from customer x nation; some users are left out on
-    purpose so enrichment meets unknown users."""
-    c = customer.select("c_custkey", "c_nationkey", "c_mktsegment").where(
-        F.col("c_custkey") % UNKNOWN_USER_MOD != UNKNOWN_USER_REM)
+    """User dimension: every customer with its nation (25 fixed rows)."""
+    c = customer.select("c_custkey", "c_nationkey", "c_mktsegment")
     n = nation.select("n_nationkey", "n_name")
     return c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey, "left").select(
         F.concat(F.lit("usr_"), F.col("c_custkey").cast("string")).alias("user_id"),

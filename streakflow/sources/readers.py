@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import (
-    ArrayType, DataType, DecimalType, DoubleType, LongType, MapType, StructField, StructType,
+    ArrayType, DataType, DecimalType, DoubleType, LongType, MapType, StringType, StructField, StructType,
 )
 
 from streakflow import schemas
@@ -20,8 +20,9 @@ from streakflow import schemas
 def read_raw(spark: SparkSession, path: str, since: dt.datetime | str | None = None,
              until: dt.datetime | str | None = None, schema: StructType | None = None) -> DataFrame:
     """A1: raw events under ``year=/month=/day=/hour=`` partitions, optionally
-    only hours in [since, until). The hour bound is a predicate on the
-    partition columns, so whole directories are pruned."""
+    only those created in [since, until) (UTC unless an offset is given). The
+    hours are predicates on the partition columns, so whole directories are
+    pruned; parts of an hour are decided by ``created_at``."""
     reader = spark.read.option("basePath", path)
     if schema is not None:
         reader = reader.schema(schema)
@@ -31,25 +32,38 @@ def read_raw(spark: SparkSession, path: str, since: dt.datetime | str | None = N
         hour_key = (F.col("year").cast("int") * 1000000 + F.col("month").cast("int") * 10000
                     + F.col("day").cast("int") * 100 + F.col("hour").cast("int"))
 
-        def _k(t):
+        def _utc(t):
             t = dt.datetime.fromisoformat(str(t))
+            return t.astimezone(dt.timezone.utc).replace(tzinfo=None) if t.tzinfo else t
+
+        def _k(t):
             return ((t.year * 100 + t.month) * 100 + t.day) * 100 + t.hour
 
+        created = F.col("created_at").cast("timestamp")
         if since is not None:
+            since = _utc(since)
             df = df.where(hour_key >= _k(since))
+            if since != since.replace(minute=0, second=0, microsecond=0):
+                df = df.where(created >= F.lit(f"{since}").cast("timestamp"))
         if until is not None:
-            df = df.where(hour_key < _k(until))
+            until = _utc(until)
+            if until == until.replace(minute=0, second=0, microsecond=0):
+                df = df.where(hour_key < _k(until))
+            else:
+                df = df.where((hour_key <= _k(until)) & (created < F.lit(f"{until}").cast("timestamp")))
     return df
 
 
 def parse_payload(bodies: DataFrame, body_col: str = "body", schema: StructType = schemas.PAYLOAD) -> DataFrame:
     """A2: JSON request bodies -> typed payload columns; a body that is not a
     JSON object keeps its text in ``corrupt_body``."""
-    parsed = F.from_json(F.col(body_col), schema, {"mode": "PERMISSIVE"})
+    marked = StructType([*schema.fields, StructField("_corrupt", StringType())])
+    parsed = F.from_json(F.col(body_col), marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    whole = F.col("_p").isNotNull() & F.col("_p._corrupt").isNull() & F.col("_body").rlike(r"^\s*\{")
     rest = [c for c in bodies.columns if c != body_col]
-    return bodies.select(*rest, parsed.alias("_p"), F.col(body_col)).select(
-        *rest, *[F.col(f"_p.{f.name}").alias(f.name) for f in schema.fields],
-        F.when(F.col("_p").isNull(), F.col(body_col)).alias("corrupt_body"),
+    return bodies.select(*rest, parsed.alias("_p"), F.col(body_col).alias("_body")).select(
+        *rest, *[F.when(whole, F.col(f"_p.{f.name}")).alias(f.name) for f in schema.fields],
+        F.when(~whole, F.col("_body")).alias("corrupt_body"),
     )
 
 

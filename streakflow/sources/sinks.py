@@ -8,7 +8,7 @@ layout later range reads by date and joins by user want.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
@@ -25,6 +25,35 @@ def write_partitioned(df: DataFrame, path: str, partition_col: str = "event_date
     writer.parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a partitioned table has been written there. Any failure to find out
+    (storage, permissions) is an error, never read as "no table"."""
+    files, where = _file_system(spark, path)
+    return files.exists(where) and any("=" in s.getPath().getName() for s in files.listStatus(where))
+
+
+def drop_partitions(spark: SparkSession, path: str, partition_col: str, values: list[str]) -> None:
+    """Removes partitions that a rebuild has left empty (dynamic overwrite only
+    replaces partitions that get rows)."""
+    for value in values:
+        files, where = _file_system(spark, f"{path}/{partition_col}={value}")
+        if files.exists(where):
+            files.delete(where, True)
+
+
+def rewrite_partitions(df: DataFrame, touched: DataFrame, path: str, partition_col: str = "event_date") -> None:
+    """``df`` holds all rows of the ``touched`` partitions (one value a row, so no more
+    rows than the table has partitions): replaces them and drops the emptied ones."""
+    write_partitioned(df, path, partition_col)
+    empty = touched.join(df.select(partition_col).distinct(), partition_col, "left_anti").where(F.col(partition_col).isNotNull())
+    drop_partitions(df.sparkSession, path, partition_col, [str(r[0]) for r in empty.toLocalIterator()])
+
+
 def write_curated_events(enriched: DataFrame, path: str) -> None:
     """Curated bp_events."""
     write_partitioned(enriched, path)

