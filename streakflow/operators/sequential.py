@@ -183,7 +183,7 @@ def stream_fold(limits: Limits = DEFAULT_LIMITS, clock: str = "received_at"):
         batch = pd.concat(list(pdfs), ignore_index=True).sort_values([clock, "row_id"], kind="mergesort")
         rows = fold_user(batch, st, limits, clock)
         state.update(st.to_row())
-        state.setTimeoutDuration(keep_ms)
+        state.setTimeoutTimestamp(int(pd.Timestamp(batch[clock].max()).value // 1_000_000) + keep_ms)
         verdicts = pd.DataFrame(rows, columns=["row_id", "user_id", "status", "reason", "event_id",
                                                "original_event_id"])
         carried = batch[["row_id", *_CARRY]]

@@ -3,8 +3,8 @@
 * J1 ``ingest_stream``: stateless validation (B2-B6) against the arrival
   clock, rejected rows decided there and then; valid rows go through the exact
   per-user fold (rate limit J4, zone abuse J5, duplicates) in
-  ``applyInPandasWithState``, in arrival order. No watermark, so no client
-  clock can make a row late. State per user is bounded by the rule windows and
+  ``applyInPandasWithState``, in arrival order. The watermark goes by the arrival
+  clock, so no client clock can make a row late. State per user is bounded by the rule windows and
   removed once the user has been silent longer than the longest of them; older
   keys are looked up in the stored log.
 * D4 ``stream_dedup``: ``dropDuplicatesWithinWatermark`` on the record id.
@@ -69,14 +69,17 @@ def ingest_stream(payloads: DataFrame, limits: Limits = DEFAULT_LIMITS, clock: s
         "reason": F.coalesce("reject_reason", F.lit("Missing required field: user_id")),
         "event_id": F.lit(None).cast("string"), "original_event_id": F.lit(None).cast("string")})
     rejected = rejected.select(*[F.col(n).cast(t).alias(n) for n, t in _OUT])
-    valid = v.where(~F.col("_rejected"))
+    # the watermark ends silent users' state and goes by the arrival clock, with the
+    # longest rule window as its delay; no client time moves it
+    keep = f"{limits.max_age_days * 24 + limits.max_future_hours} hours"
+    valid = v.where(~F.col("_rejected")).withWatermark(clock, keep)
     if stored_log is not None:
         stored = stored_log.where(F.col("idempotency_key").isNotNull()).groupBy("idempotency_key").agg(
             F.min("event_id").alias("stored_event_id"))
         valid = valid.join(stored, "idempotency_key", "left")
     decided = valid.groupBy("user_id").applyInPandasWithState(
         sequential.stream_fold(limits, clock), sequential.STREAM_OUTPUT, sequential.STATE_SCHEMA,
-        "append", GroupStateTimeout.ProcessingTimeTimeout)
+        "append", GroupStateTimeout.EventTimeTimeout)
     processed = F.col("status") == "processed"
     return decided.unionByName(rejected).withColumns({
         "points_awarded": F.when(processed, award_points("event_type")),
