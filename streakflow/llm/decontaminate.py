@@ -32,17 +32,16 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
-def _seed_at(number: int, mask: tuple[int, ...]):
-    return lambda x, i: F.xxhash64(F.lit(number), x, *[F.get("h", i + offset) for offset in mask[1:]])
-
-
 def _seeds(table: DataFrame, *keys: str) -> DataFrame:
-    """(keys, pos, seed) of every mask at every position of column ``words``."""
+    """(keys, pos, seed) of every mask at every position of column ``words``. The word
+    hashes, shifted by 0 to SPAN - 1, are zipped and exploded, so that the seeds are
+    plain expressions over one row and stay in generated code."""
     hashed = table.select(*keys, F.transform("words", lambda w: F.xxhash64(w)).alias("h")).where(F.size("h") >= SPAN)
     places = F.size("h") - (SPAN - 1)
-    of_mask = [F.transform(F.slice("h", 1, places), _seed_at(m, mask)) for m, mask in enumerate(MASKS)]
-    rows = hashed.select(*keys, places.alias("places"), F.posexplode(F.concat(*of_mask)).alias("k", "seed"))
-    return rows.select(*keys, (F.col("k") % F.col("places")).alias("pos"), "seed")
+    shifted = F.arrays_zip(*[F.slice("h", k + 1, places) for k in range(SPAN)])
+    rows = hashed.select(*keys, F.posexplode(shifted).alias("pos", "at"))
+    of_mask = [F.xxhash64(F.lit(m), *[F.col("at")[str(offset)] for offset in mask]) for m, mask in enumerate(MASKS)]
+    return rows.select(*keys, "pos", F.explode(F.array(*of_mask)).alias("seed"))
 
 
 def _agreement(window: int, share: int) -> tuple[Column, Column, Column]:
