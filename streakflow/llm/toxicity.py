@@ -49,9 +49,16 @@ def clean(piece: str) -> str:
 
 def grams(word: str, buckets: int, shortest: int = 3, longest: int = 5) -> np.ndarray:
     """Buckets of a word's n-grams and of the word itself (first)."""
-    marked = f"<{word}>"
+    return np.array([c % buckets for c in _checksums(word, shortest, longest)], np.int32)
+
+
+def _checksums(word: str, shortest: int = 3, longest: int = 5) -> list[int]:
+    marked, crc = f"<{word}>", zlib.crc32
+    if marked.isascii():  # a slice of the bytes is the bytes of the slice
+        raw = marked.encode()
+        return [crc(b"=" + raw[1:-1])] + [crc(raw[i:i + n]) for n in range(shortest, longest + 1) for i in range(len(raw) - n + 1)]
     found = [f"={word}"] + [marked[i:i + n] for n in range(shortest, longest + 1) for i in range(len(marked) - n + 1)]
-    return np.array([zlib.crc32(g.encode("utf-8", "surrogatepass")) % buckets for g in found], np.int32)
+    return [crc(g.encode("utf-8", "surrogatepass")) for g in found]
 
 
 def misspell(word: str) -> str:
@@ -72,8 +79,11 @@ class Model:
 
     def shares(self, words: list[str]) -> list[float]:
         """What each word adds to the logit before the mean over words is taken."""
-        n = len(self.word_score)
-        return [float(self.word_score[grams(w, n)].mean()) for w in words]
+        n, table, out = len(self.word_score), self.word_score.tolist(), []
+        for w in words:
+            found = _checksums(w)
+            out.append(sum([table[c % n] for c in found]) / len(found))
+        return out
 
 
 def train(rows: list[tuple[str, int]], buckets: int = 1 << 18, dim: int = 8, rounds: int = 120, parts: int = 4, rate: float = 0.05,
@@ -112,7 +122,8 @@ def train(rows: list[tuple[str, int]], buckets: int = 1 << 18, dim: int = 8, rou
             target.append(label)
     y = np.array(target)
     index, value, size = np.concatenate(index), np.concatenate(value), np.array(size)
-    doc = np.repeat(np.arange(len(size)), size).astype(np.int32)
+    known.clear()
+    doc = np.repeat(np.arange(len(size), dtype=np.int32), size)
     common = np.bincount(index, minlength=buckets)[index] >= min_texts  # a gram of one text teaches nothing
     index, value, doc = index[common], value[common], doc[common]
     used, index = np.unique(index, return_inverse=True)
@@ -193,5 +204,5 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-        rows_per_label: int = 1200, max_train_bytes: int = 1 << 15) -> Model:
+        rows_per_label: int = 900, max_train_bytes: int = 1 << 15) -> Model:
     return train(training_rows(docs, labels, ~held_out(id_col), id_col, text_col, label_col, rows_per_label, max_train_bytes))
