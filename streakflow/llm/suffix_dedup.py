@@ -35,7 +35,7 @@ from streakflow.llm.suffix_sort import adjacent_agree, suffix_array
 _U = np.uint64
 _GRAM = 32
 _P, _Q = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
-_FIELDS = "kind int, key long, ctx long, left int, size int, id long, th long, start long"
+_FIELDS = "kind int, key long, ctx long, left int, size int, id long, th int, start long"
 _NAMES = [f.split()[0] for f in _FIELDS.split(", ")]
 _SPAN, _ANCHOR, _FETCH = 0, 1, 2
 _LAST = (1 << 63) - 1
@@ -115,7 +115,7 @@ def _batch(kind: int, c: dict[str, np.ndarray], which: np.ndarray) -> pa.RecordB
 
 def _span_keys(c: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     """Spans pass through the shuffle by anchor; a key of their own spreads them."""
-    return c | {"key": _mix(c["th"].view(_U) ^ c["start"].view(_U)).view(np.int64)}
+    return c | {"key": _mix(c["id"].view(_U) ^ c["start"].view(_U)).view(np.int64)}
 
 
 def _emit_anchors(length: int, most: int = 400_000):
@@ -183,7 +183,7 @@ def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for i, th, body, wants in zip(*(c.to_pylist() for c in [*part.columns[:2], part.column(2).cast(pa.binary()), part.column(3)])):
                 yield pa.RecordBatch.from_arrays([
                     pa.array([w["key"] for w in wants], pa.int64()), pa.array([w["left"] for w in wants], pa.int32()),
-                    pa.array([i] * len(wants), pa.int64()), pa.array([th] * len(wants), pa.int64()),
+                    pa.array([i] * len(wants), pa.int64()), pa.array([th] * len(wants), pa.int32()),
                     pa.array([w["start"] for w in wants], pa.int64()),
                     pa.array([body[w["start"]:w["start"] + w["size"]] for w in wants], pa.binary())], names=names)
 
@@ -226,7 +226,7 @@ def _compare(length: int, most: int = 4 << 20):
         def settle():
             found = equal_windows([h[5] for h in held], [(h[2], h[3], h[4]) for h in held], length)
             return pa.RecordBatch.from_arrays([
-                pa.array([held[o][2] for o, _, _ in found], pa.int64()), pa.array([held[o][3] for o, _, _ in found], pa.int64()),
+                pa.array([held[o][2] for o, _, _ in found], pa.int64()), pa.array([held[o][3] for o, _, _ in found], pa.int32()),
                 pa.array([held[o][4] + a for o, a, _ in found], pa.int64()), pa.array([held[o][4] + b for o, _, b in found], pa.int64())],
                 names=["id", "th", "start", "end"])
 
@@ -277,16 +277,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """One row per input row: ``id_col``, n_bytes, spans (removed stretches, in bytes) and
     kept (binary: the remaining bytes)."""
     text = text_of(text_col)
-    source = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("id"), F.xxhash64(text).alias("th"),
+    source = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("id"), F.hash(text).alias("th"),
                          text.alias("text"))
     anchors = map_arrow(source.where(F.octet_length("text") >= length), _emit_anchors(length), _FIELDS)
     found = cut(map_arrow(anchors.repartition("key").sortWithinPartitions("key"), _meet, _FIELDS))
     wants = (found.where(F.col("kind") == _FETCH).groupBy("id", "th")
              .agg(F.collect_list(F.struct("key", "left", "size", "start")).alias("wants")))  # within one document
-    wants = _bounded(wants, F.size("wants") * 24)
+    # most documents want something as the corpus grows: always joined by shuffle
+    wants = cut(wants).hint("merge")
     fetched = source.join(wants, ["id", "th"]).dropDuplicates(["id", "th"]).select("id", "th", "text", "wants")
-    contexts = map_arrow(fetched, _fetch, "key long, left int, id long, th long, start long, body binary")
-    windows = map_arrow(contexts.repartition("key").sortWithinPartitions("key"), _compare(length), "id long, th long, start long, end long")
+    contexts = map_arrow(fetched, _fetch, "key long, left int, id long, th int, start long, body binary")
+    windows = map_arrow(contexts.repartition("key").sortWithinPartitions("key"), _compare(length), "id long, th int, start long, end long")
     spans = found.where(F.col("kind") == _SPAN).select("id", "th", "start", (F.col("start") + F.col("size")).alias("end"))
     spans = spans.unionByName(windows).groupBy("id", "th").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     spans = _bounded(spans, F.size("spans") * 16)
