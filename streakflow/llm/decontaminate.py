@@ -74,8 +74,10 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     pairs = hit_docs.join(pairs, F.col("id").eqNullSafe(F.col("own")) & (F.col("text_hash") == F.col("own_hash")))
     pairs = pairs.join(tests.withColumnRenamed("words", "item_words"), "item")
     same, best, leaked = _agreement(window, share)
-    scored = (pairs.select("id", "text_hash", "item", "diag", "item_words", words(F.col("text")).alias("words"))
-              .withColumn("same", same).withColumn("best_window", best).where(leaked))
+    # written in between: a lambda would otherwise split the text anew for every word
+    aligned = cut(pairs.select("id", "text_hash", "item", "diag", "item_words", words(F.col("text")).alias("words")))
+    compared = cut(aligned.select("id", "text_hash", "item", "diag", same.alias("same")))
+    scored = compared.withColumn("best_window", best).where(leaked)
     top = F.struct("best_window", F.aggregate("same", F.lit(0), lambda total, x: total + x).alias("n_agree"),
                    F.size("same").alias("n_item_words"), (-F.col("diag")).alias("back"))
     return scored.groupBy("id", "item", "text_hash").agg(F.max(top).alias("top")).select(
