@@ -1,7 +1,8 @@
 """Toxicity: a subword-bag classifier.
 
-A text is the set of its words (white-space pieces, lower-cased, marks at the ends
-taken off, look-alike digits and signs inside read as letters, other signs dropped).
+A text is the bag of its words (white-space pieces, lower-cased, marks at the ends
+taken off, look-alike digits and signs inside read as letters, other signs dropped);
+a word counts as often as it occurs, so a share of words does not fall with length.
 A word is the mean of the vectors of its character 3- to 5-grams, boundary marks
 included, and of the whole word, all hashed into one table. A text is the mean of its
 words, and a linear softmax over two classes turns it into a score. Table and softmax
@@ -23,6 +24,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -86,6 +88,15 @@ class Model:
         return out
 
 
+def _bag(counted: Iterator[tuple[str, int]]) -> Counter[str]:
+    """Occurrences of every word; pieces without one are left out."""
+    bag = Counter()
+    for word, k in counted:
+        if word:
+            bag[word] += k
+    return bag
+
+
 def train(rows: list[tuple[str, int]], buckets: int = 1 << 18, dim: int = 8, rounds: int = 120, parts: int = 4, rate: float = 0.05,
           decay: float = 0.005, min_texts: int = 5, seed: int = 7) -> Model:
     """Fits table and softmax jointly (Adam on the cross-entropy over a part of the texts
@@ -99,12 +110,12 @@ def train(rows: list[tuple[str, int]], buckets: int = 1 << 18, dim: int = 8, rou
     rng, known, wrong = np.random.default_rng(seed), {}, {}
     index, value, size, target = [], [], [], []
     for text, label in rows:
-        own = {clean(p) for p in text.lower().split()} - {""}
-        for w in own - wrong.keys():
+        own = _bag((clean(p), k) for p, k in Counter(text.lower().split()).items())
+        for w in own.keys() - wrong.keys():
             wrong[w] = misspell(w)
-        for variant in (own, {wrong[w] for w in own}) if label else (own,):
-            bags = []
-            for w in sorted(variant):
+        for variant in (own, _bag((wrong[w], k) for w, k in own.items())) if label else (own,):
+            bags, words = [], sorted(variant)
+            for w in words:
                 if w not in known:
                     known[w] = grams(w, buckets)
                 bags.append(known[w])
@@ -112,7 +123,8 @@ def train(rows: list[tuple[str, int]], buckets: int = 1 << 18, dim: int = 8, rou
                 continue
             lengths = np.array([len(b) for b in bags])
             ids = np.concatenate(bags)
-            weight = np.repeat(1.0 / (lengths * (len(bags) + PADDING)), lengths)
+            counts = np.array([variant[w] for w in words])
+            weight = np.repeat(counts / (lengths * (counts.sum() + PADDING)), lengths)
             order = np.argsort(ids, kind="stable")
             ids = ids[order]
             starts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
@@ -173,6 +185,13 @@ def training_rows(docs: DataFrame, labels: DataFrame, eligible: Column, id_col:
     return [(t, y) for _, y, t in rows]
 
 
+def _mean(bag: Counter[str], pieces: dict[str, float | None]) -> float:
+    """The mean of what a text's words add, every occurrence counted."""
+    found = [(pieces[p], k) for p, k in bag.items()]
+    shares, counts = [x for x, _ in found if x is not None], [k for x, k in found if x is not None]
+    return math.sumprod(shares, counts) / (sum(counts) + PADDING)
+
+
 def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "score") -> DataFrame:
     """All columns of ``docs`` plus ``out`` (double, 0 to 1)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -181,16 +200,19 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "sco
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = shared.value
-        bases = Memo(lambda pieces: list(map(clean, pieces)), 200_000)
         words = Memo(fitted.shares, 200_000)
+
+        def adds(pieces: list[str]) -> list[float | None]:
+            bases = list(map(clean, pieces))
+            words.learn({w for w in bases if w})
+            return [words[w] if w else None for w in bases]
+
+        pieces = Memo(adds, 200_000)
         for batch in batches:
             for part in by_bytes(batch, len(names)):
-                sets = [set(t.lower().split()) for t in texts(part.column(len(names)))]
-                bases.learn(set().union(*sets))
-                sets = [set(map(bases.__getitem__, s)) - {""} for s in sets]
-                words.learn(set().union(*sets))
-                # fsum does not depend on the order of a set
-                logits = np.array([fitted.bias + math.fsum(map(words.__getitem__, s)) / (len(s) + PADDING) for s in sets])
+                bags = [Counter(t.lower().split()) for t in texts(part.column(len(names)))]
+                pieces.learn(set().union(*bags))
+                logits = np.array([fitted.bias + _mean(bag, pieces) for bag in bags])
                 scores = 1.0 / (1.0 + np.exp(-np.clip(logits, -50.0, 50.0)))
                 yield pa.RecordBatch.from_arrays([*part.columns[:len(names)], pa.array(scores, pa.float64())],
                                                  names=[*names, out])

@@ -140,6 +140,22 @@ def test_toxicity_held_out_and_misspelt(spark):
     assert got[1] > 0.5 > got[2]
 
 
+def test_toxicity_of_long_texts(spark):
+    rng = np.random.default_rng(3)
+    plain = ["".join(rng.choice(list("aeioulnrst"), int(rng.integers(4, 10)))) for _ in range(12_000)]
+    bad = ["worthless", "pathetic", "moronic", "disgusting"]
+
+    def text(n, toxic):
+        return " ".join(rng.choice(bad) if toxic and rng.random() < 0.03 else plain[int(rng.integers(len(plain)))] for _ in range(n))
+
+    train = [(i, text(150, i % 3 == 0)) for i in range(900)]
+    away = [(10_000 + i, text(8_000, i % 2 == 0)) for i in range(20)]
+    assert min(len(t) for _, t in away) > 1 << 15
+    model = toxicity.fit(frame(spark, train), spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in train], "doc_id long, toxic int"))
+    scored = {r.doc_id: r.score for r in toxicity.score(frame(spark, away), model).collect()}
+    assert [i for i, _ in away if scored[i] >= 0.5] == [i for i, _ in away if i % 2 == 0]
+
+
 def test_toxicity_odd_inputs(spark):
     docs = frame(spark, ODD)
     none = toxicity.fit(docs, spark.createDataFrame([], "doc_id long, toxic int"))
