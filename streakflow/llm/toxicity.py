@@ -133,13 +133,19 @@ def train(rows: list[tuple[str, int]], buckets: int = 1 << 18, dim: int = 8, rou
             size.append(len(starts))
             target.append(label)
     y = np.array(target)
-    index, value, size = np.concatenate(index), np.concatenate(value), np.array(size)
     known.clear()
+    texts_with = np.zeros(buckets, np.int32)
+    for ids in index:
+        texts_with[ids] += 1
+    used = np.flatnonzero(texts_with >= min_texts)  # a gram of one text teaches nothing
+    place = np.full(buckets, -1, np.int32)
+    place[used] = np.arange(len(used), dtype=np.int32)
+    for k, ids in enumerate(index):  # text by text, so that nothing is held twice
+        own = place[ids]
+        index[k], value[k], size[k] = own[own >= 0], value[k][own >= 0], int((own >= 0).sum())
+    index = np.concatenate(index)
+    value = np.concatenate(value)
     doc = np.repeat(np.arange(len(size), dtype=np.int32), size)
-    common = np.bincount(index, minlength=buckets)[index] >= min_texts  # a gram of one text teaches nothing
-    index, value, doc = index[common], value[common], doc[common]
-    used, index = np.unique(index, return_inverse=True)
-    index = index.astype(np.int32)
     cuts = np.searchsorted(doc, np.linspace(0, len(y), parts + 1).astype(int))
     table = rng.standard_normal((len(used), dim)) * 0.1
     head = rng.standard_normal((dim, 2)) * 0.5
@@ -226,5 +232,5 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-        rows_per_label: int = 900, max_train_bytes: int = 1 << 15) -> Model:
+        rows_per_label: int = 1200, max_train_bytes: int = 1 << 15) -> Model:
     return train(training_rows(docs, labels, ~held_out(id_col), id_col, text_col, label_col, rows_per_label, max_train_bytes))

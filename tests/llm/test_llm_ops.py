@@ -1,6 +1,7 @@
 """Operators against brute force, the reference libraries and odd inputs."""
 import base64
 import hashlib
+import inspect
 import re
 import zlib
 from collections import Counter
@@ -156,6 +157,15 @@ def test_toxicity_of_long_texts(spark):
     assert [i for i, _ in away if scored[i] >= 0.5] == [i for i, _ in away if i % 2 == 0]
 
 
+def test_toxicity_sample_is_whole(spark):
+    rows = [(i, "plain text") for i in range(5_000)]
+    defaults = {k: p.default for k, p in inspect.signature(toxicity.fit).parameters.items()}
+    marks = spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    picked = toxicity.training_rows(frame(spark, rows), marks, F.lit(True), "doc_id", "text", "toxic",
+                                    defaults["rows_per_label"], defaults["max_train_bytes"])
+    assert Counter(y for _, y in picked) == {1: 1_200, 0: 2_400}
+
+
 def test_toxicity_odd_inputs(spark):
     docs = frame(spark, ODD)
     none = toxicity.fit(docs, spark.createDataFrame([], "doc_id long, toxic int"))
