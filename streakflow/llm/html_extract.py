@@ -12,6 +12,10 @@ every block's label is known), and the sampled pages themselves are added wherev
 ``article`` or ``main`` element tells what their text is. Labelling is one narrow pass
 over every whole page.
 
+The content of script and style runs to their own end tag and is no text; that of a
+textarea or svg is a block, that of math part of its sentence; noscript, template, iframe
+and object are elements like others, and the labeller judges their text.
+
 Cases: null or empty html, or html without text, gives an empty text; tags left open
 end with the page or where HTML ends them; a br is white space; character references
 are decoded, then white space is made one space; repeated rows give equal results;
@@ -37,10 +41,16 @@ INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kb
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
                      "header hr main menu nav ol p pre section table ul".split())
-RAW = frozenset("script style noscript template iframe svg math object textarea".split())
+#: Elements whose content runs to their own end tag: code, the text of a field, a drawing, a formula.
+NO_TEXT = frozenset("script style".split())
+RAW = NO_TEXT | {"textarea", "svg", "math"}
 
 PATH_DIMS, WORD_DIMS = 128, 24
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
+_TAG = re.compile(
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*>"
+    # a quote counts at the start of a value only; one that nothing closes is part of an unquoted value
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[\s/]+|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*\"|'[^']*'|[^\s>]*+))?+)*+)>", re.DOTALL)
+_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.IGNORECASE) for name in RAW}
 _MARKS = re.compile(r"""(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.IGNORECASE)
 
 
@@ -58,28 +68,38 @@ def blocks_of(page: str) -> list[tuple[str, str]]:
         if text:
             out.append(("/".join(stack), text))
 
-    skip = None
-    for found in _TAG.finditer(page):
+    endless = set()  # raw elements that no end tag closes any more
+    found = _TAG.search(page)
+    while found:
         name = found[2].lower() if found[2] else None
-        if skip:
-            if name == skip and found[1]:
-                skip, at = None, found.end()
-            continue
         held.append(page[at:found.start()])
         at = found.end()
-        if name is None:
-            continue
         if name in RAW and not found[1]:
             held.append(" ")
-            skip = None if found[3].endswith("/") else name
+            end = None if found[3].endswith("/") or name in endless else _END[name].search(page, at)
+            if end:
+                inner = page[at:end.start()]
+                if name == "math":  # part of its sentence
+                    held.append(_TAG.sub("", inner) + " ")
+                elif name not in NO_TEXT:
+                    text = " ".join(t for _, t in blocks_of(inner)) if name == "svg" else " ".join(html_lib.unescape(inner).split())
+                    if text:
+                        flush()
+                        out.append(("/".join([*stack, name]), text))
+                at = end.end()
+            elif not found[3].endswith("/"):
+                endless.add(name)
+                at = len(page) if name in NO_TEXT else at
+        found, tag = _TAG.search(page, at), found
+        if name is None or name in RAW:
             continue
         if name in INLINE:
             held.append(" " if name == "br" else "")
-            if name == "a" and not found[1]:
+            if name == "a" and not tag[1]:
                 held.append("")
             continue
         flush()
-        if found[1]:
+        if tag[1]:
             if name in names:
                 while names.pop() != name:
                     stack.pop()
@@ -90,12 +110,11 @@ def blocks_of(page: str) -> list[tuple[str, str]]:
             while names.pop() != closes:
                 stack.pop()
             stack.pop()
-        if name not in VOID and not found[3].endswith("/"):
-            marks = [m.strip("\"'") for m in _MARKS.findall(found[3])] if found[3] else []
+        if name not in VOID and not tag[3].endswith("/"):
+            marks = [m.strip("\"'") for m in _MARKS.findall(tag[3])] if tag[3] else []
             names.append(name)
             stack.append(".".join([name, *re.findall("[a-z0-9]+", " ".join(marks).lower())]))
-    if not skip:
-        held.append(page[at:])
+    held.append(page[at:])
     flush()
     return out
 
@@ -226,8 +245,20 @@ def _padded(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return x, real
 
 
+def _by_cells(pages: list, cells: int) -> list[list]:
+    """The pages of a step in parts whose padded blocks stay bounded; their gradients add up."""
+    if len(pages) * max(len(label) for _, label in pages) <= cells:
+        return [pages]
+    parts, order = [], sorted(range(len(pages)), key=lambda i: len(pages[i][1]))
+    while order:
+        width = max(1, cells // len(pages[order[-1]][1]))
+        parts.append([pages[i] for i in order[-width:]])
+        order = order[:-width]
+    return parts
+
+
 def train(pages: list[tuple[np.ndarray, np.ndarray]], hidden: int = 16, epochs: int = 10, rate: float = 0.01,
-          batch: int = 32, seed: int = 5) -> BiLstm:
+          batch: int = 32, seed: int = 5, cells: int = 12_000) -> BiLstm:
     rng = np.random.default_rng(seed)
     model = BiLstm.fresh(pages[0][0].shape[1] if pages else PATH_DIMS + WORD_DIMS + 3, hidden, rng)
     state = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in model.params.items()}
@@ -236,13 +267,17 @@ def train(pages: list[tuple[np.ndarray, np.ndarray]], hidden: int = 16, epochs:
         order = rng.permutation(len(pages))
         for start in range(0, len(order), batch):
             some = [pages[i] for i in order[start:start + batch]]
-            x, real = _padded([p for p, _ in some])
-            y = np.zeros(real.shape, np.float32)
-            for n, (_, label) in enumerate(some):
-                y[:len(label), n] = label
+            grads, total = {}, sum(len(label) for _, label in some)
+            for few in _by_cells(some, cells):
+                x, real = _padded([p for p, _ in few])
+                y = np.zeros(real.shape, np.float32)
+                for n, (_, label) in enumerate(few):
+                    y[:len(label), n] = label
+                for k, g in model.gradients(x, real, y).items():
+                    grads[k] = grads.get(k, 0) + g * np.float32(real.sum() / max(1, total))
             step += 1
             now = rate * (1 - epoch / epochs) + 1e-4
-            for k, g in model.gradients(x, real, y).items():
+            for k, g in grads.items():
                 m, v = state[k]
                 m += 0.1 * (g - m)
                 v += 0.01 * (g * g - v)
@@ -309,7 +344,7 @@ def layout_page(paragraphs: list[str], scraps: list[str], rng: np.random.Generat
 def taught_label(path: str) -> int:
     """Label by the page's own article or main element, for sampled pages."""
     steps = [s.split(".") for s in path.split("/")]
-    bad = {"nav", "header", "footer", "aside", "form", "figcaption", "button"} | {m for marks in OTHER_MARKS.values() for m in marks}
+    bad = {"nav", "header", "footer", "aside", "form", "figcaption", "button", "noscript", "template", "iframe", "textarea", "svg"} | {m for marks in OTHER_MARKS.values() for m in marks}
     inside = [i for i, s in enumerate(steps) if s[0] in ("article", "main")]
     return int(bool(inside) and not any(s[0] in bad - {"header"} or bad & set(s[1:]) for s in steps[inside[0]:]))
 
@@ -330,8 +365,7 @@ def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sampl
         training.append((features(blocks), np.array(labels, np.float32)))
     for blocks in own:
         if any(taught_label(path) for path, _ in blocks):
-            some = blocks[:200]
-            training.append((features(some), np.array([taught_label(path) for path, _ in some], np.float32)))
+            training.append((features(blocks), np.array([taught_label(path) for path, _ in blocks], np.float32)))
     return train(training)
 
 

@@ -187,6 +187,31 @@ def test_blocks_follow_html_rules():
     assert html_extract.blocks_of("") == [] and html_extract.blocks_of("<script>x") == []
 
 
+def test_blocks_after_raw_content_and_quotes():
+    only = lambda page: [t for _, t in html_extract.blocks_of(page)]
+    for head in ("<script>for(i=0;i<n;i++){f(i)}</script>", "<script>a='<!--';b=\"</p\"</script>", "<style>a<b{}</STYLE >",
+                 "<!-->", "<!--->", "<!-- a --!>", "<img alt=it's>", "<img it's>", "<img alt='a>b' src=x?y=\"z>", "<img alt = \"a>b\">"):
+        assert only(head + "<article>kept</article><p>end</p>") == ["kept", "end"], head
+    assert only("<p>a</p><script>if(a<b)") == ["a"] and only("<p title=it's>a</p>b") == ["a", "b"]
+    assert html_extract.blocks_of("<div><noscript><p>one</p></noscript><textarea><b>two</textarea><p>x <math><mi>y</mi></math> z"
+                                  "<p>three<svg><style>a{}</style><text>four</text></svg><object>five</object></div>") == [
+        ("div/noscript/p", "one"), ("div/textarea", "<b>two"), ("div/p", "x y z"), ("div/p", "three"), ("div/p/svg", "four"), ("div/p/object", "five")]
+    assert only("<svg>" * 5_000 + "x") == ["x"]
+
+
+def test_training_takes_all_blocks(spark, monkeypatch):
+    page = "<body><article>" + "".join(f"<p>A sentence that has number {i}.</p>" for i in range(300)) + "</article><footer>f</footer></body>"
+    seen = []
+    monkeypatch.setattr(html_extract, "train", lambda pages: seen.extend(pages))
+    html_extract.fit(spark.createDataFrame([(1, page)], "page_id long, html string"))
+    assert max(len(label) for _, label in seen) == 301
+    rng = np.random.default_rng(0)
+    monkeypatch.undo()
+    pages = [(rng.random((n, 4)).astype(np.float32), (rng.random(n) > 0.5).astype(np.float32)) for n in (3, 40, 9, 20)]
+    whole, parts = (html_extract.train(pages, hidden=3, epochs=2, cells=c) for c in (10_000, 40))
+    assert all(np.allclose(whole.params[k], parts.params[k], atol=1e-3) for k in whole.params)
+
+
 def test_lstm_gradients():
     rng = np.random.default_rng(0)
     model = html_extract.BiLstm.fresh(5, 3, rng)
