@@ -1,8 +1,10 @@
 """Benchmark decontamination by spaced seeds.
 
 Texts are sequences of lower-case words (runs of letters and digits). A mask fixes
-some of ``SPAN`` consecutive positions and ignores the others, so a seed still matches
-where a word at an ignored position was replaced. The seeds of all test items and of
+some of a few consecutive positions and ignores the others, so a seed still matches
+where a word at an ignored position was replaced. An item's masks depend on its length:
+whichever words of a window differ, as many as ``share`` admits, one mask fits beside
+them, so no leak is missed. The seeds of all test items and of
 all documents are joined by hash; a hit gives a document, an item and their alignment.
 Along each alignment the words are then compared: the item has leaked if some
 ``window`` consecutive words of it agree in at least ``share`` percent.
@@ -12,36 +14,59 @@ as (id, text hash, position, seed), never with the text. The seeds of the test i
 counted and broadcast below a bound, joined by shuffle beyond it. Word arrays are built
 again only for documents that were hit.
 
-Cases: null or empty texts have no seed; items with fewer words than ``SPAN`` have
-none either and flag nothing; an item between ``SPAN`` and ``window`` words must agree
-as a whole; repeated rows are one (id, text) and give one result per item; equal items
-each give a row; other columns are not read; empty tables give an empty result.
+Cases: null or empty texts have no seed; an item shorter than ``window`` must agree as a
+whole in ``share`` percent, so one of one to four words flags exact copies only; repeated
+rows are one (id, text) and give one result per item; equal items each give a row; other
+columns are not read; empty tables give an empty result.
 """
 from __future__ import annotations
 
+import zlib
+from functools import lru_cache, reduce
+from itertools import combinations
+from math import comb
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from streakflow.llm.common import cut, small_side, text_of
 
-SPAN = 10
-#: Positions that count; the last and first positions differ, so that each mask fits where another fails.
-MASKS = ((0, 1, 2, 4, 7, 9), (0, 2, 3, 5, 6, 9), (0, 1, 3, 6, 7, 8))
+Mask = tuple[int, ...]
+#: Sets of masks (positions that count), those with the most words first: for 2 of 12 words that
+#: differ, 2 of 10, 1 of 6 and 1 of 5.
+MASKS: tuple[tuple[Mask, ...], ...] = (
+    ((0, 3, 4, 6, 7, 8), (0, 1, 2, 6, 8, 9), (0, 2, 3, 4, 5, 8)), ((0, 1, 2, 3, 4), (0, 1, 2, 4, 5), (0, 1, 3, 6, 7)),
+    ((0, 1, 2, 3), (0, 1, 3, 4)), ((0, 1, 2, 3), (0, 1, 3, 4), (0, 2, 3, 4), (0, 1, 2, 4)))
+
+
+def fits(masks: tuple[Mask, ...], size: int, wrong: set[int]) -> bool:
+    """Whether a mask lies somewhere in ``size`` words without touching those that differ."""
+    return any(wrong.isdisjoint(at + k for k in mask) for mask in masks for at in range(size - mask[-1]))
+
+
+@lru_cache
+def masks_for(size: int, differ: int) -> tuple[Mask, ...]:
+    """Masks of which one fits whichever ``differ`` of ``size`` consecutive words differ."""
+    if 0 < differ and comb(size, differ) <= 10_000:
+        for masks in MASKS:
+            if all(fits(masks, size, set(wrong)) for wrong in combinations(range(size), differ)):
+                return masks
+    return (tuple(range(max(1, size // (differ + 1)))),)  # the longest of differ + 1 parts or more is untouched
 
 
 def words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
-def _seeds(table: DataFrame, *keys: str) -> DataFrame:
-    """(keys, pos, seed) of every mask at every position of column ``words``. The word
-    hashes, shifted by 0 to SPAN - 1, are zipped and exploded, so that the seeds are
-    plain expressions over one row and stay in generated code."""
-    hashed = table.select(*keys, F.transform("words", lambda w: F.xxhash64(w)).alias("h")).where(F.size("h") >= SPAN)
-    places = F.size("h") - (SPAN - 1)
-    shifted = F.arrays_zip(*[F.slice("h", k + 1, places) for k in range(SPAN)])
+def _seeds(table: DataFrame, masks: list[Mask], *keys: str) -> DataFrame:
+    """(keys, pos, seed) of every mask at every position of column ``words`` where it lies
+    inside. The shifted word hashes are zipped and exploded, so that the seeds are plain
+    expressions over one row and stay in generated code."""
+    hashed = table.select(*keys, F.transform("words", lambda w: F.xxhash64(w)).alias("h")).where(F.size("h") > 0)
+    shifted = F.arrays_zip(*[F.slice("h", k + 1, F.size("h")) for k in range(1 + max(mask[-1] for mask in masks))])
     rows = hashed.select(*keys, F.posexplode(shifted).alias("pos", "at"))
-    of_mask = [F.xxhash64(F.lit(m), *[F.col("at")[str(offset)] for offset in mask]) for m, mask in enumerate(MASKS)]
-    return rows.select(*keys, "pos", F.explode(F.array(*of_mask)).alias("seed"))
+    of_mask = [F.when(F.col("at")[str(mask[-1])].isNotNull(), F.xxhash64(
+        F.lit(zlib.crc32(repr(mask).encode())), *[F.col("at")[str(offset)] for offset in mask])) for mask in masks]
+    return rows.select(*keys, "pos", F.explode(F.array(*of_mask)).alias("seed")).where("seed is not null")
 
 
 def _agreement(window: int, share: int) -> tuple[Column, Column, Column]:
@@ -62,9 +87,16 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     text = text_of(text_col)
     source = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
     tests = cut(items.select(F.col(item_id).alias("item"), words(text_of(item_text)).alias("words"))
-                .where(F.size("words") >= SPAN).distinct())
-    test_seeds = small_side(_seeds(tests, "item").select("item", F.col("pos").alias("item_pos"), "seed").distinct(), 5_000_000)
-    doc_seeds = _seeds(source.select("id", "text_hash", words(F.col("text")).alias("words")), "id", "text_hash")
+                .where(F.size("words") > 0).distinct())
+    size = F.least(F.size("words"), F.lit(window))
+    sizes = sorted(r.size for r in tests.select(size.alias("size")).distinct().collect()) or [window]  # at most ``window`` numbers
+    of_size: dict[tuple[Mask, ...], list[int]] = {}
+    for n in sizes:
+        of_size.setdefault(masks_for(n, n - -(-n * share // 100)), []).append(n)
+    item_seeds = reduce(DataFrame.unionAll, [_seeds(tests.where(size.isin(own)), list(masks), "item") for masks, own in of_size.items()])
+    test_seeds = small_side(item_seeds.select("item", F.col("pos").alias("item_pos"), "seed").distinct(), 5_000_000)
+    masks = sorted({mask for some in of_size for mask in some})
+    doc_seeds = _seeds(source.select("id", "text_hash", words(F.col("text")).alias("words")), masks, "id", "text_hash")
     hits = cut(doc_seeds.join(test_seeds, "seed")
                .select("id", "text_hash", "item", (F.col("pos") - F.col("item_pos")).alias("diag")).distinct())
     hit = small_side(hits.select(F.col("id").alias("hit_id"), F.col("text_hash").alias("hit_hash")).distinct())

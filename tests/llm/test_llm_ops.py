@@ -5,6 +5,7 @@ import inspect
 import re
 import zlib
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -341,6 +342,22 @@ def test_decontamination(spark):
     assert decontaminate.leaks(frame(spark, docs), items.limit(0)).count() == 0
 
 
+def test_decontamination_finds_every_pattern(spark):
+    items = [(n, " ".join(f"i{n}w{k}" for k in range(n))) for n in (1, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12)]
+    docs, expected = [], set()
+    for n, text in items:
+        for differ in range(4):
+            for wrong in combinations(range(n), differ):
+                own = [w if k not in wrong else f"x{k}" for k, w in enumerate(text.split())]
+                inside = next((k for k in range(n) if k not in wrong), n)
+                for words in (["before", *own, "after"], own[inside:]):  # whole, and cut off at the text's begin
+                    docs.append((len(docs), " ".join(words)))
+                    if 100 * (n - differ) >= 80 * n:
+                        expected.add((docs[-1][0], n))
+    found = decontaminate.leaks(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == expected
+
+
 # --- 8: sharding --------------------------------------------------------------------------------------
 
 def test_ring_is_balanced_and_gapless(spark):
