@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from streakflow.llm import bpe_codec, decontaminate, exact_dedup, jaccard_join, toxicity
-from streakflow.llm.common import cut, small_side
+from streakflow.llm.common import cut, small_side, text_of
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,10 +25,16 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every group linked by five-word shingles at a similarity of 0.8, the row with
-    the smallest id."""
-    groups = jaccard_join.jaccard_components(docs, width=5, threshold=80)
-    gone = small_side(groups.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct())
-    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
+    the smallest id. A row is known by its id and text hash, so a repeated id takes no
+    other text along; a null id comes after all others, and of rows with one id the
+    smaller hash is kept. Rows that repeat an id and its text are one row."""
+    row = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64(text_of("text")).alias("hash"))
+    groups = jaccard_join.jaccard_components(docs.select(row.alias("row"), "text"), id_col="row", width=5, threshold=80)
+    gone = groups.where(~F.col("row").eqNullSafe(F.col("component_id"))).select(
+        F.col("row.id").alias("__gone"), F.col("row.hash").alias("__hash")).distinct()
+    gone = small_side(gone)
+    keyed = docs.withColumn("__own", F.xxhash64(text_of("text")))
+    return keyed.join(gone, keyed["doc_id"].eqNullSafe(gone["__gone"]) & (keyed["__own"] == gone["__hash"]), "left_anti").drop("__own")
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import Row, functions as F, types as T
 
+import corpus_pipeline
 from streakflow.llm import (bpe_codec, components, decontaminate, exact_dedup, html_extract, jaccard_join, shard_ring,
                             suffix_dedup, suffix_sort, token_count, toxicity, url_filter)
 
@@ -465,6 +466,16 @@ def test_jaccard_equals_brute_force(spark, width, threshold):
     assert sum(c != i for i, (_, c) in want.items()) > 15
 
 
+def test_near_copies_by_id_and_text(spark):
+    word = lambda name, n: " ".join(f"{name}{k}" for k in range(n))
+    a, b, c = word("a", 60), word("b", 60), word("c", 60)
+    rows = [(1, a), (2, a + " end"), (2, b), (None, a + " last"), (None, "own text " + c), (3, c), (3, c + " more"), (4, ""), (None, None)]
+    kept = corpus_pipeline.drop_near_copies(spark, frame(spark, rows), "")
+    got = {(r.doc_id, r.text) for r in kept.collect()}
+    assert kept.columns == SCHEMA.names and {(1, a), (2, b), (4, ""), (None, None)} < got and len(got) == 5
+    assert len({(3, c), (3, c + " more")} & got) == 1
+
+
 def test_jaccard_empty_and_repeated(spark):
     assert jaccard_join.jaccard_components(frame(spark, [])).count() == 0
     rows = [(4, "a b c d e"), (4, "a b c d e"), (9, "A b c d e"), (None, "a b c d e"), (11, None)]
