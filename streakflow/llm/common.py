@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -39,6 +40,16 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Removes the files of a table that ``cut`` wrote, once nothing will read it again
+    (the loops that replace a table by its successor)."""
+    spark, own = table.sparkSession, re.compile(r"/streakflow-[0-9a-f]{32}$")
+    for folder in {name.rsplit("/", 1)[0] for name in table.inputFiles()}:
+        if own.search(folder):  # never anything that ``cut`` has not written
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def small_side(df: DataFrame, most_rows: int = 1_000_000) -> DataFrame:
     """A narrow table, written and counted: broadcast up to ``most_rows`` rows (tens of
     bytes each), joined by shuffle beyond."""

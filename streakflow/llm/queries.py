@@ -8,7 +8,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from streakflow.llm import bpe_codec, decontaminate, exact_dedup, html_extract, jaccard_join, shard_ring, suffix_dedup, token_count, toxicity, url_filter
+from streakflow.llm import bpe_codec, decontaminate, exact_dedup, html_extract, jaccard_join, ns_clusters, shard_ring, suffix_dedup, token_count, toxicity, url_filter
+
+from streakflow.llm.ns_clusters_sql import rounds_sql
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,6 +73,10 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"), width=4, threshold=85)
 
 
+def op11_ns_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ns_clusters.clustered(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -82,9 +88,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_shard_ring": op8_shard_ring,
     "op9_token_count": op9_token_count,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_ns_clusters": op11_ns_clusters,
 }
 
 ORACLE: dict[str, str] = {
+    "op11_ns_clusters": rounds_sql(),
     "op5_url_filter": r"""
         WITH rules(host_rule, path_rule, verdict) AS (VALUES
                 ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
