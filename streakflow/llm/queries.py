@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from streakflow.llm import bpe_codec, decontaminate, exact_dedup, html_extract, jaccard_join, ns_clusters, shard_ring, suffix_dedup, token_count, toxicity, url_filter
+from streakflow.llm import bpe_codec, decontaminate, exact_dedup, html_extract, jaccard_join, ns_clusters, packing, shard_ring, suffix_dedup, token_count, toxicity, url_filter
 
 from streakflow.llm.ns_clusters_sql import rounds_sql
 
@@ -77,6 +77,10 @@ def op11_ns_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ns_clusters.clustered(_table(spark, sf_dir, "embeddings"))
 
 
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -89,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_count": op9_token_count,
     "op10_jaccard_join": op10_jaccard_join,
     "op11_ns_clusters": op11_ns_clusters,
+    "op12_packing": op12_packing,
 }
 
 ORACLE: dict[str, str] = {

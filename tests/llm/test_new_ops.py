@@ -1,4 +1,5 @@
 """Clustering, packing and token alignment against brute force and the libraries."""
+import functools
 import hashlib
 import math
 import zlib
@@ -8,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import types as T
 
-from streakflow.llm import ns_clusters
+from streakflow.llm import ns_clusters, packing
 
 # --- 11: centroid clustering --------------------------------------------------------------
 
@@ -79,3 +80,96 @@ def test_bounds_spare_measurements_and_never_lie():
         d = ns_clusters.measure(points, history.now)
         assert (state["cluster"] == d.argmin(1)).all()
     assert (state["lower_at"] == before).mean() > 0.5  # most bounds held without a measurement
+
+
+# --- 12: packing ----------------------------------------------------------------------------
+
+@functools.cache
+def library(name):
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(P.path(name))
+
+
+def library_ids(text):
+    return [*library("word_bpe_49k.json").encode(text or "", add_special_tokens=False).ids, 2]
+
+
+def check_pieces(pieces, rows, width):
+    """Every id in one piece, gapless sequences, whole documents; the padding."""
+    want, got = Counter(), {}
+    for i, t in rows:
+        want[i, tuple(library_ids(t))] += 1
+    for p in sorted(pieces, key=lambda p: (p.sequence_id, p.offset)):
+        assert p.length == len(p.ids) > 0 and p.ids_crc32 == zlib.crc32(np.array(p.ids, "<u4").tobytes())
+        got.setdefault(p.sequence_id, []).append(p)
+    padding, docs, open_ = 0, Counter(), {}
+    for pieces_ in got.values():
+        at = 0
+        for p in pieces_:
+            assert p.offset == at
+            at += p.length
+            own = open_.setdefault((p.doc_id, p.doc_tokens), []) if p.start else []
+            assert p.start == len(own)
+            own = own + list(p.ids)
+            if len(own) == p.doc_tokens:
+                docs[p.doc_id, tuple(own)] += 1
+                own = []
+            open_[p.doc_id, p.doc_tokens] = own
+        assert at <= width
+        padding += 0 if at & (at - 1) == 0 else width - at
+    assert docs == want and not any(open_.values())
+    return padding
+
+
+def test_packing_of_odd_documents(spark):
+    rows = [(1, None), (2, ""), (3, " \n"), (4, "One. Two! Three? <|endoftext|> four\x1c x."), (5, "Ünïcode 日本。語！ İstanbul ΣΑΣ ς é"),
+            (6, "word " * 700), (7, "a b. " * 500), (8, "same"), (8, "same"), (None, "no id"), (9, "1234567 it's don't !!!???")]
+    docs = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, length string, offset int")
+    for parts in (1, 4):
+        out = packing.pack_documents(docs.repartition(parts), width=64, token_ids=True).collect()
+        assert check_pieces(out, rows, 64) <= 64 * parts  # a cut inside a document is worth 32 here
+    assert packing.pack_documents(docs.where("doc_id = 77")).count() == 0
+
+
+def test_packing_equals_the_library_on_random_text(spark):
+    import random
+
+    r = random.Random(3)
+    marks = ["a", "B", "é", "ß", "Σ", "İ", "1", "٣", ".", "!", "'s", "'", " ", "  ", "\n", "\t", " ", " ", "日", "😀", "́", "ﬀ", "\x85", "\x1f", "don't"]
+    rows = [(k, "".join(r.choice(marks) for _ in range(r.randint(0, 60)))) for k in range(3000)]
+    out = packing.pack_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(2), width=512, token_ids=True).collect()
+    check_pieces(out, rows, 512)
+
+
+def plain_costs(position, penalty, width):
+    cost = [0]
+    for j in range(1, len(position)):
+        gaps = [(cost[i], position[j] - position[i]) for i in range(j) if position[j] - position[i] <= width]
+        cost.append(penalty[j] + min(c + (0 if g & (g - 1) == 0 else width - g) for c, g in gaps))
+    return cost
+
+
+def test_cuts_are_optimal():
+    rng = np.random.default_rng(2)
+    for _ in range(200):
+        width = int(rng.choice([8, 16, 30, 64]))
+        position = np.r_[0, np.cumsum(rng.integers(1, width + 1 if rng.random() < 0.5 else 5, rng.integers(1, 80)))]
+        position = position[np.r_[True, np.diff(position) <= width]]
+        penalty = rng.choice([0, 4, 32], len(position))
+        cuts = packing.best_cuts(position, penalty, width)
+        begin, cost = 0, 0
+        for j in cuts:
+            gap = int(position[j] - position[begin])
+            assert 0 < gap <= width
+            cost += int(penalty[j]) + (0 if gap & (gap - 1) == 0 else width - gap)
+            begin = j
+        assert cuts[-1] == len(position) - 1 and cost == plain_costs(position.tolist(), penalty.tolist(), width)[-1]
+
+
+def test_packing_of_the_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    out = packing.pack_documents(docs, token_ids=True).collect()
+    padding = check_pieces(out, [(r.doc_id, r.text) for r in docs.collect()], 4096)
+    assert padding <= 0.005 * sum(p.length for p in out)
