@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from streakflow.llm import bpe_codec, decontaminate, exact_dedup, html_extract, jaccard_join, ns_clusters, packing, shard_ring, suffix_dedup, token_count, toxicity, url_filter
+from streakflow.llm import bpe_codec, decontaminate, exact_dedup, html_extract, jaccard_join, ns_clusters, packing, shard_ring, suffix_dedup, token_align, token_count, toxicity, url_filter
 
 from streakflow.llm.ns_clusters_sql import rounds_sql
 
@@ -81,6 +81,10 @@ def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op13_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.align(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -94,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_jaccard_join": op10_jaccard_join,
     "op11_ns_clusters": op11_ns_clusters,
     "op12_packing": op12_packing,
+    "op13_token_align": op13_token_align,
 }
 
 ORACLE: dict[str, str] = {

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import types as T
 
-from streakflow.llm import ns_clusters, packing
+from streakflow.llm import ns_clusters, packing, token_align
 
 # --- 11: centroid clustering --------------------------------------------------------------
 
@@ -173,3 +173,82 @@ def test_packing_of_the_documents(spark):
     out = packing.pack_documents(docs, token_ids=True).collect()
     padding = check_pieces(out, [(r.doc_id, r.text) for r in docs.collect()], 4096)
     assert padding <= 0.005 * sum(p.length for p in out)
+
+
+# --- 13: token alignment ----------------------------------------------------------------------
+
+def plain_alignment(rows):
+    """Whole texts through both libraries, boundary sets, all pairs."""
+    import public_tokenizers as P
+    import sentencepiece
+
+    a = library("byte_bpe_50k.json")
+    a.encode_special_tokens = True
+    b = sentencepiece.SentencePieceProcessor(model_file=P.path("piece_bpe_32k.model"))
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte = {chr(x): x for x in plain} | {chr(256 + k): x for k, x in enumerate(x for x in range(256) if x not in plain)}
+    texts, counts = [], Counter()
+    for i, text in rows:
+        groups, pairs, ids_a, ids_b = [], [], [], []
+        if text:
+            ids_a, ids_b = a.encode(" " + text, add_special_tokens=False).ids, b.encode(text)
+            ta = [bytes(byte[c] for c in a.id_to_token(k)) for k in ids_a]
+            tb = [bytes([int(b.id_to_piece(k)[3:5], 16)]) if b.is_byte(k) else b.id_to_piece(k).replace("▁", " ").encode() for k in ids_b]
+            if b"".join(ta) == b"".join(tb) == (" " + text).encode():
+                ea, eb = np.cumsum([len(x) for x in ta]).tolist(), np.cumsum([len(x) for x in tb]).tolist()
+                p = q = 0
+                for end in sorted(set(ea) & set(eb)):
+                    u, v = ea.index(end, p) + 1, eb.index(end, q) + 1
+                    groups.append(",".join(map(str, ids_a[p:u])) + "|" + ",".join(map(str, ids_b[q:v])))
+                    for x in range(p, u):
+                        for y in range(q, v):
+                            if ea[x] - len(ta[x]) < eb[y] and eb[y] - len(tb[y]) < ea[x]:
+                                pairs.append((ids_a[x], ids_b[y]))
+                    p, q = u, v
+            else:
+                ids_a, ids_b = [], []
+        counts.update(pairs)
+        texts.append((i, len(ids_a), len(ids_b), groups, pairs))
+    top = {}
+    for (_, y), n in counts.items():
+        top[y] = max(top.get(y, 0), n)
+    return Counter((i, m, n, len(g), len(p), sum(counts[x] == top[x[1]] for x in p), sum(counts[x] for x in p),
+                    hashlib.sha256(";".join(g).encode()).hexdigest() if g else "") for i, m, n, g, p in texts)
+
+
+ALIGN_ROWS = [(1, None), (2, ""), (3, " "), (4, "  \n x"), (5, "It's a  test,\n\n and\tmore: 12345 déjà vu 日本 😀"), (6, "a ▁ b"), (7, "<|endoftext|> </s> <0x0A>"),
+              (8, "same same"), (8, "same same"), (None, "no id"), (9, "x " * 300 + "unbelievable antidisestablishmentarianism"), (10, "\x00 \x1c a\x85  b"), (11, " lead"), (12, "trail ")]
+
+
+def aligned(docs, **how):
+    out = token_align.align(docs, **how)
+    assert out.columns == ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+    return Counter(tuple(r) for r in out.collect())
+
+
+def test_alignment_of_odd_texts(spark):
+    docs = spark.createDataFrame([(i, t, "x", 1) for i, t in ALIGN_ROWS], "doc_id long, text string, n_a string, b int").repartition(3)
+    want = plain_alignment(ALIGN_ROWS)
+    assert aligned(docs) == want
+    assert aligned(docs, broadcast_pairs=0) == want  # the way for very many pairs
+    assert aligned(docs.where("doc_id = 99")) == Counter()
+
+
+def test_alignment_of_random_texts(spark):
+    import random
+
+    r = random.Random(7)
+    marks = ["a", "bc", "the", "é", "ß", "1", "23", ".", "!", "'s", "'", " ", "  ", "\n", "\t", "\u00a0", "\u2003", "日", "😀", "\u0301", "\ufb00", "\x85", "\x1f", "don't", " "]
+    rows = [(k, "".join(r.choice(marks) for _ in range(r.randint(0, 40)))) for k in range(1500)]
+    assert aligned(spark.createDataFrame(rows, "doc_id long, text string").repartition(2)) == plain_alignment(rows)
+
+
+def test_alignment_of_the_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    assert aligned(docs) == plain_alignment([(r.doc_id, r.text) for r in docs.collect()])
+
+
+def test_groups_come_back_as_strings(spark):
+    docs = spark.createDataFrame([(1, "hello world")], "doc_id long, text string")
+    row = token_align.align(docs, groups=True).first()
+    assert hashlib.sha256(row.groups.encode()).hexdigest() == row.groups_sha256 and row.groups.count(";") == row.n_groups - 1
