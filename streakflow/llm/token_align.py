@@ -26,13 +26,15 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from streakflow.llm.common import by_bytes, cut, map_arrow, text_of, texts, tokenizer_path
+from streakflow.llm.bpe_codec import as_piece, build_model
+from streakflow.llm.common import by_bytes, cut, map_arrow, text_of, tokenizer_path
 from streakflow.llm.word_table import WordTable, gather, kept
 
 _SPACE = "▁"
@@ -57,10 +59,20 @@ def links(a_start: np.ndarray, a_end: np.ndarray, b_start: np.ndarray, b_end: np
     return np.repeat(np.arange(len(a_start)), count), gather(first, count)
 
 
+def proven_strings(spec: str) -> dict[str, int]:
+    """Strings that A, given them alone, turns into one token (by the library itself)."""
+    from tokenizers import Tokenizer
+
+    a = Tokenizer.from_str(spec)
+    a.encode_special_tokens = True
+    known = list({a.decode([i]) for i in a.get_vocab(with_added_tokens=False).values()})
+    return {text: e.ids[0] for text, e in zip(known, a.encode_batch_fast(known, add_special_tokens=False)) if len(e.ids) == 1}
+
+
 class Aligner:
     """Segments of one process: ids, groups and links."""
 
-    def __init__(self, spec: str, model: bytes, limit: int = 400_000):
+    def __init__(self, spec: str, model: bytes, proven: dict[str, int], strings: bool = True, limit: int = 400_000):
         import re
 
         import regex
@@ -77,27 +89,43 @@ class Aligner:
         self.a_bytes = [b""] * (max([*vocabulary.values(), *added.values()]) + 1)
         for name, i in vocabulary.items():
             self.a_bytes[i] = name.encode() if name in added else bytes(map(byte.__getitem__, name))
+        # Below U+0250 this split is the library's, and merging by rank is what sentencepiece
+        # does with a model of the ranks (tested); other segments go through the library.
+        import public_tokenizers
+
+        self.simple = re.compile("[\0-\u024f]*").fullmatch
+        self.split, self.proven = regex.compile(public_tokenizers.PATTERN).findall, proven
+        self.ranked = sentencepiece.SentencePieceProcessor(model_proto=build_model({t: i for i, t in enumerate(self.a_bytes) if t and i not in added.values()}))
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(_SPACE, " ").encode() for i, p in enumerate(pieces)]
         # a piece with a space mark after another character would cross the segments
         self.whole_only = any(_SPACE in p.lstrip(_SPACE) for p in pieces)
         self.a_size, self.b_size = (np.array([len(t) for t in table], np.int64) for table in (self.a_bytes, self.b_bytes))
-        space = r"[\s\x1c-\x1f\x85]"  # white space of either regular-expression library
-        self.odd = re.compile(f"^ | $|{space} | {space}").search
+        # white space of either regular-expression library, in Arrow's own
+        space = r"[\t-\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+        self.odd = f"^ | $|{space} | {space}|^$|{_SPACE}"
         self.cut = regex.compile(r"(?<=\S) (?=\S)").split
         self.table = WordTable(self._learn, limit)
+        self.with_strings = strings
         self.facts: dict[str, np.ndarray] = {}
         self.strings: list[bytes] = []
 
     def segments(self, text: str) -> list[str]:
-        if self.whole_only:
-            return [text]
-        return self.cut(text) if self.odd(text) else text.split(" ")
-
-    def _ids_a(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(number of tokens of each segment, all ids), some thousand segments a call."""
-        joined = [" " + " ".join(words[k:k + 2000]) for k in range(0, len(words), 2000)] if not self.whole_only else [" " + w for w in words]
-        ids = np.concatenate([np.array(e.ids, np.int64) for e in self.a.encode_batch_fast(joined, add_special_tokens=False)])
+        if not text or _SPACE in text:
+            return []
+        return [text] if self.whole_only else self.cut(text)
+
+    def _ids_a(self, words: list[str], simple: int) -> tuple[np.ndarray, np.ndarray]:
+        """(number of tokens of each segment, all ids), many segments a call; the first
+        ``simple`` ones are simple."""
+        parts = self.split(" " + " ".join(words[:simple])) if simple else []
+        known = self.proven
+        rest = list(set(parts) - known.keys())
+        ids = dict(zip(rest, self.ranked.encode([as_piece(p.encode()) for p in rest], num_threads=1)))
+        first = list(chain.from_iterable([(known[p],) if p in known else ids[p] for p in parts]))
+        words_ = words[simple:]
+        joined = [" " + " ".join(words_[k:k + 2000]) for k in range(0, len(words_), 2000)] if not self.whole_only else [" " + w for w in words_]
+        ids = np.concatenate([np.array(first, np.int64), *(np.array(e.ids, np.int64) for e in self.a.encode_batch_fast(joined, add_special_tokens=False))])
         ends = np.cumsum([1 + len(w.encode("utf-8", "surrogatepass")) for w in words])
         last = np.searchsorted(np.cumsum(self.a_size[ids]), ends, "left") + 1
         return np.diff(last, prepend=0), ids
@@ -105,18 +133,20 @@ class Aligner:
     def _learn(self, words: list[str]) -> tuple[list[str], np.ndarray, dict[str, np.ndarray]]:
         if not self.table.rows:
             self.facts, self.strings = {}, []
-        n_a, a = self._ids_a(words)
+        if self.whole_only:
+            simple = 0
+        elif self.simple("".join(words)):
+            simple = len(words)
+        else:
+            words.sort(key=lambda w: self.simple(w) is None)
+            simple = sum(self.simple(w) is not None for w in words)
+        n_a, a = self._ids_a(words, simple)
         b_lists = self.b.encode(words, num_threads=1)
         n_b = np.array([len(x) for x in b_lists], np.int64)
-        b = np.fromiter((i for x in b_lists for i in x), np.int64, int(n_b.sum()))
-        # segments whose bytes do not come back lose their tokens
-        at_a, at_b = np.cumsum(n_a) - n_a, np.cumsum(n_b) - n_b
+        b = np.fromiter(chain.from_iterable(b_lists), np.int64, int(n_b.sum()))
         whole = [(" " + w).encode("utf-8", "surrogatepass") for w in words]
         size = np.array([len(w) for w in whole], np.int64)
-        total = np.add.reduceat(np.r_[self.b_size[b], 0], np.minimum(at_b, len(b))) * (n_b > 0)
-        ids_a, ids_b = a.tolist(), b.tolist()
-        good = np.array([b"".join(map(self.a_bytes.__getitem__, ids_a[p:p + q])) == w and b"".join(map(self.b_bytes.__getitem__, ids_b[r:r + s])) == w
-                         for p, q, r, s, w in zip(at_a.tolist(), n_a.tolist(), at_b.tolist(), n_b.tolist(), whole)], bool) & (total == size)
+        good = self._gives_back(self.a_bytes, self.a_size, a, n_a, whole, size) & self._gives_back(self.b_bytes, self.b_size, b, n_b, whole, size)
         if not good.all():
             a, b = a[np.repeat(good, n_a)], b[np.repeat(good, n_b)]
             n_a, n_b, size = n_a * good, n_b * good, size * good
@@ -130,9 +160,21 @@ class Aligner:
         n_links = np.bincount(of_a[i], minlength=len(words))
         facts = {"good": good, "n_a": n_a, "n_b": n_b, "n_groups": n_groups, "n_links": n_links}
         self.facts = {k: np.concatenate([self.facts[k], v]) if k in self.facts else v for k, v in facts.items()}
-        self.strings += self._strings(group, order, np.r_[a, b], len(a), np.bincount(owner, minlength=len(words)))
+        if self.with_strings:
+            self.strings += self._strings(group, order, np.r_[a, b], len(a), np.bincount(owner, minlength=len(words)))
         return words, n_links, {"pair": a[i] << 32 | b[j]}
 
+    @staticmethod
+    def _gives_back(table: list[bytes], sizes: np.ndarray, ids: np.ndarray, counts: np.ndarray, whole: list[bytes], size: np.ndarray) -> np.ndarray:
+        """Which segments the tokens' bytes give back: all at once, and one by one only
+        if that fails."""
+        ends = np.cumsum(sizes[ids])
+        last = np.cumsum(counts)
+        if (counts > 0).all() and (ends[last - 1] == np.cumsum(size)).all() and b"".join(map(table.__getitem__, ids.tolist())) == b"".join(whole):
+            return np.ones(len(whole), bool)
+        listed = ids.tolist()
+        return np.array([b"".join(map(table.__getitem__, listed[e - c:e])) == w for e, c, w in zip(last.tolist(), counts.tolist(), whole)], bool)
+
     def _strings(self, group: np.ndarray, order: np.ndarray, ids: np.ndarray, n_a: int, sizes: np.ndarray) -> list[bytes]:
         """``a1,a2|b1;`` of every segment, each group closed by a semicolon."""
         line = np.lexsort((order, group))  # A before B inside a group, either in text order
@@ -146,13 +188,27 @@ class Aligner:
         lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), tokens)
         return pc.binary_join(lists, "").cast(pa.binary()).to_pylist()
 
-    def rows(self, some: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def rows(self, some: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(table rows of all segments, where each text's begin (one more than texts),
         which texts have tokens)."""
-        cuts = [self.segments(t) if t and _SPACE not in t else [] for t in some]
-        ends = np.cumsum([0, *map(len, cuts)])
-        flat = pa.array([s for c in cuts for s in c], pa.large_string())
+        some = some.cast(pa.large_string())
+        odd = pc.match_substring_regex(some, self.odd).to_numpy(zero_copy_only=False).astype(bool) | self.whole_only
+        cuts = pc.split_pattern(some, " ")
+        sizes = pc.list_value_length(cuts).to_numpy(zero_copy_only=False).astype(np.int64)
+        flat = cuts.flatten()
+        if odd.any():
+            own = {k: self.segments(some[k].as_py()) for k in np.flatnonzero(odd).tolist()}
+            keep = flat.filter(pa.array(np.repeat(~odd, sizes)))
+            sizes[odd] = [len(x) for x in own.values()]
+            # the odd texts' segments stand behind the others' and are put in place by row
+            flat = pa.concat_arrays([keep, pa.array(list(chain.from_iterable(own.values())), pa.large_string())])
         rows = self.table(flat) if len(flat) else np.zeros(0, np.int64)
+        if odd.any():
+            placed = np.empty_like(rows)
+            late = np.repeat(odd, sizes)
+            placed[~late], placed[late] = rows[:len(keep)], rows[len(keep):]
+            rows = placed
+        ends = np.r_[0, np.cumsum(sizes)]
         bad = np.cumsum(np.r_[0, ~self.facts["good"][rows]]) if len(rows) else np.zeros(1, np.int64)
         return rows, ends, (bad[ends[1:]] == bad[ends[:-1]]) & (ends[1:] > ends[:-1])
 
@@ -162,36 +218,65 @@ def _sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return total[ends[1:]] - total[ends[:-1]]
 
 
-def _aligner(shared) -> Aligner:
-    return kept(("aligner", hash(shared[0]), hash(shared[1])), lambda: Aligner(*shared))
+def _aligner(shared, strings: bool = True) -> Aligner:
+    return kept(("aligner", strings, hash(shared[:2])), lambda: Aligner(*shared, strings, 400_000 if strings else 800_000))
 
 
-def _count_pairs(shared, most: int):
-    """Partial counts of the id pairs; rows go out when a task holds ``most`` of them."""
+def _count_pairs(shared):
+    """Partial counts of the id pairs. Segments are counted by table row; pairs are
+    expanded when the table is emptied and at the end."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = _aligner(shared.value)
-        pairs, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        aligner = _aligner(shared.value, strings=False)
+        table, ready, often = aligner.table, [], np.zeros(0, np.int64)
+
+        def expand() -> None:
+            nonlocal often
+            rows = np.flatnonzero(often)
+            if len(rows):
+                pairs, index = np.unique(table.expand(rows, "pair"), return_inverse=True)
+                counts = np.bincount(index, np.repeat(often[rows], table.sizes[rows]), len(pairs)).astype(np.int64)  # exact below 2^53
+                ready.append(pa.RecordBatch.from_arrays([pa.array(pairs >> 32), pa.array(pairs & 0xFFFFFFFF), pa.array(counts)], names=["a", "b", "n"]))
+            often = np.zeros(0, np.int64)
+
+        table.before_clear = expand
+        try:
+            for batch in batches:
+                for part in by_bytes(batch, 0):
+                    rows, ends, good = aligner.rows(part.column(0))
+                    own = np.bincount(rows[np.repeat(good, np.diff(ends))], minlength=len(table.sizes))
+                    own[:len(often)] += often
+                    often = own
+                    yield from ready
+                    ready.clear()
+            expand()
+            yield from ready
+        finally:
+            table.before_clear = None
 
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(pairs >> 32), pa.array(pairs & 0xFFFFFFFF), pa.array(counts)], names=["a", "b", "n"])
+    return run
 
-        for batch in batches:
-            for part in by_bytes(batch, 0):
-                rows, ends, good = aligner.rows(texts(part.column(0)))
-                rows = rows[np.repeat(good, np.diff(ends))]
-                distinct, often = np.unique(rows, return_counts=True)
-                own = aligner.table.expand(distinct, "pair") if len(distinct) else pairs[:0]
-                weights = np.repeat(often, aligner.table.sizes[distinct])
-                every, index = np.unique(np.r_[pairs, own], return_inverse=True)
-                total = np.zeros(len(every), np.int64)
-                np.add.at(total, index, np.r_[counts, weights])
-                pairs, counts = every, total
-                if len(pairs) >= most:
-                    yield out()
-                    pairs, counts = pairs[:0], counts[:0]
-        yield out()
 
-    return run
+class PairCounts:
+    """For every table row, the sum of its links' counts and how many are their B id's best."""
+
+    def __init__(self, table: WordTable, key: np.ndarray, n: np.ndarray, best: np.ndarray):
+        self.table, self.key, self.n, self.best = table, key, n, best
+        self.generation, self.facts = -1, {}
+
+    def __call__(self, rows: np.ndarray, name: str) -> np.ndarray:
+        if self.generation != self.table.generation:
+            self.generation, self.facts = self.table.generation, {"count_sum": np.zeros(0, np.int64), "n_best": np.zeros(0, np.int64)}
+        done = len(self.facts["n_best"])
+        if done < len(self.table.sizes):
+            new = np.arange(done, len(self.table.sizes))
+            pairs = self.table.expand(new, "pair")
+            at = np.minimum(np.searchsorted(self.key, pairs), max(0, len(self.key) - 1))
+            known = self.key[at] == pairs if len(self.key) else np.zeros(len(pairs), bool)  # else of an earlier task's rows
+            ends = np.cumsum(np.r_[0, self.table.sizes[new]])
+            for c, values in (("count_sum", self.n), ("n_best", self.best)):
+                own = np.where(known, values[at], 0) if len(self.key) else np.zeros(len(pairs), np.int64)
+                self.facts[c] = np.concatenate([self.facts[c], _sums(own, ends)])
+        return self.facts[name][rows]
 
 
 _DIGEST = [("n_a", T.LongType()), ("n_b", T.LongType()), ("n_groups", T.LongType()), ("n_links", T.LongType()),
@@ -218,9 +303,9 @@ def align(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", a_pat
     groups_sha256, and with ``groups`` the groups as a string."""
     spark = docs.sparkSession
     spec, model = _read(a_path or tokenizer_path("byte_bpe_50k.json")).decode(), _read(b_path or tokenizer_path("piece_bpe_32k.model"))
-    shared = spark.sparkContext.broadcast((spec, model))  # bounded by the vocabularies
+    shared = spark.sparkContext.broadcast((spec, model, proven_strings(spec)))  # bounded by the vocabularies
     text = text_of(text_col).alias("__text")
-    counted = map_arrow(docs.select(text), _count_pairs(shared, 1_000_000), "a long, b long, n long")
+    counted = map_arrow(docs.select(text), _count_pairs(shared), "a long, b long, n long")
     pairs = cut(counted.groupBy("a", "b").agg(F.sum("n").alias("n")))
     few = pairs.count() <= broadcast_pairs
     fields = [docs.schema[id_col], *(T.StructField(n, t) for n, t in _DIGEST if groups or n != "groups")]
@@ -231,22 +316,17 @@ def align(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", a_pat
         table = best.select(F.shiftleft("a", 32).bitwiseOR(F.col("b")).alias("key"), "n", "best").toArrow()  # at most broadcast_pairs rows of 24 bytes
         key, n, flag = (table[c].to_numpy() for c in ("key", "n", "best"))
         order = np.argsort(key)
-        found = spark.sparkContext.broadcast((key[order], n[order], flag[order].astype(bool)))
+        found = spark.sparkContext.broadcast((key[order], n[order], flag[order]))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             aligner = _aligner(shared.value)
-            key, n, flag = found.value
+            counts = PairCounts(aligner.table, *found.value)
             for batch in batches:
                 for part in by_bytes(batch, 1):
-                    rows, ends, good = aligner.rows(texts(part.column(1)))
+                    rows, ends, good = aligner.rows(part.column(1))
                     out = _columns(aligner, rows, ends, good, groups)
-                    distinct, index = np.unique(rows, return_inverse=True)
-                    sizes = aligner.table.sizes[distinct]
-                    at = np.cumsum(np.r_[0, sizes])
-                    spot = np.minimum(np.searchsorted(key, aligner.table.expand(distinct, "pair")), max(0, len(key) - 1)) if len(distinct) else np.zeros(0, np.int64)
-                    for name, values in (("count_sum", n), ("n_best", flag)):
-                        own = _sums(values[spot] if len(spot) else np.zeros(0, np.int64), at)
-                        out[name] = pa.array(_sums(own[index] if len(index) else own, ends) * good)
+                    for name in ("count_sum", "n_best"):
+                        out[name] = pa.array(_sums(counts(rows, name), ends) * good)
                     yield pa.RecordBatch.from_arrays([part.column(0), *(out[c] for c in names[1:])], names=names)
 
         return map_arrow(docs.select(id_col, text), run, T.StructType(fields))
@@ -260,7 +340,7 @@ def align(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", a_pat
         aligner = _aligner(shared.value)
         for batch in batches:
             for part in by_bytes(batch, 1):
-                rows, ends, good = aligner.rows(texts(part.column(1)))
+                rows, ends, good = aligner.rows(part.column(1))
                 out = _columns(aligner, rows, ends, good, groups)
                 n, none = part.num_rows, pa.int64()
                 yield pa.RecordBatch.from_arrays([part.column(0), *(out[f.name] for f in digest[1:]), part.column(2), pa.nulls(n, none), pa.nulls(n, none), pa.nulls(n, none)],

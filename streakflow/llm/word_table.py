@@ -22,10 +22,12 @@ class WordTable:
     a dictionary of flat item arrays (all cut by the same sizes)."""
 
     def __init__(self, learn: Callable[[list[str]], tuple[list[str], np.ndarray, dict[str, np.ndarray]]], limit: int = 800_000):
-        self.learn, self.limit = learn, limit
+        self.learn, self.limit, self.before_clear = learn, limit, None
+        self.generation = 0
         self._clear()
 
     def _clear(self) -> None:
+        self.generation += 1
         self.rows: dict[str, int] = {}
         self.sizes = np.zeros(0, np.int64)
         self.starts = np.zeros(0, np.int64)
@@ -37,6 +39,8 @@ class WordTable:
         distinct = coded.dictionary.to_pylist()
         new = [w for w in distinct if w not in self.rows]
         if self.rows and len(self.rows) + len(new) > self.limit:
+            if self.before_clear:  # what a task has noted by row number
+                self.before_clear()
             self._clear()
             new = distinct
         if new:
