@@ -9,9 +9,10 @@ link when 100 * |intersection| >= threshold * |union|; equal sets are one node.
    Linked sets share one of their first ``n - ceil(t n) + 1`` shingles (prefix rule),
    so each such shingle is a *tile* of the sets that may meet there. Inside a tile,
    sets are ordered by size and only pairs within the size ratio meet.
-3. Bitmaps: a set's bitmap is the parity of its hashes by bit, of 1 to 2 bits a
+3. Bitmaps: a set's bitmap is the parity of its hashes by bit, of 2 to 4 bits a
    shingle; a longer one folds onto a shorter one. As
-   |x and y| <= (|x| + |y| - popcount(bx xor by)) / 2, most pairs end here.
+   |x and y| <= (|x| + |y| - popcount(bx xor by)) / 2, most pairs end here: by a fold
+   of 256 bits inside the tile, before a pair is written, then by the whole bitmaps.
 4. The sorted arrays of the remaining pairs are intersected.
 5. Before all pairs of a tile are met, each set's best partners are verified (those
    it stands next to in most tiles) and joined to components. Then only pairs of
@@ -39,6 +40,7 @@ from streakflow.llm.components import components
 _U = np.uint64
 _ODD = _U(0x9E3779B97F4A7C15)
 _CHUNK = 1 << 14  # sketch counters a row
+_FOLD = 256  # bits of the bitmap that rows of a tile carry
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -80,11 +82,16 @@ def fingerprint(hashes: np.ndarray) -> tuple[int, int]:
 
 
 def bitmap(hashes: np.ndarray) -> bytes:
-    bits = max(64, 1 << (len(hashes) - 1).bit_length())
+    bits = max(_FOLD, 1 << (2 * len(hashes) - 1).bit_length())
     odd = np.bincount((hashes & _U(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
+def fold(bits: bytes) -> bytes:
+    """A bitmap folded to 256 bits."""
+    return np.bitwise_xor.reduce(np.frombuffer(bits, np.uint8).reshape(-1, _FOLD // 8), axis=0).tobytes()
+
+
 def overlap_bound(a: bytes, b: bytes, n_a: int, n_b: int) -> int:
     """No fewer than the shingles two sets share."""
     x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
@@ -104,7 +111,7 @@ def _bytes(column: pa.Array) -> list[bytes]:
 
 def _scan_sets(width: int, sketch_bits: int):
     shift = _U(64 - sketch_bits)
-    names = ["row", "n", "f1", "f2", "bitmap", "chunk", "cells", "counts", "id"]
+    names = ["row", "n", "f1", "f2", "bitmap", "fold", "chunk", "cells", "counts", "id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, counts, id_type = Shingler(width), np.zeros(1 << sketch_bits, np.int32), pa.int64()
@@ -114,11 +121,11 @@ def _scan_sets(width: int, sketch_bits: int):
                 sets = shingler(_bytes(part.column(1)))
                 counts += np.bincount((np.concatenate([np.empty(0, _U), *sets]) >> shift).astype(np.int64), minlength=len(counts)).astype(np.int32)
                 prints = [fingerprint(s) for s in sets]
-                none = pa.nulls(len(sets), pa.binary())
+                none, bitmaps = pa.nulls(len(sets), pa.binary()), [bitmap(s) for s in sets]
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([p[0] for p in prints], pa.int64()),
-                    pa.array([p[1] for p in prints], pa.int64()), pa.array([bitmap(s) for s in sets], pa.binary()),
-                    pa.nulls(len(sets), pa.int32()), none, none, part.column(2)], names=names)
+                    pa.array([p[1] for p in prints], pa.int64()), pa.array(bitmaps, pa.binary()),
+                    pa.array(map(fold, bitmaps), pa.binary()), pa.nulls(len(sets), pa.int32()), none, none, part.column(2)], names=names)
         for chunk in np.unique(np.flatnonzero(counts) // _CHUNK):
             own = counts[chunk * _CHUNK:(chunk + 1) * _CHUNK]
             cells = np.flatnonzero(own)
@@ -127,7 +134,7 @@ def _scan_sets(width: int, sketch_bits: int):
             cells, own = (cells[:0], own) if dense else (cells, own[cells])
             none = pa.nulls(1, pa.int64())
             yield pa.RecordBatch.from_arrays([
-                none, none, none, none, pa.nulls(1, pa.binary()), pa.array([chunk], pa.int32()),
+                none, none, none, none, pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()), pa.array([chunk], pa.int32()),
                 pa.array([cells.astype(np.uint16).tobytes()], pa.binary()), pa.array([bytes([own.itemsize]) + own.tobytes()], pa.binary()),
                 pa.nulls(1, id_type)], names=names)
 
@@ -213,10 +220,11 @@ def _meet_neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
                                          names=["key", "f1", "f2", "n", "g1", "g2", "m"])
 
 
-def cross_pairs(key: np.ndarray, n: np.ndarray, root: np.ndarray, threshold: int, block: int = 1 << 20):
-    """Positions (i, j) of rows of one tile that have different roots and sizes within
-    the ratio, in blocks. Rows ascend by key and size. Rows of a tile's most frequent
-    root do not meet each other, so only the others are walked."""
+def cross_pairs(key: np.ndarray, n: np.ndarray, root: np.ndarray, bits: np.ndarray, threshold: int, block: int = 1 << 18):
+    """Positions (i, j) of rows of one tile that have different roots, sizes within the
+    ratio and folded bitmaps (``bits``: rows of 64-bit words) that allow a link, in
+    blocks. Rows ascend by key and size. Rows of a tile's most frequent root do not
+    meet each other, so only the others are walked."""
     if not len(key):
         return
     tile = np.cumsum(np.r_[0, (key[1:] != key[:-1]).astype(np.int64)])
@@ -240,16 +248,21 @@ def cross_pairs(key: np.ndarray, n: np.ndarray, root: np.ndarray, threshold: int
         i = np.repeat(some, own)
         j = np.repeat(low[some], own) + np.arange(len(i)) - np.repeat(np.cumsum(own) - own, own)
         meet = (root[i] != root[j]) & ((i < j) | ~walked[j])
+        i, j = i[meet], j[meet]
+        total = n[i] + n[j]
+        share = (total - np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1, dtype=np.int64)) // 2
+        meet = 100 * share >= threshold * (total - share)
         yield i[meet], j[meet]
         start = stop
 
 
 def _meet_all(threshold: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, f1, f2, n, root in _whole_groups(batches):
+        for key, f1, f2, n, root, folded in _whole_groups(batches):
             order = np.lexsort((n, key))
             key, f1, f2, n, root = key[order], f1[order], f2[order], n[order], root[order]
-            for i, j in cross_pairs(key, n, root, threshold):
+            bits = np.frombuffer(b"".join(folded[order].tolist()), _U).reshape(len(key), -1)
+            for i, j in cross_pairs(key, n, root, bits, threshold):
                 swap = (f1[i] > f1[j]) | ((f1[i] == f1[j]) & (f2[i] > f2[j]))
                 i, j = np.where(swap, j, i), np.where(swap, i, j)
                 pairs = np.unique(np.stack([f1[i], f2[i], f1[j], f2[j]], 1), axis=0)
@@ -333,9 +346,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     text = text_of(text_col).alias("__text")
     id_type = dict(docs.select(F.col(id_col).alias("id")).dtypes)["id"]
     scan = cut(map_arrow(docs.select(F.monotonically_increasing_id().alias("row"), text, F.col(id_col).alias("id")),
-                         _scan_sets(width, sketch_bits), "row long, n long, f1 long, f2 long, bitmap binary, chunk int, "
+                         _scan_sets(width, sketch_bits), "row long, n long, f1 long, f2 long, bitmap binary, fold binary, chunk int, "
                          f"cells binary, counts binary, id {id_type}"))
-    base = scan.where("chunk is null").select("row", "id", "n", "f1", "f2", "bitmap")
+    base = scan.where("chunk is null").select("row", "id", "n", "f1", "f2", "bitmap", "fold")
     total = base.agg(F.sum("n")).first()[0] or 0
     chunks = scan.where("chunk is not null").select("chunk", "cells", "counts").repartition("chunk")
     mean = total / (1 << sketch_bits)
@@ -361,14 +374,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     best = met.withColumn("p", place[0]).withColumn("q", place[1]).where(F.least("p", "q") <= partners).select(*_PAIR)
     early = _verify(best, nodes, docs, id_col, text_col, width, threshold)
 
-    grouped = nodes.select("f1", "f2", "node").join(components(early), "node", "left").select(
-        "f1", "f2", F.coalesce("root", "node").alias("root"))
-    meeting = tiles.select("key", "f1", "f2", "n").join(grouped, ["f1", "f2"]).select("key", "f1", "f2", "n", "root")
+    grouped = nodes.select("f1", "f2", "node", "fold").join(components(early), "node", "left").select(
+        "f1", "f2", F.coalesce("root", "node").alias("root"), "fold")
+    meeting = tiles.select("key", "f1", "f2", "n").join(grouped, ["f1", "f2"]).select("key", "f1", "f2", "n", "root", "fold")
     pairs = map_arrow(meeting.repartition("key").sortWithinPartitions("key"), _meet_all(threshold), _PAIRS).distinct()
     late = _verify(pairs, nodes, docs, id_col, text_col, width, threshold)
 
     roots = components(early.unionByName(late))
-    placed = base.drop("bitmap").join(nodes.select("f1", "f2", "node"), ["f1", "f2"], "left").join(roots, "node", "left")
+    placed = base.drop("bitmap", "fold").join(nodes.select("f1", "f2", "node"), ["f1", "f2"], "left").join(roots, "node", "left")
     placed = cut(placed.select("id", "n", F.when(F.col("n") > 0, F.coalesce("root", "node")).alias("root")))
     lowest = placed.where("root is not null").groupBy("root").agg(F.min("id").alias("low"))
     return placed.join(lowest, "root", "left").select(
