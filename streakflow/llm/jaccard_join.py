@@ -12,7 +12,7 @@ link when 100 * |intersection| >= threshold * |union|; equal sets are one node.
 3. Bitmaps: a set's bitmap is the parity of its hashes by bit, of 2 to 4 bits a
    shingle; a longer one folds onto a shorter one. As
    |x and y| <= (|x| + |y| - popcount(bx xor by)) / 2, most pairs end here: by a fold
-   of 256 bits inside the tile, before a pair is written, then by the whole bitmaps.
+   of 1,024 bits inside the tile, before a pair is written, then by the whole bitmaps.
 4. The sorted arrays of the remaining pairs are intersected.
 5. Before all pairs of a tile are met, each set's best partners are verified (those
    it stands next to in most tiles) and joined to components. Then only pairs of
@@ -40,7 +40,7 @@ from streakflow.llm.components import components
 _U = np.uint64
 _ODD = _U(0x9E3779B97F4A7C15)
 _CHUNK = 1 << 14  # sketch counters a row
-_FOLD = 256  # bits of the bitmap that rows of a tile carry
+_FOLD = 1024  # bits of the bitmap that rows of a tile carry
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -88,7 +88,7 @@ def bitmap(hashes: np.ndarray) -> bytes:
 
 
 def fold(bits: bytes) -> bytes:
-    """A bitmap folded to 256 bits."""
+    """A bitmap folded to 1,024 bits."""
     return np.bitwise_xor.reduce(np.frombuffer(bits, np.uint8).reshape(-1, _FOLD // 8), axis=0).tobytes()
 
 

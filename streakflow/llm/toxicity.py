@@ -3,11 +3,13 @@
 A text is the bag of its words (white-space pieces, lower-cased, marks at the ends
 taken off, look-alike digits and signs inside read as letters, other signs dropped);
 a word counts as often as it occurs, so a share of words does not fall with length.
-A word is the mean of the vectors of its character 3- to 5-grams, boundary marks
+A word is the mean of the vectors of its character 4- to 6-grams, boundary marks
 included, and of the whole word, all hashed into one table. A text is the mean of its
 words, and a linear softmax over two classes turns it into a score. Table and softmax
 are trained jointly in numpy; every toxic training text also enters once with all its
-words misspelt, so that n-grams, not whole words, carry the weight.
+words misspelt, so that n-grams, not whole words, carry the weight. Only grams whose share of
+texts differs between the labels beyond chance (``min_z`` standard errors) get a vector,
+and every fifth training text stops the rounds before the others are learnt by heart.
 
 Training uses a bounded sample: up to ``rows_per_label`` documents labelled toxic
 and twice as many labelled clean, those with the smallest hash of their id, texts over ``max_train_bytes``
@@ -23,6 +25,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -33,6 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from streakflow.llm.common import Memo, by_bytes, map_arrow, text_of, texts
+from streakflow.llm.word_table import kept
 
 _LOOKALIKE = str.maketrans("013457@$!", "oieastasi")
 #: A mean counts so many zero vectors besides the words, so a few words alone stay near the bias.
@@ -49,12 +53,12 @@ def clean(piece: str) -> str:
     return _OTHER.sub("", inner.translate(_LOOKALIKE)) if any(map(str.isalpha, inner)) else ""
 
 
-def grams(word: str, buckets: int, shortest: int = 3, longest: int = 5) -> np.ndarray:
+def grams(word: str, buckets: int, shortest: int = 4, longest: int = 6) -> np.ndarray:
     """Buckets of a word's n-grams and of the word itself (first)."""
     return np.array([c % buckets for c in _checksums(word, shortest, longest)], np.int32)
 
 
-def _checksums(word: str, shortest: int = 3, longest: int = 5) -> list[int]:
+def _checksums(word: str, shortest: int = 4, longest: int = 6) -> list[int]:
     marked, crc = f"<{word}>", zlib.crc32
     if marked.isascii():  # a slice of the bytes is the bytes of the slice
         raw = marked.encode()
@@ -97,19 +101,21 @@ def _bag(counted: Iterator[tuple[str, int]]) -> Counter[str]:
     return bag
 
 
-def train(rows: list[tuple[str, int]], buckets: int = 1 << 18, dim: int = 8, rounds: int = 120, parts: int = 4, rate: float = 0.05,
-          decay: float = 0.005, min_texts: int = 5, seed: int = 7) -> Model:
-    """Fits table and softmax jointly (Adam on the cross-entropy over a part of the texts
-    a step, both labels weighing alike)."""
-    rows = [rows[i] for i in np.random.default_rng(seed).permutation(len(rows))]
-    labels = np.array([y for _, y in rows], np.int64)
-    n_toxic = int(labels.sum())
-    if not len(rows) or n_toxic in (0, len(rows)):
-        odds = (n_toxic + 0.5) / (len(rows) - n_toxic + 0.5) if rows else 1.0
-        return Model(np.zeros(1, np.float32), float(np.log(odds)))
-    rng, known, wrong = np.random.default_rng(seed), {}, {}
-    index, value, size, target = [], [], [], []
-    for text, label in rows:
+@dataclass
+class Examples:
+    """Training texts as sparse rows: gram, weight and row of every entry."""
+    used: np.ndarray  # buckets by gram number
+    index: np.ndarray
+    value: np.ndarray
+    row: np.ndarray
+    label: np.ndarray
+    group: np.ndarray  # a text and its misspelt twin share one
+
+
+def examples(rows: list[tuple[str, int]], buckets: int, min_z: float) -> Examples:
+    known, wrong = {}, {}
+    index, value, target, group = [], [], [], []
+    for number, (text, label) in enumerate(rows):
         own = _bag((clean(p), k) for p, k in Counter(text.lower().split()).items())
         for w in own.keys() - wrong.keys():
             wrong[w] = misspell(w)
@@ -130,50 +136,78 @@ def train(rows: list[tuple[str, int]], buckets: int = 1 << 18, dim: int = 8, rou
             starts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
             index.append(ids[starts])
             value.append(np.add.reduceat(weight[order], starts).astype(np.float32))
-            size.append(len(starts))
             target.append(label)
-    y = np.array(target)
+            group.append(number)
     known.clear()
-    texts_with = np.zeros(buckets, np.int32)
-    for ids in index:
-        texts_with[ids] += 1
-    used = np.flatnonzero(texts_with >= min_texts)  # a gram of one text teaches nothing
+    y = np.array(target, np.int64)
+    texts_with = np.zeros((2, buckets), np.int32)
+    for ids, label in zip(index, target):
+        texts_with[label, ids] += 1
+    # grams that the labels hold equally often, as far as the sample can tell, have no vector
+    n = np.maximum(1, np.bincount(y, minlength=2))[:, None]
+    share, whole = texts_with / n, texts_with.sum(axis=0) / n.sum()
+    apart = np.abs(share[1] - share[0]) >= min_z * np.sqrt(whole * (1 - whole) * (1 / n[0] + 1 / n[1]))
+    used = np.flatnonzero(apart & (texts_with.sum(axis=0) >= 5))
     place = np.full(buckets, -1, np.int32)
     place[used] = np.arange(len(used), dtype=np.int32)
+    size = []
     for k, ids in enumerate(index):  # text by text, so that nothing is held twice
         own = place[ids]
-        index[k], value[k], size[k] = own[own >= 0], value[k][own >= 0], int((own >= 0).sum())
-    index = np.concatenate(index)
-    value = np.concatenate(value)
-    doc = np.repeat(np.arange(len(size), dtype=np.int32), size)
-    cuts = np.searchsorted(doc, np.linspace(0, len(y), parts + 1).astype(int))
-    table = rng.standard_normal((len(used), dim)) * 0.1
+        index[k], value[k] = own[own >= 0], value[k][own >= 0]
+        size.append(len(index[k]))
+    return Examples(used, np.concatenate([np.zeros(0, np.int32), *index]), np.concatenate([np.zeros(0, np.float32), *value]), np.repeat(np.arange(len(size), dtype=np.int32), size), y, np.array(group))
+
+
+def fit_examples(x: Examples, buckets: int, dim: int = 8, rounds: int = 240, rate: float = 0.05, decay: float = 0.005, damping: float = 1.0,
+                 stop_share: float = 0.2, toxic_weight: float = 0.5, seed: int = 7) -> tuple[Model, int]:
+    """Fits table and softmax jointly by Adam on the cross-entropy, both labels weighing
+    alike. Every fifth text stops the rounds: the model of the round that fits them best
+    is kept. A gram's step is damped against the strongest gram's, so that grams with
+    little evidence move little (plain Adam moves all alike)."""
+    rng = np.random.default_rng(seed)
+    back = rng.permutation(x.group.max() + 1)[x.group] < stop_share * (x.group.max() + 1)
+    table = rng.standard_normal((len(x.used), dim)) * 0.01
     head = rng.standard_normal((dim, 2)) * 0.5
     bias = np.zeros(2)
+    weigh = lambda which: np.where(x.label == 1, toxic_weight / max(1, (which & (x.label == 1)).sum()), (1 - toxic_weight) / max(1, (which & (x.label == 0)).sum())) * which
+    learn, watch = weigh(~back), weigh(back)
     state = [[np.zeros_like(p), np.zeros_like(p)] for p in (table, head, bias)]
+    best = (np.inf, 0, None, None)
     for step in range(1, rounds + 1):
-        a, b = cuts[(step - 1) % parts], cuts[(step - 1) % parts + 1]  # a part of the texts a step
-        if a == b:
-            continue
-        here, some, weight = index[a:b], doc[a:b] - doc[a], value[a:b]
-        real = y[doc[a]:doc[b - 1] + 1]
-        each = np.where(real == 1, 0.5 / max(1, real.sum()), 0.5 / max(1, (1 - real).sum()))
         # mean and head commute, so buckets are scored first; of two classes only the
         # difference of the softmax inputs counts
-        odds = _SCALE * np.bincount(some, weight * (table @ (head[:, 1] - head[:, 0]))[here], len(real)) + bias[1] - bias[0]
-        slope = (1 / (1 + np.exp(-np.clip(odds, -50, 50))) - real) * each
-        back = _SCALE * np.bincount(here, weight * slope[some], len(used))
-        back = np.stack([-back, back], 1)
-        for k, (param, grad) in enumerate(((table, back @ head.T), (head, table.T @ back),
-                                           (bias, np.array([-1, 1]) * slope.sum()))):
+        odds = _SCALE * np.bincount(x.row, x.value * (table @ (head[:, 1] - head[:, 0]))[x.index], len(x.label)) + bias[1] - bias[0]
+        odds = np.clip(odds, -50, 50)
+        loss = float((watch * np.logaddexp(0, np.where(x.label == 1, -odds, odds))).sum())
+        if loss < best[0]:
+            best = (loss, step, _SCALE * (table @ (head[:, 1] - head[:, 0])), float(bias[1] - bias[0]))
+        elif step > best[1] + 40:
+            break
+        slope = (1 / (1 + np.exp(-odds)) - x.label) * learn
+        pull = _SCALE * np.bincount(x.index, x.value * slope[x.row], len(x.used))
+        pull = np.stack([-pull, pull], 1)
+        for k, (param, grad) in enumerate(((table, pull @ head.T), (head, table.T @ pull), (bias, np.array([-1, 1]) * slope.sum()))):
             m, v = state[k]
             m += 0.1 * (grad - m)
             v += 0.01 * (grad * grad - v)
-            param -= rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-9)
-        table *= 1 - decay  # pulls grams that few texts support towards nothing
+            size = np.sqrt(v / (1 - 0.99 ** step))
+            param -= rate * (m / (1 - 0.9 ** step)) / (size + (damping * size.max() if k == 0 else 0) + 1e-9)
+        table *= 1 - decay
     scores = np.zeros(buckets, np.float32)
-    scores[used] = _SCALE * (table @ (head[:, 1] - head[:, 0]))
-    return Model(scores, float(bias[1] - bias[0]))
+    scores[x.used] = best[2]
+    return Model(scores, best[3]), best[1]
+
+
+def train(rows: list[tuple[str, int]], buckets: int = 1 << 18, min_z: float = 5.0, seed: int = 7, **how) -> Model:
+    rows = [rows[i] for i in np.random.default_rng(seed).permutation(len(rows))]
+    n_toxic = sum(y for _, y in rows)
+    if not rows or n_toxic in (0, len(rows)):
+        odds = (n_toxic + 0.5) / (len(rows) - n_toxic + 0.5) if rows else 1.0
+        return Model(np.zeros(1, np.float32), float(np.log(odds)))
+    found = examples(rows, buckets, min_z)
+    if not len(found.used):  # nothing tells the labels apart
+        return Model(np.zeros(1, np.float32), 0.0)
+    return fit_examples(found, buckets, seed=seed, **how)[0]
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, eligible: Column, id_col: str, text_col: str, label_col: str,
@@ -204,16 +238,21 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "sco
     names = [f.name for f in docs.schema]
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    own = uuid.uuid4().hex
+
+    def memo() -> Memo:
         fitted = shared.value
-        words = Memo(fitted.shares, 200_000)
+        words = Memo(fitted.shares, 500_000)
 
         def adds(pieces: list[str]) -> list[float | None]:
             bases = list(map(clean, pieces))
             words.learn({w for w in bases if w})
             return [words[w] if w else None for w in bases]
 
-        pieces = Memo(adds, 200_000)
+        return Memo(adds, 500_000)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fitted, pieces = shared.value, kept(own, memo)  # the memo serves all tasks of a worker
         for batch in batches:
             for part in by_bytes(batch, len(names)):
                 bags = [Counter(t.lower().split()) for t in texts(part.column(len(names)))]

@@ -143,6 +143,16 @@ def test_toxicity_held_out_and_misspelt(spark):
     assert got[1] > 0.5 > got[2]
 
 
+def test_toxicity_recall_and_precision_on_held_out_documents(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    scored = toxicity.score(docs.select("doc_id", "text"), toxicity.fit(docs, labels)).select("doc_id", "score")
+    found = scored.join(labels, "doc_id").where(toxicity.held_out()).groupBy("toxic", (F.col("score") >= 0.5).alias("said")).count().collect()
+    n = {(r.toxic, r.said): r["count"] for r in found}
+    hits = n.get((1, True), 0)
+    print(n)
+    assert hits >= 0.9 * (hits + n.get((1, False), 0)) and hits >= 0.9 * (hits + n.get((0, True), 0))
+
+
 def test_toxicity_of_long_texts(spark):
     rng = np.random.default_rng(3)
     plain = ["".join(rng.choice(list("aeioulnrst"), int(rng.integers(4, 10)))) for _ in range(12_000)]
