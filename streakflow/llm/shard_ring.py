@@ -10,9 +10,9 @@ larger ``epsilon`` fewer keys overflow and fewer move when shards are added.
 Distribution: Spark counts keys per (arc, salt), a table whose size is fixed by
 parameters, never by the data. The driver walks the ring over those counts and
 writes, for every (arc, salt), which ranks go to which shard and from which slot on.
-Rows get their rank inside (arc, salt) from a window and look the piece up. The salt
-is drawn from a row number, so one key that a third of all rows share is still dealt
-to ``salts`` windows.
+Rows get their rank inside (arc, salt) from a window and look the piece up. An arc has
+as many salts, drawn from a row number, as its count asks for, so a key that a third
+of all rows share is dealt to windows no larger than others.
 
 Cases: a null text has size 1 and the CRC of no bytes; a null id is a key like any
 other; repeated rows are separate rows (each has its own slot); other columns are not
@@ -76,20 +76,25 @@ def walk_ring(counts: dict[tuple[int, int], int], shards: int, vnodes: int, cell
 
 
 def shard_documents(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: str = "text", vnodes: int = 64,
-                    cells: int = 1 << 13, salts: int = 8, epsilon: float = 0.0) -> DataFrame:
+                    cells: int = 1 << 13, per_window: int = 10_000, epsilon: float = 0.0) -> DataFrame:
     """One row per input row: ``id_col``, size, text_crc32, shard, slot."""
     spark = docs.sparkSession
     text = text_of(text_col)
     base = cut(docs.select(F.col(id_col).alias("id"), (F.octet_length(text) + 1).cast("long").alias("size"),
                            F.crc32(text).alias("crc"), F.monotonically_increasing_id().alias("row")))
-    keyed = base.withColumn("arc", F.pmod(F.xxhash64("id"), F.lit(cells)).cast("int")) \
-                .withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(salts)).cast("int"))
-    counted = keyed.groupBy("arc", "salt").count().collect()  # cells x salts rows at most
+    keyed = base.withColumn("arc", F.pmod(F.xxhash64("id"), F.lit(cells)).cast("int"))
+    arcs = {r.arc: r["count"] for r in keyed.groupBy("arc").count().collect()}  # a row an arc at most
+    window = max(per_window, sum(arcs.values()) // cells)  # so there are at most cells salts more than arcs
+    salts = spark.createDataFrame([(a, -(-n // window)) for a, n in arcs.items() if n > window], "arc int, salts int")
+    # at most ``cells`` rows: a bound set by parameters
+    keyed = keyed.join(F.broadcast(salts), "arc", "left").withColumn(
+        "salt", F.pmod(F.xxhash64("row"), F.coalesce("salts", F.lit(1))).cast("int")).drop("salts")
+    counted = keyed.groupBy("arc", "salt").count().collect()  # twice as many rows as arcs at most
     pieces = walk_ring({(r.arc, r.salt): r["count"] for r in counted}, shards, vnodes, cells, epsilon)
     plan = spark.createDataFrame(pieces, "arc int, salt int, first long, until long, shard int, slot0 long")
     order = Window.partitionBy("arc", "salt").orderBy("id", "row")
     ranked = keyed.withColumn("rank", (F.row_number().over(order) - 1).cast("long"))
-    # the plan has cells x salts pieces and a few per shard more: a bound set by parameters
-    placed = ranked.join(F.broadcast(plan), ["arc", "salt"]).where("rank >= first and rank < until")
+    # the plan has two pieces an arc and a few per shard more: a bound set by parameters
+    placed = ranked.join(F.broadcast(plan.coalesce(1)), ["arc", "salt"]).where("rank >= first and rank < until")
     return placed.select(F.col("id").alias(id_col), "size", F.col("crc").alias("text_crc32"), "shard",
                          (F.col("slot0") + F.col("rank") - F.col("first")).alias("slot"))
