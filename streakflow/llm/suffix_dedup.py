@@ -18,7 +18,7 @@ also starts earlier (in a smaller document id, or earlier in the same document).
 
 Cases: null counts as empty and keeps nothing; texts shorter than ``length`` keep all;
 rows that repeat an id and its text are one document, each reported alike; texts that
-share an id are ordered by their hash; a null id comes after all others; other columns
+share an id are ordered by their hash; a null id comes after all others (real ids lie below 2^62); other columns
 are not read; an empty table gives an empty result.
 """
 from __future__ import annotations
@@ -29,16 +29,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from streakflow.llm.common import by_bytes, cut, map_arrow, text_of
+from streakflow.llm.common import by_bytes, cut, map_arrow, small_side, text_of
 from streakflow.llm.suffix_sort import adjacent_agree, suffix_array
 
 _U = np.uint64
 _GRAM = 32
 _P, _Q = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
-_FIELDS = "kind int, key long, ctx long, left int, size int, id long, th int, start long"
+_FIELDS = "kind int, key long, ctx long, left int, size int, id long, th long, start long"
 _NAMES = [f.split()[0] for f in _FIELDS.split(", ")]
 _SPAN, _ANCHOR, _FETCH = 0, 1, 2
 _LAST = (1 << 63) - 1
+_NONE = 1 << 62  # ids from here on stand for null (real ids are smaller)
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -118,7 +119,7 @@ def _span_keys(c: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     return c | {"key": _mix(c["id"].view(_U) ^ c["start"].view(_U)).view(np.int64)}
 
 
-def _emit_anchors(length: int, most: int = 400_000):
+def _emit_anchors(length: int, most: int = 200_000):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, held, count = Powers(), [], 0
 
@@ -128,7 +129,7 @@ def _emit_anchors(length: int, most: int = 400_000):
             yield _batch(_SPAN, _span_keys(c), again)
 
         for batch in batches:
-            for part in by_bytes(batch, 2, 2 << 20):
+            for part in by_bytes(batch, 2, 512 << 10):
                 bodies = part.column(2).cast(pa.binary()).to_pylist()
                 text = np.frombuffer(b"".join(bodies), np.uint8)
                 ends = np.cumsum([len(b) for b in bodies])
@@ -183,7 +184,7 @@ def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for i, th, body, wants in zip(*(c.to_pylist() for c in [*part.columns[:2], part.column(2).cast(pa.binary()), part.column(3)])):
                 yield pa.RecordBatch.from_arrays([
                     pa.array([w["key"] for w in wants], pa.int64()), pa.array([w["left"] for w in wants], pa.int32()),
-                    pa.array([i] * len(wants), pa.int64()), pa.array([th] * len(wants), pa.int32()),
+                    pa.array([i] * len(wants), pa.int64()), pa.array([th] * len(wants), pa.int64()),
                     pa.array([w["start"] for w in wants], pa.int64()),
                     pa.array([body[w["start"]:w["start"] + w["size"]] for w in wants], pa.binary())], names=names)
 
@@ -192,18 +193,18 @@ def equal_windows(contexts: list[bytes], places: list[tuple], length: int) -> li
     """(context, first, end) stretches of contexts whose every window also starts at an
     earlier place. ``places``: (document order, start) of each context."""
     sizes = np.array([len(c) for c in contexts], np.int64)
-    begin = np.r_[0, np.cumsum(sizes)[:-1]]
+    begin = np.r_[0, np.cumsum(sizes)[:-1]].astype(np.int32)
     text = np.frombuffer(b"".join(contexts), np.uint8)
     order = suffix_array(text, -(-length // 8) * 8)
-    owner = np.repeat(np.arange(len(contexts)), sizes)
+    owner = np.repeat(np.arange(len(contexts), dtype=np.int32), sizes)
     inside = order - begin[owner[order]] + length <= sizes[owner[order]]
     order = order[inside]  # suffixes too short for a window may stand between equal ones
     if not len(order):
         return []
     same = adjacent_agree(text, order, length)
-    group = np.cumsum(~same)
+    group = np.cumsum(~same, dtype=np.int32)
     rank = {p: r for r, p in enumerate(sorted({p[:-1] for p in places}))}
-    doc = np.array([rank[p[:-1]] for p in places])[owner[order]]
+    doc = np.array([rank[p[:-1]] for p in places], np.int32)[owner[order]]
     at = np.array([p[-1] for p in places], np.int64)[owner[order]] + order - begin[owner[order]]
     line = np.lexsort((at, doc, group))
     group, doc, at, order = group[line], doc[line], at[line], order[line]
@@ -218,7 +219,7 @@ def equal_windows(contexts: list[bytes], places: list[tuple], length: int) -> li
     return [(int(owner[a]), int(a - begin[owner[a]]), int(b - begin[owner[a]]) + length) for a, b in zip(hit[first], hit[last])]
 
 
-def _compare(length: int, most: int = 4 << 20):
+def _compare(length: int, most: int = 1 << 20):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size = 0
@@ -226,7 +227,7 @@ def _compare(length: int, most: int = 4 << 20):
         def settle():
             found = equal_windows([h[5] for h in held], [(h[2], h[3], h[4]) for h in held], length)
             return pa.RecordBatch.from_arrays([
-                pa.array([held[o][2] for o, _, _ in found], pa.int64()), pa.array([held[o][3] for o, _, _ in found], pa.int32()),
+                pa.array([held[o][2] for o, _, _ in found], pa.int64()), pa.array([held[o][3] for o, _, _ in found], pa.int64()),
                 pa.array([held[o][4] + a for o, a, _ in found], pa.int64()), pa.array([held[o][4] + b for o, _, b in found], pa.int64())],
                 names=["id", "th", "start", "end"])
 
@@ -277,8 +278,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """One row per input row: ``id_col``, n_bytes, spans (removed stretches, in bytes) and
     kept (binary: the remaining bytes)."""
     text = text_of(text_col)
-    source = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("id"), F.hash(text).alias("th"),
-                         text.alias("text"))
+    plain = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("id"), text.alias("text"))
+    # ids that stand for several rows: only there is the text's hash part of the document's
+    # name (63 bits, and null ids get 62 more in the place of the id)
+    several = small_side(plain.groupBy("id").count().where("count > 1").select(F.col("id").alias("several")))
+    named = plain.join(several, plain["id"] == several["several"], "left")
+    unnamed = F.col("id") == _LAST
+    source = named.select(
+        F.when(unnamed, F.lit(_NONE) + F.shiftrightunsigned(F.xxhash64(F.lit("id"), "text"), 2)).otherwise(F.col("id")).alias("id"),
+        F.when(F.col("several").isNull(), F.lit(0)).otherwise(F.shiftrightunsigned(F.xxhash64("text"), 1)).alias("th"), "text")
     anchors = map_arrow(source.where(F.octet_length("text") >= length), _emit_anchors(length), _FIELDS)
     found = cut(map_arrow(anchors.repartition("key").sortWithinPartitions("key"), _meet, _FIELDS))
     wants = (found.where(F.col("kind") == _FETCH).groupBy("id", "th")
@@ -286,11 +294,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # most documents want something as the corpus grows: always joined by shuffle
     wants = cut(wants).hint("merge")
     fetched = source.join(wants, ["id", "th"]).dropDuplicates(["id", "th"]).select("id", "th", "text", "wants")
-    contexts = map_arrow(fetched, _fetch, "key long, left int, id long, th int, start long, body binary")
-    windows = map_arrow(contexts.repartition("key").sortWithinPartitions("key"), _compare(length), "id long, th int, start long, end long")
+    contexts = map_arrow(fetched, _fetch, "key long, left int, id long, th long, start long, body binary")
+    windows = map_arrow(contexts.repartition("key").sortWithinPartitions("key"), _compare(length), "id long, th long, start long, end long")
     spans = found.where(F.col("kind") == _SPAN).select("id", "th", "start", (F.col("start") + F.col("size")).alias("end"))
     spans = spans.unionByName(windows).groupBy("id", "th").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     spans = _bounded(spans, F.size("spans") * 16)
     joined = source.join(spans, ["id", "th"], "left").select("id", "text", "spans")
     done = map_arrow(joined, _removed, "id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
-    return done.select(F.when(F.col("id") != _LAST, F.col("id")).alias(id_col), "n_bytes", "spans", "kept")
+    return done.select(F.when(F.col("id") < _NONE, F.col("id")).alias(id_col), "n_bytes", "spans", "kept")

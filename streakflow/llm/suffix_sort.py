@@ -14,19 +14,20 @@ import numpy as np
 def type_b(text: np.ndarray) -> np.ndarray:
     """Which suffixes are smaller than their successors (the last one is not)."""
     n = len(text)
-    step = np.zeros(n, np.int8)
-    step[:-1] = np.sign(text[1:].astype(np.int16) - text[:-1])
-    step[-1] = -1
-    decides = np.where(step != 0, np.arange(n), n - 1)
-    return step[np.minimum.accumulate(decides[::-1])[::-1]] > 0
+    rises = np.zeros(n, bool)
+    rises[:-1] = text[:-1] < text[1:]
+    decides = np.arange(n, dtype=np.int32)  # the next position whose neighbours differ
+    decides[:-1][text[:-1] == text[1:]] = n - 1
+    decides = np.minimum.accumulate(decides[::-1])[::-1]
+    return rises[decides]
 
 
 def _words(text: np.ndarray, depth: int) -> np.ndarray:
     """Eight bytes from every position on as one big-endian number."""
-    padded = np.concatenate([text, np.zeros(depth + 8, np.uint8)]).astype(np.uint64)
-    two = (padded[:-1] << np.uint64(8)) | padded[1:]
-    four = (two[:-2] << np.uint64(16)) | two[2:]
-    return (four[:-4] << np.uint64(32)) | four[4:]
+    padded = np.concatenate([text, np.zeros(depth + 8, np.uint8)])
+    two = (padded[:-1].astype(np.uint16) << np.uint16(8)) | padded[1:]
+    four = (two[:-2].astype(np.uint32) << np.uint32(16)) | two[2:]
+    return (four[:-4].astype(np.uint64) << np.uint64(32)) | four[4:]
 
 
 def _sort_directly(at: np.ndarray, words: np.ndarray, depth: int) -> np.ndarray:
@@ -35,7 +36,8 @@ def _sort_directly(at: np.ndarray, words: np.ndarray, depth: int) -> np.ndarray:
         return at
     first = words[at]
     order = at[np.argsort(first, kind="stable")]
-    tied_at, group = np.arange(len(order)), None
+    del first
+    tied_at, group = np.arange(len(order), dtype=np.int32), None
     value = words[order]
     for offset in range(8, depth, 8):
         new = np.r_[True, value[1:] != value[:-1]] if group is None else np.r_[True, (group[1:] != group[:-1]) | (value[1:] != value[:-1])]
@@ -56,15 +58,15 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     suffixes that agree that far stand together in any order."""
     n = len(text)
     if n == 0:
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.int32)
     is_b = type_b(text)
-    direct = _sort_directly(np.flatnonzero(is_b), _words(text, depth), depth)
+    direct = _sort_directly(np.flatnonzero(is_b).astype(np.int32), _words(text, depth), depth)
     starts = np.searchsorted(text[direct], np.arange(257))
     waiting: list[list[np.ndarray]] = [[] for _ in range(256)]
-    waiting[text[-1]].append(np.array([n - 1]))  # the end is smaller than any byte
+    waiting[text[-1]].append(np.array([n - 1], np.int32))  # the end is smaller than any byte
     out = []
     for byte in range(256):
-        induced = np.concatenate([np.zeros(0, np.int64), *waiting[byte]])
+        induced = np.concatenate([np.zeros(0, np.int32), *waiting[byte]])
         waiting[byte] = []
         parts, wave = [induced], induced
         while len(wave):  # type-A suffixes whose successor starts with the same byte
@@ -93,7 +95,7 @@ def adjacent_agree(text: np.ndarray, order: np.ndarray, length: int) -> np.ndarr
     padded = np.concatenate([text, np.zeros(length + 8, np.uint8)])
     words = _words(padded, 0)
     same = np.zeros(len(order), bool)
-    open_ = np.arange(1, len(order))
+    open_ = np.arange(1, len(order), dtype=np.int32)
     for offset in [*range(0, length - 7, 8), *([length - 8] if length % 8 else [])]:
         open_ = open_[words[order[open_] + offset] == words[order[open_ - 1] + offset]]
     same[open_] = True
