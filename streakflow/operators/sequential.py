@@ -7,9 +7,7 @@ small pandas fold over one user's rows in order, and run by Spark:
 * streaming: ``groupBy(user).applyInPandasWithState`` -- state per user is
   O(1) plus the keys and changes still inside their windows, and each
   micro-batch hands over only its own rows;
-* batch (F8b): ``groupBy(user, segment).applyInPandas`` where segments are
-  cut at gaps of at least the counter lifetime, after which the counter has
-  provably expired (see ``rate_segments``).
+* batch: the limiter (F8b) has a parallel form in ``limiter``.
 
 Rule forms that parallelise fully (F7, F8a, D3) live in ``anomaly`` and the
 ingest plan; these folds are the exact, order-by-order semantics.
@@ -20,12 +18,9 @@ import json
 from dataclasses import dataclass, field
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
-
 from streakflow.config import DEFAULT_LIMITS, Limits
-from streakflow.operators.windows import DAY_US, previous_value, running_sum
+from streakflow.operators.limiter import US, rate_limit_exact, rate_segments  # noqa: F401  (the batch form)
 
-US = 1_000_000
 
 
 def event_id_text(created_at: pd.Timestamp, key: str) -> str:
@@ -121,48 +116,6 @@ def _sorted(pdf: pd.DataFrame) -> pd.DataFrame:
     return pdf.sort_values(["created_at", "row_id"], kind="mergesort")
 
 
-def rate_segments(valid: DataFrame, limits: Limits = DEFAULT_LIMITS, ts: str = "created_at",
-                  tie: str = "row_id") -> DataFrame:
-    """Cut each user's attempts where the gap to the previous attempt is at
-    least the counter lifetime: the counter has expired there whatever came
-    before (the last counted attempt is no later than the previous attempt),
-    so segments can be folded independently. Adds ``segment``."""
-    prev = previous_value(valid, ["user_id"], ts, tie, ts, out="_prev_ts")
-    gap = (F.unix_micros(F.col(ts)) - F.unix_micros(F.col("_prev_ts"))) >= limits.rate_window_seconds * US
-    starts = prev.withColumn("_start", F.coalesce(gap, F.lit(True)).cast("long"))
-    return running_sum(starts, ["user_id"], ts, tie, F.col("_start"), out="segment", bucket_us=DAY_US) \
-        .drop("_prev_ts", "_start")
-
-
-def rate_limit_exact(valid: DataFrame, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
-    """The reference's limiter, attempt by attempt. Input: valid
-    attempts (row_id, user_id, created_at). Output adds ``allowed``.
-
-    Segments are hash-partitioned (different segments of one busy user go
-    to different tasks) and sorted; ``mapInPandas`` then streams each
-    partition in Arrow batches, carrying the O(1) counter across batch
-    boundaries and resetting it at every new (user, segment). No group is
-    ever materialised whole."""
-    seg = rate_segments(valid.select("row_id", "user_id", "created_at"), limits)
-    ordered = (seg.repartition("user_id", "segment")
-                  .sortWithinPartitions("user_id", "segment", "created_at", "row_id"))
-
-    def run(batches):
-        current, st = None, None
-        for pdf in batches:
-            micros = pdf["created_at"].astype("datetime64[us]").astype("int64").to_numpy()
-            users, segs = pdf["user_id"].to_numpy(), pdf["segment"].to_numpy()
-            allowed = []
-            for u, g, t in zip(users, segs, micros):
-                if current != (u, g):
-                    current, st = (u, g), UserState()
-                allowed.append(rate_step(st, int(t), limits))
-            yield pd.DataFrame({"row_id": pdf["row_id"].to_numpy(), "allowed": allowed})
-
-    decided = ordered.mapInPandas(run, "row_id long, allowed boolean")
-    return valid.join(decided, "row_id")
-
-
 STREAM_OUTPUT = VERDICT_SCHEMA + ", created_at timestamp, activity_date date, event_type string, source string, " \
     "timezone string, idempotency_key string, client_timestamp string"
 _CARRY = ("created_at", "activity_date", "event_type", "source", "timezone", "idempotency_key", "client_timestamp")

@@ -628,3 +628,27 @@ FROM (SELECT *, first_value(event_id) OVER (PARTITION BY idempotency_key ORDER B
 ORACLE["live_events"] = with_ingest(f"""
 SELECT user_id, event_id, ttl, {ts('created_at')} AS created_at FROM acc
 WHERE ttl > CAST(epoch(TIMESTAMP '2024-04-15 00:00:00') AS BIGINT)""")
+
+# where a count that begins at an attempt is followed by the next one: at a gap of an
+# hour before it is full, else at the first attempt an hour after it is full
+ORACLE["rate_limit_exact"] = with_ingest(f"""
+SELECT row_id, user_id, {ts('created_at')} AS created_at, rn < begun + {adapter.ORACLE_RATE_LIMIT} AS allowed
+FROM (SELECT n.*, max(s.rn) OVER (PARTITION BY n.user_id ORDER BY n.rn ROWS UNBOUNDED PRECEDING) AS begun
+      FROM numbered n LEFT JOIN begins s ON s.user_id = n.user_id AND s.rn = n.rn)""", extra=f""",
+numbered AS (
+  SELECT row_id, user_id, created_at, epoch_us(created_at) AS t, row_number() OVER w AS rn,
+         epoch_us(created_at) - lag(epoch_us(created_at)) OVER w >= 3600000000 AS gap
+  FROM valid WINDOW w AS (PARTITION BY user_id ORDER BY created_at, row_id)),
+ahead AS (
+  SELECT *, lead(t, {adapter.ORACLE_RATE_LIMIT - 1}) OVER (PARTITION BY user_id ORDER BY rn) + 3600000000 AS free_at,
+         min(CASE WHEN gap THEN rn END) OVER (PARTITION BY user_id ORDER BY rn ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next_gap
+  FROM numbered),
+instants AS (SELECT user_id, t, min(rn) AS rn FROM numbered GROUP BY 1, 2),
+onward AS MATERIALIZED (
+  SELECT a.user_id, a.rn, CASE WHEN a.next_gap < a.rn + {adapter.ORACLE_RATE_LIMIT} THEN a.next_gap ELSE i.rn END AS next_rn
+  FROM ahead a ASOF LEFT JOIN instants i ON a.user_id = i.user_id AND a.free_at <= i.t),
+begins AS (
+  SELECT DISTINCT user_id, CAST(1 AS BIGINT) AS rn FROM numbered
+  UNION
+  SELECT o.user_id, o.next_rn FROM begins b JOIN onward o ON o.user_id = b.user_id AND o.rn = b.rn WHERE o.next_rn IS NOT NULL)"""
+).replace("WITH", "WITH RECURSIVE", 1)

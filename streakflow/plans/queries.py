@@ -535,7 +535,7 @@ def q_live_events(spark, sf_dir):
 
 @query("rate_limit_exact")
 def q_rate_limit_exact(spark, sf_dir):
-    """The reference's limiter attempt by attempt (no SQL twin: a fold)."""
-    from streakflow.operators import sequential
+    """The reference's limiter attempt by attempt, by transfer tables."""
+    from streakflow.operators import limiter
     v = _valid_attempts(spark, sf_dir).select("row_id", "user_id", "created_at")
-    return finish(sequential.rate_limit_exact(v, ORACLE_LIMITS))
+    return finish(limiter.rate_limit_exact(v, ORACLE_LIMITS))
