@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from streakflow.llm.common import by_bytes, cut, map_arrow, small_side, text_of
 from streakflow.llm.suffix_sort import adjacent_agree, suffix_array
@@ -267,13 +267,6 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["id", "n_bytes", "spans", "kept"])
 
 
-def _bounded(df: DataFrame, size: Column, most: int = 64 << 20) -> DataFrame:
-    """A written table, broadcast if ``size`` adds up to at most ``most`` bytes."""
-    table = cut(df)
-    total = table.agg(F.sum(size + 64)).first()[0] or 0
-    return F.broadcast(table) if total <= most else table
-
-
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100) -> DataFrame:
     """One row per input row: ``id_col``, n_bytes, spans (removed stretches, in bytes) and
     kept (binary: the remaining bytes)."""
@@ -298,7 +291,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     windows = map_arrow(contexts.repartition("key").sortWithinPartitions("key"), _compare(length), "id long, th long, start long, end long")
     spans = found.where(F.col("kind") == _SPAN).select("id", "th", "start", (F.col("start") + F.col("size")).alias("end"))
     spans = spans.unionByName(windows).groupBy("id", "th").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    spans = _bounded(spans, F.size("spans") * 16)
-    joined = source.join(spans, ["id", "th"], "left").select("id", "text", "spans")
+    # nearly every document has some as the corpus grows: always joined by shuffle
+    joined = source.join(cut(spans).hint("merge"), ["id", "th"], "left").select("id", "text", "spans")
     done = map_arrow(joined, _removed, "id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
     return done.select(F.when(F.col("id") < _NONE, F.col("id")).alias(id_col), "n_bytes", "spans", "kept")
