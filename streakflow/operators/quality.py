@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import StructType
 
 from streakflow.config import DEFAULT_LIMITS, Limits
@@ -91,6 +91,45 @@ def update_lag(events: DataFrame, updated: str = "received_at", limits: Limits =
         F.count_if(F.col("_lag") > limits.update_lag_seconds).alias("late_updates")))
 
 
+#: Buckets of a quantile sketch grow by this factor; a quantile is off by 1 % of its value at most.
+SKETCH_GROWTH = 1.02
+QUANTILES = {"p50": 50, "p95": 95, "p99": 99}
+
+
+def lag_sketch(rows: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
+    """A mergeable quantile sketch of ``value``: counts by logarithmic bucket
+    (0 for values of at most a millionth). Two sketches merge by adding counts, so a
+    day's sketch is kept and never recounted; its size follows the range of the values
+    (some 60 buckets a factor of 3), not their number. Null values are not counted."""
+    bucket = F.when(F.col(value) <= 1e-6, F.lit(0)).otherwise(
+        F.ceil(F.log(F.col(value) * 1e6) / F.log(F.lit(SKETCH_GROWTH)))).cast("long")
+    return rows.where(F.col(value).isNotNull()).groupBy(*by, bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def merge_sketches(parts: DataFrame, by: Sequence[str]) -> DataFrame:
+    return parts.groupBy(*by, "bucket").agg(F.sum("n").alias("n"))
+
+
+def sketch_quantiles(sketch: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``by`` columns, ``updates`` and the quantiles of a sketch (a bucket's middle)."""
+    whole = Window.partitionBy(*by)
+    ranked = sketch.select(*by, "bucket", F.sum("n").over(whole.orderBy("bucket")).alias("_upto"), F.sum("n").over(whole).alias("updates"))
+    middle = F.when(F.col("bucket") == 0, F.lit(0.0)).otherwise(
+        F.pow(F.lit(SKETCH_GROWTH), F.col("bucket")) * (2 / (1 + SKETCH_GROWTH)) / 1e6)
+    return ranked.groupBy(*by, "updates").agg(*[
+        F.min_by(middle, F.when(F.col("_upto") * 100 >= F.col("updates") * q, F.col("bucket"))).alias(f"{name}_sketch")
+        for name, q in QUANTILES.items()])
+
+
+def exact_quantiles(rows: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
+    """The same quantiles exactly: the smallest value that so many per cent do not
+    exceed. Distinct values are counted first, so equal values cost one row a task."""
+    counts = rows.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
+    whole = Window.partitionBy(*by)
+    ranked = counts.select(*by, value, F.sum("n").over(whole.orderBy(value)).alias("_upto"), F.sum("n").over(whole).alias("_all"))
+    return ranked.groupBy(*by).agg(*[F.min(F.when(F.col("_upto") * 100 >= F.col("_all") * q, F.col(value))).alias(name) for name, q in QUANTILES.items()])
+
+
 def partition_gaps(present: DataFrame, start, end, ts: str = "created_at") -> DataFrame:
     """Hours in [start, end) without any row. The hour range is
     generated on executors (``sequence`` + ``explode``) and anti-joined
@@ -100,7 +139,9 @@ def partition_gaps(present: DataFrame, start, end, ts: str = "created_at") -> Da
         F.lit(str(start)).cast("timestamp"),
         F.lit(str(end)).cast("timestamp") - F.expr("INTERVAL 1 HOUR"),
         F.expr("INTERVAL 1 HOUR"))).alias("hour"))
-    seen = present.select(F.date_trunc("hour", F.col(ts)).alias("hour")).distinct()
+    # only the asked range is read
+    wanted = present.where((F.col(ts) >= F.lit(str(start)).cast("timestamp")) & (F.col(ts) < F.lit(str(end)).cast("timestamp")))
+    seen = wanted.select(F.date_trunc("hour", F.col(ts)).alias("hour")).distinct()
     return hours.join(seen, "hour", "left_anti")
 
 

@@ -106,7 +106,11 @@ ACCEPTED_COLUMNS = ("user_id", "event_id", "event_type", "points_awarded", "sour
 def ingest_batch(payloads: DataFrame, as_of, limits: Limits = DEFAULT_LIMITS,
                  history: DataFrame | None = None, order_col: str = "row_id") -> Ingested:
     """Verdicts of all attempts and the accepted event log (one plan)."""
-    classified = classify(payloads, as_of, limits, history, order_col)
+    return of_classified(classify(payloads, as_of, limits, history, order_col), order_col)
+
+
+def of_classified(classified: DataFrame, order_col: str = "row_id") -> Ingested:
+    """The tables that follow from ``classify`` (of a plan or of a written table)."""
     return Ingested(classified.select(order_col, *VERDICT_COLUMNS),
                     classified.where(F.col("status") == "processed").select(order_col, *ACCEPTED_COLUMNS),
                     classified.select(order_col, *VERDICT_COLUMNS, "received_at", "created_at"))

@@ -60,6 +60,12 @@ def with_ctes(body: str, curate: bool = True, extra: str = "") -> str:
     return "WITH " + _adapter_ctes() + (_curate_ctes() if curate else "") + extra + "\n" + body
 
 
+def _middle(q: float) -> str:
+    """The middle of the sketch bucket that holds a quantile."""
+    b = f"quantile_disc(b, {q:.2f})"
+    return f"CASE WHEN {b} = 0 THEN 0.0 ELSE pow(1.02, {b}) * (2 / 2.02) / 1000000.0 END"
+
+
 ORACLE: dict[str, str] = {}
 
 ORACLE["daily_summaries"] = with_ctes(f"""
@@ -652,3 +658,14 @@ begins AS (
   UNION
   SELECT o.user_id, o.next_rn FROM begins b JOIN onward o ON o.user_id = b.user_id AND o.rn = b.rn WHERE o.next_rn IS NOT NULL)"""
 ).replace("WITH", "WITH RECURSIVE", 1)
+
+ORACLE["lag_percentiles"] = with_ingest("""
+SELECT activity_date, updates, p50_sketch, p95_sketch, p99_sketch, p50, p95, p99
+FROM (SELECT activity_date, CAST(COUNT(*) AS BIGINT) AS updates, round(quantile_disc(lag_s, 0.50), 6) AS p50,
+             round(quantile_disc(lag_s, 0.95), 6) AS p95, round(quantile_disc(lag_s, 0.99), 6) AS p99,
+             round(middle(quantile_disc(b, 0.50)), 6) AS p50_sketch, round(middle(quantile_disc(b, 0.95)), 6) AS p95_sketch,
+             round(middle(quantile_disc(b, 0.99)), 6) AS p99_sketch
+      FROM (SELECT activity_date, lag_s, CASE WHEN lag_s <= 0.000001 THEN 0 ELSE CAST(ceil(ln(lag_s * 1000000.0) / ln(1.02)) AS BIGINT) END AS b
+            FROM (SELECT activity_date, (epoch_us(received_at) - epoch_us(created_at)) / 1000000.0 AS lag_s FROM acc))
+      GROUP BY activity_date)""".replace("middle(quantile_disc(b, 0.50))", _middle(0.50)).replace("middle(quantile_disc(b, 0.95))", _middle(0.95))
+    .replace("middle(quantile_disc(b, 0.99))", _middle(0.99)))

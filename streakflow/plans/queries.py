@@ -74,7 +74,7 @@ def q_quality_funnel(spark, sf_dir):
 from streakflow.config import Limits  # noqa: E402
 from streakflow.operators import anomaly, streaks, warehouse  # noqa: E402
 from streakflow.plans import ingest as ingest_plan  # noqa: E402
-from streakflow.sources import readers  # noqa: E402
+from streakflow.sources import readers, sinks  # noqa: E402
 
 ORACLE_LIMITS = Limits(max_age_days=adapter.ORACLE_MAX_AGE_DAYS, rate_limit=adapter.ORACLE_RATE_LIMIT,
                        duplicate_pattern_min=adapter.ORACLE_DUPLICATE_PATTERN,
@@ -87,6 +87,17 @@ def _ingested(spark, sf_dir, limits: Limits = ORACLE_LIMITS) -> ingest_plan.Inge
     return ingest_plan.ingest_batch(adapter.payloads(adapted(spark, sf_dir)), adapter.AS_OF, limits)
 
 
+def _classified(spark, sf_dir):
+    """The classified attempts, written once for the branches of one query."""
+    attempts = adapter.payloads(adapted(spark, sf_dir))
+    return sinks.staged(ingest_plan.classify(attempts, adapter.AS_OF, ORACLE_LIMITS))
+
+
+def _staged(spark, sf_dir):
+    """The accepted log, written once for the branches of one query."""
+    return sinks.staged(_accepted(spark, sf_dir))
+
+
 def _accepted(spark, sf_dir):
     return _ingested(spark, sf_dir).accepted
 
@@ -97,7 +108,7 @@ def _daily(spark, sf_dir):
 
 def _state(spark, sf_dir, acc=None):
     """User streak state: F2 streaks + E3 balances + country shard."""
-    acc = acc if acc is not None else _accepted(spark, sf_dir)
+    acc = acc if acc is not None else _staged(spark, sf_dir)
     s = streaks.streaks(ingest_plan.daily_activity(acc), AS_OF_DATE)
     b = ingest_plan.point_balances(acc)
     d = user_dim(spark, sf_dir).select("user_id", "country")
@@ -286,7 +297,7 @@ def _valid_attempts(spark, sf_dir):
 
 
 def _stored(spark, sf_dir, acc=None):
-    acc = acc if acc is not None else _accepted(spark, sf_dir)
+    acc = acc if acc is not None else _staged(spark, sf_dir)
     return adapter.stored_state_with_faults(streaks.streaks(ingest_plan.daily_activity(acc)),
                                             ingest_plan.point_balances(acc))
 
@@ -294,7 +305,7 @@ def _stored(spark, sf_dir, acc=None):
 def _streak_updates(spark, sf_dir, acc=None):
     """Streak values in update order: the timeline of the (faulty) daily
     table, then the stored state as the latest write."""
-    acc = acc if acc is not None else _accepted(spark, sf_dir)
+    acc = acc if acc is not None else _staged(spark, sf_dir)
     tl = streaks.streak_timeline(adapter.daily_with_faults(ingest_plan.daily_activity(acc)))
     st = _stored(spark, sf_dir, acc).where(F.col("current_streak").isNotNull())
     return tl.select("user_id", F.col("activity_date").alias("updated_on"), F.col("streak").alias("current_streak")) \
@@ -333,7 +344,7 @@ def q_streak_jumps(spark, sf_dir):
 @query("midnight_exploit")
 def q_midnight(spark, sf_dir):
     """late-night event in one zone, then just past midnight in another."""
-    acc = _accepted(spark, sf_dir)
+    acc = _staged(spark, sf_dir)
     m = anomaly.midnight_exploit(acc, ORACLE_LIMITS)
     return finish(m.select("user_id", "event_id", "timezone", "previous_timezone", "local_ts", "previous_local_ts"))
 
@@ -368,12 +379,13 @@ def q_duplicate_share(spark, sf_dir):
 
 @query("anomaly_log")
 def q_anomaly_log(spark, sf_dir):
-    """all rule findings in one typed log."""
+    """all rule findings in one typed log, over one written table of classified attempts."""
     from streakflow.plans import nightly
-    acc = _accepted(spark, sf_dir)
+    classified = _classified(spark, sf_dir)
+    acc = ingest_plan.of_classified(classified).accepted
     checked = validate.validation(adapter.payloads(adapted(spark, sf_dir)), adapter.AS_OF, Limits())
     return finish(nightly.anomaly_findings(
-        _valid_attempts(spark, sf_dir), checked.withColumn("reason", F.col("reject_reason")),
+        classified.where(F.col("reject_status").isNull()), checked.withColumn("reason", F.col("reject_reason")),
         acc, _curated(spark, sf_dir).events, _streak_updates(spark, sf_dir, acc),
         adapter.payloads(adapted(spark, sf_dir)), ORACLE_LIMITS, SPIKE_LIMITS))
 
@@ -389,14 +401,14 @@ def q_streak_audit(spark, sf_dir):
 # --- D6-D13 reconciliation ---------------------------------------------------------
 
 def _recomputed(spark, sf_dir, acc=None):
-    acc = acc if acc is not None else _accepted(spark, sf_dir)
+    acc = acc if acc is not None else _staged(spark, sf_dir)
     return streaks.streaks(ingest_plan.daily_activity(acc))
 
 
 @query("streak_drift")
 def q_streak_drift(spark, sf_dir):
     """D6 + D13: recomputed vs stored streaks, classified."""
-    acc = _accepted(spark, sf_dir)
+    acc = _staged(spark, sf_dir)
     d = reconcile.streak_drift(_recomputed(spark, sf_dir, acc), _stored(spark, sf_dir, acc))
     return reconcile.classify_drift(d)
 
@@ -404,14 +416,14 @@ def q_streak_drift(spark, sf_dir):
 @query("reconcile_points")
 def q_reconcile_points(spark, sf_dir):
     """Log sum vs stored balance."""
-    acc = _accepted(spark, sf_dir)
+    acc = _staged(spark, sf_dir)
     return reconcile.reconcile_points(acc, _stored(spark, sf_dir, acc))
 
 
 @query("reconcile_streaks")
 def q_reconcile_streaks(spark, sf_dir):
     """Stored streak fields vs recomputation from the faulty daily table."""
-    acc = _accepted(spark, sf_dir)
+    acc = _staged(spark, sf_dir)
     daily = ingest_plan.daily_activity(acc)
     return reconcile.reconcile_streaks(adapter.daily_with_faults(daily), _stored(spark, sf_dir, acc))
 
@@ -419,7 +431,7 @@ def q_reconcile_streaks(spark, sf_dir):
 @query("missing_activity")
 def q_missing_activity(spark, sf_dir):
     """User-days with events but no daily row."""
-    acc = _accepted(spark, sf_dir)
+    acc = _staged(spark, sf_dir)
     m = reconcile.missing_activity(acc, adapter.daily_with_faults(ingest_plan.daily_activity(acc)))
     return finish(m)
 
@@ -427,7 +439,7 @@ def q_missing_activity(spark, sf_dir):
 @query("orphan_activity")
 def q_orphan_activity(spark, sf_dir):
     """Daily rows without events."""
-    acc = _accepted(spark, sf_dir)
+    acc = _staged(spark, sf_dir)
     o = reconcile.orphan_activity(adapter.daily_with_faults(ingest_plan.daily_activity(acc)), acc)
     return finish(o)
 
@@ -435,7 +447,7 @@ def q_orphan_activity(spark, sf_dir):
 @query("snapshot_parity")
 def q_snapshot_parity(spark, sf_dir):
     """Stored vs recomputed state, per user."""
-    acc = _accepted(spark, sf_dir)
+    acc = _staged(spark, sf_dir)
     rec = _recomputed(spark, sf_dir, acc).join(ingest_plan.point_balances(acc), "user_id", "full")
     return reconcile.snapshot_parity(_stored(spark, sf_dir, acc), rec,
                                      ["current_streak", "longest_streak", "total_bestie_points"])
@@ -444,7 +456,7 @@ def q_snapshot_parity(spark, sf_dir):
 @query("correction_audit")
 def q_correction_audit(spark, sf_dir):
     """Audit rows of the auto-fixed drift."""
-    acc = _accepted(spark, sf_dir)
+    acc = _staged(spark, sf_dir)
     d = reconcile.classify_drift(reconcile.streak_drift(_recomputed(spark, sf_dir, acc), _stored(spark, sf_dir, acc)))
     a = reconcile.correction_audit(d, adapter.RECONCILE_AT)
     return finish(a.select("audit_id", "user_id", "action", F.col("old_value.current_streak").alias("old_streak"),
@@ -483,6 +495,19 @@ def q_update_lag(spark, sf_dir):
     return finish(quality.update_lag(_accepted(spark, sf_dir), "received_at", by="activity_date"))
 
 
+@query("lag_percentiles")
+def q_lag_percentiles(spark, sf_dir):
+    """p50, p95 and p99 of the lag per local day, from mergeable sketches and exactly."""
+    acc = _staged(spark, sf_dir)
+    lag = (F.unix_micros("received_at") - F.unix_micros("created_at")) / F.lit(1_000_000.0)
+    rows = acc.select("activity_date", F.col("received_at").cast("date").alias("day"), lag.alias("lag_seconds"))
+    # one sketch for every (date, arrival day), merged by date: no event is read twice
+    parts = quality.lag_sketch(rows, "lag_seconds", ["activity_date", "day"])
+    merged = quality.merge_sketches(parts, ["activity_date"])
+    return finish(quality.sketch_quantiles(merged, ["activity_date"]).join(
+        quality.exact_quantiles(rows, "lag_seconds", ["activity_date"]), "activity_date"))
+
+
 @query("partition_gaps")
 def q_partition_gaps(spark, sf_dir):
     """Hours of January 2024 without raw events."""
@@ -496,7 +521,6 @@ def q_attempts_by_hour(spark, sf_dir):
 
 
 # --- remaining scans, joins and filters -------------------------------------------
-from streakflow.sources import sinks  # noqa: E402
 
 LIVE_AS_OF = "2024-04-15 00:00:00"
 

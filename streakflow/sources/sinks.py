@@ -8,9 +8,13 @@ layout later range reads by date and joins by user want.
 """
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from streakflow.config import checkpoint_dir
+
 
 def write_partitioned(df: DataFrame, path: str, partition_col: str = "event_date",
                       sort_cols=("user_id",), max_records_per_file: int | None = None) -> None:
@@ -30,6 +34,15 @@ def _file_system(spark: SparkSession, path: str):
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
+def staged(df: DataFrame) -> DataFrame:
+    """``df`` written once as Parquet in the shared checkpoint folder and read back, for
+    plans whose branches would each compute it again. A lost executor costs a reread."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/staged-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether a partitioned table has been written there. Any failure to find out
     (storage, permissions) is an error, never read as "no table"."""
