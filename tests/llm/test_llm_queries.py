@@ -13,15 +13,15 @@ SF = "/root/testdata/sf0.001"
 
 def test_one_query_per_operator():
     names = __spark_entry__.queries()
-    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11)) and "pipeline" in names
+    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 14)) and "pipeline" in names
 
 
-@pytest.mark.parametrize("name", ["op5_url_filter", "op6_exact_dedup"])
+@pytest.mark.parametrize("name", ["op5_url_filter", "op6_exact_dedup", "op11_ns_clusters"])
 def test_sql_twin(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings"):
         con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     got = __spark_entry__.queries()[name](spark, SF).toPandas()
     want = con.sql(__spark_entry__.oracle_sql()[name]).df()
