@@ -15,7 +15,8 @@ counted and broadcast below a bound, joined by shuffle beyond it. Word arrays ar
 again only for documents that were hit.
 
 Cases: null or empty texts have no seed; an item shorter than ``window`` must agree as a
-whole in ``share`` percent, so one of one to four words flags exact copies only; repeated
+whole in ``share`` percent; one of fewer than ``least_words`` (five) words says nothing by
+occurring somewhere, so it leaks only where it is the whole text; repeated
 rows are one (id, text) and give one result per item; equal items each give a row; other
 columns are not read; empty tables give an empty result.
 """
@@ -80,7 +81,7 @@ def _agreement(window: int, share: int) -> tuple[Column, Column, Column]:
 
 
 def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id",
-          item_text: str = "text", window: int = 12, share: int = 80) -> DataFrame:
+          item_text: str = "text", window: int = 12, share: int = 80, least_words: int = 5) -> DataFrame:
     """One row per document and leaked item: ``id_col``, ``item_id``, n_agree (words that
     agree along the best alignment), n_item_words, best_window, doc_word (where in the
     document's words the item's first word lies or would lie) and text_hash."""
@@ -108,6 +109,7 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     same, best, leaked = _agreement(window, share)
     # written in between: a lambda would otherwise split the text anew for every word
     aligned = cut(pairs.select("id", "text_hash", "item", "diag", "item_words", words(F.col("text")).alias("words")))
+    aligned = aligned.where((F.size("item_words") >= least_words) | (F.col("words") == F.col("item_words")))
     compared = cut(aligned.select("id", "text_hash", "item", "diag", same.alias("same")))
     scored = compared.withColumn("best_window", best).where(leaked)
     top = F.struct("best_window", F.aggregate("same", F.lit(0), lambda total, x: total + x).alias("n_agree"),

@@ -377,12 +377,21 @@ def test_decontamination_finds_every_pattern(spark):
                 inside = next((k for k in range(n) if k not in wrong), n)
                 for words in (["before", *own, "after"], own[inside:]):  # whole, and cut off at the text's begin
                     docs.append((len(docs), " ".join(words)))
-                    if 100 * (n - differ) >= 80 * n:
+                    if 100 * (n - differ) >= 80 * n and (n >= 5 or words == text.split()):  # few words: whole texts only
                         expected.add((docs[-1][0], n))
     found = decontaminate.leaks(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string"))
     assert {(r.doc_id, r.item_id) for r in found.collect()} == expected
 
 
+def test_a_short_item_takes_no_text_that_only_holds_it(spark):
+    docs = [(1, "yes it is"), (2, "Yes!"), (3, "they said yes and yes"), (4, None), (5, "new york city"), (6, "new york")]
+    items = spark.createDataFrame([(1, "Yes"), (2, "New York"), (3, "Yes")], "item_id long, text string")
+    found = decontaminate.leaks(frame(spark, docs), items)
+    assert as_rows(found, "doc_id", "item_id") == sorted([(2, 1), (2, 3), (6, 2)], key=repr)
+    kept = decontaminate.without_leaks(frame(spark, docs), items)
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 4, 5]
+
+
 # --- 8: sharding --------------------------------------------------------------------------------------
 
 def test_ring_is_balanced_and_gapless(spark):
