@@ -15,49 +15,50 @@ from streakflow.operators.windows import DAY_US, HOUR_US, previous_value, traili
 
 
 def timezone_changes(events: DataFrame, ts: str = "created_at", tie: str = "event_id",
-                     zone: str = "timezone") -> DataFrame:
+                     zone: str = "timezone", dense: DataFrame | None = None) -> DataFrame:
     """one row per event whose zone differs from the user's previous
-    event's zone."""
-    prev = previous_value(events, ["user_id"], ts, tie, zone, out="previous_timezone")
+    event's zone. ``dense``: users with very many events in a day (``dense_keys``)."""
+    prev = previous_value(events, ["user_id"], ts, tie, zone, out="previous_timezone", dense=dense)
     return prev.where(F.col("previous_timezone").isNotNull() & (F.col(zone) != F.col("previous_timezone")))
 
 
 def timezone_abuse(events: DataFrame, limits: Limits = DEFAULT_LIMITS, ts: str = "created_at",
-                   tie: str = "event_id", zone: str = "timezone", where: Column | None = None) -> DataFrame:
+                   tie: str = "event_id", zone: str = "timezone", where: Column | None = None,
+                   dense: DataFrame | None = None) -> DataFrame:
     """F7 (rule form): adds ``tz_changed`` and ``tz_abuse``. An event that
     changes the zone is abuse when at least ``tz_change_limit`` changes
     happened in the trailing ``tz_window_hours`` before it (the change of
     the event itself not counted). With ``where`` only rows meeting it take
     part (others get false)."""
     cand = F.lit(True) if where is None else where
-    prev = previous_value(events, ["user_id"], ts, tie, zone, out="_prev_zone", where=cand)
+    prev = previous_value(events, ["user_id"], ts, tie, zone, out="_prev_zone", where=cand, dense=dense)
     changed = cand & F.coalesce(F.col(zone) != F.col("_prev_zone"), F.lit(False))
     flagged = prev.withColumn("tz_changed", changed)
     width = limits.tz_window_hours * HOUR_US
     counted = trailing_sum(flagged, ["user_id"], ts, tie, width, value=F.col("tz_changed").cast("long"),
-                           out="_recent_changes", include_current=False)
+                           out="_recent_changes", include_current=False, dense=dense)
     return (counted.withColumn("tz_abuse", F.col("tz_changed") & (F.col("_recent_changes") >= limits.tz_change_limit))
                    .drop("_prev_zone", "_recent_changes"))
 
 
 def rate_flag(events: DataFrame, limits: Limits = DEFAULT_LIMITS, ts: str = "created_at",
-              tie: str = "event_id") -> DataFrame:
+              tie: str = "event_id", dense: DataFrame | None = None) -> DataFrame:
     """F8a (rule form): ``attempts_last_hour`` counts the user's attempts in
     the trailing window up to and including this one; ``rate_limited`` when
     it exceeds the limit."""
     width = limits.rate_window_seconds * 1_000_000
-    counted = trailing_sum(events, ["user_id"], ts, tie, width, out="attempts_last_hour", bucket_us=DAY_US)
+    counted = trailing_sum(events, ["user_id"], ts, tie, width, out="attempts_last_hour", bucket_us=DAY_US, dense=dense)
     return counted.withColumn("rate_limited", F.col("attempts_last_hour") > limits.rate_limit)
 
 
 def midnight_exploit(events: DataFrame, limits: Limits = DEFAULT_LIMITS, ts: str = "created_at",
-                     tie: str = "event_id", zone: str = "timezone") -> DataFrame:
+                     tie: str = "event_id", zone: str = "timezone", dense: DataFrame | None = None) -> DataFrame:
     """an event in the first ``midnight_minutes`` of a local day whose
     previous event was in the last ``midnight_minutes`` of the previous
     local day in another zone (23:59 in one zone, 00:01 next day in another)."""
     local = local_time(F.col(ts), F.col(zone))
     with_local = events.withColumn("_here", F.struct(F.col(zone).alias("zone"), local.alias("local_ts")))
-    prev = previous_value(with_local, ["user_id"], ts, tie, "_here", out="_before")
+    prev = previous_value(with_local, ["user_id"], ts, tie, "_here", out="_before", dense=dense)
     m = limits.midnight_minutes
     minute_of_day = lambda c: F.hour(c) * 60 + F.minute(c)
     cur_ts, prev_ts = F.col("_here.local_ts"), F.col("_before.local_ts")

@@ -12,7 +12,17 @@ data. These helpers split every key by event-time bucket:
   bucket is found by a partial aggregate, carried forward over the (small)
   per-bucket table, and joined back.
 
-Order within a key is (``ts``, ``tie``); ``tie`` breaks equal timestamps.
+Order within a key is (``ts``, ``tie``); ``tie`` breaks equal timestamps. Rows whose key
+is null are no sequence: ``previous_value`` and ``running_sum`` see their bucket only.
+
+A bucket is a day or a window's width, so a key that holds much of one day would
+still be one task. ``dense_keys`` finds such keys from counts; given them, the
+helpers cut these keys' rows into cells of a minute instead:
+
+* ``trailing_sum`` in two levels: sums of whole cells come from a table of one row
+  per (key, cell), so a row meets only the rows of its own cell and of the cell in
+  which its window begins;
+* the others take the cell as the bucket.
 """
 from __future__ import annotations
 
@@ -22,15 +32,56 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 HOUR_US = 3_600_000_000
 DAY_US = 24 * HOUR_US
+MINUTE_US = 60_000_000
+#: A key is dense if one of its days has more than one row in ``DENSE_SHARE`` of all rows, so there
+#: are fewer dense keys than that (the bound of their broadcast), and more than ``DENSE_FLOOR`` rows.
+DENSE_SHARE = 10_000
+DENSE_FLOOR = 50_000
 
 
 def _micros(ts: str) -> Column:
     return F.unix_micros(F.col(ts).cast("timestamp"))
 
 
+def dense_keys(df: DataFrame, keys: Sequence[str], ts: str, floor: int = DENSE_FLOOR, share: int = DENSE_SHARE) -> DataFrame:
+    """The keys of which some day holds more than ``floor`` rows and more than one row in
+    ``share`` of all. One aggregate of narrow rows; fewer than ``share`` keys result."""
+    days = df.groupBy(*keys, F.floor(_micros(ts) / F.lit(DAY_US)).alias("_day")).agg(F.count(F.lit(1)).alias("_n"))
+    total = days.agg(F.sum("_n")).scalar()
+    return days.where((F.col("_n") > floor) & (F.col("_n") * share > total)).select(*keys).distinct()
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], ts: str, floor: int = DENSE_FLOOR, share: int = DENSE_SHARE) -> DataFrame | None:
+    """``dense_keys``, written once, or None where no key is dense: the windows then need no
+    second form, and the plan stays as small as it was."""
+    from streakflow.sources.sinks import staged
+
+    found = staged(dense_keys(df, keys, ts, floor, share))
+    return None if found.isEmpty() else found
+
+
+def _marked(df: DataFrame, keys: Sequence[str], dense: DataFrame | None) -> DataFrame:
+    """``df`` with ``_dense``. The dense keys are fewer than ``DENSE_SHARE``, so they are broadcast."""
+    if dense is None:
+        return df.withColumn("_dense", F.lit(False))
+    few = F.broadcast(dense.select(*[F.col(k).alias(f"_dense_{k}") for k in keys], F.lit(True).alias("_dense")))
+    same = [df[k].eqNullSafe(few[f"_dense_{k}"]) for k in keys]
+    marked = df.join(few, same, "left").drop(*[f"_dense_{k}" for k in keys])
+    return marked.withColumn("_dense", F.coalesce("_dense", F.lit(False)))
+
+
+def _bucket_start(ts: str, bucket_us: int, cell_us: int, dense: DataFrame | None) -> Column:
+    """Start of a row's bucket: of its cell for a dense key."""
+    t = _micros(ts)
+    wide = F.floor(t / F.lit(bucket_us)).cast("long") * F.lit(bucket_us)
+    if dense is None:
+        return wide
+    return F.when(F.col("_dense"), F.floor(t / F.lit(cell_us)).cast("long") * F.lit(cell_us)).otherwise(wide)
+
+
 def trailing_sum(df: DataFrame, keys: Sequence[str], ts: str, tie: str, width_us: int,
                  value: Column | None = None, out: str = "trailing", include_current: bool = True,
-                 bucket_us: int | None = None) -> DataFrame:
+                 bucket_us: int | None = None, dense: DataFrame | None = None, cell_us: int = MINUTE_US) -> DataFrame:
     """Add ``out`` = sum of ``value`` (default 1 = a count) over rows of the
     same key whose time lies in ``[t - width + 1us, t]`` and that come no
     later than the current row in (ts, tie) order (the row itself included
@@ -42,8 +93,16 @@ def trailing_sum(df: DataFrame, keys: Sequence[str], ts: str, tie: str, width_us
     the window (e.g. a day for an hour) only rows near a bucket's end are
     copied; buckets narrower than the window spread a dense key over more
     tasks at the cost of more copies. Default: one window width.
+
+    Rows of ``dense`` keys go into cells of ``cell_us`` (a divisor of the width). A
+    row's copy meets only the cell in which the row leaves the window; what lies
+    in the cells between comes as one more row per cell, whose sum is taken from the
+    table of cell sums (one row per key and cell that has rows: bounded by the calendar).
     """
     keys = list(keys)
+    if dense is not None and width_us % cell_us:
+        raise ValueError("the width must be a multiple of the cell")
+    df = _marked(df, keys, dense)
     bucket = bucket_us or width_us
     reach = -(-width_us // bucket)
     val = F.lit(1) if value is None else value
@@ -55,9 +114,20 @@ def trailing_sum(df: DataFrame, keys: Sequence[str], ts: str, tie: str, width_us
     else:
         offsets = F.filter(F.sequence(F.lit(0).cast("long"), F.lit(reach).cast("long")),
                            lambda k: (k == 0) | (t + F.lit(width_us) > (b0 + k) * F.lit(bucket)))
-    u = df.select("*", t.alias("_t"), F.coalesce(val.cast("long"), F.lit(0).cast("long")).alias("_v"),
-                  b0.alias("_b0"), F.explode(offsets).alias("_k"))
+    summed = F.coalesce(val.cast("long"), F.lit(0).cast("long"))
+    if dense is not None:
+        cells = width_us // cell_us
+        cell = F.floor(t / F.lit(cell_us)).cast("long")
+        offsets = F.when(F.col("_dense"), F.array(F.lit(0).cast("long"), F.lit(cells).cast("long"))).otherwise(offsets)
+        b0 = F.when(F.col("_dense"), cell).otherwise(b0)
+    u = df.select("*", t.alias("_t"), summed.alias("_v"), b0.alias("_b0"), F.explode(offsets).alias("_k"))
     u = u.withColumns({"_b": F.col("_b0") + F.col("_k"), "_own": F.col("_k") == 0})
+    if dense is not None:
+        between = Window.partitionBy(*keys).orderBy("_b").rangeBetween(-(cells - 1), -1)
+        per_cell = df.where("_dense").groupBy(*keys, cell.alias("_b")).agg(F.sum(summed).alias("_cell_sum"))
+        inner = per_cell.select(*keys, "_b", F.sum("_cell_sum").over(between).alias("_mid"),
+                                (F.col("_b") * F.lit(cell_us)).alias("_t"), F.lit(0).cast("long").alias("_v"), F.lit(False).alias("_own"))
+        u = u.unionByName(inner, allowMissingColumns=True)
     # One sort serves all frames: rows ordered by (t, tie) also satisfy the
     # ordering by t of the range frames, so the (t, tie) window runs first.
     # Rows of equal t that come after the current one in tie order are
@@ -70,21 +140,24 @@ def trailing_sum(df: DataFrame, keys: Sequence[str], ts: str, tie: str, width_us
     upto_peer = F.sum("_v").over(by_t.rangeBetween(Window.unboundedPreceding, Window.currentRow))
     frame = F.sum("_v").over(by_t.rangeBetween(-(width_us - 1), Window.currentRow))
     total = frame - (upto_peer - F.col("_run"))
+    if dense is not None:  # a cell's row lies at the cell's start, before its own rows
+        total = total + F.coalesce(F.sum("_mid").over(by_t.rangeBetween(Window.unboundedPreceding, Window.currentRow)), F.lit(0))
     if not include_current:
         total = total - F.col("_v")
-    return u.withColumn(out, total).where("_own").drop("_t", "_v", "_k", "_b0", "_b", "_own", "_run")
+    return u.withColumn(out, total).where("_own").drop("_t", "_v", "_k", "_b0", "_b", "_own", "_run", "_dense", "_mid")
 
 
 def previous_value(df: DataFrame, keys: Sequence[str], ts: str, tie: str, value: str,
-                   out: str | None = None, bucket_us: int = DAY_US, where: Column | None = None) -> DataFrame:
+                   out: str | None = None, bucket_us: int = DAY_US, where: Column | None = None,
+                   dense: DataFrame | None = None, cell_us: int = MINUTE_US) -> DataFrame:
     """Add ``out`` = ``value`` of the previous row of the same key in
     (ts, tie) order (null for the first row), without one task per key.
     With ``where``, only rows meeting it count as previous rows."""
     keys = list(keys)
     out = out or f"prev_{value}"
     cond = F.lit(True) if where is None else where
-    rows = df.withColumns({"_b": F.floor(_micros(ts) / F.lit(bucket_us)).cast("long"),
-                           "_pv": F.when(cond, F.struct(F.col(value).alias("v")))})
+    rows = _marked(df, keys, dense).withColumns({
+        "_b": _bucket_start(ts, bucket_us, cell_us, dense), "_pv": F.when(cond, F.struct(F.col(value).alias("v")))})
     # last qualifying row per (key, bucket), for every bucket that has rows:
     # a partial aggregate, hot keys combine map-side
     last = rows.groupBy(*keys, "_b").agg(
@@ -98,18 +171,18 @@ def previous_value(df: DataFrame, keys: Sequence[str], ts: str, tie: str, value:
     before = F.last("_pv", ignorenulls=True).over(within)
     return (rows.join(carried, [*keys, "_b"], "left")
                 .withColumn(out, F.coalesce(before, F.col("_carry"))["v"])
-                .drop("_b", "_pv", "_carry"))
+                .drop("_b", "_pv", "_carry", "_dense"))
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], ts: str, tie: str, value: Column, out: str,
-                bucket_us: int = DAY_US) -> DataFrame:
+                bucket_us: int = DAY_US, dense: DataFrame | None = None, cell_us: int = MINUTE_US) -> DataFrame:
     """Add ``out`` = running sum of ``value`` per key in (ts, tie) order,
     current row included: per-bucket totals (partial aggregate), their
     prefix over the small per-bucket table, plus the running sum inside the
     bucket."""
     keys = list(keys)
-    rows = df.withColumns({"_b": F.floor(_micros(ts) / F.lit(bucket_us)).cast("long"),
-                           "_rv": F.coalesce(value.cast("long"), F.lit(0).cast("long"))})
+    rows = _marked(df, keys, dense).withColumns({
+        "_b": _bucket_start(ts, bucket_us, cell_us, dense), "_rv": F.coalesce(value.cast("long"), F.lit(0).cast("long"))})
     per_bucket = rows.groupBy(*keys, "_b").agg(F.sum("_rv").alias("_bs"))
     before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_bucket.select(*keys, "_b", F.coalesce(F.sum("_bs").over(before), F.lit(0)).alias("_off"))
@@ -117,4 +190,4 @@ def running_sum(df: DataFrame, keys: Sequence[str], ts: str, tie: str, value: Co
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return (rows.join(offsets, [*keys, "_b"], "left")
                 .withColumn(out, (F.col("_off") + F.sum("_rv").over(within)).cast("long"))
-                .drop("_b", "_rv", "_off"))
+                .drop("_b", "_rv", "_off", "_dense"))

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 from streakflow.config import DEFAULT_LIMITS, STATUS_CODES, STATUSES, Limits
 from streakflow.functions import award_points, event_id_from_key
 from streakflow.operators import anomaly, rollups, validate
-from streakflow.operators.windows import DAY_US, trailing_sum
+from streakflow.operators.windows import DAY_US, hot_keys, trailing_sum
 
 
 @dataclass
@@ -49,9 +49,11 @@ def classify(payloads: DataFrame, as_of, limits: Limits = DEFAULT_LIMITS,
     v = validate.validation(payloads, as_of, limits).withColumn("_valid", F.col("reject_status").isNull())
 
     # rate limit over every valid attempt (F8a); invalid rows weigh 0
-    # day buckets: only attempts in the last hour of a day are copied as context
+    # day buckets: only attempts in the last hour of a day are copied as context;
+    # users who hold much of a day are cut into minutes
+    dense = hot_keys(v, ["user_id"], "created_at")
     c = trailing_sum(v, ["user_id"], "created_at", order_col, limits.rate_window_seconds * 1_000_000,
-                     value=F.col("_valid").cast("long"), out="attempts_last_hour", bucket_us=DAY_US)
+                     value=F.col("_valid").cast("long"), out="attempts_last_hour", bucket_us=DAY_US, dense=dense)
     c = c.withColumn("_passed", F.col("_valid") & (F.col("attempts_last_hour") <= limits.rate_limit))
 
     # duplicates among the rest (D3): the first attempt per key wins. The
@@ -72,7 +74,7 @@ def classify(payloads: DataFrame, as_of, limits: Limits = DEFAULT_LIMITS,
 
     # timezone abuse among first attempts (F7, rule form)
     tz = anomaly.timezone_abuse(j, limits, ts="created_at", tie=order_col, zone="timezone",
-                                where=F.col("_passed") & ~F.col("_dup"))
+                                where=F.col("_passed") & ~F.col("_dup"), dense=dense)
     blocked = tz.where("tz_abuse").select(F.col("idempotency_key").alias("_blocked_key")).distinct()
     tz = tz.join(blocked, F.col("_dup") & (F.col("idempotency_key") == F.col("_blocked_key")), "left")
     again = F.col("_blocked_key").isNotNull() & F.col("_hist_id").isNull()

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from streakflow.config import DEFAULT_LIMITS, Limits
 from streakflow.operators import anomaly, reconcile, rollups, streaks
+from streakflow.operators.windows import hot_keys
 
 
 @dataclass
@@ -47,13 +48,14 @@ def anomaly_findings(valid_attempts: DataFrame, verdicts: DataFrame, accepted: D
                      spike_limits: Limits | None = None) -> DataFrame:
     """rule rows of F8a, F12, F7, F9, F10, F11 and F13 in one log."""
     spike_limits = spike_limits or limits
+    dense = hot_keys(accepted, ["user_id"], "created_at")
     if "attempts_last_hour" in valid_attempts.columns:  # the ingest plan has counted them
         rate = valid_attempts.where(F.col("attempts_last_hour") > limits.rate_limit)
     else:
-        rate = anomaly.rate_flag(valid_attempts, limits, tie="row_id").where("rate_limited")
-    tz = anomaly.timezone_abuse(accepted, limits).where("tz_abuse")
+        rate = anomaly.rate_flag(valid_attempts, limits, tie="row_id", dense=dense).where("rate_limited")
+    tz = anomaly.timezone_abuse(accepted, limits, dense=dense).where("tz_abuse")
     jumps = streaks.streak_jumps(streak_updates, order_col="updated_on")
-    midnight = anomaly.midnight_exploit(accepted, limits)
+    midnight = anomaly.midnight_exploit(accepted, limits, dense=dense)
     spikes = anomaly.points_spike(curated, spike_limits)
     dups = anomaly.duplicate_keys(attempts, limits)
     return anomaly.anomaly_log(

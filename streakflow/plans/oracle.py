@@ -260,6 +260,8 @@ SELECT user_id, total_bestie_points, timezone, {ts('streak_updated_at')} AS stre
 
 ORACLE["streaks"] = with_ingest("SELECT * FROM streaks_eff")
 
+ORACLE["streaks_late_days"] = ORACLE["streaks"]
+
 ORACLE["streak_timeline"] = with_ingest("""
 SELECT user_id, activity_date, CAST(row_number() OVER (PARTITION BY user_id, island ORDER BY activity_date) AS BIGINT) AS streak
 FROM isl""")
@@ -336,6 +338,8 @@ SELECT CAST(date_trunc('week', event_date) AS DATE) AS week_start, country,
        round(AVG(total_points), 6) AS avg_daily_points, round(AVG(total_events), 6) AS avg_daily_events
 FROM summaries GROUP BY 1, 2""")
 
+ORACLE["weekly_active_refreshed"] = ORACLE["weekly_streak_stats"]
+
 _BUCKET = "CASE " + " ".join(f"WHEN current_streak BETWEEN {low} AND {high} THEN '{label}'" for label, low, high in STREAK_BUCKETS) \
     + f" ELSE '{STREAK_BUCKET_ELSE}' END"
 ORACLE["streak_distribution"] = with_warehouse(f"""
@@ -368,7 +372,8 @@ stg AS (
     SELECT *, row_number() OVER (PARTITION BY idempotency_key ORDER BY created_at, event_id) AS rn FROM stg_raw)
   WHERE rn = 1),
 merged AS (
-  SELECT * FROM fact WHERE idempotency_key NOT IN (SELECT idempotency_key FROM stg WHERE idempotency_key IS NOT NULL)
+  SELECT * FROM fact WHERE idempotency_key IS NULL
+     OR idempotency_key NOT IN (SELECT idempotency_key FROM stg WHERE idempotency_key IS NOT NULL)
   UNION ALL SELECT * FROM stg)
 SELECT {_FACT_SELECT} FROM merged""".replace("\n, stg_raw AS", ", stg_raw AS"))
 
@@ -623,14 +628,30 @@ FROM raw WHERE day(created_at) >= 15""", curate=False)
 ORACLE["drop_seen"] = with_ctes(f"""
 SELECT idempotency_key, event_id, TRY_CAST(points_awarded AS INTEGER) AS points_awarded, {ts('created_at')} AS created_at
 FROM kept WHERE CAST(created_at AS DATE) = DATE '2024-01-15'
-  AND idempotency_key NOT IN (SELECT idempotency_key FROM enriched WHERE idempotency_key IS NOT NULL)""")
+  AND (idempotency_key IS NULL
+       OR idempotency_key NOT IN (SELECT idempotency_key FROM enriched WHERE idempotency_key IS NOT NULL))""")
 
 ORACLE["first_writer_wins"] = with_ctes("""
-SELECT idempotency_key, event_id, event_id <> first_id AS is_duplicate,
-       CASE WHEN event_id <> first_id THEN first_id END AS original_event_id
+SELECT idempotency_key, event_id, idempotency_key IS NOT NULL AND event_id <> first_id AS is_duplicate,
+       CASE WHEN idempotency_key IS NOT NULL AND event_id <> first_id THEN first_id END AS original_event_id
 FROM (SELECT *, first_value(event_id) OVER (PARTITION BY idempotency_key ORDER BY created_at, event_id) AS first_id
       FROM kept)""")
 
+_CUT = "2024-01-16"
+ORACLE["first_writer_history"] = with_ctes(f"""
+SELECT idempotency_key, event_id, idempotency_key IS NOT NULL AND (hist_id IS NOT NULL OR event_id <> first_id) AS is_duplicate,
+       CASE WHEN idempotency_key IS NOT NULL AND (hist_id IS NOT NULL OR event_id <> first_id) THEN COALESCE(hist_id, first_id) END
+       AS original_event_id
+FROM (SELECT b.*, h.hist_id, first_value(b.event_id) OVER (PARTITION BY b.idempotency_key ORDER BY b.created_at, b.event_id) AS first_id
+      FROM batch b LEFT JOIN (SELECT idempotency_key, min(event_id) AS hist_id FROM enriched WHERE event_date < DATE '{_CUT}'
+                              GROUP BY 1) h ON b.idempotency_key = h.idempotency_key)""", extra=f""",
+batch AS (SELECT * FROM kept WHERE created_at >= TIMESTAMP '{_CUT}' OR CAST(event_id AS BIGINT) >= {adapter.DUP_ID_OFFSET})""")
+
+ORACLE["drop_seen_history"] = with_ctes(f"""
+SELECT idempotency_key, event_id, {ts('created_at')} AS created_at FROM kept k
+WHERE (created_at >= TIMESTAMP '{_CUT}' OR CAST(event_id AS BIGINT) >= {adapter.DUP_ID_OFFSET})
+  AND NOT EXISTS (SELECT 1 FROM enriched e WHERE e.event_date < DATE '{_CUT}' AND e.idempotency_key = k.idempotency_key)""")
+
 ORACLE["live_events"] = with_ingest(f"""
 SELECT user_id, event_id, ttl, {ts('created_at')} AS created_at FROM acc
 WHERE ttl > CAST(epoch(TIMESTAMP '2024-04-15 00:00:00') AS BIGINT)""")

@@ -175,6 +175,21 @@ def q_streaks(spark, sf_dir):
     return streaks.streaks(_daily(spark, sf_dir), AS_OF_DATE)
 
 
+@query("streaks_late_days")
+def q_streaks_late(spark, sf_dir):
+    """F2/S13 over stored month blocks: two batches of days come late and out of order, one
+    of them twice; only the streaks of their users are derived anew."""
+    from streakflow.operators import streak_runs
+    daily = sinks.staged(_daily(spark, sf_dir).select("user_id", "activity_date"))
+    late = F.pmod(F.xxhash64("user_id", "activity_date"), F.lit(5))
+    on_time = streak_runs.month_blocks(daily.where(late > 1))
+    state = streak_runs.streaks_of(on_time)
+    batches = [daily.where(late == 0), daily.where(late == 1), daily.where(late == 0)]
+    blocks = sinks.staged(streak_runs.merge_blocks(on_time, *[streak_runs.month_blocks(b) for b in batches]))
+    users = daily.where(late <= 1).select("user_id").distinct()
+    return streaks.effective_streak(streak_runs.repair(state, blocks, users), AS_OF_DATE)
+
+
 @query("streak_timeline")
 def q_streak_timeline(spark, sf_dir):
     """running streak per user-day."""
@@ -248,6 +263,21 @@ def q_weekly(spark, sf_dir):
     return finish(warehouse.weekly_streak_stats(_curated(spark, sf_dir).summaries))
 
 
+@query("weekly_active_refreshed")
+def q_weekly_refreshed(spark, sf_dir):
+    """E4 by refreshes: bitmaps of the first days, then of later days and of one day again,
+    merged by week; new users get their numbers with the refresh that brings them."""
+    from streakflow.operators import active_users
+    summaries = sinks.staged(_curated(spark, sf_dir).summaries.select(
+        "user_id", "event_date", "country", "total_points", "total_events"))
+    first, then = summaries.where("event_date < '2024-01-17'"), summaries.where("event_date >= '2024-01-16'")
+    known = sinks.staged(active_users.number_users(first))
+    numbers = known.unionByName(sinks.staged(active_users.number_users(then, known)))
+    stored = sinks.staged(active_users.daily_pieces(first, known))
+    pieces = active_users.replace_days(stored, active_users.daily_pieces(then, numbers))
+    return finish(active_users.weekly_stats(active_users.weekly_pieces(pieces)))
+
+
 @query("streak_distribution")
 def q_distribution(spark, sf_dir):
     """E5 over the streak snapshot."""
@@ -287,10 +317,17 @@ def q_merge(spark, sf_dir):
 
 # --- F6-F15 anomaly rules --------------------------------------------------------
 from streakflow.operators import quality, reconcile  # noqa: E402
+from streakflow.operators.windows import hot_keys  # noqa: E402
 
 SPIKE_LIMITS = Limits(spike_factor=adapter.ORACLE_SPIKE_FACTOR)
 
 
+def _dense(spark, sf_dir):
+    """Users with several events in a day, counted on the attempts: few rows make a user
+    dense here, so that the tables given exercise both forms of the windows."""
+    return hot_keys(adapted(spark, sf_dir).select("user_id", "created_at"), ["user_id"], "created_at", floor=5)
+
+
 def _valid_attempts(spark, sf_dir):
     v = validate.validation(adapter.payloads(adapted(spark, sf_dir)), adapter.AS_OF, ORACLE_LIMITS)
     return v.where(F.col("reject_status").isNull())
@@ -316,21 +353,21 @@ def _streak_updates(spark, sf_dir, acc=None):
 @query("timezone_changes")
 def q_timezone_changes(spark, sf_dir):
     """accepted events whose zone differs from the user's previous one."""
-    ch = anomaly.timezone_changes(_accepted(spark, sf_dir))
+    ch = anomaly.timezone_changes(_staged(spark, sf_dir), dense=_dense(spark, sf_dir))
     return finish(ch.select("user_id", "event_id", "created_at", "previous_timezone", "timezone"))
 
 
 @query("timezone_abuse_rule")
 def q_timezone_abuse(spark, sf_dir):
     """F7 as a rule over the accepted log."""
-    t = anomaly.timezone_abuse(_accepted(spark, sf_dir), ORACLE_LIMITS)
+    t = anomaly.timezone_abuse(_staged(spark, sf_dir), ORACLE_LIMITS, dense=_dense(spark, sf_dir))
     return finish(t.where("tz_abuse").select("user_id", "event_id", "created_at", "timezone"))
 
 
 @query("rate_flag_rule")
 def q_rate_flag(spark, sf_dir):
     """Valid attempts beyond the hourly limit."""
-    r = anomaly.rate_flag(_valid_attempts(spark, sf_dir), ORACLE_LIMITS, tie="row_id")
+    r = anomaly.rate_flag(_valid_attempts(spark, sf_dir), ORACLE_LIMITS, tie="row_id", dense=_dense(spark, sf_dir))
     return r.where("rate_limited").select("row_id", "user_id", "attempts_last_hour")
 
 
@@ -345,7 +382,7 @@ def q_streak_jumps(spark, sf_dir):
 def q_midnight(spark, sf_dir):
     """late-night event in one zone, then just past midnight in another."""
     acc = _staged(spark, sf_dir)
-    m = anomaly.midnight_exploit(acc, ORACLE_LIMITS)
+    m = anomaly.midnight_exploit(acc, ORACLE_LIMITS, dense=_dense(spark, sf_dir))
     return finish(m.select("user_id", "event_id", "timezone", "previous_timezone", "local_ts", "previous_local_ts"))
 
 
@@ -550,6 +587,30 @@ def q_first_writer_wins(spark, sf_dir):
     return dedup.first_writer_wins(r).select("idempotency_key", "event_id", "is_duplicate", "original_event_id")
 
 
+HISTORY_CUT = "2024-01-16"
+
+
+def _resent(spark, sf_dir):
+    """Later raw rows and copies that are sent again, and the curated log before them."""
+    r = validate.drop_null_keys(raw(spark, sf_dir))
+    batch = r.where((F.col("created_at") >= HISTORY_CUT) | (F.col("event_id").cast("long") >= adapter.DUP_ID_OFFSET))
+    return batch, _curated(spark, sf_dir).events.where(F.col("event_date") < F.lit(HISTORY_CUT).cast("date"))
+
+
+@query("first_writer_history")
+def q_first_writer_history(spark, sf_dir):
+    """D3 against a history: keys of earlier days that come again name the stored event."""
+    batch, history = _resent(spark, sf_dir)
+    return dedup.first_writer_wins(batch, history).select("idempotency_key", "event_id", "is_duplicate", "original_event_id")
+
+
+@query("drop_seen_history")
+def q_drop_seen_history(spark, sf_dir):
+    """D2 against the days before the batch: re-sent keys go, new ones stay."""
+    batch, history = _resent(spark, sf_dir)
+    return finish(dedup.drop_seen(batch, history).select("idempotency_key", "event_id", "created_at"))
+
+
 @query("live_events")
 def q_live_events(spark, sf_dir):
     """Accepted events not yet expired on a later day."""

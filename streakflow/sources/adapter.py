@@ -28,6 +28,9 @@ BAD_ZONE = "Bad/Zone"
 BAD_ZONE_EVERY = 211
 HOPPER_MOD, HOPPER_REM = 10, 3
 NO_OFFSET_EVERY = 307
+NO_TYPE_EVERY, NO_USER_EVERY, NO_ZONE_EVERY, NO_KEY_EVERY = 503, 509, 521, 523
+FUTURE_EVERY, FUTURE_DAYS = 311, 45
+BAD_TIME_EVERY = 541
 POINTS_OVERRIDES = ((97, "500"), (101, "-1"), (103, "12x"))
 DUP_EVERY = 20
 DUP_ID_OFFSET = 10_000_000
@@ -44,7 +47,7 @@ ORPHAN_DAY_MOD, ORPHAN_DAY = 19, "2023-12-31"
 ORACLE_RATE_LIMIT = 2
 ORACLE_DUPLICATE_PATTERN = 2
 ORACLE_SPIKE_FACTOR = 2.0
-ORACLE_MIDNIGHT_MINUTES = 60
+ORACLE_MIDNIGHT_MINUTES = 360
 RECONCILE_AT = "2024-01-31 02:00:00"
 ORACLE_MAX_AGE_DAYS = 40
 # ---------------------------------------------------------------------------
@@ -73,20 +76,24 @@ def _key_text(ts: str, dialect: str) -> str:
 
 def column_sql(dialect: str) -> dict[str, str]:
     """SQL text of each adapted column over (src_id, row_id, uid, src_type, ts)."""
-    event_type = _case("src_type", [(_q(k), _q(v)) for k, v in TYPE_MAP.items()])
+    kind = _case("src_type", [(_q(k), _q(v)) for k, v in TYPE_MAP.items()])
+    event_type = f"CASE WHEN src_id % {NO_TYPE_EVERY} <> 0 THEN {kind} END"
     zone_idx = f"CASE WHEN uid % {HOPPER_MOD} = {HOPPER_REM} THEN (uid + src_id) % {len(TZ_CYCLE)} ELSE uid % {len(TZ_CYCLE)} END"
-    zone = (f"CASE WHEN src_id % {BAD_ZONE_EVERY} = 0 THEN {_q(BAD_ZONE)} ELSE "
+    zone = (f"CASE WHEN src_id % {NO_ZONE_EVERY} = 0 THEN NULL WHEN src_id % {BAD_ZONE_EVERY} = 0 THEN {_q(BAD_ZONE)} ELSE "
             + _case(zone_idx, [(str(i), _q(z)) for i, z in enumerate(TZ_CYCLE)]) + " END")
     source = _case(f"src_id % {len(SOURCE_CYCLE)}", [(str(i), _q(s)) for i, s in enumerate(SOURCE_CYCLE)])
-    type_points = _case(event_type, [(_q(k), str(v)) for k, v in POINTS_MAP.items()] + [("'INVALID_TYPE'", "0")])
+    type_points = _case(kind, [(_q(k), str(v)) for k, v in POINTS_MAP.items()] + [("'INVALID_TYPE'", "0")])
     overrides = " ".join(f"WHEN src_id % {m} = 0 THEN {_q(v)}" for m, v in POINTS_OVERRIDES)
     points = f"CASE {overrides} ELSE CAST({type_points} AS STRING) END"
     iso = _iso_text("ts", dialect)
-    client_ts = f"CASE WHEN src_id % {NO_OFFSET_EVERY} = 0 THEN {iso} ELSE {iso} || '+00:00' END"
+    ahead = _iso_text(f"ts + INTERVAL {FUTURE_DAYS} DAY", dialect)
+    client_ts = (f"CASE WHEN src_id % {NO_OFFSET_EVERY} = 0 THEN {iso} WHEN src_id % {FUTURE_EVERY} = 0 THEN {ahead} || '+00:00' "
+                 f"WHEN src_id % {BAD_TIME_EVERY} = 0 THEN 'yesterday' ELSE {iso} || '+00:00' END")
     # some users' events come under a number that no customer has
     user_id = (f"'usr_' || CAST(uid + CASE WHEN uid % {UNKNOWN_USER_MOD} = {UNKNOWN_USER_REM} "
                f"THEN {UNKNOWN_USER_SHIFT} ELSE 0 END AS STRING)")
-    key = f"{user_id} || ':' || {event_type} || ':' || {_key_text('ts', dialect)}"
+    key = (f"CASE WHEN src_id % {NO_KEY_EVERY} <> 0 THEN {user_id} || ':' || {kind} || ':' || {_key_text('ts', dialect)} END")
+    user_id = f"CASE WHEN src_id % {NO_USER_EVERY} <> 0 THEN {user_id} END"
     return {
         "user_id": user_id,
         "event_id": "lpad(CAST(row_id AS STRING), 12, '0')",

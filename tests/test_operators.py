@@ -8,7 +8,7 @@ from pyspark.sql import Window, functions as F
 from conftest import AS_OF, PAYLOAD_DDL, local_ts
 from streakflow.config import Limits
 from streakflow.operators import anomaly, dedup, streaks, validate, warehouse
-from streakflow.operators.windows import previous_value, running_sum, trailing_sum
+from streakflow.operators.windows import dense_keys, previous_value, running_sum, trailing_sum
 from streakflow.plans import ingest
 
 
@@ -136,6 +136,45 @@ def test_bucketed_helpers_equal_plain_windows(spark):
     assert gr == {k: v[1] for k, v in p.items()}
 
 
+def test_dense_keys_in_cells_equal_plain_windows(spark):
+    df = _random_events(spark).unionByName(_random_events(spark, 60, 9).withColumns(
+        {"rid": F.col("rid") + 1000, "user_id": F.lit(None).cast("string")}))
+    dense = spark.createDataFrame([("hot",), ("u1",), (None,)], "user_id string")
+    for width in (3_600_000_000, 86_400_000_000):
+        for own in (True, False):
+            args = (["user_id"], "created_at", "rid", width)
+            want = {r["rid"]: r["n"] for r in trailing_sum(df, *args, value=F.col("v"), out="n", include_current=own).collect()}
+            for cell in (60_000_000, 600_000_000, width):
+                got = trailing_sum(df, *args, value=F.col("v"), out="n", include_current=own, dense=dense, cell_us=cell)
+                assert got.columns == [*df.columns, "n"]
+                assert {r["rid"]: r["n"] for r in got.collect()} == want
+    for cell in (60_000_000, 7_000_000_000):
+        for helper, column in ((previous_value, "zone"), (running_sum, F.col("v"))):
+            args = (["user_id"], "created_at", "rid", column)
+            df = df.where("user_id is not null")  # rows without a user are no sequence
+            assert sorted(map(str, helper(df, *args, out="x", dense=dense, cell_us=cell).collect())) == \
+                sorted(map(str, helper(df, *args, out="x").collect()))
+    found = dense_keys(df, ["user_id"], "created_at", floor=30)
+    assert found.columns == ["user_id"]
+    assert {r["user_id"] for r in found.collect()} == {"hot"}
+    assert dense_keys(df, ["user_id"], "created_at", floor=10, share=2).count() == 0  # none has half of all rows
+
+
+def test_user_with_a_third_of_one_day_is_spread(spark):
+    n = 30000
+    df = spark.range(n).select(
+        F.col("id").alias("rid"), F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("u"), F.col("id").cast("string"))).alias("user_id"),
+        (F.lit("2024-01-01").cast("timestamp") + F.make_interval(secs=(F.col("id") * 37 % 86400).cast("int"))).alias("created_at"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    dense = dense_keys(df, ["user_id"], "created_at", floor=1000)
+    out = trailing_sum(df, ["user_id"], "created_at", "rid", 3_600_000_000, out="n", dense=dense, bucket_us=86_400_000_000)
+    per_task = [r["count"] for r in out.where("n > 0").groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sum(per_task) == n and max(per_task) < 0.05 * n
+
+
 def _hopper(spark):
     rows = []
     zones = ["Asia/Tokyo", "Europe/London", "America/New_York", "UTC"]
