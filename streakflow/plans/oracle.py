@@ -360,6 +360,10 @@ SELECT 'weekly_streak_stats' AS view_name, CAST(COUNT(*) AS BIGINT) AS n_rows, C
 UNION ALL SELECT 'streak_distribution', CAST(COUNT(*) AS BIGINT), CAST(SUM(n) AS BIGINT) FROM buckets
 UNION ALL SELECT 'event_type_performance', CAST(COUNT(*) AS BIGINT), CAST(SUM(n) AS BIGINT) FROM perf""")
 
+ORACLE["warehouse_refresh"] = with_warehouse(f"""
+SELECT {_FACT_SELECT} FROM (SELECT * REPLACE (
+  CASE WHEN event_date = DATE '2024-01-15' THEN TIMESTAMP '2024-02-01 00:00:00' ELSE loaded_at END AS loaded_at) FROM fact)""")
+
 ORACLE["merge_by_key"] = with_warehouse(f"""
 , stg_raw AS (
   SELECT r.event_id, r.user_id, r.event_type, TRY_CAST(r.points_awarded AS INTEGER) AS points_awarded, r.source,

@@ -315,6 +315,20 @@ def q_merge(spark, sf_dir):
     return finish(warehouse.merge_by_key(fact, stg).select(*schemas.FACT_BP_EVENTS.fieldNames()))
 
 
+@query("warehouse_refresh")
+def q_warehouse_refresh(spark, sf_dir):
+    """P3 as a plan: the fact written by date, then one curated date loaded again through the
+    key index; only the dates that the index names are read and rewritten."""
+    from streakflow import schemas
+    from streakflow.plans import warehouse as warehouse_plan
+    lake, fact_path = sinks.shared_path(spark, "lake"), sinks.shared_path(spark, "fact")
+    sinks.write_partitioned(_curated(spark, sf_dir).events, lake)
+    events = spark.read.parquet(lake)
+    sinks.write_partitioned(readers.align_columns(events, schemas.FACT_BP_EVENTS, LOADED_AT, schemas.FACT_LOAD_COLUMNS), fact_path)
+    warehouse_plan.refresh_fact(spark, lake, fact_path, "2024-01-15", "2024-02-01 00:00:00")
+    return finish(spark.read.parquet(fact_path).select(*schemas.FACT_BP_EVENTS.fieldNames()))
+
+
 # --- F6-F15 anomaly rules --------------------------------------------------------
 from streakflow.operators import quality, reconcile  # noqa: E402
 from streakflow.operators.windows import hot_keys  # noqa: E402

@@ -2,20 +2,20 @@
 E4-E6, E11).
 
 The fact table is Parquet partitioned by ``event_date``. A refresh stages
-one curated date, merges it by idempotency key and rewrites only the
+one curated date, merges it by idempotency key and reads and rewrites only the
 affected dates: the staged date plus the dates of replaced rows (a re-sent
-key may move between dates). The merged partitions are checkpointed before
+key may move between dates), which the key index beside the fact names. The merged partitions are checkpointed before
 the overwrite because the plan reads the table it replaces.
 """
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from streakflow import schemas
 from streakflow.config import checkpoint_dir
-from streakflow.operators import quality, warehouse
+from streakflow.operators import key_index, quality, warehouse
 from streakflow.sources import readers, sinks
 
 
@@ -31,14 +31,19 @@ def refresh_fact(spark: SparkSession, curated_events_path: str, fact_path: str,
     """Merge one curated date into the fact table; returns the staged rows."""
     checkpoint_dir(spark)
     stg = readers.stage_partition(spark.read.parquet(curated_events_path), event_date, loaded_at)
+    index = f"{fact_path.rstrip('/')}_keys"
     if sinks.table_exists(spark, fact_path):
         fact = spark.read.parquet(fact_path).select(*schemas.FACT_BP_EVENTS.fieldNames())
-        dates = warehouse.affected_dates(fact, stg).checkpoint(eager=True)
-        merged = warehouse.merge_by_key(fact.join(dates, "event_date", "left_semi"), stg)
+        if not key_index.exists(spark, index):  # a fact from before the index
+            key_index.add_keys(fact, index)
+        dates = stg.select("event_date").unionByName(key_index.dates_of(stg, index)).distinct().checkpoint(eager=True)
+        affected = [r.event_date for r in dates.toLocalIterator()]  # no more than the table has partitions
+        merged = warehouse.merge_by_key(fact.where(F.col("event_date").isin(affected)), stg)
     else:
         dates = stg.select("event_date").distinct()
         merged = warehouse.merge_by_key(stg.limit(0), stg)
     merged = merged.checkpoint(eager=True)
+    key_index.add_keys(stg, index)  # before the fact: the index may name too many dates, never too few
     # a key that moved may leave its old date without rows
     sinks.rewrite_partitions(merged, dates, fact_path)
     return stg

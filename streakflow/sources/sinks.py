@@ -34,11 +34,16 @@ def _file_system(spark: SparkSession, path: str):
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def staged(df: DataFrame) -> DataFrame:
     """``df`` written once as Parquet in the shared checkpoint folder and read back, for
     plans whose branches would each compute it again. A lost executor costs a reread."""
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/staged-{uuid.uuid4().hex}"
+    path = shared_path(spark, "staged")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
