@@ -27,7 +27,11 @@ def curate(raw: DataFrame, dim: DataFrame, limits: Limits = DEFAULT_LIMITS) -> C
     """A1 -> B1 -> D1 -> B10 -> B9 -> D5 -> E1 as one lazy plan."""
     kept = validate.drop_null_keys(raw)
     deduped = dedup.dedup_first(kept, "idempotency_key", ("created_at", "event_id"))
-    flagged = validate.flag_point_range(validate.enforce_types(deduped), limits)
+    return of_flagged(validate.flag_point_range(validate.enforce_types(deduped), limits), dim)
+
+
+def of_flagged(flagged: DataFrame, dim: DataFrame) -> Curated:
+    """The tables that follow from the flagged rows (of a plan or of a written table)."""
     clean, anomalies = validate.split_anomalous(flagged)
     events = dedup.enrich(clean, dim)
     summaries = rollups.daily_summaries(clean, dim)
@@ -35,21 +39,17 @@ def curate(raw: DataFrame, dim: DataFrame, limits: Limits = DEFAULT_LIMITS) -> C
 
 
 def quality_funnel(raw: DataFrame, dim: DataFrame, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
-    """Row counts raw -> deduplicated -> anomaly-free -> enriched in one
-    aggregate per stage (no driver-side counting)."""
-    c = curate(raw, dim, limits)
-    stages = [
-        (1, "raw", raw),
-        (2, "deduplicated", c.flagged),
-        (3, "anomaly_free", c.flagged.where(~F.col("is_anomalous"))),
-        (4, "enriched", c.events),
-    ]
-    out = None
-    for n, name, df in stages:
-        row = df.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(n).alias("stage_no"), F.lit(name).alias("stage"), "row_count")
-        out = row if out is None else out.unionByName(row)
-    return out
+    """Row counts raw -> deduplicated -> anomaly-free -> enriched (no driver-side
+    counting). What the later stages count is written once, two columns wide."""
+    flagged = sinks.staged(curate(raw, dim, limits).flagged.select("user_id", "is_anomalous"))
+    enriched = dedup.enrich(flagged.where(~F.col("is_anomalous")), dim)
+    one = F.count(F.lit(1))
+    kept = flagged.agg(F.array(one, F.count_if(~F.col("is_anomalous"))).alias("n"))
+    kept = kept.select(F.posexplode("n").alias("at", "row_count"))
+    return (raw.agg(one.alias("row_count")).select(F.lit(1).alias("stage_no"), F.lit("raw").alias("stage"), "row_count")
+            .unionByName(kept.select((F.col("at") + 2).alias("stage_no"), F.when(F.col("at") == 0, F.lit("deduplicated"))
+                                     .otherwise(F.lit("anomaly_free")).alias("stage"), "row_count"))
+            .unionByName(enriched.agg(one.alias("row_count")).select(F.lit(4).alias("stage_no"), F.lit("enriched").alias("stage"), "row_count")))
 
 
 def run_curate(raw: DataFrame, dim: DataFrame, curated_path: str, limits: Limits = DEFAULT_LIMITS) -> dict:

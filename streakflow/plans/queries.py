@@ -521,7 +521,7 @@ def q_dq_checks(spark, sf_dir):
     """Schema, non-empty, key-unique, row-preserving, not-increasing."""
     from streakflow import schemas
     r = raw(spark, sf_dir)
-    c = _curated(spark, sf_dir)
+    c = curate_plan.of_flagged(sinks.staged(_curated(spark, sf_dir).flagged), user_dim(spark, sf_dir))
     clean = c.flagged.where(~F.col("is_anomalous"))
     return quality.dq_checks(
         quality.schema_check(c.summaries, "daily_summaries", schemas.DAILY_SUMMARY),
