@@ -10,9 +10,11 @@ Texts are equal when their white-space-normalised bytes are equal.
 3. Runs are shuffled by quotient and merged by their sorted remainders. Quotient and
    remainder give back the whole fingerprint, so no filter error arises. Only
    fingerprints counted more than once go on.
-4. The texts under those fingerprints are grouped by their bytes (combined before the
-   shuffle, so a text that a third of all rows share is one row a task). This is the
-   verification: texts that merely collide fall into different groups.
+4. Only texts under those fingerprints are shuffled: while the fingerprints are few they
+   reach the scan by broadcast. Texts are grouped by their bytes, combined before the
+   shuffle, so a text that a third of all rows share is one row a task. This is the
+   verification: texts that merely collide fall into different groups. With more
+   fingerprints than ``most_broadcast``, texts are combined first and then joined.
 
 Cases: null counts as empty; rows that repeat the smallest id of a group are one row
 repeated, and exactly one of them is kept; a null id sorts after all others; other
@@ -87,17 +89,25 @@ def repeated_fingerprints(prints: DataFrame, quotient_bits: int = 14) -> DataFra
     return map_arrow(runs, _merge(quotient_bits), "fp long, n_rows long")
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", quotient_bits: int = 14) -> DataFrame:
-    """One row per input row: ``id_col``, keep_id, group_size, kept, text_sha256."""
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", quotient_bits: int = 14,
+                most_broadcast: int = 1_000_000) -> DataFrame:
+    """One row per input row: ``id_col``, keep_id, group_size, kept, text_sha256.
+    ``most_broadcast`` bounds the fingerprints (8 bytes each) sent to every executor."""
     text = normalised(text_col)
     base = cut(docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"),
                            text.alias("body")).select("id", "row", F.xxhash64("body").alias("fp"),
                                                       F.sha2("body", 256).alias("sha")))
-    again = repeated_fingerprints(base, quotient_bits).select("fp")
+    again = cut(repeated_fingerprints(base, quotient_bits).select("fp"))
     bodies = docs.select(F.col(id_col).alias("id"), text.alias("body")).withColumn("fp", F.xxhash64("body"))
-    groups = (bodies.join(again, "fp").groupBy("fp", "body")
-              .agg(F.min("id").alias("keep_id"), F.count(F.lit(1)).alias("n"))
-              .select("fp", F.sha2("body", 256).alias("sha"), "keep_id", "n"))
+
+    def by_bytes_of(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("fp", "body").agg(F.min("id").alias("keep_id"), F.count(F.lit(1)).alias("n"))
+
+    if again.count() <= most_broadcast:
+        groups = by_bytes_of(bodies.join(F.broadcast(again), "fp", "left_semi"))
+    else:
+        groups = by_bytes_of(bodies).join(again, "fp", "left_semi")
+    groups = groups.select("fp", F.sha2("body", 256).alias("sha"), "keep_id", "n")
     groups = cut(groups)
     first = (base.join(groups, ["fp", "sha"]).where(F.col("id").eqNullSafe(F.col("keep_id")))
              .groupBy("fp", "sha", "keep_id", "n").agg(F.min("row").alias("keep_row")))

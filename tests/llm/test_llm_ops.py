@@ -325,6 +325,7 @@ def test_url_rule_without_closed_token(spark):
 def test_exact_dedup_equals_brute_force(spark):
     rows = ODD + [(100 + i, "hot text") for i in range(300)] + [(i, f"own {i}") for i in range(500, 700)]
     out = exact_dedup.exact_dedup(frame(spark, rows).repartition(7))
+    many = exact_dedup.exact_dedup(frame(spark, rows).repartition(7), most_broadcast=0)
     groups = {}
     norm = lambda t: re.sub(r"[\x20\x09-\x0d]+", " ", t or "")
     for i, t in rows:
@@ -334,7 +335,8 @@ def test_exact_dedup_equals_brute_force(spark):
         low = min((i for i in ids if i is not None), default=None)
         for n, i in enumerate(sorted(ids, key=lambda x: (x is None, x or 0))):
             want[(i, low, len(ids), n == 0, hashlib.sha256(body.encode()).hexdigest())] += 1
-    assert Counter((r.doc_id, r.keep_id, r.group_size, r.kept, r.text_sha256) for r in out.collect()) == want
+    for got in (out, many):
+        assert Counter((r.doc_id, r.keep_id, r.group_size, r.kept, r.text_sha256) for r in got.collect()) == want
     kept = exact_dedup.keep_first(frame(spark, rows))
     assert kept.columns == SCHEMA.names
     assert Counter(norm(r.text) for r in kept.collect()) == Counter(groups.keys())
