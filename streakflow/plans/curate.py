@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from streakflow.config import DEFAULT_LIMITS, Limits, checkpoint_dir
 from streakflow.operators import dedup, rollups, validate
-from streakflow.sources import sinks
+from streakflow.sources import readers, sinks, versions
 
 
 @dataclass
@@ -79,6 +79,52 @@ def run_curate(raw: DataFrame, dim: DataFrame, curated_path: str, limits: Limits
     }
 
 
+def rebuilt(new: DataFrame, stored: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """The dates that a batch of flagged rows changes, and all their deduplicated rows,
+    stored ones included; both are cut from what they were read from."""
+    key, order = "idempotency_key", ("created_at", "event_id")
+    dates = new.select("event_date")
+    if stored is not None:
+        keys = new.select(F.col(key).alias("_key")).distinct()
+        again = stored.join(keys, F.col(key).eqNullSafe(F.col("_key")), "left_semi")
+        dates = dates.unionByName(again.select("event_date"))
+    dates = dates.distinct().checkpoint(eager=True)
+    rows = new
+    if stored is not None:
+        same_date = stored["event_date"].eqNullSafe(F.col("_date"))
+        rows = new.unionByName(stored.join(dates.select(F.col("event_date").alias("_date")), same_date, "left_semi"))
+    return dates, dedup.dedup_first(rows, key, order).checkpoint(eager=True)
+
+
+def curate_new_hours(spark: SparkSession, raw_path: str, dim: DataFrame, root: str, limits: Limits = DEFAULT_LIMITS) -> dict:
+    """A9 + P1: curates the raw hours that the ledger does not have yet, and records
+    them in the same commit as the three tables (``versions``). Hours come from listing
+    folders, not from rows; only the new ones are read. An hour counts as complete once
+    it is recorded. Without new hours nothing is committed. Returns the manifest."""
+    checkpoint_dir(spark)
+    before = versions.manifest(spark, root)
+    hours = readers.listed_hours(spark, raw_path)
+    ledger = versions.read_ledger(spark, root, before)
+    new_hours = hours if ledger is None else readers.new_partitions(hours, ledger)
+    todo = new_hours.collect()  # one row an hour
+    if not todo:
+        return before
+    raw_new = spark.read.option("basePath", raw_path).parquet(*[r.folder for r in todo]).drop("year", "month", "day", "hour")
+    new = validate.flag_point_range(validate.enforce_types(validate.drop_null_keys(raw_new)), limits)
+    stored = None
+    for name, anomalous in (("bp_events", False), ("anomalies", True)):
+        part = versions.read(spark, root, before, name)
+        if part is not None:
+            part = part.withColumn("is_anomalous", F.lit(anomalous)).select(*new.columns)
+            stored = part if stored is None else stored.unionByName(part)
+    dates, flagged = rebuilt(new, stored)
+    c = of_flagged(flagged, dim)
+    touched = {versions.folder_of("event_date", r[0]) for r in dates.toLocalIterator()}  # dates, as the manifest has them
+    done = spark.createDataFrame(sorted((r.year, r.month, r.day, r.hour) for r in todo), "year int, month int, day int, hour int")
+    return versions.commit(spark, root, before, {"anomalies": c.anomalies, "bp_events": c.events, "daily_summaries": c.summaries},
+                           touched, done.coalesce(1))
+
+
 def curate_increment(raw_new: DataFrame, dim: DataFrame, curated_path: str,
                      limits: Limits = DEFAULT_LIMITS) -> DataFrame:
     """Incremental P1. Returns the rebuilt dates (``event_date``).
@@ -94,24 +140,13 @@ def curate_increment(raw_new: DataFrame, dim: DataFrame, curated_path: str,
     checkpoint_dir(spark)
     events_path, summ_path, anom_path = (f"{curated_path}/bp_events", f"{curated_path}/daily_summaries",
                                          f"{curated_path}/anomalies")
-    key, order = "idempotency_key", ("created_at", "event_id")
     new = validate.flag_point_range(validate.enforce_types(validate.drop_null_keys(raw_new)), limits)
     stored = None
     for path, anomalous in ((events_path, False), (anom_path, True)):
         if sinks.table_exists(spark, path):
             part = spark.read.parquet(path).withColumn("is_anomalous", F.lit(anomalous)).select(*new.columns)
             stored = part if stored is None else stored.unionByName(part)
-    dates = new.select("event_date")
-    if stored is not None:
-        keys = new.select(F.col(key).alias("_key")).distinct()
-        again = stored.join(keys, F.col(key).eqNullSafe(F.col("_key")), "left_semi")
-        dates = dates.unionByName(again.select("event_date"))
-    dates = dates.distinct().checkpoint(eager=True)
-    rows = new
-    if stored is not None:
-        same_date = stored["event_date"].eqNullSafe(F.col("_date"))
-        rows = new.unionByName(stored.join(dates.select(F.col("event_date").alias("_date")), same_date, "left_semi"))
-    flagged = dedup.dedup_first(rows, key, order).checkpoint(eager=True)
+    dates, flagged = rebuilt(new, stored)
     clean, anomalies = validate.split_anomalous(flagged)
     sinks.rewrite_partitions(anomalies, dates, anom_path)
     sinks.rewrite_partitions(dedup.enrich(clean, dim), dates, events_path)

@@ -78,6 +78,14 @@ SELECT user_id, event_date, country, user_segment,
        array_to_string(list_sort(list_distinct(list(event_type))), ',') AS event_types
 FROM enriched GROUP BY user_id, event_date, country, user_segment""")
 
+ORACLE["curated_versions"] = ORACLE["daily_summaries"]
+
+ORACLE["processing_ledger"] = with_ctes("""
+SELECT DISTINCT CAST(year(created_at) AS INTEGER) AS year, CAST(month(created_at) AS INTEGER) AS month,
+       CAST(day(created_at) AS INTEGER) AS day, CAST(hour(created_at) AS INTEGER) AS hour,
+       CASE WHEN hour(created_at) < 12 THEN 1 ELSE 2 END AS version
+FROM raw""")
+
 ORACLE["curated_events"] = with_ctes(f"""
 SELECT user_id, event_id, event_type, points_awarded, source, idempotency_key, client_timestamp,
        {ts('created_at')} AS created_at, ttl, event_date, country, signup_date, user_segment
@@ -260,6 +268,8 @@ SELECT user_id, total_bestie_points, timezone, {ts('streak_updated_at')} AS stre
 
 ORACLE["streaks"] = with_ingest("SELECT * FROM streaks_eff")
 
+ORACLE["daily_compacted"] = ORACLE["daily_activity"]
+
 ORACLE["streaks_late_days"] = ORACLE["streaks"]
 
 ORACLE["streak_timeline"] = with_ingest("""

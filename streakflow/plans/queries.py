@@ -74,7 +74,7 @@ def q_quality_funnel(spark, sf_dir):
 from streakflow.config import Limits  # noqa: E402
 from streakflow.operators import anomaly, streaks, warehouse  # noqa: E402
 from streakflow.plans import ingest as ingest_plan  # noqa: E402
-from streakflow.sources import readers, sinks  # noqa: E402
+from streakflow.sources import readers, sinks, versions  # noqa: E402
 
 ORACLE_LIMITS = Limits(max_age_days=adapter.ORACLE_MAX_AGE_DAYS, rate_limit=adapter.ORACLE_RATE_LIMIT,
                        duplicate_pattern_min=adapter.ORACLE_DUPLICATE_PATTERN,
@@ -329,6 +329,44 @@ def q_warehouse_refresh(spark, sf_dir):
     return finish(spark.read.parquet(fact_path).select(*schemas.FACT_BP_EVENTS.fieldNames()))
 
 
+def _versioned(spark, sf_dir):
+    """Raw hours landed and curated in two increments, the hours before noon first."""
+    lake, root = sinks.shared_path(spark, "raw"), sinks.shared_path(spark, "versioned")
+    landed = sinks.with_hour_partitions(raw(spark, sf_dir))
+    for half in (F.col("hour") < 12, F.col("hour") >= 12):
+        # one file an hour and range: small hours do not become many files
+        (landed.where(half).repartitionByRange("year", "month", "day", "hour", "event_id").write.mode("append")
+         .partitionBy("year", "month", "day", "hour").parquet(lake))
+        held = curate_plan.curate_new_hours(spark, lake, user_dim(spark, sf_dir), root)
+    return root, held
+
+
+@query("curated_versions")
+def q_curated_versions(spark, sf_dir):
+    """A9 + P1 through the ledger: the summaries of the newest committed version."""
+    root, held = _versioned(spark, sf_dir)
+    summaries = versions.read(spark, root, held, "daily_summaries")
+    return finish(summaries.select(*_curated(spark, sf_dir).summaries.columns))
+
+
+@query("processing_ledger")
+def q_processing_ledger(spark, sf_dir):
+    """The hours that the ledger has, each with the commit that recorded it."""
+    root, held = _versioned(spark, sf_dir)
+    return versions.read_ledger(spark, root, held).select("year", "month", "day", "hour", F.col("v").cast("int").alias("version"))
+
+
+@query("daily_compacted")
+def q_daily_compacted(spark, sf_dir):
+    """The daily table written in 18 micro-batches and merged by levels of four."""
+    from streakflow.streaming import jobs
+    accepted, path = _staged(spark, sf_dir), sinks.shared_path(spark, "daily")
+    upsert = jobs.daily_upsert(path, fan=4)
+    for n in range(18):
+        upsert(accepted.where(F.pmod(F.xxhash64("event_id"), F.lit(18)) == n).withColumn("status", F.lit("processed")), n)
+    return finish(jobs.read_daily(spark, path))
+
+
 # --- F6-F15 anomaly rules --------------------------------------------------------
 from streakflow.operators import quality, reconcile  # noqa: E402
 from streakflow.operators.windows import hot_keys  # noqa: E402

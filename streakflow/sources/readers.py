@@ -89,6 +89,16 @@ def hour_partitions(raw: DataFrame) -> DataFrame:
     return raw.select("year", "month", "day", "hour").distinct()
 
 
+def listed_hours(spark: SparkSession, path: str) -> DataFrame:
+    """The hour partitions under a raw path with their folders, from the file
+    system's listing: no row is read."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/year=*/month=*/day=*/hour=*")
+    found = where.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(where)
+    folders = [status.getPath().toString() for status in found]
+    rows = [(*(int(step.split("=")[1]) for step in folder.split("/")[-4:]), folder) for folder in folders]
+    return spark.createDataFrame(rows, "year int, month int, day int, hour int, folder string")
+
+
 def new_partitions(present: DataFrame, ledger: DataFrame) -> DataFrame:
     """Partitions not yet recorded in the processing ledger (anti join)."""
     return present.join(ledger.select("year", "month", "day", "hour"), ["year", "month", "day", "hour"], "left_anti")

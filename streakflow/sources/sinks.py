@@ -48,6 +48,35 @@ def staged(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, where = _file_system(spark, path)
+    return files.exists(where)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none where there is no folder."""
+    files, where = _file_system(spark, path)
+    return [s.getPath().getName() for s in files.listStatus(where)] if files.exists(where) else []
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    files, where = _file_system(spark, path)
+    if files.exists(where):
+        files.delete(where, True)
+
+
+def publish(spark: SparkSession, text: str, path: str) -> None:
+    """A small file that appears whole, by one rename. An existing one is an error."""
+    files, where = _file_system(spark, path)
+    draft = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.draft")
+    out = files.create(draft, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if files.exists(where) or not files.rename(draft, where):
+        files.delete(draft, False)
+        raise FileExistsError(path)
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether a partitioned table has been written there. Any failure to find out
     (storage, permissions) is an error, never read as "no table"."""
@@ -59,9 +88,7 @@ def drop_partitions(spark: SparkSession, path: str, partition_col: str, values:
     """Removes partitions that a rebuild has left empty (dynamic overwrite only
     replaces partitions that get rows)."""
     for value in values:
-        files, where = _file_system(spark, f"{path}/{partition_col}={value}")
-        if files.exists(where):
-            files.delete(where, True)
+        delete(spark, f"{path}/{partition_col}={value}")
 
 
 def rewrite_partitions(df: DataFrame, touched: DataFrame, path: str, partition_col: str = "event_date") -> None:

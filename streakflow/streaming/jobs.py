@@ -9,8 +9,8 @@
   keys are looked up in the stored log.
 * D4 ``stream_dedup``: ``dropDuplicatesWithinWatermark`` on the record id.
 * J2 ``daily_upsert``: ``foreachBatch`` that writes a micro-batch's daily
-  activity as a partition of its own (a replay rewrites the same partition);
-  ``read_daily`` adds the batches up.
+  activity as a folder of its own (a replay rewrites the same folder) and merges
+  folders by levels (``compaction``); ``read_daily`` adds up those in force.
 * J3 ``streak_stream``: keyed streak state machine over new active days.
 * J9 windowed monitors with watermarks.
 Checkpoints (``checkpointLocation``) give exactly-once state across restarts
@@ -18,8 +18,6 @@ and lost executors; sinks are idempotent per batch id (J8).
 """
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 from pyspark.sql.types import LongType, StructField, StructType, TimestampType
@@ -29,6 +27,7 @@ from streakflow.config import DEFAULT_LIMITS, Limits
 from streakflow.functions import award_points
 from streakflow.operators import rollups, sequential, validate
 from streakflow.shipping import ship
+from streakflow.streaming import compaction
 
 PAYLOAD_STREAM_SCHEMA = StructType([*schemas.PAYLOAD.fields, StructField("row_id", LongType()),
                                     StructField("received_at", TimestampType())])
@@ -96,29 +95,39 @@ def streak_stream(daily_inserts: DataFrame, late: str = "ignore") -> DataFrame:
         "update", GroupStateTimeout.NoTimeout)
 
 
-def daily_upsert(path: str):
+def daily_upsert(path: str, fan: int = 8):
     """``foreachBatch`` function. A micro-batch's daily activity is written as the
-    partition ``batch_id=N`` of the daily table and nothing else is read or touched,
-    so a replay, also one after a crash at any point, writes the same rows again."""
+    folder ``batch_id=N`` of the daily table, then complete blocks of ``fan`` batches are
+    merged. A replay, also one after a crash at any point, writes the same rows again, or
+    none where a merge already holds the batch."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        new = rollups.daily_activity(batch.where(F.col("status") == "processed"))
-        new.write.mode("overwrite").parquet(os.path.join(path, f"batch_id={batch_id}"))
+        spark = batch.sparkSession
+        spans = compaction.committed(spark, path)
+        if not any(low <= batch_id <= high and low < high for low, high in spans):
+            new = rollups.daily_activity(batch.where(F.col("status") == "processed"))
+            new.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        compaction.compact(spark, path, batch_id, merge_daily, fan)
 
     return run
 
 
-def read_daily(spark: SparkSession, path: str) -> DataFrame:
-    """The daily table that ``daily_upsert`` keeps: sums over its batches, first event
-    by time then id."""
+def merge_daily(parts: DataFrame) -> DataFrame:
+    """Daily rows of several batches as one row per user-day: sums, first event by time
+    then id."""
     first = F.struct("created_at", "first_event_id")
-    return spark.read.parquet(path).groupBy("user_id", "activity_date").agg(
+    return parts.groupBy("user_id", "activity_date").agg(
         F.min(first).alias("_f"), F.sum("events_count").cast("long").alias("events_count"),
         F.sum("points_earned").cast("long").alias("points_earned"),
     ).select("user_id", "activity_date", F.col("_f.first_event_id").alias("first_event_id"), "events_count",
              "points_earned", F.col("_f.created_at").alias("created_at"))
 
 
+def read_daily(spark: SparkSession, path: str) -> DataFrame:
+    """The daily table that ``daily_upsert`` keeps, from the folders in force."""
+    return merge_daily(compaction.read(spark, path))
+
+
 def error_rate_stream(verdicts: DataFrame, window: str = "1 hour", watermark: str = "10 minutes",
                       ts: str = "received_at", limits: Limits = DEFAULT_LIMITS) -> DataFrame:
     """Tumbling-window error share, finalised once the watermark
