@@ -9,7 +9,8 @@ last counted attempt.
 1. A user's attempts are cut at gaps of at least ``ttl`` (``rate_segments``); there the
    counter has expired whatever came before. Segments of at most ``limit`` attempts
    are allowed whole, by one aggregate.
-2. The others are cut into chunks of two ``ttl`` of time. Each chunk gives its transfer
+2. The others are decided whole from the empty counter up to ``WHOLE`` attempts; longer ones
+   are cut into chunks of two ``ttl`` of time. Each chunk gives its transfer
    table: for every state that may come in, the state that goes out. Chunks are
    independent, so one busy user's are computed by many tasks.
 3. Per segment the tables are composed in order of time, which gives every chunk its
@@ -23,11 +24,13 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from streakflow.config import DEFAULT_LIMITS, Limits
 from streakflow.operators.windows import DAY_US, previous_value, running_sum
 from streakflow.shipping import ship
+from streakflow.sources.sinks import staged
 
 US = 1_000_000
 
@@ -40,7 +43,8 @@ def rate_segments(valid: DataFrame, limits: Limits = DEFAULT_LIMITS, ts: str = "
     so segments can be folded independently. Adds ``segment``."""
     prev = previous_value(valid, ["user_id"], ts, tie, ts, out="_prev_ts")
     gap = (F.unix_micros(F.col(ts)) - F.unix_micros(F.col("_prev_ts"))) >= limits.rate_window_seconds * US
-    starts = prev.withColumn("_start", F.coalesce(gap, F.lit(True)).cast("long"))
+    # written once: the running sum reads it for its totals and for its rows
+    starts = staged(prev.withColumn("_start", F.coalesce(gap, F.lit(True)).cast("long")))
     return running_sum(starts, ["user_id"], ts, tie, F.col("_start"), out="segment", bucket_us=DAY_US) \
         .drop("_prev_ts", "_start")
 
@@ -110,47 +114,66 @@ class Chunk:
 
 
 _KEYS = ["user_id", "segment"]
+_TABLE = ["at", "until", "to_count", "to_time"]
+#: A segment of at most so many attempts is one piece, decided from the empty counter.
+WHOLE = 10_000
 
 
-def rate_limit_exact(valid: DataFrame, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
+def _pieces(column) -> list[np.ndarray]:
+    """The lists of an Arrow column of lists of numbers."""
+    at, flat = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
+    return [flat[i:k] for i, k in zip(at[:-1], at[1:])]
+
+
+def rate_limit_exact(valid: DataFrame, limits: Limits = DEFAULT_LIMITS, whole: int = WHOLE) -> DataFrame:
     """The reference's limiter, attempt by attempt. Input: valid
-    attempts (row_id, user_id, created_at). Output adds ``allowed``."""
+    attempts (row_id, user_id, created_at). Output adds ``allowed``.
+
+    A chunk travels as one row with its sorted times, so Python sees many chunks a call. Attempts
+    are told apart by a written number of their own, ``row_id`` need not be unique."""
     ship(valid.sparkSession)
     limit, ttl = limits.rate_limit, limits.rate_window_seconds * US
-    seg = rate_segments(valid.select("row_id", "user_id", "created_at"), limits).select(
-        "row_id", *_KEYS, F.unix_micros("created_at").alias("t"))
-    busy = seg.groupBy(*_KEYS).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit).select(*_KEYS)
-    chunked = seg.join(busy, _KEYS).withColumn("chunk", F.floor(F.col("t") / F.lit(2 * ttl)).cast("long"))
-
-    def ordered(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pdf.sort_values(["t", "row_id"], kind="mergesort")
-
-    def tables(key, pdf):
-        rows = Chunk(ordered(pdf)["t"].to_numpy(), limit, ttl).table()
-        out = pd.DataFrame(rows, columns=["count", "until", "to_count", "to_time"])
-        out.insert(0, "chunk", key[2])
-        out.insert(0, "segment", key[1])
-        out.insert(0, "user_id", key[0])
-        return out
+    held = staged(valid.withColumn("_row", F.monotonically_increasing_id()))
+    seg = staged(rate_segments(held.select("_row", "row_id", "user_id", "created_at"), limits).select(
+        "_row", "row_id", *_KEYS, F.unix_micros("created_at").alias("t")))
+    busy = seg.groupBy(*_KEYS).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
+    chunk = F.when(F.col("_n") > whole, F.floor(F.col("t") / F.lit(2 * ttl))).otherwise(F.lit(0)).cast("long")
+    chunked = seg.join(busy, _KEYS).select("_row", "row_id", "t", *_KEYS, (F.col("_n") > whole).alias("long"), chunk.alias("chunk"))
+    packed = staged(chunked.repartition(*_KEYS, "chunk").groupBy(*_KEYS, "chunk", "long")
+                    .agg(F.sort_array(F.collect_list(F.struct("t", "row_id", "_row"))).alias("_a"))
+                    .select(*_KEYS, "chunk", "long", F.col("_a.t").alias("t"), F.col("_a._row").alias("rows")))
+
+    def tables(batches):
+        for b in batches:
+            found = [np.array(Chunk(t, limit, ttl).table(), dtype=np.int64) for t in _pieces(b.column("t"))]
+            lists = [pa.array([x[:, k] for x in found], pa.list_(pa.int64())) for k in range(4)]
+            yield pa.RecordBatch.from_arrays([b.column(k) for k in (*_KEYS, "chunk")] + lists, [*_KEYS, "chunk", *_TABLE])
 
     def compose(key, pdf):
         count, time, rows = 0, 0, []
-        for chunk, own in pdf.sort_values(["chunk", "count", "until"]).groupby("chunk", sort=True):
+        for chunk, *columns in pdf.sort_values("chunk")[["chunk", *_TABLE]].itertuples(index=False):
             rows.append((key[0], key[1], chunk, count, time))
-            own = own[own["count"] == count]
-            row = own.iloc[0 if count < limit else int(np.searchsorted(own["until"].to_numpy(), time))]
-            count, time = int(row["to_count"]), time if row["to_time"] == -1 else int(row["to_time"])
+            at, until, to_count, to_time = (np.asarray(c) for c in columns)
+            k = int(np.searchsorted(at, count))  # counts ascend, full states come last, by ascending time
+            if count == limit:
+                k += int(np.searchsorted(until[k:], time))
+            count, time = int(to_count[k]), time if to_time[k] == -1 else int(to_time[k])
         return pd.DataFrame(rows, columns=["user_id", "segment", "chunk", "count", "time"])
 
-    def decide(key, pdf):
-        pdf = ordered(pdf)
-        state = Chunk(pdf["t"].to_numpy(), limit, ttl).allowed(int(pdf["count"].iloc[0]), int(pdf["time"].iloc[0]))
-        return pd.DataFrame({"row_id": pdf["row_id"].to_numpy(), "allowed": state})
+    def denied(batches):
+        for b in batches:
+            entered = zip(_pieces(b.column("t")), _pieces(b.column("rows")), b.column("count").to_pylist(), b.column("time").to_pylist())
+            found = [rows[~Chunk(t, limit, ttl).allowed(count, time)] for t, rows, count, time in entered]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found), pa.int64())], ["_row"])
 
-    moves = chunked.groupBy(*_KEYS, "chunk").applyInPandas(
-        tables, "user_id string, segment long, chunk long, count long, until long, to_count long, to_time long")
+    parts = packed.where("long")
+    moves = parts.select(*_KEYS, "chunk", "t").mapInArrow(
+        tables, "user_id string, segment long, chunk long, " + ", ".join(f"{c} array<long>" for c in _TABLE))
     entries = moves.groupBy(*_KEYS).applyInPandas(compose, "user_id string, segment long, chunk long, count long, time long")
-    decided = chunked.join(entries, [*_KEYS, "chunk"]).groupBy(*_KEYS, "chunk").applyInPandas(decide, "row_id long, allowed boolean")
-    # what the busy segments decided; all other attempts are allowed
-    return valid.join(decided.where(~F.col("allowed")).select("row_id", F.lit(True).alias("_denied")), "row_id", "left") \
-        .withColumn("allowed", F.col("_denied").isNull()).drop("_denied")
+    nothing = F.lit(0).cast("long")
+    known = packed.where("not long").select("t", "rows", nothing.alias("count"), nothing.alias("time")).unionByName(
+        parts.join(entries, [*_KEYS, "chunk"]).select("t", "rows", "count", "time"))
+    # what the busy segments denied; all other attempts are allowed
+    over = known.mapInArrow(denied, "_row long").withColumn("_denied", F.lit(True))
+    return held.join(over, "_row", "left").withColumn("allowed", F.col("_denied").isNull()).drop("_denied", "_row")

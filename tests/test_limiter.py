@@ -52,6 +52,22 @@ def test_a_hot_user_is_spread_and_exact(spark):
     assert len({c.segment for c in chunks}) == 1 and len(chunks) >= 72
 
 
+@pytest.mark.parametrize("whole", [20, 10_000])
+def test_segments_whole_and_in_chunks_with_repeated_row_ids(spark, whole):
+    # two attempts share every row id; each must come out once, with its own verdict
+    limits = Limits(rate_limit=3, rate_window_seconds=600)
+    n = 3000
+    df = spark.range(n).select(
+        (F.col("id") % (n // 2)).alias("row_id"), F.concat(F.lit("u"), F.col("id") % 7).alias("user_id"),
+        (F.lit("2024-01-01").cast("timestamp") + F.make_interval(secs=((F.col("id") * 41) % 70_000).cast("int"))).alias("created_at"))
+    got = sorted(tuple(r) for r in limiter.rate_limit_exact(df, limits, whole).select("user_id", F.unix_micros("created_at"), "row_id", "allowed").collect())
+    want = []
+    for user, g in df.toPandas().sort_values(["user_id", "created_at", "row_id"]).groupby("user_id"):
+        times = g["created_at"].astype("datetime64[us]").astype("int64")
+        want += [(user, int(t), int(r), a) for t, r, a in zip(times, g["row_id"], stepwise(times, limits))]
+    assert got == sorted(want) and 0 < sum(w[3] for w in want) < n
+
+
 def test_no_attempts(spark):
     empty = spark.createDataFrame([], "row_id long, user_id string, created_at timestamp")
     assert limiter.rate_limit_exact(empty).columns == ["row_id", "user_id", "created_at", "allowed"] and limiter.rate_limit_exact(empty).count() == 0
