@@ -10,6 +10,7 @@ from streakflow.config import Limits
 from streakflow.operators import anomaly, dedup, streaks, validate, warehouse
 from streakflow.operators.windows import dense_keys, previous_value, running_sum, trailing_sum
 from streakflow.plans import ingest
+from streakflow.sources import adapter
 
 
 def test_point_range_and_casts(spark):
@@ -289,3 +290,22 @@ def test_hot_user_spread_over_tasks(spark):
         .where("user_id = 'hot'").groupBy("p").agg(F.count("*").alias("count"), F.max("x").alias("m")).collect()
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert len(plain) == 1
+
+
+def test_ingest_reads_its_input_once(spark, tmp_path):
+    """The tables of an ingest read what was written on the way, never the payloads again."""
+    path = str(tmp_path / "payloads")
+    adapter.payloads(adapter.adapt_events(spark.read.parquet("/root/testdata/sf0.001/events.parquet"))).write.parquet(path)
+    ing = ingest.ingest_batch(spark.read.parquet(path), adapter.AS_OF, Limits(max_age_days=40, rate_limit=2))
+    for out in (ing.accepted, ing.verdicts, ing.verdicts_detail):
+        assert out.inputFiles() and not [f for f in out.inputFiles() if path in f]
+
+
+def test_abusive_changes_are_the_flagged_rows(spark):
+    """Only zone changes enter the window, with the same verdicts as a window over all rows."""
+    zones = F.when(F.col("id") % 5 == 0, F.lit("UTC")).when(F.col("id") % 3 == 0, F.lit("Asia/Tokyo")).otherwise(F.lit("Europe/London"))
+    df = spark.range(2000).select(
+        F.col("id").cast("string").alias("event_id"), F.concat(F.lit("u"), F.col("id") % 40).alias("user_id"), zones.alias("timezone"),
+        (F.lit("2024-01-01").cast("timestamp") + F.make_interval(secs=((F.col("id") * 1607) % 1_500_000).cast("int"))).alias("created_at"))
+    all_rows = {r.event_id for r in anomaly.timezone_abuse(df, Limits()).where("tz_abuse").collect()}
+    assert {r.event_id for r in anomaly.abusive_changes(df, Limits()).collect()} == all_rows and 0 < len(all_rows) < 2000
