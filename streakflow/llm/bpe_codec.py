@@ -168,7 +168,7 @@ def encode(docs: DataFrame, text_col: str = "text", carry: tuple[str, ...] = ("d
         encoder = Encoder(model.value, split)
         table = _byte_table(model.value) if decoded else None
         for batch in batches:
-            for part in by_bytes(batch, len(carry)):
+            for part in by_bytes(batch, len(carry), 1 << 20):
                 lists = _id_lists(encoder.encode_all(texts(part.column(len(carry)))))
                 back = [_bytes_of(lists, table)] if decoded else []
                 yield pa.RecordBatch.from_arrays([*part.columns[:len(carry)], lists, *back], names=names)

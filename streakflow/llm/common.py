@@ -11,6 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from streakflow.llm.word_table import give_back, release
 from streakflow.shipping import ship
 
 #: ASCII white space, the class the contracts name (fixed value).
@@ -57,10 +58,19 @@ def small_side(df: DataFrame, most_rows: int = 1_000_000) -> DataFrame:
     return F.broadcast(kept) if kept.count() <= most_rows else kept
 
 
-def map_arrow(df: DataFrame, run, schema) -> DataFrame:
-    """``df.mapInArrow`` with this package made available to the workers."""
+def map_arrow(df: DataFrame, run, schema, keeps: bool = False) -> DataFrame:
+    """``df.mapInArrow`` with this package made available to the workers. Spark's workers
+    serve one query after another: unless ``run`` itself uses ``kept`` (``keeps``), what an
+    earlier operator kept is dropped first, and every task returns its memory at its end."""
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def tidy(batches):
+        if not keeps:
+            release()
+        yield from run(batches)
+        give_back()
+
+    return df.mapInArrow(tidy, schema)
 
 
 def text_of(name: str) -> Column:
@@ -105,7 +115,7 @@ class Memo(dict):
 
     def learn(self, keys: set) -> None:
         """Makes every one of ``keys`` available (keys of one Arrow batch)."""
-        new = list(keys - self.keys())
+        new = [k for k in keys if k not in self]  # a difference of sets would walk the whole memo
         if len(self) + len(new) > self.limit:
             self.clear()
             new = list(keys)

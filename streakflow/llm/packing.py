@@ -270,4 +270,4 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 yield pieces(False)
         yield pieces(True)
 
-    return map_arrow(docs.select(id_col, text_of(text_col).alias("__text")), run, T.StructType(fields))
+    return map_arrow(docs.select(id_col, text_of(text_col).alias("__text")), run, T.StructType(fields), keeps=True)

@@ -305,7 +305,7 @@ def align(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", a_pat
     spec, model = _read(a_path or tokenizer_path("byte_bpe_50k.json")).decode(), _read(b_path or tokenizer_path("piece_bpe_32k.model"))
     shared = spark.sparkContext.broadcast((spec, model, proven_strings(spec)))  # bounded by the vocabularies
     text = text_of(text_col).alias("__text")
-    counted = map_arrow(docs.select(text), _count_pairs(shared), "a long, b long, n long")
+    counted = map_arrow(docs.select(text), _count_pairs(shared), "a long, b long, n long", keeps=True)
     pairs = cut(counted.groupBy("a", "b").agg(F.sum("n").alias("n")))
     few = pairs.count() <= broadcast_pairs
     fields = [docs.schema[id_col], *(T.StructField(n, t) for n, t in _DIGEST if groups or n != "groups")]
@@ -329,7 +329,7 @@ def align(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", a_pat
                         out[name] = pa.array(_sums(counts(rows, name), ends) * good)
                     yield pa.RecordBatch.from_arrays([part.column(0), *(out[c] for c in names[1:])], names=names)
 
-        return map_arrow(docs.select(id_col, text), run, T.StructType(fields))
+        return map_arrow(docs.select(id_col, text), run, T.StructType(fields), keeps=True)
 
     # many pairs: documents send theirs, each once with its multiplicity
     digest = [f for f in fields if f.name not in ("n_best", "count_sum")]
@@ -353,7 +353,7 @@ def align(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", a_pat
                                                       pa.array(often)], names=spread.names)
 
     numbered = docs.select(id_col, text, F.monotonically_increasing_id().alias("__row"))
-    both = cut(map_arrow(numbered, emit, spread))
+    both = cut(map_arrow(numbered, emit, spread, keeps=True))
     salt = F.pmod(F.xxhash64("__row"), F.lit(salts)).cast("int")
     dealt = best.select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
     own = both.where("__a is not null").select("__row", "__a", "__b", "__n", salt.alias("salt"))

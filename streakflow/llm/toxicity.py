@@ -8,7 +8,8 @@ included, and of the whole word, all hashed into one table. A text is the mean o
 words, and a linear softmax over two classes turns it into a score. Table and softmax
 are trained jointly in numpy; every toxic training text also enters once with all its
 words misspelt, so that n-grams, not whole words, carry the weight. Only grams whose share of
-texts differs between the labels beyond chance (``min_z`` standard errors) get a vector,
+texts differs between the labels beyond chance (``min_z`` standard errors; down to 3 where a
+small sample leaves fewer than ``least_grams``) get a vector,
 and every fifth training text stops the rounds before the others are learnt by heart.
 
 Training uses a bounded sample: up to ``rows_per_label`` documents labelled toxic
@@ -18,8 +19,9 @@ of every row in one narrow pass: since mean and softmax input are linear, a word
 share of the logit is a number, computed once per distinct word.
 
 Cases: null or empty text, or one without words, is scored by the bias alone; labels
-that are null are not used; with labels of one class or none, every score is that
-class's share (0.5 without any label); a document labelled both ways enters twice.
+that are null are not used; with labels of one class or none, or texts that tell nothing
+about them, every score is the share of toxic labels (0.5 without any label); a document
+labelled both ways enters twice.
 """
 from __future__ import annotations
 
@@ -112,7 +114,7 @@ class Examples:
     group: np.ndarray  # a text and its misspelt twin share one
 
 
-def examples(rows: list[tuple[str, int]], buckets: int, min_z: float) -> Examples:
+def examples(rows: list[tuple[str, int]], buckets: int, min_z: float, least_grams: int = 2000, least_z: float = 3.0) -> Examples:
     known, wrong = {}, {}
     index, value, target, group = [], [], [], []
     for number, (text, label) in enumerate(rows):
@@ -146,8 +148,12 @@ def examples(rows: list[tuple[str, int]], buckets: int, min_z: float) -> Example
     # grams that the labels hold equally often, as far as the sample can tell, have no vector
     n = np.maximum(1, np.bincount(y, minlength=2))[:, None]
     share, whole = texts_with / n, texts_with.sum(axis=0) / n.sum()
-    apart = np.abs(share[1] - share[0]) >= min_z * np.sqrt(whole * (1 - whole) * (1 / n[0] + 1 / n[1]))
-    used = np.flatnonzero(apart & (texts_with.sum(axis=0) >= 5))
+    apart, error = np.abs(share[1] - share[0]), np.sqrt(whole * (1 - whole) * (1 / n[0] + 1 / n[1]))
+    often = (texts_with.sum(axis=0) >= 5) & (apart > 0)
+    used = np.flatnonzero(often & (apart >= min_z * error))
+    while len(used) < least_grams and min_z > least_z:  # few texts have large errors
+        min_z = max(least_z, min_z - 0.5)
+        used = np.flatnonzero(often & (apart >= min_z * error))
     place = np.full(buckets, -1, np.int32)
     place[used] = np.arange(len(used), dtype=np.int32)
     size = []
@@ -166,6 +172,11 @@ def fit_examples(x: Examples, buckets: int, dim: int = 8, rounds: int = 240, rat
     little evidence move little (plain Adam moves all alike)."""
     rng = np.random.default_rng(seed)
     back = rng.permutation(x.group.max() + 1)[x.group] < stop_share * (x.group.max() + 1)
+    for label in (0, 1):  # a label that lies on one side alone is drawn for itself
+        own = x.label == label
+        if back[own].all() or not back[own].any():
+            texts_of = rng.permutation(np.unique(x.group[own]))
+            back[own] = np.isin(x.group[own], texts_of[:math.ceil(stop_share * (len(texts_of) - 1))])
     table = rng.standard_normal((len(x.used), dim)) * 0.01
     head = rng.standard_normal((dim, 2)) * 0.5
     bias = np.zeros(2)
@@ -201,13 +212,15 @@ def fit_examples(x: Examples, buckets: int, dim: int = 8, rounds: int = 240, rat
 def train(rows: list[tuple[str, int]], buckets: int = 1 << 18, min_z: float = 5.0, seed: int = 7, **how) -> Model:
     rows = [rows[i] for i in np.random.default_rng(seed).permutation(len(rows))]
     n_toxic = sum(y for _, y in rows)
+    odds = (n_toxic + 0.5) / (len(rows) - n_toxic + 0.5) if rows else 1.0
+    share = Model(np.zeros(1, np.float32), float(np.log(odds)))
     if not rows or n_toxic in (0, len(rows)):
-        odds = (n_toxic + 0.5) / (len(rows) - n_toxic + 0.5) if rows else 1.0
-        return Model(np.zeros(1, np.float32), float(np.log(odds)))
+        return share
     found = examples(rows, buckets, min_z)
     if not len(found.used):  # nothing tells the labels apart
-        return Model(np.zeros(1, np.float32), 0.0)
-    return fit_examples(found, buckets, seed=seed, **how)[0]
+        return share
+    model, best_round = fit_examples(found, buckets, seed=seed, **how)
+    return model if best_round > 1 else share  # the first round's model is the random start
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, eligible: Column, id_col: str, text_col: str, label_col: str,
@@ -254,7 +267,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "sco
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted, pieces = shared.value, kept(own, memo)  # the memo serves all tasks of a worker
         for batch in batches:
-            for part in by_bytes(batch, len(names)):
+            for part in by_bytes(batch, len(names), 1 << 20):
                 bags = [Counter(t.lower().split()) for t in texts(part.column(len(names)))]
                 pieces.learn(set().union(*bags))
                 logits = np.array([fitted.bias + _mean(bag, pieces) for bag in bags])
@@ -262,7 +275,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "sco
                 yield pa.RecordBatch.from_arrays([*part.columns[:len(names)], pa.array(scores, pa.float64())],
                                                  names=[*names, out])
 
-    return map_arrow(docs.select(*[F.col(f"`{n}`") for n in names], text_of(text_col).alias("__text")), run, schema)
+    return map_arrow(docs.select(*[F.col(f"`{n}`") for n in names], text_of(text_col).alias("__text")), run, schema, keeps=True)
 
 
 def held_out(id_col: str = "doc_id") -> Column:

@@ -5,6 +5,8 @@ arrays are gathered by row number. The table outlives a task (Spark reuses Pytho
 workers) and is emptied at a limit, which costs recomputation and changes nothing."""
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable
 
 import numpy as np
@@ -63,6 +65,22 @@ _KEPT: dict[object, object] = {}
 def kept(key: object, make: Callable[[], object]) -> object:
     """One object a worker process, made when a task first asks for it."""
     if key not in _KEPT:
-        _KEPT.clear()  # tables of an earlier query need not stay beside a new one's
+        release()  # tables of an earlier query need not stay beside a new one's
         _KEPT[key] = make()
     return _KEPT[key]
+
+
+def release() -> None:
+    """Drops what ``kept`` holds: a worker outlives the query whose tables these are."""
+    if _KEPT:
+        _KEPT.clear()
+        give_back()
+
+
+def give_back() -> None:
+    """Memory that is free again goes back to the system, where that can be asked for."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)

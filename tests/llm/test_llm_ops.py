@@ -2,18 +2,20 @@
 import base64
 import hashlib
 import inspect
+import math
 import re
 import zlib
 from collections import Counter
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import Row, functions as F, types as T
 
 import corpus_pipeline
-from streakflow.llm import (bpe_codec, components, decontaminate, exact_dedup, html_extract, jaccard_join, shard_ring,
-                            suffix_dedup, suffix_sort, token_count, toxicity, url_filter)
+from streakflow.llm import (bpe_codec, common, components, decontaminate, exact_dedup, html_extract, jaccard_join, shard_ring,
+                            suffix_dedup, suffix_sort, token_count, toxicity, url_filter, word_table)
 
 SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
                        T.StructField("n_tokens", T.StringType()), T.StructField("id", T.StringType()),
@@ -532,3 +534,29 @@ def test_components_of_a_path(spark):
     got = {r.node: r.root for r in components.components(links).collect()}
     assert got == {**{i: 0 for i in range(31)}, 100: 100, 101: 100}
     assert components.components(links.limit(0)).count() == 0
+
+
+def test_small_or_silent_training_samples_do_not_call_every_text_toxic():
+    rng = np.random.default_rng(3)
+    words = [f"{a}{b}{c}" for a in ("bar", "mon", "tel", "sur") for b in "aeiou" for c in ("den", "lim", "pok", "rat")]
+    text = lambda extra: " ".join([*rng.choice(words, 60), *extra])
+    rows = [(text(["scumbag", "vermin"] if y else []), y) for y in [1] * 10 + [0] * 58]
+    model = toxicity.train(rows)
+    said = [model.bias + sum(model.shares(t.split())) / (len(t.split()) + toxicity.PADDING) >= 0 for t, _ in rows]
+    assert sum(s for s, (_, y) in zip(said, rows) if not y) <= 3 and sum(s for s, (_, y) in zip(said, rows) if y) >= 8
+    silent = toxicity.train([("same words here", y) for y in (1, 0, 0, 0)])
+    assert abs(1 / (1 + math.exp(-silent.bias)) - 1.5 / 5) < 1e-6
+
+
+def test_workers_drop_what_an_earlier_operator_kept(spark):
+    def held(keep):
+        def run(batches):
+            if keep:
+                word_table.kept("table of an earlier query", lambda: [0])
+            for _ in batches:
+                pass
+            yield pa.RecordBatch.from_arrays([pa.array([len(word_table._KEPT)])], names=["n"])
+
+        return [r.n for r in common.map_arrow(spark.range(0, 1, 1, 1), run, "n long", keeps=keep).collect()]
+
+    assert held(True) == [1] and held(False) == [0]
