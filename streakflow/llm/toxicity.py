@@ -29,6 +29,7 @@ import math
 import re
 import uuid
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -38,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from streakflow.llm.common import Memo, by_bytes, map_arrow, text_of, texts
-from streakflow.llm.word_table import kept
+from streakflow.llm.word_table import gather, give_back, kept
 
 _LOOKALIKE = str.maketrans("013457@$!", "oieastasi")
 #: A mean counts so many zero vectors besides the words, so a few words alone stay near the bias.
@@ -115,36 +116,30 @@ class Examples:
 
 
 def examples(rows: list[tuple[str, int]], buckets: int, min_z: float, least_grams: int = 2000, least_z: float = 3.0) -> Examples:
-    known, wrong = {}, {}
-    index, value, target, group = [], [], [], []
+    # texts are held as word numbers; their grams, many times as many, are made text by text
+    number_of, flat, sizes, bags, target, group = {}, array("i"), [], [], [], []
     for number, (text, label) in enumerate(rows):
         own = _bag((clean(p), k) for p, k in Counter(text.lower().split()).items())
-        for w in own.keys() - wrong.keys():
-            wrong[w] = misspell(w)
-        for variant in (own, _bag((wrong[w], k) for w, k in own.items())) if label else (own,):
-            bags, words = [], sorted(variant)
-            for w in words:
-                if w not in known:
-                    known[w] = grams(w, buckets)
-                bags.append(known[w])
-            if not bags:
+        for variant in (own, _bag((misspell(w), k) for w, k in own.items())) if label else (own,):
+            words = sorted(variant)
+            if not words:
                 continue
-            lengths = np.array([len(b) for b in bags])
-            ids = np.concatenate(bags)
-            counts = np.array([variant[w] for w in words])
-            weight = np.repeat(counts / (lengths * (counts.sum() + PADDING)), lengths)
-            order = np.argsort(ids, kind="stable")
-            ids = ids[order]
-            starts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
-            index.append(ids[starts])
-            value.append(np.add.reduceat(weight[order], starts).astype(np.float32))
+            for w in words:
+                if w not in number_of:
+                    number_of[w] = len(sizes)
+                    found = grams(w, buckets)
+                    flat.frombytes(found.tobytes())
+                    sizes.append(len(found))
+            bags.append((np.array([number_of[w] for w in words], np.int32), np.array([variant[w] for w in words], np.int32)))
             target.append(label)
             group.append(number)
-    known.clear()
+    del number_of
+    flat, sizes = np.frombuffer(flat, np.int32) if flat else np.zeros(0, np.int32), np.array(sizes, np.int64)
+    starts = np.cumsum(sizes) - sizes
     y = np.array(target, np.int64)
     texts_with = np.zeros((2, buckets), np.int32)
-    for ids, label in zip(index, target):
-        texts_with[label, ids] += 1
+    for (words, _), label in zip(bags, target):
+        texts_with[label, np.unique(flat[gather(starts[words], sizes[words])])] += 1
     # grams that the labels hold equally often, as far as the sample can tell, have no vector
     n = np.maximum(1, np.bincount(y, minlength=2))[:, None]
     share, whole = texts_with / n, texts_with.sum(axis=0) / n.sum()
@@ -156,11 +151,18 @@ def examples(rows: list[tuple[str, int]], buckets: int, min_z: float, least_gram
         used = np.flatnonzero(often & (apart >= min_z * error))
     place = np.full(buckets, -1, np.int32)
     place[used] = np.arange(len(used), dtype=np.int32)
-    size = []
-    for k, ids in enumerate(index):  # text by text, so that nothing is held twice
-        own = place[ids]
-        index[k], value[k] = own[own >= 0], value[k][own >= 0]
-        size.append(len(index[k]))
+    index, value, size = [], [], []
+    for words, counts in bags:
+        lengths = sizes[words]
+        ids = place[flat[gather(starts[words], lengths)]]
+        weight = np.repeat(counts / (lengths * (counts.sum() + PADDING)), lengths)[ids >= 0]
+        ids = ids[ids >= 0]
+        order = np.argsort(ids, kind="stable")
+        ids = ids[order]
+        begins = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]]) if len(ids) else ids
+        index.append(ids[begins])
+        value.append(np.add.reduceat(weight[order], begins).astype(np.float32) if len(ids) else np.zeros(0, np.float32))
+        size.append(len(begins))
     return Examples(used, np.concatenate([np.zeros(0, np.int32), *index]), np.concatenate([np.zeros(0, np.float32), *value]), np.repeat(np.arange(len(size), dtype=np.int32), size), y, np.array(group))
 
 
@@ -285,4 +287,6 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
         rows_per_label: int = 1200, max_train_bytes: int = 1 << 15) -> Model:
-    return train(training_rows(docs, labels, ~held_out(id_col), id_col, text_col, label_col, rows_per_label, max_train_bytes))
+    model = train(training_rows(docs, labels, ~held_out(id_col), id_col, text_col, label_col, rows_per_label, max_train_bytes))
+    give_back()  # the driver goes on without the sample
+    return model
