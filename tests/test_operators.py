@@ -3,14 +3,15 @@ import datetime as dt
 import random
 
 import pandas as pd
+import pytest
 from pyspark.sql import Window, functions as F
 
 from conftest import AS_OF, PAYLOAD_DDL, local_ts
 from streakflow.config import Limits
 from streakflow.operators import anomaly, dedup, streaks, validate, warehouse
-from streakflow.operators.windows import dense_keys, previous_value, running_sum, trailing_sum
+from streakflow.operators.windows import dense_keys, light_keys, previous_value, running_sum, trailing_sum
 from streakflow.plans import ingest
-from streakflow.sources import adapter
+from streakflow.sources import adapter, sinks
 
 
 def test_point_range_and_casts(spark):
@@ -309,3 +310,44 @@ def test_abusive_changes_are_the_flagged_rows(spark):
         (F.lit("2024-01-01").cast("timestamp") + F.make_interval(secs=((F.col("id") * 1607) % 1_500_000).cast("int"))).alias("created_at"))
     all_rows = {r.event_id for r in anomaly.timezone_abuse(df, Limits()).where("tz_abuse").collect()}
     assert {r.event_id for r in anomaly.abusive_changes(df, Limits()).collect()} == all_rows and 0 < len(all_rows) < 2000
+
+
+def test_whole_keys_equal_buckets_and_no_frame_slides(spark):
+    """Light keys in one bucket give what the bucketed windows give; the trailing sum is a
+    difference of two growing sums, so a row costs the same however full its window is."""
+    df = _random_events(spark)
+    assert light_keys(df, ["user_id"]) and not light_keys(df, ["user_id"], most=100, groups=1 << 10)
+    assert light_keys(df.limit(0), ["user_id"])
+    for own in (True, False):
+        args = (["user_id"], "created_at", "rid", 3_600_000_000)
+        got = trailing_sum(df, *args, value=F.col("v"), out="n", include_current=own, whole=True)
+        want = trailing_sum(df, *args, value=F.col("v"), out="n", include_current=own)
+        assert got.columns == [*df.columns, "n"] and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        for plan in (got, want):
+            assert "RangeFrame, -3599999999" not in plan._jdf.queryExecution().toString()
+    args = (["user_id"], "created_at", "rid", "zone")
+    for where in (None, F.col("v") > 1):
+        got, want = (previous_value(df, *args, out="x", where=where, whole=w).select("rid", "x") for w in (True, False))
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+@pytest.mark.parametrize("light", ["both", "users", "keys", "none"])
+def test_accepted_log_without_writes_between(spark, monkeypatch, light):
+    """The accepted log alone equals the processed rows of all verdicts. Where every user and key
+    is light nothing is written on the way; heavy ones take the bucketed form, with the same rows."""
+    payloads = adapter.payloads(adapter.adapt_events(spark.read.parquet("/root/testdata/sf0.001/events.parquet")))
+    limits = Limits(max_age_days=40, rate_limit=2)
+    plain = sorted(map(str, ingest.accept(payloads, adapter.AS_OF, limits).collect()))
+    asked = {"user_id": light in ("both", "users"), "idempotency_key": light in ("both", "keys")}
+    writes = []
+    monkeypatch.setattr(ingest, "light_keys", lambda df, keys: asked[keys[0]])
+    monkeypatch.setattr(ingest, "staged", lambda df: writes.append(1) or sinks.staged(df))
+    log = ingest.accept(payloads, adapter.AS_OF, limits)
+    assert (len(writes) == 0) == (light == "both")
+    classified = sinks.staged(ingest.classify(payloads.drop("metadata"), adapter.AS_OF, limits))
+    want = ingest.of_classified(classified).accepted
+    assert log.columns == want.columns and log.dtypes == want.dtypes
+    assert sorted(map(str, log.collect())) == sorted(map(str, want.collect())) == plain
+    assert {r.status for r in classified.select("status").distinct().collect()} == {"processed", "duplicate", "rate_limited", "tz_abuse", "validation_error", "error"}
+    few = ingest.accept(payloads, adapter.AS_OF, limits, columns=("user_id", "ttl", "event_id"), written=True)
+    assert few.columns == ["row_id", "user_id", "ttl", "event_id"] and few.exceptAll(want.select(few.columns)).count() == 0 and few.count() == want.count()
