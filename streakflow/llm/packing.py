@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, types as T
 
 from streakflow.llm.common import by_bytes, map_arrow, text_of, tokenizer_path
 from streakflow.llm.token_count import _pre_tokens, proven_tokens
-from streakflow.llm.word_table import WordTable, kept
+from streakflow.llm.word_table import WordTable, gather, kept
 
 #: Marks that end a sentence (fixed values).
 _ENDS = ".!?…。！？"
@@ -62,23 +62,22 @@ class WordIds:
         ends = set(_ENDS)
         self.ends_sentence = np.zeros(len(self.last), bool)
         self.ends_sentence[[i for name, i in names.items() if name.endswith(suffix) and set(name[:-len(suffix)]) & ends]] = True
-        self.whole = dict(zip(proven, self._merge(list(proven))))
+        pieces = list(proven)
+        self.flat, self.sizes = self._merge(pieces)
+        self.sizes = np.r_[self.sizes, 0]  # the line break between words has no ids
+        self.line = len(pieces)
+        self.numbers = {**dict(zip(pieces, range(self.line))), "\n": self.line}
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.odd = "|".join(["[\x1c-\x1f]", *map(re.escape, special)])
         self.table = WordTable(self._learn)
 
-    def _merge(self, pieces: list[str]) -> list[tuple[int, ...]]:
-        """The ids of pre-tokens (none holds white space), many in one call."""
+    def _merge(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, how many of each) of pre-tokens (none holds white space), many in one call."""
         joined = [" ".join(pieces[k:k + 2000]) for k in range(0, len(pieces), 2000)]
         flat = np.concatenate([np.zeros(0, np.int32), *(np.array(e.ids, np.int32) for e in self.merges.encode_batch_fast(joined, add_special_tokens=False))])
         ends = np.flatnonzero(self.last[flat]) + 1
         assert len(ends) == len(pieces)
-        ids, at = flat.tolist(), 0
-        out = []
-        for end in ends.tolist():
-            out.append(tuple(ids[at:end]))
-            at = end
-        return out
+        return flat, np.diff(ends, prepend=0)
 
     def _learn(self, words: list[str]) -> tuple[list[str], np.ndarray, dict[str, np.ndarray]]:
         joined = "\n".join(words)
@@ -91,18 +90,13 @@ class WordIds:
             for w in other:
                 parts += [*_pre_tokens(self.tokenizer, w), "\n"]
             words = simple + other
-        rest = list(set(parts) - self.whole.keys() - {"\n"})
-        ids = dict(zip(rest, self._merge(rest)))
-        sizes, flat, count = [], [], 0
-        for p in parts:
-            if p == "\n":
-                sizes.append(count)
-                count = 0
-            else:
-                own = self.whole.get(p) or ids[p]
-                flat += own
-                count += len(own)
-        return words, np.array(sizes, np.int64), {"ids": np.array(flat, np.int32)}
+        rest = list(set(parts) - self.numbers.keys())
+        flat, sizes = self._merge(rest)
+        numbers = {**self.numbers, **dict(zip(rest, range(self.line + 1, self.line + 1 + len(rest))))}
+        at = np.fromiter(map(numbers.__getitem__, parts), np.int64, len(parts))
+        flat, sizes = np.concatenate([self.flat, flat]), np.concatenate([self.sizes, sizes])
+        starts, sizes = (np.cumsum(sizes) - sizes)[at], sizes[at]
+        return words, np.diff(np.cumsum(sizes)[at == self.line], prepend=0), {"ids": flat[gather(starts, sizes)]}
 
     def __call__(self, some: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(token count of every text, all ids)."""

@@ -8,6 +8,7 @@ from __future__ import annotations
 import ctypes
 import gc
 from collections.abc import Callable
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -38,21 +39,23 @@ class WordTable:
     def __call__(self, words: pa.Array) -> np.ndarray:
         """The row number of every word."""
         coded = words.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        new = [w for w in distinct if w not in self.rows]
-        if self.rows and len(self.rows) + len(new) > self.limit:
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # faster than by scalars
+        rows = np.fromiter(map(self.rows.get, distinct, repeat(-1)), np.int64, len(distinct))
+        missing = np.flatnonzero(rows < 0)
+        if self.rows and len(self.rows) + len(missing) > self.limit:
             if self.before_clear:  # what a task has noted by row number
                 self.before_clear()
             self._clear()
-            new = distinct
-        if new:
-            ordered, sizes, items = self.learn(new)
+            missing = np.arange(len(distinct))
+        if len(missing):
+            new = distinct if len(missing) == len(distinct) else [distinct[k] for k in missing.tolist()]
+            ordered, sizes, items = self.learn(list(new))  # which may sort its list
             first, at = len(self.sizes), int(self.sizes.sum())
             self.rows.update(zip(ordered, range(first, first + len(ordered))))
             self.sizes = np.concatenate([self.sizes, sizes])
             self.starts = np.concatenate([self.starts, at + np.cumsum(sizes) - sizes])
             self.items = {k: np.concatenate([self.items[k], v]) if k in self.items else v for k, v in items.items()}
-        rows = np.fromiter(map(self.rows.__getitem__, distinct), np.int64, len(distinct))
+            rows[missing] = np.fromiter(map(self.rows.__getitem__, new), np.int64, len(new))
         return rows[coded.indices.to_numpy(zero_copy_only=False)]
 
     def expand(self, rows: np.ndarray, name: str) -> np.ndarray:

@@ -252,3 +252,28 @@ def test_groups_come_back_as_strings(spark):
     docs = spark.createDataFrame([(1, "hello world")], "doc_id long, text string")
     row = token_align.align(docs, groups=True).first()
     assert hashlib.sha256(row.groups.encode()).hexdigest() == row.groups_sha256 and row.groups.count(";") == row.n_groups - 1
+
+
+def test_word_ids_are_learnt_as_arrays_in_any_mix():
+    """Known, new, non-Latin and repeated words in one batch, with a table that is emptied on the
+    way: the library's ids, and merges come as flat arrays instead of one tuple a word."""
+    import numpy as np
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from streakflow.llm.common import tokenizer_path
+    from streakflow.llm.packing import WordIds
+    from streakflow.llm.token_count import proven_tokens
+
+    with open(tokenizer_path("word_bpe_49k.json"), encoding="utf-8") as f:
+        spec = f.read()
+    library = Tokenizer.from_str(spec)
+    ids = WordIds(spec, proven_tokens(library))
+    flat, sizes = ids._merge(["hello", "zzqx"])
+    assert flat.dtype == np.int32 and len(sizes) == 2 and sizes.sum() == len(flat)
+    ids.table.limit = 12
+    for batch in (["The cat sat.", "Ünïted привет, мир! zzqx-zzqx", ""], ["the the THE cat's 12,5 %", "日本語 text", "one two"],
+                  ["one more привет zzqx-zzqx", "a\nb\tc  d", "cat."], [""], ["The cat sat."]):
+        counts, got = ids(pa.array(batch))
+        want = [library.encode(t, add_special_tokens=False).ids for t in batch]
+        assert counts.tolist() == [len(w) for w in want] and got.tolist() == [i for w in want for i in w]
